@@ -3,8 +3,8 @@
 Scale notes. The right side is broadcast only behind a row-count check
 (``broadcast_max_rows``); without one, AQE turns the sort-merge join into a
 broadcast join when the measured right side is small enough, and otherwise
-splits skewed left partitions. Rows with a NULL key can never match, so they
-are routed around the join instead of piling into one shuffle partition.
+splits skewed left partitions. Rows with a NULL key can never match; they
+are salted over many shuffle partitions instead of piling into one.
 """
 
 from __future__ import annotations
@@ -23,28 +23,33 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def enrich_left(left: DataFrame, right: DataFrame, key: str,
                 right_cols: list[str] | None = None,
                 broadcast_max_rows: int | None = None,
-                split_null_keys: bool = True,
+                null_key_buckets: int = 32,
                 marker: str | None = MARKER) -> DataFrame:
     """``left ⟕ right`` on ``key``; duplicate right keys fan out.
 
     ``marker`` adds a non-NULL right-side column, so a match is visible even
-    when every right measure is NULL.
+    when every right measure is NULL. Rows with a NULL key get a second join
+    column, a deterministic hash bucket in ``[0, null_key_buckets)`` (0 for
+    every other row and on the right), so they spread over that many shuffle
+    partitions instead of one; they still never match.
     """
     cols = right_cols if right_cols is not None else [c for c in right.columns if c != key]
     r = right.select(key, *cols)
     if marker:
         r = r.withColumn(marker, F.lit(True))
-    broadcast = broadcast_max_rows is not None and fits(r, broadcast_max_rows)
-    if broadcast:
+    if broadcast_max_rows is not None and fits(r, broadcast_max_rows):
         return left.join(F.broadcast(r), key, "left")
-    if not split_null_keys:
+    if not null_key_buckets or null_key_buckets <= 1:
         return left.join(r, key, "left")
-    added = [c for c in r.columns if c != key]
-    rtypes = dict(r.dtypes)
-    matched = left.filter(F.col(key).isNotNull()).join(r, key, "left")
-    nulls = left.filter(F.col(key).isNull()).select(
-        *left.columns, *[F.lit(None).cast(rtypes[c]).alias(c) for c in added])
-    return matched.unionByName(nulls)
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(null_key_buckets))
+    salted = left.withColumn(
+        "__nk", F.when(F.col(key).isNull(), bucket).otherwise(F.lit(0)).cast("int"))
+    # the right-side bucket is always 0, but written as an expression over the
+    # data: a literal would be folded into a join filter and the bucket would
+    # stop being a shuffle key
+    zero = F.pmod(F.xxhash64(F.col(key)), F.lit(1)).cast("int")
+    return (salted.join(r.withColumn("__nk", zero), [key, "__nk"], "left")
+            .drop("__nk"))
 
 
 def match_report(joined: DataFrame, marker: str = MARKER,

@@ -69,12 +69,13 @@ def ols(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row result (a global aggregate) to every row.
 
-    Equi-join on a constant key with the one-row side broadcast: its size is
-    one row by construction, so the broadcast cannot grow with the data.
+    The one-row frame becomes a scalar subquery (run once, its value inlined
+    into the projection): no join and nothing that grows with the data.
     """
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one")
-            .drop("__one"))
+    cols = one_row.columns
+    value = one_row.select(F.struct(*cols).alias("__s")).scalar()
+    return (df.withColumn("__s", value)
+            .select(*df.columns, *[F.col("__s")[c].alias(c) for c in cols]))
 
 
 def ols_fitted(df: DataFrame, x: str, y: str) -> DataFrame:

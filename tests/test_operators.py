@@ -226,3 +226,20 @@ def test_payer_mix_is_grain_safe_hash_aggregate(spark):
         .queryExecution().executedPlan().toString()
     assert "min_by" in plan and "SortAggregate" not in plan
     assert not math.isnan(1.0)
+
+
+def test_null_keys_spread_over_partitions(spark):
+    left = spark.range(2000).select(F.col("id"), F.lit(None).cast("string").alias("k"))
+    right = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = join.enrich_left(left, right, "k")
+        parts = j.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert j.count() == 2000 and j.filter(F.col("_matched").isNotNull()).count() == 0
+        assert parts > 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
