@@ -12,13 +12,23 @@ from pyspark.sql import functions as F
 def facet_counts(items: DataFrame, categories: str, all_label: str = "All",
                  category: str = "category", count: str = "items") -> DataFrame:
     """Items per category (case-sensitive) plus an ``All`` row with the
-    number of items; ordered case-insensitively. Partial aggregation per
-    category keeps a category that holds most items cheap."""
-    per = (items.select(F.explode(F.col(categories)).alias(category))
-           .groupBy(category).agg(F.count(F.lit(1)).alias(count)))
-    total = items.agg(F.lit(all_label).alias(category), F.count(F.lit(1)).alias(count))
-    return (total.unionByName(per)
-            .orderBy((F.col(category) != all_label), F.lower(F.col(category)), F.col(category)))
+    number of items (those without categories included), ordered
+    case-insensitively after ``All``.
+
+    One pass: every item contributes one tagged "all" entry and one entry per
+    category; partial aggregation per category keeps a category that holds
+    most items cheap.
+    """
+    tagged = F.concat(
+        F.array(F.struct(F.lit(True).alias("t"), F.lit(None).cast("string").alias("c"))),
+        F.transform(F.coalesce(F.col(categories), F.array().cast("array<string>")),
+                    lambda c: F.struct(F.lit(False).alias("t"), c.alias("c"))))
+    counted = (items.select(F.explode(tagged).alias("e"))
+               .groupBy(F.col("e.t").alias("t"), F.col("e.c").alias("c"))
+               .agg(F.count(F.lit(1)).alias(count)))
+    out = counted.select(
+        F.when(F.col("t"), F.lit(all_label)).otherwise(F.col("c")).alias(category), count, "t")
+    return out.orderBy(F.col("t").desc(), F.lower(F.col(category)), F.col(category)).drop("t")
 
 
 def category_filter(items: DataFrame, categories: str, category: str) -> DataFrame:

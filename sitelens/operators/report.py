@@ -3,7 +3,9 @@ views, samples (A6-A8, P16, L1-L3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions.fmt import fmt_count, fmt_pct
@@ -13,16 +15,23 @@ from sitelens.operators.stats import attach
 
 
 def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> DataFrame:
-    """``rows``, distinct ``name`` values and the grain-safe sum of
-    ``measure`` (first row per ``key``) as one row.
+    """``sites`` (rows), ``organizations`` (distinct ``name``) and
+    ``patients`` (grain-safe sum of ``measure``: first row per ``key``), one
+    row from one scan.
 
-    Two aggregations (row/distinct counts; per-key firsts then sum), each with
-    partial aggregation, joined as one-row results.
+    Rows are first aggregated per (key, name) with map-side partial
+    aggregation; the group holding each key's first row is flagged with a
+    window over those (few) groups; one global aggregate finishes.
     """
-    counts = df.agg(F.count(F.lit(1)).alias("sites"),
-                    F.count_distinct(F.col(name)).alias("organizations"))
-    total = sum_at_grain(df, key, order, [measure]).select(F.col(measure).alias("patients"))
-    return attach(counts, total)
+    groups = df.groupBy(key, name).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(order).alias("__o"),
+        F.min_by(measure, order).alias("__m"))
+    first = F.row_number().over(Window.partitionBy(key).orderBy("__o")) == 1
+    groups = groups.withColumn("__first", first)
+    return groups.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("sites"),
+        F.count_distinct(F.col(name)).alias("organizations"),
+        F.coalesce(F.sum(F.when(F.col("__first"), F.col("__m"))), F.lit(0.0)).alias("patients"))
 
 
 def share_of_total(df: DataFrame, value: str, by: list[str] | None = None,
@@ -43,16 +52,18 @@ def share_of_total(df: DataFrame, value: str, by: list[str] | None = None,
 def payer_mix(df: DataFrame, key: str, order: str, total: str,
               parts: dict[str, str], other_label: str = "Other (Private/Medicare)",
               category: str = "Category", value: str = "Patients") -> DataFrame:
-    """Grain-safe totals of each part plus the residual, long format,
-    with each category's share of the sum (A8)."""
+    """A7 + A8: grain-safe totals of each part plus the residual, one row per
+    category with its share of their sum (NULL when the sum is 0). The
+    shares are computed inside the single aggregated row, so the input is
+    read once."""
     cols = [total, *parts.values()]
     sums = sum_at_grain(df, key, order, cols)
-    wide = sums.select(
-        *[F.col(c).alias(label) for label, c in parts.items()],
-        residual(total, *parts.values()).alias(other_label))
-    labels = [*parts.keys(), other_label]
-    long = wide.unpivot([], labels, category, value)
-    return share_of_total(long, value)
+    values = [(label, F.col(c)) for label, c in parts.items()]
+    values.append((other_label, residual(total, *parts.values())))
+    denom = reduce(lambda a, b: a + b, [v for _, v in values])
+    rows = [F.struct(F.lit(label).alias(category), v.alias(value),
+                     F.try_divide(v, denom).alias("share")) for label, v in values]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def org_rows(df: DataFrame, key: str, order: str, measures: list[str]) -> DataFrame:

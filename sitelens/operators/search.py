@@ -66,7 +66,11 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """T5: one record for the page (empty ``section``; text = the part before
     the first section heading, or the first section when that is empty) and
     one record per section (``h2``-``h6`` headings and bold lead-in
-    paragraphs), ``href = url#anchor`` with repeated anchors numbered."""
+    paragraphs), ``href = url#anchor`` with repeated anchors numbered.
+
+    Each page is parsed once, in its own row: the records are built as one
+    array per page and exploded, so there is no shuffle and no second pass.
+    """
     h = F.col(html)
     title = clean_text(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
     body = F.regexp_replace(_content(h), DROP_ELEMENTS, "")
@@ -90,20 +94,21 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                                                               lambda y: y == s)).cast("string")))))
     first_section = F.when(F.size("heads") > 0,
                            F.concat(F.col("heads")[0], F.lit("\n"), F.col("bodies")[0]))
-    doc = staged.select(
-        "page_id", F.col("url").alias("href"), "title", F.lit("").alias("section"),
+    doc = F.struct(
+        F.col("url").alias("href"), F.lit("").alias("section"),
         F.when(F.col("intro") != "", F.col("intro"))
         .otherwise(F.coalesce(first_section, F.lit(""))).alias("text"),
         F.lit(0).alias("position"))
-    secs = staged.select(
-        "page_id", "url", "title",
-        F.posexplode(F.arrays_zip("heads", "bodies", "anchors")).alias("pos", "s"))
-    secs = secs.select(
-        "page_id", F.concat("url", F.lit("#"), F.col("s.anchors")).alias("href"), "title",
-        F.col("s.heads").alias("section"),
-        F.concat(F.col("s.heads"), F.lit("\n"), F.col("s.bodies")).alias("text"),
-        (F.col("pos") + 1).alias("position"))
-    return doc.unionByName(secs)
+    sections = F.transform(
+        F.arrays_zip("heads", "bodies", "anchors"),
+        lambda z, i: F.struct(
+            F.concat(F.col("url"), F.lit("#"), z["anchors"]).alias("href"),
+            z["heads"].alias("section"),
+            F.concat(z["heads"], F.lit("\n"), z["bodies"]).alias("text"),
+            (i + 1).alias("position")))
+    records = F.concat(F.array(doc), sections)
+    out = staged.select("page_id", "title", F.inline(records))
+    return out.select("page_id", "href", "title", "section", "text", "position")
 
 
 def _matcher(terms_bc, fields: list[str], weights: list[int]):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import fmt_count, fmt_pct, normalise_key, parts_sum, ratio_or_zero
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
+from sitelens.session import cut_lineage
 
 # Header names of the raw sites sheet and the org-metrics
 # sheet, and the clean column names they become.
@@ -138,7 +139,7 @@ def catalogue_facets(items: DataFrame, categories: str = "categories") -> DataFr
 
 def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M9: index build, weighted search, per-page collapse."""
-    records = search.page_sections(pages)
+    records = cut_lineage(search.page_sections(pages))
     results = search.keyword_search(queries, records)
     return results, search.collapse_hits(results)
 

@@ -19,6 +19,7 @@ from sitelens.functions import (
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
+from sitelens.session import cut_lineage
 from sitelens.sources.readers import profile
 
 REGISTRY: dict[str, tuple] = {}
@@ -447,7 +448,8 @@ def required_fields(spark, d):
 
 
 def _results(spark, d):
-    records = search.page_sections(S.table(spark, d, "pages"))
+    # the index is read twice (matching, then the result rows): build it once
+    records = cut_lineage(search.page_sections(S.table(spark, d, "pages")))
     return search.keyword_search(S.search_queries(spark, d), records)
 
 
