@@ -1,0 +1,5 @@
+"""Incremental refresh of the published tables with Structured Streaming."""
+
+from sitelens.streaming.refresh import gated_refresh
+
+__all__ = ["gated_refresh"]
