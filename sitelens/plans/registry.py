@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions import (
-    add_param, coerce_numeric, decode_categories, epoch_ms_to_date, normalise_key,
+    add_param, coerce_numeric, decode_categories, epoch_ms_to_date, make_params, normalise_key,
     parse_params, query_string, reading_time, word_count,
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
 from sitelens.session import cut_lineage
-from sitelens.sources.readers import profile
+from sitelens.sources.readers import preview, profile
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -486,3 +486,39 @@ SELECT query_id, base_href, group_rank, 4, 'more', CAST(NULL AS VARCHAR), CAST(g
 FROM r3 WHERE item_rank = 1 AND group_size > 3""")
 def search_collapsed(spark, d):
     return search.collapse_hits(_results(spark, d))
+
+
+@register("preview", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5""")
+def preview_q(spark, d):
+    o = S.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return preview(o, ["o_orderkey"], 5)
+
+
+@register("params_roundtrip", r"""
+WITH q AS (SELECT page_id, regexp_extract(url, '\?([^#]*)', 1) AS qs FROM pages),
+pieces AS (SELECT page_id, unnest(string_split(qs, '&')) AS piece,
+                  unnest(generate_series(1, len(string_split(qs, '&')))) AS pos
+           FROM q WHERE qs <> ''),
+kv AS (SELECT page_id, pos, split_part(piece, '=', 1) AS key, split_part(piece, '=', 2) AS value
+       FROM pieces WHERE len(string_split(piece, '=')) = 2),
+per_key AS (SELECT page_id, key, min(pos) AS first_pos, arg_max(url_decode(value), pos) AS value
+            FROM kv GROUP BY page_id, key)
+SELECT page_id, string_agg(key || '=' || value, '&' ORDER BY first_pos) AS params
+FROM per_key GROUP BY page_id""")
+def params_roundtrip(spark, d):
+    p = S.table(spark, d, "pages")
+    m = parse_params(query_string("url"))
+    return p.select("page_id", make_params(m).alias("params")).filter(F.col("params").isNotNull()
+                                                                     & (F.col("params") != ""))
+
+
+@register("non_negative_balance", """
+SELECT coalesce(bool_and(coalesce(c_acctbal >= 0, false)), true) AS all_non_negative,
+       count(*) FILTER (WHERE NOT coalesce(c_acctbal >= 0, false)) AS violations
+FROM customer""")
+def non_negative_balance(spark, d):
+    c = S.table(spark, d, "customer")
+    ok = F.col("c_acctbal") >= 0
+    return c.agg(stats.forall(ok).alias("all_non_negative"),
+                 F.count_if(clean.violates(ok)).alias("violations"))
