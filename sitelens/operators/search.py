@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.text import slugify, snippet
 from sitelens.functions.urls import add_param
-from sitelens.operators.join import fits
+from sitelens.session import spread
 
 # Field weights, result limit, shortest match and how many
 # hits of one page are shown before the "n more" line.
@@ -71,6 +71,7 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     Each page is parsed once, in its own row: the records are built as one
     array per page and exploded, so there is no shuffle and no second pass.
     """
+    pages = spread(pages)
     h = F.col(html)
     title = clean_text(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
     body = F.regexp_replace(_content(h), DROP_ELEMENTS, "")
@@ -157,13 +158,13 @@ def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
     one automaton and scans its records once.
     """
     weights = weights or FIELD_WEIGHTS
-    distinct = terms.select("term").distinct()
-    if not fits(distinct, max_terms):
+    # one job: at most max_terms + 1 distinct terms reach the driver
+    found = [r[0] for r in terms.select("term").distinct().limit(max_terms + 1).collect()]
+    if len(found) > max_terms:
         raise ValueError(f"more than {max_terms} distinct search terms; split the query set")
-    spark = records.sparkSession
-    bc = spark.sparkContext.broadcast([r[0] for r in distinct.collect()])
+    bc = records.sparkSession.sparkContext.broadcast(found)
     fields = list(weights)
-    rec = records.select(F.col(key).cast("string").alias("__key"), *fields)
+    rec = spread(records.select(F.col(key).cast("string").alias("__key"), *fields))
     return (rec.mapInPandas(_matcher(bc, fields, [weights[f] for f in fields]),
                             "__key string, term string, score int")
             .withColumnRenamed("__key", key))

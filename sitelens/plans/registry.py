@@ -19,7 +19,6 @@ from sitelens.functions import (
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
-from sitelens.session import cut_lineage
 from sitelens.sources.readers import preview, profile
 
 REGISTRY: dict[str, tuple] = {}
@@ -444,13 +443,12 @@ UNION ALL SELECT 'text_present', v3, v3 = 0 FROM g
 UNION ALL SELECT 'gate', CAST((n <= 0)::INT + (v1 > 0)::INT + (v2 > 0)::INT + (v3 > 0)::INT AS BIGINT),
                  n > 0 AND v1 = 0 AND v2 = 0 AND v3 = 0 FROM g""")
 def required_fields(spark, d):
-    return quality.required_fields(search.page_sections(S.table(spark, d, "pages")))
+    return quality.required_fields(S.search_index(spark, d))
 
 
 def _results(spark, d):
-    # the index is read twice (matching, then the result rows): build it once
-    records = cut_lineage(search.page_sections(S.table(spark, d, "pages")))
-    return search.keyword_search(S.search_queries(spark, d), records)
+    # the index is read twice (matching, then the result rows): built once
+    return search.keyword_search(S.search_queries(spark, d), S.search_index(spark, d))
 
 
 @register("keyword_search", "WITH " + sql.RECORDS + "," + sql.TERMS + """

@@ -15,14 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.plans import jobs
+from sitelens.session import published, spread
 from sitelens.sources.readers import read_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+TEXT_HEAVY = {"documents", "pages"}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return read_table(spark, f"{d}/{name}.parquet")
+    df = read_table(spark, f"{d}/{name}.parquet")
+    # text tables feed regex-heavy per-row work; see session.spread
+    return spread(df) if name in TEXT_HEAVY else df
 
 
 def sites_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -84,11 +90,21 @@ def orgs_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def orgs(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.org_metrics(orgs_raw(spark, d), extra=["segment"])
+    """Org metrics (M2), published once per application."""
+    return published(spark, f"orgs:{d}",
+                     lambda: jobs.org_metrics(orgs_raw(spark, d), extra=["segment"]))
 
 
 def joined(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.enrich(sites(spark, d), orgs(spark, d))
+    """The joined site table (M3), published once per application like the
+    reference's joined file that the report, analysis and gate all read."""
+    return published(spark, f"joined:{d}", lambda: jobs.enrich(sites(spark, d), orgs(spark, d)))
+
+
+def search_index(spark: SparkSession, d: str) -> DataFrame:
+    """Search records built from the pages (T5), published once."""
+    from sitelens.operators.search import page_sections
+    return published(spark, f"index:{d}", lambda: page_sections(table(spark, d, "pages")))
 
 
 def catalogue_items(spark: SparkSession, d: str) -> DataFrame:

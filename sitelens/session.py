@@ -9,8 +9,10 @@ partitions are split and shuffle partitions are coalesced.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,5 +78,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition before a CPU-heavy per-row step when the input
+    has fewer than half as many partitions as the cluster has cores (a small
+    table stored as one file). Inputs that already have enough partitions,
+    which is every large one, are left as they are: no shuffle is added."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism // 2:
+        return df.repartition(parallelism)
+    return df
+
+
+_PUBLISHED: dict[tuple[str, str], str] = {}
+_LOCK = threading.RLock()
+
+
+def published(spark: SparkSession, name: str, build) -> DataFrame:
+    """A derived table written once per application to the shared checkpoint
+    folder and read back by every consumer (the pipeline's stage outputs:
+    joined sites, org metrics, search index). Reading it back cuts the
+    lineage, so a lost executor re-reads files instead of recomputing the
+    joins that produced them."""
+    app = spark.sparkContext.applicationId
+    key = (app, name)
+    with _LOCK:
+        path = _PUBLISHED.get(key)
+        if path is None:
+            digest = hashlib.sha1(name.encode()).hexdigest()[:16]
+            path = f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{app}/{digest}"
+            build().write.mode("overwrite").parquet(path)
+            _PUBLISHED[key] = path
+    return spark.read.parquet(path)
+
+
 def bench_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", "8"))
