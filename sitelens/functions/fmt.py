@@ -33,6 +33,17 @@ def fmt_pct(c: str | Column, decimals: int = 1) -> Column:
         F.lit("%"))
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_ms_to_date(c: str | Column, pattern: str = "MMM d, yyyy") -> Column:
-    """Epoch milliseconds to a display date in the session time zone."""
-    return F.date_format(F.timestamp_millis(col(c)), pattern)
+    """Epoch milliseconds to a UTC display date, whatever the session time
+    zone (the arithmetic stays in zone-less timestamps)."""
+    return F.date_format(F.timestamp_add("MILLISECOND", col(c), _epoch()), pattern)
+
+
+def epoch_ms(c: str | Column) -> Column:
+    """Milliseconds since the epoch of a zone-less timestamp or a date, read
+    as UTC (no session time-zone shift)."""
+    return F.timestamp_diff("MILLISECOND", _epoch(), col(c).cast("timestamp_ntz"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions import (
-    add_param, coerce_numeric, decode_categories, epoch_ms_to_date, make_params, normalise_key,
+    add_param, coerce_numeric, decode_categories, epoch_ms, epoch_ms_to_date, make_params, normalise_key,
     parse_params, query_string, reading_time, word_count,
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
@@ -382,7 +382,7 @@ SELECT o_orderkey, epoch_ms(o_orderdate) AS date_ms, strftime(o_orderdate, '%b %
 FROM orders""")
 def date_display(spark, d):
     o = S.table(spark, d, "orders")
-    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    ms = epoch_ms("o_orderdate")
     return o.select("o_orderkey", ms.alias("date_ms"), epoch_ms_to_date(ms).alias("date_display"))
 
 

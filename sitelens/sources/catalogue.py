@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.functions.fmt import epoch_ms
 from sitelens.functions.text import reading_time, word_count
 
 HEADER = r"(?s)^\s*---[ \t]*\r?\n(.*?)\r?\n---[ \t]*(\r?\n|$)"
@@ -60,5 +61,5 @@ def read_catalogue(spark: SparkSession, root: str, glob: str = "index.qmd") -> D
         word_count(body).alias("word_count"))
     return items.withColumns({
         "reading_time": reading_time("word_count"),
-        "date_ms": F.unix_millis(F.col("date").cast("timestamp")),
+        "date_ms": epoch_ms("date"),
     })

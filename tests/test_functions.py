@@ -147,3 +147,17 @@ def test_snippet_matches_brute_force(spark):
 def test_snippet_null(spark, bad):
     df = spark.createDataFrame([(bad, "q")], "t string, q string")
     assert df.select(snippet("t", "q")).first()[0] is None
+
+
+def test_epoch_ms_independent_of_session_zone(spark):
+    from sitelens.functions import epoch_ms
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(1765052530000,)], "x long")
+        assert df.select(epoch_ms_to_date("x")).first()[0] == "Dec 6, 2025"
+        ntz = spark.sql("select timestamp_ntz'2025-12-06 20:22:10' t, date'2025-11-23' d")
+        r = ntz.select(epoch_ms("t"), epoch_ms("d")).first()
+        assert r[0] == 1765052530000 and r[1] == 1763856000000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
