@@ -16,10 +16,10 @@ def _sites(n_or=12):
     rows = [SITE_HEADER]
     for i in range(n_or):
         org = 100010 + i % 3
-        rows.append(["OR", float(org), f"Org {org}", f"Site {i}", "Salem", "Marion", "FQHC",
+        rows.append(["OR", float(org), f"Org {org}", f"Site {i}", "Springfield", "North County", "Health Center",
                      44.0 + i * 0.1, -122.0])
-    rows.append(["WA", 100010.0, "Org X", "Elsewhere", "Seattle", "King", "FQHC", 47.6, -122.3])
-    rows.append(["OR", 999999.0, "Org Z", "No Coordinates", "Bend", "Deschutes", "FQHC", None, None])
+    rows.append(["WA", 100010.0, "Org X", "Elsewhere", "Riverside", "West County", "Health Center", 47.6, -122.3])
+    rows.append(["OR", 999999.0, "Org Z", "No Coordinates", "Lakeview", "East County", "Health Center", None, None])
     return rows
 
 
@@ -31,8 +31,8 @@ def _orgs():
 
 def test_refresh_end_to_end(spark, tmp_path):
     write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": _sites()})
-    write_xlsx(str(tmp_path / "uds.xlsx"), {"Cover": [["x"]], "Table4": _orgs()})
-    out = refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "uds.xlsx"),
+    write_xlsx(str(tmp_path / "org_metrics.xlsx"), {"Cover": [["x"]], "Table4": _orgs()})
+    out = refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
                   str(tmp_path / "out"), region="OR", export_csv=True)
     joined = out["joined"]
     assert joined.count() == 12
@@ -48,7 +48,7 @@ def test_refresh_end_to_end(spark, tmp_path):
 def test_refresh_gate_blocks(spark, tmp_path):
     rows = _sites(n_or=5)
     write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": rows})
-    write_xlsx(str(tmp_path / "uds.xlsx"), {"Table4": _orgs()})
+    write_xlsx(str(tmp_path / "org_metrics.xlsx"), {"Table4": _orgs()})
     with pytest.raises(GateFailed):
-        refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "uds.xlsx"),
+        refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
                 str(tmp_path / "out"), region="OR")

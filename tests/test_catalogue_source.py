@@ -7,7 +7,7 @@ from sitelens.operators import catalogue, report
 from sitelens.sources.catalogue import read_catalogue
 
 DOCS = {
-    "projects/penguins/index.qmd": '---\ntitle: "Palmer Penguins Analysis"\nauthor: "A. B."\n'
+    "projects/birds/index.qmd": '---\ntitle: "Bird Measurements Study"\nauthor: "A. B."\n'
     'date: "2025-11-23"\ncategories: [python, visualization, analysis]\nimage: "plot.png"\n'
     'description: "An exploratory analysis."\n---\n\n## Introduction\n\nOne two three four five.\n',
     "projects/landscape/index.qmd": '---\ntitle: "Landscape"\nsubtitle: "Sites"\ndate: last-modified\n'
@@ -26,10 +26,10 @@ def test_read_catalogue(spark, tmp_path):
         p.write_text(text)
     items = read_catalogue(spark, str(tmp_path))
     got = {os.path.basename(os.path.dirname(r["path"])): r for r in items.collect()}
-    assert set(got) == {"penguins", "landscape", "welcome"}
-    p = got["penguins"]
+    assert set(got) == {"birds", "landscape", "welcome"}
+    p = got["birds"]
     assert (p["title"], p["author"], str(p["date"]), p["image"]) == \
-        ("Palmer Penguins Analysis", "A. B.", "2025-11-23", "plot.png")
+        ("Bird Measurements Study", "A. B.", "2025-11-23", "plot.png")
     assert p["categories"] == ["python", "visualization", "analysis"]
     assert p["word_count"] == 7 and p["reading_time"] == 1
     assert got["landscape"]["categories"] == ["Data Engineering", "Healthcare", "Python"]
@@ -38,7 +38,7 @@ def test_read_catalogue(spark, tmp_path):
     facets = [(r["category"], r["items"]) for r in catalogue.facet_counts(items, "categories").collect()]
     assert facets[0] == ("All", 3) and ("Python", 2) in facets and ("python", 1) in facets
     ordered = [r["title"] for r in catalogue.listing_order(items).collect()]
-    assert ordered[1:] == ["Palmer Penguins Analysis", "Welcome"]
+    assert ordered[1:] == ["Bird Measurements Study", "Welcome"]
     assert [r["title"] for r in report.page(catalogue.listing_order(items), ["date"], 1, 2)
             .collect()][0] == "Welcome"
     shown = items.select(epoch_ms_to_date("date_ms").alias("d")).collect()
