@@ -209,13 +209,19 @@ def collapse_hits(results: DataFrame, collapse_after: int = COLLAPSE_AFTER,
          .withColumn("group_first", F.min(rank).over(g)))
     r = r.withColumn("group_rank", F.dense_rank().over(
         Window.partitionBy("query_id").orderBy("group_first")))
-    shown = (r.filter(F.col("item_rank") <= collapse_after)
-             .select("query_id", "base_href", "group_rank", "item_rank",
-                     F.when(F.col("item_rank") == 1, F.lit("doc")).otherwise(F.lit("item")).alias("kind"),
-                     F.col(href).alias("href"), F.lit(None).cast("bigint").alias("more")))
-    more = (r.filter(F.col("item_rank") == 1).filter(F.col("group_size") > collapse_after)
-            .select("query_id", "base_href", "group_rank",
-                    F.lit(collapse_after + 1).alias("item_rank"), F.lit("more").alias("kind"),
-                    F.lit(None).cast("string").alias("href"),
-                    (F.col("group_size") - collapse_after).cast("bigint").alias("more")))
-    return shown.unionByName(more)
+    shown = F.struct(
+        F.col("item_rank").alias("item_rank"),
+        F.when(F.col("item_rank") == 1, F.lit("doc")).otherwise(F.lit("item")).alias("kind"),
+        F.col(href).alias("href"), F.lit(None).cast("bigint").alias("more"))
+    more = F.struct(
+        F.lit(collapse_after + 1).alias("item_rank"), F.lit("more").alias("kind"),
+        F.lit(None).cast("string").alias("href"),
+        (F.col("group_size") - collapse_after).cast("bigint").alias("more"))
+    # one pass: each hit yields its own line (if shown) and, for the group's
+    # first hit, the "n more" line
+    lines = F.concat(
+        F.when(F.col("item_rank") <= collapse_after, F.array(shown)).otherwise(F.array().cast(
+            "array<struct<item_rank:int,kind:string,href:string,more:bigint>>")),
+        F.when((F.col("item_rank") == 1) & (F.col("group_size") > collapse_after), F.array(more))
+        .otherwise(F.array().cast("array<struct<item_rank:int,kind:string,href:string,more:bigint>>")))
+    return r.select("query_id", "base_href", "group_rank", F.inline(lines))
