@@ -98,7 +98,8 @@ def orgs(spark: SparkSession, d: str) -> DataFrame:
 def joined(spark: SparkSession, d: str) -> DataFrame:
     """The joined site table (M3), published once per application like the
     reference's joined file that the report, analysis and gate all read."""
-    return published(spark, f"joined:{d}", lambda: jobs.enrich(sites(spark, d), orgs(spark, d)))
+    return published(spark, f"joined:{d}", lambda: jobs.enrich(sites(spark, d), orgs(spark, d)),
+                     bucket_by="bhcmis_id")
 
 
 def search_index(spark: SparkSession, d: str) -> DataFrame:
