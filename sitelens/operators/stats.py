@@ -6,7 +6,9 @@ group holding a third of the rows still splits across many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions._util import col
@@ -36,10 +38,17 @@ def quantiles(df: DataFrame, c: str, probs=(0.1, 0.5, 0.9), by: list[str] | None
               method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """A10: one row per probability (linear interpolation; NULLs skipped).
 
-    ``exact`` keeps every distinct value of a group in one aggregation buffer;
-    for very large groups use ``approx`` (``percentile_approx``).
+    ``exact`` (Spark's ``percentile``) keeps every distinct value of a group
+    in one aggregation buffer: right for per-group or modest columns.
+    ``distributed`` is exact too, for one huge column: no task ever holds
+    more than a range slice of the distinct values (overall only).
+    ``approx`` is ``percentile_approx``.
     """
     probs = [float(p) for p in probs]
+    if method == "distributed":
+        if by:
+            raise ValueError("method='distributed' computes overall quantiles only")
+        return distributed_quantiles(df, c, probs)
     arr = F.array(*[F.lit(p) for p in probs])
     if method == "exact":
         agg = F.percentile(F.col(c).cast("double"), arr)
@@ -53,6 +62,59 @@ def quantiles(df: DataFrame, c: str, probs=(0.1, 0.5, 0.9), by: list[str] | None
             .select(*keys, F.element_at(arr, F.col("__i") + 1).alias("probability"), "value"))
 
 
+def distributed_quantiles(df: DataFrame, c: str, probs, slices: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles of one column, computed by rank.
+
+    1. distinct values with their counts (partial aggregation);
+    2. range-partitioned into ``slices`` ordered slices, checkpointed so the
+       slice ids stay fixed;
+    3. one count per slice (``slices`` small rows to the driver) gives each
+       slice's first rank;
+    4. only the slices holding a wanted rank are scanned with a running sum
+       (window per slice) to find the value at that rank.
+    """
+    from sitelens.session import cut_lineage
+    spark = df.sparkSession
+    m = slices or spark.sparkContext.defaultParallelism
+    counts = (df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+              .groupBy("v").agg(F.count(F.lit(1)).alias("k")))
+    ranged = cut_lineage(counts.repartitionByRange(m, "v")
+                         .withColumn("slice", F.spark_partition_id()))
+    sizes = {r["slice"]: r["n"] for r in
+             ranged.groupBy("slice").agg(F.sum("k").alias("n")).collect()}
+    n = sum(sizes.values())
+    schema = "probability double, value double"
+    if n == 0:
+        return spark.createDataFrame([(p, None) for p in probs], schema)
+    starts, acc = {}, 0
+    for sl in sorted(sizes):
+        starts[sl] = acc
+        acc += sizes[sl]
+    wanted = set()
+    for p in probs:
+        pos = p * (n - 1)
+        wanted.update({int(math.floor(pos)), int(math.ceil(pos))})
+
+    def slice_of(rank: int) -> int:
+        return max(sl for sl in starts if starts[sl] <= rank)
+
+    ranks = [(slice_of(r), r - starts[slice_of(r)], r) for r in sorted(wanted)]
+    targets = spark.createDataFrame(ranks, "slice int, local long, rank long")
+    w = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    run = (ranged.join(F.broadcast(targets.select("slice").distinct()), "slice", "left_semi")
+           .withColumn("cum", F.sum("k").over(w)))
+    hits = (run.join(F.broadcast(targets), "slice")
+            .filter((F.col("cum") - F.col("k") <= F.col("local")) & (F.col("local") < F.col("cum")))
+            .select("rank", "v").collect())
+    at = {r["rank"]: r["v"] for r in hits}
+    out = []
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+        out.append((p, at[lo] + (pos - lo) * (at[hi] - at[lo])))
+    return spark.createDataFrame(out, schema)
+
+
 def ols_terms(x: str, y: str) -> list[Column]:
     yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
     return [F.regr_slope(yy, xx).alias("slope"),

@@ -213,6 +213,16 @@ def quantiles(spark, d):
     return q.withColumn("value", r6("value"))
 
 
+@register("quantiles_distributed", sql.with_joined("""
+SELECT unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS probability,
+       round(unnest(quantile_cont(pct_medicaid, [0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE])), 6) AS value
+FROM joined WHERE total_patients > 100"""))
+def quantiles_distributed(spark, d):
+    big = clean.above(S.joined(spark, d), "total_patients", 100)
+    q = stats.quantiles(big, "pct_medicaid", (0.1, 0.5, 0.9), method="distributed")
+    return q.withColumn("value", r6("value"))
+
+
 @register("corr_by_group", "WITH " + sql.ORGS + """
 SELECT segment, CAST(regr_count(pct_medicaid, total_patients) AS BIGINT) AS n,
        round(corr(total_patients, pct_medicaid), 6) AS corr,

@@ -243,3 +243,21 @@ def test_null_keys_spread_over_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_distributed_quantiles_match_exact(spark):
+    import random
+    rnd = random.Random(3)
+    vals = [(float(rnd.randint(0, 50)),) for _ in range(500)] + [(None,)] * 5 + [(7.0,)] * 300
+    df = spark.createDataFrame(vals, "x double")
+    probs = (0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0)
+    exact = {r["probability"]: r["value"] for r in stats.quantiles(df, "x", probs).collect()}
+    dist = {r["probability"]: r["value"]
+            for r in stats.distributed_quantiles(df, "x", probs, slices=5).collect()}
+    assert set(exact) == set(dist)
+    for p in probs:
+        assert dist[p] == pytest.approx(exact[p], abs=1e-12)
+    one = spark.createDataFrame([(4.0,)], "x double")
+    assert stats.distributed_quantiles(one, "x", [0.5]).first()["value"] == 4.0
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert stats.distributed_quantiles(empty, "x", [0.5]).first()["value"] is None
