@@ -285,6 +285,15 @@ def page_2(spark, d):
     return report.page(j, ["organization", "site_id"], 2, 25)
 
 
+@register("page_keyset", sql.with_joined("""
+SELECT site_id, organization, site_name FROM joined
+WHERE organization > 'Org 5' OR (organization = 'Org 5' AND site_id > 0)
+ORDER BY organization, site_id LIMIT 25"""))
+def page_keyset(spark, d):
+    j = S.joined(spark, d).select("site_id", "organization", "site_name")
+    return report.page_after(j, ["organization", "site_id"], ("Org 5", 0), 25)
+
+
 @register("sample_n", None)
 def sample_n(spark, d):
     j = S.joined(spark, d)
