@@ -47,6 +47,26 @@ def get_session(
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data rather than to a default.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each (a few
+    hundred MB keeps a task's sort/hash buffers within executor memory and
+    spills rare), with at least three waves of tasks over the cores; AQE
+    then coalesces shuffle partitions that turn out small and splits skewed
+    ones. For 100 TB on 1,000 executors x 8 cores that is ~400k shuffle
+    partitions upper bound, coalesced at run time.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 8),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 

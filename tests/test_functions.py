@@ -161,3 +161,11 @@ def test_epoch_ms_independent_of_session_zone(spark):
         assert r[0] == 1765052530000 and r[1] == 1763856000000
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_scale_conf():
+    from sitelens.session import scale_conf
+    big = scale_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(10 * 2**20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
