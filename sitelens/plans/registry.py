@@ -375,7 +375,7 @@ def category_filter(spark, d):
         "doc_id", "lang", "source")
 
 
-_WC = f"len(list_filter(string_split_regex(text, '{sql.WS}'), lambda w: w <> ''))"
+_WC = f"CAST(len(list_filter(string_split_regex(text, '{sql.WS}'), lambda w: w <> '')) AS INTEGER)"
 
 
 @register("listing", f"""
@@ -471,7 +471,7 @@ def _results(spark, d):
 
 
 @register("keyword_search", "WITH " + sql.RECORDS + "," + sql.TERMS + """
-SELECT query_id, query, rnk AS "rank", href, score FROM results""")
+SELECT query_id, query, CAST(rnk AS INTEGER) AS "rank", href, score FROM results""")
 def keyword_search(spark, d):
     return _results(spark, d).select("query_id", "query", "rank", "href", "score")
 
@@ -495,11 +495,11 @@ r2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, base_href ORDER BY is
               count(*) OVER (PARTITION BY query_id, base_href) AS group_size,
               min(rnk) OVER (PARTITION BY query_id, base_href) AS group_first FROM r),
 r3 AS (SELECT *, dense_rank() OVER (PARTITION BY query_id ORDER BY group_first) AS group_rank FROM r2)
-SELECT query_id, base_href, group_rank, item_rank,
+SELECT query_id, base_href, CAST(group_rank AS INTEGER) AS group_rank, CAST(item_rank AS INTEGER) AS item_rank,
        CASE WHEN item_rank = 1 THEN 'doc' ELSE 'item' END AS kind, href, CAST(NULL AS BIGINT) AS more
 FROM r3 WHERE item_rank <= 3
 UNION ALL
-SELECT query_id, base_href, group_rank, 4, 'more', CAST(NULL AS VARCHAR), CAST(group_size - 3 AS BIGINT)
+SELECT query_id, base_href, CAST(group_rank AS INTEGER), 4, 'more', CAST(NULL AS VARCHAR), CAST(group_size - 3 AS BIGINT)
 FROM r3 WHERE item_rank = 1 AND group_size > 3""")
 def search_collapsed(spark, d):
     return search.collapse_hits(_results(spark, d))

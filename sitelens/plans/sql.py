@@ -132,7 +132,7 @@ records AS (
   UNION ALL
   SELECT page_id, url || '#' || unnest(anchors) AS href, title, unnest(heads) AS section,
          unnest(list_transform(list_zip(heads, bodies), lambda z: z[1] || chr(10) || z[2])) AS text,
-         unnest(generate_series(1, len(heads))) AS position
+         CAST(unnest(generate_series(1, len(heads))) AS INTEGER) AS position
   FROM pg5)"""
 
 TERMS = r"""

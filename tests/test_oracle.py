@@ -46,6 +46,10 @@ def test_query_matches_oracle(spark, con, name):
     orows = cur.fetchall()
     srows = [tuple(r) for r in sdf.collect()]
     assert sorted(sdf.columns) == sorted(ocols)
+    duck = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+            "BOOLEAN": "boolean", "DATE": "date"}
+    otypes = {c[0]: duck.get(str(c[1]), str(c[1])) for c in cur.description}
+    assert dict(sdf.dtypes) == otypes
     assert len(srows) == len(orows)
     assert _canon(sdf.columns, srows) == _canon(ocols, orows)
 
