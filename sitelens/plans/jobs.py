@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions import fmt_count, fmt_pct, normalise_key, parts_sum, ratio_or_zero
+from sitelens.functions import fmt_pct, normalise_key, parts_sum, ratio_or_zero
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.session import cut_lineage
 
@@ -146,4 +146,4 @@ def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFr
 
 __all__ = ["clean_sites", "org_metrics", "enrich", "size_vs_mix", "landscape_report",
            "group_relationship", "quality_gate", "catalogue_facets", "site_search",
-           "display_table", "report_frame", "org_grain", "fmt_count"]
+           "display_table", "report_frame", "org_grain"]

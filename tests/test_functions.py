@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sitelens.functions import (
     add_param, coerce_numeric, decode_categories, encode_categories, epoch_ms_to_date,
