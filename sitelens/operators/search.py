@@ -162,8 +162,11 @@ def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
     found = [r[0] for r in terms.select("term").distinct().limit(max_terms + 1).collect()]
     if len(found) > max_terms:
         raise ValueError(f"more than {max_terms} distinct search terms; split the query set")
-    bc = records.sparkSession.sparkContext.broadcast(found)
     fields = list(weights)
+    if not found:
+        return records.select(F.col(key).cast("string").alias(key), F.lit(None).cast("string")
+                              .alias("term"), F.lit(0).alias("score")).filter(F.lit(False))
+    bc = records.sparkSession.sparkContext.broadcast(found)
     rec = spread(records.select(F.col(key).cast("string").alias("__key"), *fields))
     return (rec.mapInPandas(_matcher(bc, fields, [weights[f] for f in fields]),
                             "__key string, term string, score int")

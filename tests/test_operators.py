@@ -261,3 +261,9 @@ def test_distributed_quantiles_match_exact(spark):
     assert stats.distributed_quantiles(one, "x", [0.5]).first()["value"] == 4.0
     empty = spark.createDataFrame([(None,)], "x double")
     assert stats.distributed_quantiles(empty, "x", [0.5]).first()["value"] is None
+
+
+def test_keyword_search_without_valid_terms(spark):
+    recs = spark.createDataFrame([("p1", "T", "", "x")], "href string, title string, section string, text string")
+    qs = spark.createDataFrame([(1, ""), (2, " a ")], "query_id int, query string")
+    assert search.keyword_search(qs, recs).count() == 0
