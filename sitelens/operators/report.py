@@ -37,8 +37,8 @@ def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> Dat
 def share_of_total(df: DataFrame, value: str, by: list[str] | None = None,
                    out: str = "share") -> DataFrame:
     """``value / sum(value)`` over all rows (or within ``by``); a zero
-    total gives NULL. The totals are aggregated, then joined back (broadcast
-    for the one-row overall total)."""
+    total gives NULL. The overall total is a scalar subquery; per-group
+    totals are aggregated and joined back on the group keys."""
     if not by:
         tot = df.agg(F.sum(value).alias("__total"))
         joined = attach(df, tot)
