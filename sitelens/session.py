@@ -109,43 +109,32 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-_PUBLISHED: dict[tuple[str, str], tuple[str, str]] = {}
+_PUBLISHED: dict[tuple[str, str], str] = {}
 _LOCK = threading.RLock()
 
 
-def published(spark: SparkSession, name: str, build, bucket_by: str | None = None,
-              buckets: int | None = None) -> DataFrame:
+def published(spark: SparkSession, name: str, build) -> DataFrame:
     """A derived table written once per application to the shared checkpoint
     folder and read back by every consumer (the pipeline's stage outputs:
     joined sites, org metrics, search index). Reading it back cuts the
     lineage, so a lost executor re-reads files instead of recomputing the
     joins that produced them.
 
-    ``bucket_by`` writes the table bucketed (hash-partitioned files) on that
-    key, so later aggregations and joins on the key reuse the layout instead
-    of shuffling again.
+    The table is deliberately not bucketed by its key: a key holding a third
+    of the rows would make one bucket, and so one task of every consumer,
+    hold a third of the table. Plain files split evenly over scan tasks and
+    consumers collapse hot keys by partial aggregation.
     """
     app = spark.sparkContext.applicationId
     key = (app, name)
     with _LOCK:
-        target = _PUBLISHED.get(key)
-        if target is None:
+        path = _PUBLISHED.get(key)
+        if path is None:
             digest = hashlib.sha1(name.encode()).hexdigest()[:16]
             path = f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{app}/{digest}"
-            df = build()
-            if bucket_by:
-                n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-                table = f"sitelens_{digest}"
-                # one shuffle at publish time, one file per bucket
-                (df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
-                 .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table))
-                target = ("table", table)
-            else:
-                df.write.mode("overwrite").parquet(path)
-                target = ("path", path)
-            _PUBLISHED[key] = target
-    kind, where = target
-    return spark.table(where) if kind == "table" else spark.read.parquet(where)
+            build().write.mode("overwrite").parquet(path)
+            _PUBLISHED[key] = path
+    return spark.read.parquet(path)
 
 
 def bench_cpus() -> int:
