@@ -112,14 +112,28 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     return out.select("page_id", "href", "title", "section", "text", "position")
 
 
-def _matcher(terms_bc, fields: list[str], weights: list[int]):
-    def run(batches):
+_AUTOMATA: dict[int, object] = {}
+
+
+def _automaton(terms_bc):
+    """One automaton per Python worker and term list (workers are reused
+    across tasks, so it is built once, not once per task)."""
+    auto = _AUTOMATA.get(terms_bc.id)
+    if auto is None:
         import ahocorasick
-        import pandas as pd
         auto = ahocorasick.Automaton()
         for term in terms_bc.value:
             auto.add_word(term, term)
         auto.make_automaton()
+        _AUTOMATA.clear()
+        _AUTOMATA[terms_bc.id] = auto
+    return auto
+
+
+def _matcher(terms_bc, fields: list[str], weights: list[int]):
+    def run(batches):
+        import pandas as pd
+        auto = _automaton(terms_bc)
         for pdf in batches:
             out_key, out_term, out_score = [], [], []
             columns = [pdf[f].tolist() for f in fields]
