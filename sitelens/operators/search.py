@@ -10,6 +10,8 @@ is broadcast behind a size check.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,32 +114,33 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     return out.select("page_id", "href", "title", "section", "text", "position")
 
 
-_AUTOMATA: dict[int, object] = {}
-
-
-def _automaton(terms_bc):
-    """One automaton per Python worker and term list (workers are reused
-    across tasks, so it is built once, not once per task)."""
-    auto = _AUTOMATA.get(terms_bc.id)
-    if auto is None:
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        for term in terms_bc.value:
-            auto.add_word(term, term)
-        auto.make_automaton()
-        _AUTOMATA.clear()
-        _AUTOMATA[terms_bc.id] = auto
-    return auto
-
-
-def _matcher(terms_bc, fields: list[str], weights: list[int]):
+def _matcher(terms_bc, key: str, fields: list[str], weights: list[int]):
+    """Per-partition matcher. Self-contained (no module globals), so workers
+    need nothing but the broadcast; the automaton is kept in the Python
+    worker (workers are reused across tasks) under the term list's digest."""
     def run(batches):
+        import sys
+        import types
+
         import pandas as pd
-        auto = _automaton(terms_bc)
+        cache = sys.modules.get("_sitelens_automata")
+        if cache is None:
+            cache = types.ModuleType("_sitelens_automata")
+            cache.by_key = {}
+            sys.modules["_sitelens_automata"] = cache
+        auto = cache.by_key.get(key)
+        if auto is None:
+            import ahocorasick
+            auto = ahocorasick.Automaton()
+            for term in terms_bc.value:
+                auto.add_word(term, term)
+            auto.make_automaton()
+            cache.by_key.clear()
+            cache.by_key[key] = auto
         for pdf in batches:
             out_key, out_term, out_score = [], [], []
             columns = [pdf[f].tolist() for f in fields]
-            for r, key in enumerate(pdf["__key"].tolist()):
+            for r, rec in enumerate(pdf["__key"].tolist()):
                 score: dict[str, int] = {}
                 for values, w in zip(columns, weights):
                     text = values[r]
@@ -145,10 +148,10 @@ def _matcher(terms_bc, fields: list[str], weights: list[int]):
                         continue
                     for term in {t for _, t in auto.iter(text.lower())}:
                         score[term] = score.get(term, 0) + w
-                for term, s in score.items():
-                    out_key.append(key)
+                for term, sc in score.items():
+                    out_key.append(rec)
                     out_term.append(term)
-                    out_score.append(s)
+                    out_score.append(sc)
             yield pd.DataFrame({"__key": pd.Series(out_key, dtype=object),
                                 "term": pd.Series(out_term, dtype=object),
                                 "score": pd.Series(out_score, dtype="int32")})
@@ -181,8 +184,9 @@ def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
         return records.select(F.col(key).cast("string").alias(key), F.lit(None).cast("string")
                               .alias("term"), F.lit(0).alias("score")).filter(F.lit(False))
     bc = records.sparkSession.sparkContext.broadcast(found)
+    digest = hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
     rec = spread(records.select(F.col(key).cast("string").alias("__key"), *fields))
-    return (rec.mapInPandas(_matcher(bc, fields, [weights[f] for f in fields]),
+    return (rec.mapInPandas(_matcher(bc, digest, fields, [weights[f] for f in fields]),
                             "__key string, term string, score int")
             .withColumnRenamed("__key", key))
 

@@ -123,6 +123,12 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
     file's order first), all ``StringType``. ``on_error="skip"`` drops files
     that cannot be parsed (S9) instead of failing the job.
     """
+    # ship this module's parsing helpers with the tasks (by value), so
+    # executors need not have the package installed
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(path)
              .select("path", "content"))
