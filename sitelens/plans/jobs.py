@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions import fmt_pct, normalise_key, parts_sum, ratio_or_zero
+from sitelens.functions import fmt_fixed, fmt_pct, normalise_key, parts_sum, ratio_or_zero
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.session import cut_lineage
 
@@ -73,7 +73,8 @@ def size_vs_mix(joined: DataFrame, threshold: float = 100) -> tuple[DataFrame, D
     """M4: site-grain correlation of size and Medicaid share, and its
     deciles, on rows with more than ``threshold`` patients."""
     big = clean.above(joined, "total_patients", threshold)
-    return (stats.correlation(big, "total_patients", "pct_medicaid"),
+    corr = stats.correlation(big, "total_patients", "pct_medicaid")
+    return (corr.withColumn("corr_text", fmt_fixed("corr", 2)),
             stats.quantiles(big, "pct_medicaid", (0.1, 0.5, 0.9)))
 
 

@@ -197,7 +197,8 @@ def share_of_total(spark, d):
 
 
 @register("corr_size_mix", sql.with_joined("""
-SELECT round(corr(total_patients, pct_medicaid), 6) AS corr, count(*) AS n
+SELECT round(corr(total_patients, pct_medicaid), 6) AS corr, count(*) AS n,
+       format('{:.2f}', corr(total_patients, pct_medicaid)) AS corr_text
 FROM joined WHERE total_patients > 100 AND pct_medicaid IS NOT NULL"""))
 def corr_size_mix(spark, d):
     c, _ = jobs.size_vs_mix(S.joined(spark, d))
