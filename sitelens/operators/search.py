@@ -114,11 +114,19 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     return out.select("page_id", "href", "title", "section", "text", "position")
 
 
-def _matcher(terms_bc, key: str, fields: list[str], weights: list[int]):
+def _matcher(terms_bc, key: str, fields: list[str], weights: list[int], error_ratio: float):
     """Per-partition matcher. Self-contained (no module globals), so workers
     need nothing but the broadcast; the automaton is kept in the Python
-    worker (workers are reused across tasks) under the term list's digest."""
+    worker (workers are reused across tasks) under the term list's digest.
+
+    A term of length m matches when some substring of the text is within
+    ``floor(error_ratio * m)`` edits of it (0: exact substring). For k > 0
+    edits the term is cut into k + 1 pieces; any such substring contains one
+    piece unchanged, so the automaton finds the candidates and a banded
+    edit-distance check around each candidate decides.
+    """
     def run(batches):
+        import math
         import sys
         import types
 
@@ -132,11 +140,49 @@ def _matcher(terms_bc, key: str, fields: list[str], weights: list[int]):
         if auto is None:
             import ahocorasick
             auto = ahocorasick.Automaton()
+            entries: dict[str, list] = {}
             for term in terms_bc.value:
-                auto.add_word(term, term)
+                k = int(math.floor(error_ratio * len(term) + 1e-9))
+                if k == 0:
+                    entries.setdefault(term, []).append((term, 0, len(term), 0))
+                    continue
+                step = len(term) / (k + 1)
+                for j in range(k + 1):
+                    a, b = int(round(j * step)), int(round((j + 1) * step))
+                    entries.setdefault(term[a:b], []).append((term, a, b - a, k))
+            for piece, payload in entries.items():
+                auto.add_word(piece, payload)
             auto.make_automaton()
             cache.by_key.clear()
             cache.by_key[key] = auto
+
+        def within(term: str, window: str, k: int) -> bool:
+            # semi-global edit distance: term against any substring of window
+            prev = [0] * (len(window) + 1)
+            for i, ch in enumerate(term, 1):
+                cur = [i] + [0] * len(window)
+                for j, wc in enumerate(window, 1):
+                    cur[j] = min(prev[j - 1] + (ch != wc), prev[j] + 1, cur[j - 1] + 1)
+                prev = cur
+            return min(prev) <= k
+
+        def found_terms(text: str) -> set:
+            hits = set()
+            for end, payload in auto.iter(text):
+                for term, offset, length, k in payload:
+                    if term in hits:
+                        continue
+                    if k == 0:
+                        hits.add(term)
+                        continue
+                    # the piece sits at text[end-length+1 : end+1]; with at most
+                    # k edits the term starts within k of `start`
+                    start = end - length + 1 - offset
+                    lo, hi = max(0, start - k), min(len(text), start + len(term) + k)
+                    if within(term, text[lo:hi], k):
+                        hits.add(term)
+            return hits
+
         for pdf in batches:
             out_key, out_term, out_score = [], [], []
             columns = [pdf[f].tolist() for f in fields]
@@ -146,7 +192,7 @@ def _matcher(terms_bc, key: str, fields: list[str], weights: list[int]):
                     text = values[r]
                     if not isinstance(text, str) or not text:
                         continue
-                    for term in {t for _, t in auto.iter(text.lower())}:
+                    for term in found_terms(text.lower()):
                         score[term] = score.get(term, 0) + w
                 for term, sc in score.items():
                     out_key.append(rec)
@@ -167,7 +213,8 @@ def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "q
 
 
 def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
-                 weights: dict[str, int] | None = None, max_terms: int = MAX_TERMS) -> DataFrame:
+                 weights: dict[str, int] | None = None, max_terms: int = MAX_TERMS,
+                 error_ratio: float = 0.0) -> DataFrame:
     """Every (record, term) pair where the term occurs (case-insensitive
     substring) in at least one field, with ``score = Σ weight(field)``.
 
@@ -186,23 +233,27 @@ def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
     bc = records.sparkSession.sparkContext.broadcast(found)
     digest = hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
     rec = spread(records.select(F.col(key).cast("string").alias("__key"), *fields))
-    return (rec.mapInPandas(_matcher(bc, digest, fields, [weights[f] for f in fields]),
+    return (rec.mapInPandas(_matcher(bc, f"{digest}:{error_ratio}", fields,
+                                     [weights[f] for f in fields], error_ratio),
                             "__key string, term string, score int")
             .withColumnRenamed("__key", key))
 
 
 def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_LIMIT,
                    key: str = "href", weights: dict[str, int] | None = None,
-                   query_id: str = "query_id", query: str = "query") -> DataFrame:
+                   query_id: str = "query_id", query: str = "query",
+                   error_ratio: float = 0.0) -> DataFrame:
     """Best ``limit`` records per query by score, ties by ``key``.
 
     Output: query_id, query, rank, href, score, title, section, text,
     link (href with ``?q=query``) and snippet (marked, clipped text).
     The top-k is a ``row_number`` filter, planned with a partial group limit
     before the shuffle, so a term that hits most records stays cheap.
+    ``error_ratio=0.1`` accepts up to 10% edits of the term's length (the
+    source's fuzzy threshold with location ignored); 0 is exact matching.
     """
     terms = search_terms(queries, query_id, query)
-    hits = keyword_hits(terms, records, key, weights)
+    hits = keyword_hits(terms, records, key, weights, error_ratio=error_ratio)
     w = Window.partitionBy("term").orderBy(F.col("score").desc(), F.col(key))
     top = (hits.withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= limit))

@@ -267,3 +267,50 @@ def test_keyword_search_without_valid_terms(spark):
     recs = spark.createDataFrame([("p1", "T", "", "x")], "href string, title string, section string, text string")
     qs = spark.createDataFrame([(1, ""), (2, " a ")], "query_id int, query string")
     assert search.keyword_search(qs, recs).count() == 0
+
+
+def _lev(a, b):
+    prev = list(range(len(b) + 1))
+    for i, ca in enumerate(a, 1):
+        cur = [i]
+        for j, cb in enumerate(b, 1):
+            cur.append(min(prev[j - 1] + (ca != cb), prev[j] + 1, cur[j - 1] + 1))
+        prev = cur
+    return prev[-1]
+
+
+def test_fuzzy_keyword_hits_match_brute_force(spark):
+    import math
+    import random
+    rnd = random.Random(11)
+    alphabet = "abcde "
+    terms = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(8, 25))) for _ in range(12)]
+    texts = []
+    for i in range(40):
+        t = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60)))
+        if i % 3 == 0:  # plant a term with a few random edits
+            term = list(rnd.choice(terms))
+            for _ in range(rnd.randint(0, 3)):
+                pos = rnd.randrange(len(term))
+                op = rnd.choice("sid")
+                if op == "s":
+                    term[pos] = rnd.choice("abcde")
+                elif op == "i":
+                    term.insert(pos, rnd.choice("abcde"))
+                else:
+                    del term[pos]
+            cut = rnd.randint(0, len(t))
+            t = t[:cut] + "".join(term) + t[cut:]
+        texts.append((f"r{i}", t))
+    recs = spark.createDataFrame(texts, "href string, text string")
+    tdf = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "query_id int, term string")
+    got = {(r["href"], r["term"]) for r in
+           search.keyword_hits(tdf, recs, weights={"text": 10}, error_ratio=0.1).collect()}
+    want = set()
+    for href, text in texts:
+        for term in terms:
+            k = int(math.floor(0.1 * len(term) + 1e-9))
+            if any(_lev(term, text[i:j]) <= k
+                   for i in range(len(text) + 1) for j in range(i, min(len(text), i + len(term) + k) + 1)):
+                want.add((href, term))
+    assert got == want and len(want) > 5
