@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions import (
-    add_param, coerce_numeric, decode_categories, epoch_ms, epoch_ms_to_date, make_params, normalise_key,
-    parse_params, query_string, reading_time, word_count,
+    add_param, coerce_numeric, decode_categories, epoch_ms, epoch_ms_to_date, make_params,
+    normalise_key, parse_params, query_string, reading_time, word_count,
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
