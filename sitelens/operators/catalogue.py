@@ -26,6 +26,11 @@ def facet_counts(items: DataFrame, categories: str, all_label: str = "All",
     counted = (items.select(F.explode(tagged).alias("e"))
                .groupBy(F.col("e.t").alias("t"), F.col("e.c").alias("c"))
                .agg(F.count(F.lit(1)).alias(count)))
+    # the "All" row must exist even for an empty catalogue: merge a zero row
+    # into the (one row per category) result
+    zero = items.sparkSession.range(1).select(
+        F.lit(True).alias("t"), F.lit(None).cast("string").alias("c"), F.lit(0).cast("bigint").alias(count))
+    counted = counted.unionByName(zero).groupBy("t", "c").agg(F.sum(count).cast("bigint").alias(count))
     out = counted.select(
         F.when(F.col("t"), F.lit(all_label)).otherwise(F.col("c")).alias(category), count, "t")
     return out.orderBy(F.col("t").desc(), F.lower(F.col(category)), F.col(category)).drop("t")
