@@ -149,13 +149,12 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
             if paths:
                 yield pd.DataFrame({"path": paths, "names": names})
 
-    # one small row per file: the header names
-    head_rows = files.mapInPandas(headers, "path string, names array<string>").orderBy("path").collect()
-    columns: list[str] = []
-    for r in head_rows:
-        for n in r["names"]:
-            if n not in columns:
-                columns.append(n)
+    # the union of header names, each with the first (file, position) where
+    # it appears; only the distinct names reach the driver
+    heads = files.mapInPandas(headers, "path string, names array<string>")
+    firsts = (heads.select("path", F.posexplode("names").alias("pos", "name"))
+              .groupBy("name").agg(F.min(F.struct("path", "pos")).alias("first")))
+    columns = [r["name"] for r in sorted(firsts.collect(), key=lambda r: tuple(r["first"]))]
     reserved = {"_file", "_row"}
     if reserved & set(columns):
         raise ValueError(f"header uses reserved names {reserved & set(columns)}")
