@@ -34,11 +34,15 @@ def gated_refresh(spark: SparkSession, landing: str, schema: T.StructType,
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        out = transform(batch)
-        verdict = {r["rule"]: r["passed"] for r in quality_gate(out, gate).collect()}
-        folder = published if verdict.get("gate") else quarantine
-        (out.withColumn("_epoch", F.lit(epoch))
-         .write.mode("overwrite").parquet(f"{folder.rstrip('/')}/epoch={epoch}"))
+        # the batch is used twice (gate, then write): keep it for both
+        out = transform(batch).persist()
+        try:
+            verdict = {r["rule"]: r["passed"] for r in quality_gate(out, gate).collect()}
+            folder = published if verdict.get("gate") else quarantine
+            (out.withColumn("_epoch", F.lit(epoch))
+             .write.mode("overwrite").parquet(f"{folder.rstrip('/')}/epoch={epoch}"))
+        finally:
+            out.unpersist()
 
     query = (spark.readStream.schema(schema).format(fmt).load(landing)
              .writeStream.foreachBatch(publish)

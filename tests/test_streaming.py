@@ -20,13 +20,22 @@ def test_gated_refresh(spark, tmp_path):
     gate = Gate(min_rows=[("min_rows", 10)],
                 row_rules=[("in_bounds", F.col("latitude").between(41, 47))])
 
+    orgs = jobs.org_metrics(spark.createDataFrame(
+        [("100.0", "50", "1", "2", "10", "5"), ("101", "0", "0", "0", "0", "0")],
+        "BHCMISID string, T4_L6_Ca string, T4_L7_Ca string, T4_L7_Cb string, "
+        "T4_L8_Ca string, T4_L8_Cb string"))
+
     def transform(df):
-        return jobs.clean_sites(df.withColumn("Site State Abbreviation",
-                                              F.trim("Site State Abbreviation")),
-                                region="OR", ordinal="site_id")
+        sites = jobs.clean_sites(df.withColumn("Site State Abbreviation",
+                                               F.trim("Site State Abbreviation")),
+                                 region="OR", ordinal="site_id")
+        return jobs.enrich(sites, orgs)  # stream-static enrichment per batch
 
     gated_refresh(spark, landing + "/*", schema, transform, gate, pub, bad, name="t1")
-    assert spark.read.parquet(pub).count() == 20
+    out = spark.read.parquet(pub)
+    assert out.count() == 20
+    assert out.filter(F.col("bhcmis_id") == "100").first()["pct_medicaid"] == 0.3
+    assert out.filter(F.col("_matched").isNull()).count() == 6
     raw.withColumn("Geocoding Artifact Address Primary Y Coordinate", F.lit(60.0)) \
         .write.parquet(f"{landing}/part2")
     gated_refresh(spark, landing + "/*", schema, transform, gate, pub, bad, name="t1")
