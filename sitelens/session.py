@@ -109,7 +109,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple[str, str], tuple] = {}
 _LOCK = threading.RLock()
 
 
@@ -128,13 +128,16 @@ def published(spark: SparkSession, name: str, build) -> DataFrame:
     app = spark.sparkContext.applicationId
     key = (app, name)
     with _LOCK:
-        path = _PUBLISHED.get(key)
-        if path is None:
+        entry = _PUBLISHED.get(key)
+        if entry is None:
             digest = hashlib.sha1(name.encode()).hexdigest()[:16]
             path = f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{app}/{digest}"
-            build().write.mode("overwrite").parquet(path)
-            _PUBLISHED[key] = path
-    return spark.read.parquet(path)
+            df = build()
+            df.write.mode("overwrite").parquet(path)
+            entry = (path, df.schema)
+            _PUBLISHED[key] = entry
+    path, schema = entry
+    return spark.read.schema(schema).parquet(path)
 
 
 def bench_cpus() -> int:
