@@ -120,9 +120,12 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
     """The first (or named) sheet of every workbook under ``path``.
 
     Row 1 is the header; columns are the union of all files' headers (first
-    file's order first), all ``StringType``. ``on_error="skip"`` drops files
-    that cannot be parsed (S9) instead of failing the job.
+    file's order first), all ``StringType``. Unreadable files (S9): ``fail``
+    stops the job, ``skip`` drops them, ``record`` keeps going and adds an
+    ``_error`` column with one row per unreadable file (``_row`` 0).
     """
+    if on_error not in ("fail", "skip", "record"):
+        raise ValueError(f"on_error must be fail, skip or record, not {on_error!r}")
     # ship this module's parsing helpers with the tasks (by value), so
     # executors need not have the package installed
     import sys
@@ -141,7 +144,7 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
                 try:
                     first = next(sheet_rows(bytes(content), sheet, max_rows=1), (1, []))[1]
                 except Exception:  # noqa: BLE001
-                    if on_error == "skip":
+                    if on_error != "fail":
                         continue
                     raise
                 paths.append(p)
@@ -155,12 +158,13 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
     firsts = (heads.select("path", F.posexplode("names").alias("pos", "name"))
               .groupBy("name").agg(F.min(F.struct("path", "pos")).alias("first")))
     columns = [r["name"] for r in sorted(firsts.collect(), key=lambda r: tuple(r["first"]))]
-    reserved = {"_file", "_row"}
+    reserved = {"_file", "_row", "_error"}
     if reserved & set(columns):
         raise ValueError(f"header uses reserved names {reserved & set(columns)}")
 
     schema = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_row", T.IntegerType())]
-                          + [T.StructField(c, T.StringType()) for c in columns])
+                          + [T.StructField(c, T.StringType()) for c in columns]
+                          + ([T.StructField("_error", T.StringType())] if on_error == "record" else []))
 
     def rows(batches):
         import pandas as pd
@@ -186,10 +190,15 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
                         if len(out) >= 10_000:
                             yield frame(out)
                             out = []
-                except Exception:  # noqa: BLE001
-                    if on_error == "skip":
-                        continue
-                    raise
+                except Exception as exc:  # noqa: BLE001
+                    if on_error == "fail":
+                        raise
+                    if on_error == "record":
+                        if out:
+                            yield frame(out)
+                        yield frame([{"_file": p, "_row": 0,
+                                      "_error": f"{type(exc).__name__}: {exc}"[:500]}])
+                    continue
                 if out:
                     yield frame(out)
 
@@ -199,4 +208,4 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
 def strip_cell_text(df: DataFrame) -> DataFrame:
     """Blank-only cells -> NULL (pandas reads them as missing)."""
     return df.withColumns({c: F.when(F.trim(F.col(c)) != "", F.col(c))
-                           for c in df.columns if c not in ("_file", "_row")})
+                           for c in df.columns if c not in ("_file", "_row", "_error")})

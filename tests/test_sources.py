@@ -48,6 +48,10 @@ def test_workbook_bad_file(spark, tmp):
     with open(os.path.join(tmp, "bad.xlsx"), "wb") as fh:
         fh.write(b"not a zip")
     assert workbook.read_workbook(spark, tmp, on_error="skip").count() == 1
+    rec = workbook.read_workbook(spark, tmp, on_error="record")
+    errs = rec.filter(F.col("_error").isNotNull()).collect()
+    assert len(errs) == 1 and errs[0]["_file"].endswith("bad.xlsx") and errs[0]["_row"] == 0
+    assert rec.filter(F.col("_error").isNull()).count() == 1
     with pytest.raises(Exception):
         workbook.read_workbook(spark, tmp).count()
 
