@@ -171,7 +171,8 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None,
         names_all = schema.fieldNames()
 
         def frame(recs):
-            f = pd.DataFrame(recs, columns=names_all)
+            f = pd.DataFrame(recs, columns=names_all, dtype=object)
+            f = f.astype(object).where(f.notna(), None)
             return f.astype({"_row": "int32"})
 
         for pdf in batches:
