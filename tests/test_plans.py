@@ -22,3 +22,22 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in plan
     plan = E.queries()["facet_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<lang:string,source:string>" in plan
+
+
+def test_enrich_broadcasts_only_within_the_checked_bound(spark):
+    from sitelens.operators import join
+    left = spark.range(1000).selectExpr("cast(id % 50 as string) as k", "id")
+    right = spark.range(50).selectExpr("cast(id as string) as k", "id * 2 as v")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "-1")  # no automatic broadcast: only the checked hint
+        small = join.enrich_left(left, right, "k", broadcast_max_rows=100)
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        big = join.enrich_left(left, right, "k", broadcast_max_rows=10)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert small.count() == big.count() == 1000
+    finally:
+        spark.conf.set(conf, old)
