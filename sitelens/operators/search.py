@@ -242,7 +242,7 @@ def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
 def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_LIMIT,
                    key: str = "href", weights: dict[str, int] | None = None,
                    query_id: str = "query_id", query: str = "query",
-                   error_ratio: float = 0.0) -> DataFrame:
+                   error_ratio: float = 0.0, details: bool = True) -> DataFrame:
     """Best ``limit`` records per query by score, ties by ``key``.
 
     Output: query_id, query, rank, href, score, title, section, text,
@@ -251,6 +251,8 @@ def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_L
     before the shuffle, so a term that hits most records stays cheap.
     ``error_ratio=0.1`` accepts up to 10% edits of the term's length (the
     source's fuzzy threshold with location ignored); 0 is exact matching.
+    ``details=False`` returns only query_id, query, rank, href and score,
+    without reading the records a second time.
     """
     terms = search_terms(queries, query_id, query)
     hits = keyword_hits(terms, records, key, weights, error_ratio=error_ratio)
@@ -259,6 +261,8 @@ def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_L
            .filter(F.col("rank") <= limit))
     # the term list was size-checked above, so it may be broadcast
     top = top.join(F.broadcast(terms), "term")
+    if not details:
+        return top.select("query_id", F.col("term").alias("query"), "rank", key, "score")
     out = top.join(records.select(key, "title", "section", "text"), key)
     return out.select(
         "query_id", F.col("term").alias("query"), "rank", key, "score", "title", "section", "text",

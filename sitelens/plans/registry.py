@@ -466,15 +466,16 @@ def required_fields(spark, d):
     return quality.required_fields(S.search_index(spark, d))
 
 
-def _results(spark, d):
-    # the index is read twice (matching, then the result rows): built once
-    return search.keyword_search(S.search_queries(spark, d), S.search_index(spark, d))
+def _results(spark, d, details=True):
+    # the index is published once and read by matching (and the result rows)
+    return search.keyword_search(S.search_queries(spark, d), S.search_index(spark, d),
+                                 details=details)
 
 
 @register("keyword_search", "WITH " + sql.RECORDS + "," + sql.TERMS + """
 SELECT query_id, query, CAST(rnk AS INTEGER) AS "rank", href, score FROM results""")
 def keyword_search(spark, d):
-    return _results(spark, d).select("query_id", "query", "rank", "href", "score")
+    return _results(spark, d, details=False)
 
 
 @register("snippet", "WITH " + sql.RECORDS + "," + sql.TERMS + """
@@ -503,7 +504,7 @@ UNION ALL
 SELECT query_id, base_href, CAST(group_rank AS INTEGER), 4, 'more', CAST(NULL AS VARCHAR), CAST(group_size - 3 AS BIGINT)
 FROM r3 WHERE item_rank = 1 AND group_size > 3""")
 def search_collapsed(spark, d):
-    return search.collapse_hits(_results(spark, d))
+    return search.collapse_hits(_results(spark, d, details=False))
 
 
 @register("preview", """
