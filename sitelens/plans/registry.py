@@ -19,6 +19,7 @@ from sitelens.functions import (
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
+from sitelens.session import spread
 from sitelens.sources.readers import preview, profile
 
 REGISTRY: dict[str, tuple] = {}
@@ -384,7 +385,7 @@ SELECT doc_id, lang || ', ' || source AS categories, {_WC} AS word_count,
        CAST(ceil({_WC} / 200.0) AS INTEGER) AS reading_time
 FROM documents""")
 def listing(spark, d):
-    items = _items(spark, d).withColumn("word_count", word_count("text"))
+    items = spread(_items(spark, d)).withColumn("word_count", word_count("text"))
     return items.select("doc_id", F.array_join("categories", ", ").alias("categories"),
                         "word_count", reading_time("word_count").alias("reading_time"))
 
@@ -393,7 +394,8 @@ def listing(spark, d):
 SELECT doc_id, {_WC} AS word_count, CAST(ceil({_WC} / 200.0) AS INTEGER) AS reading_time
 FROM documents""")
 def word_count_q(spark, d):
-    docs = S.table(spark, d, "documents").withColumn("word_count", word_count("text"))
+    # splitting every text is the CPU-heavy step: spread a few-file table
+    docs = spread(S.table(spark, d, "documents")).withColumn("word_count", word_count("text"))
     return docs.select("doc_id", "word_count", reading_time("word_count").alias("reading_time"))
 
 
@@ -411,7 +413,7 @@ SELECT doc_id, lang, source FROM documents
 WHERE contains(lower(CAST(doc_id AS VARCHAR)), 'licen') OR contains(lower(text), 'licen')
    OR contains(lower(lang), 'licen') OR contains(lower(source), 'licen')""")
 def table_search(spark, d):
-    docs = S.table(spark, d, "documents")
+    docs = spread(S.table(spark, d, "documents"))
     return catalogue.table_search(docs, "licen", ["doc_id", "text", "lang", "source"]).select(
         "doc_id", "lang", "source")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.plans import jobs
-from sitelens.session import published, spread
+from sitelens.session import published
 from sitelens.sources.readers import read_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -45,13 +45,8 @@ SCHEMAS = {
 }
 
 
-TEXT_HEAVY = {"documents", "pages"}
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    df = read_table(spark, f"{d}/{name}.parquet", schema=SCHEMAS.get(name))
-    # text tables feed regex-heavy per-row work; see session.spread
-    return spread(df) if name in TEXT_HEAVY else df
+    return read_table(spark, f"{d}/{name}.parquet", schema=SCHEMAS.get(name))
 
 
 def sites_raw(spark: SparkSession, d: str) -> DataFrame:
