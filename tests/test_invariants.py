@@ -89,3 +89,33 @@ def test_gate_counts_add_up(spark, rows):
     assert res["non_negative_total"][0] == sum(1 for _, _, t, _ in rows if t < 0)
     failed = sum(1 for name, (_, ok) in res.items() if name != "gate" and not ok)
     assert res["gate"] == (failed, failed == 0)
+
+
+def _params_reference(s):
+    """Direct reading of the parameter-string rules (brute force)."""
+    from urllib.parse import unquote
+    if not s:
+        return None
+    out = {}
+    for piece in s.split("&"):
+        parts = piece.split("=")
+        if len(parts) == 2:
+            out[parts[0]] = unquote(parts[1])  # keeps '+', like the browser decoder
+    return out
+
+
+@SETTINGS
+@given(strings=st.lists(st.text(alphabet="ab=&+%2", max_size=12), min_size=1, max_size=15))
+def test_parse_params_matches_reference_rules(spark, strings):
+    from sitelens.functions import make_params, parse_params
+    df = spark.createDataFrame([(s,) for s in strings], "s string")
+    rows = df.select(parse_params("s").alias("m"), make_params(parse_params("s")).alias("t")).collect()
+    for s, r in zip(strings, rows):
+        want = _params_reference(s)
+        if want is None:
+            assert r["m"] is None
+            continue
+        if any("%" in v for v in want.values()):
+            continue  # malformed escapes: the browser throws, we give NULL values
+        assert r["m"] == want
+        assert r["t"] == "&".join(f"{k}={v}" for k, v in want.items())
