@@ -124,10 +124,21 @@ def landscape_report(joined: DataFrame, ordinal: str) -> dict[str, DataFrame]:
 
 
 def group_relationship(obs: DataFrame, group: str, x: str, y: str) -> DataFrame:
-    """M6: per-group n, correlation and fitted line."""
+    """Per-group n, correlation and fitted line."""
     return stats.group_relationship(obs, group, x, y)
 
 
+def observation_report(spark, path: str, schema: str, group: str, x: str, y: str,
+                       order: list[str], null_value: str = "NA") -> dict[str, DataFrame]:
+    """M6: a delimited observation table read with an explicit schema and its
+    missing-value marker (S4), its first rows (S11) and the relationship of
+    two measures per group (A12)."""
+    from sitelens.sources.readers import preview, read_table
+    obs = read_table(spark, path, fmt="csv", schema=schema, nullValue=null_value)
+    return {"preview": preview(obs, order, 5),
+            "relationship": group_relationship(obs, group, x, y)}
+
+
 def quality_gate(joined: DataFrame) -> DataFrame:
     """M7: patch, then all rules in one aggregation."""
     return quality.quality_gate(quality.patch_for_gate(joined), quality.site_gate())
@@ -146,5 +157,5 @@ def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFr
 
 
 __all__ = ["clean_sites", "org_metrics", "enrich", "size_vs_mix", "landscape_report",
-           "group_relationship", "quality_gate", "catalogue_facets", "site_search",
+           "group_relationship", "observation_report", "quality_gate", "catalogue_facets", "site_search",
            "display_table", "report_frame", "org_grain"]

@@ -89,3 +89,20 @@ def test_search_records_and_listings(spark, tmp):
         json.dump([{"listing": "/projects.html", "items": ["/a.html", "/b.html"]},
                    {"listing": "/d.html", "items": []}], fh)
     assert sorted(r["item"] for r in readers.read_listings(spark, lp).collect()) == ["/a.html", "/b.html"]
+
+
+def test_observation_report(spark, tmp):
+    p = os.path.join(tmp, "obs.csv")
+    rows = ["species,island,flipper_length_mm,body_mass_g,year"]
+    rows += [f"A,X,{180 + i},{3000 + 20 * i},2007" for i in range(10)]
+    rows += ["A,X,NA,NA,2007"]
+    rows += [f"B,Y,{200 + i},{5000 - 10 * i},2008" for i in range(10)]
+    with open(p, "w") as fh:
+        fh.write("\n".join(rows) + "\n")
+    out = jobs.observation_report(
+        spark, p, "species string, island string, flipper_length_mm double, body_mass_g double, year int",
+        "species", "flipper_length_mm", "body_mass_g", ["year", "species", "flipper_length_mm"])
+    assert out["preview"].count() == 5
+    rel = {r["species"]: r for r in out["relationship"].collect()}
+    assert rel["A"]["n"] == 10 and rel["A"]["corr"] == pytest.approx(1.0)
+    assert rel["B"]["slope"] == pytest.approx(-10.0)
