@@ -145,10 +145,24 @@ def quality_gate(joined: DataFrame) -> DataFrame:
 
 
 def catalogue_facets(items: DataFrame, categories: str = "categories") -> DataFrame:
-    """M8: facet counts of a catalogue."""
+    """Facet counts of a catalogue."""
     return catalogue.facet_counts(items, categories)
 
 
+def catalogue_views(items: DataFrame, category: str = "", page_number: int = 1,
+                    page_size: int = 20, term: str | None = None) -> dict[str, DataFrame]:
+    """M8: facets, the items of one category newest first, one page of them
+    and a text search over title and description."""
+    chosen = catalogue.category_filter(items, "categories", category)
+    newest_first = [F.col("date").desc_nulls_last(), F.col("title")]
+    views = {"facets": catalogue_facets(items),
+             "listing": catalogue.listing_order(chosen),
+             "page": report.page(chosen, newest_first, page_number, page_size)}
+    if term is not None:
+        views["search"] = catalogue.table_search(items, term, ["title", "description"])
+    return views
+
+
 def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M9: index build, weighted search, per-page collapse."""
     records = cut_lineage(search.page_sections(pages))
@@ -157,5 +171,5 @@ def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFr
 
 
 __all__ = ["clean_sites", "org_metrics", "enrich", "size_vs_mix", "landscape_report",
-           "group_relationship", "observation_report", "quality_gate", "catalogue_facets", "site_search",
+           "group_relationship", "observation_report", "catalogue_views", "quality_gate", "catalogue_facets", "site_search",
            "display_table", "report_frame", "org_grain"]

@@ -44,3 +44,17 @@ def test_read_catalogue(spark, tmp_path):
     shown = items.select(epoch_ms_to_date("date_ms").alias("d")).collect()
     assert "Nov 23, 2025" in {r["d"] for r in shown}
     assert catalogue.category_filter(items, "categories", "Python").count() == 2
+
+
+def test_catalogue_views(spark, tmp_path):
+    from sitelens.plans import jobs
+    for rel, text in DOCS.items():
+        p = tmp_path / rel
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(text)
+    items = read_catalogue(spark, str(tmp_path))
+    v = jobs.catalogue_views(items, category="Python", page_number=1, page_size=1, term="explor")
+    assert [r["title"] for r in v["page"].collect()] == ["Landscape"]
+    assert v["listing"].count() == 2
+    assert [r["title"] for r in v["search"].collect()] == ["Bird Measurements Study"]
+    assert v["facets"].first()["category"] == "All"
