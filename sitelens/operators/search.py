@@ -122,8 +122,9 @@ def _matcher(terms_bc, key: str, fields: list[str], weights: list[int], error_ra
     A term of length m matches when some substring of the text is within
     ``floor(error_ratio * m)`` edits of it (0: exact substring). For k > 0
     edits the term is cut into k + 1 pieces; any such substring contains one
-    piece unchanged, so the automaton finds the candidates and a banded
-    edit-distance check around each candidate decides.
+    piece unchanged, so the automaton finds the candidates and a fuzzy
+    regular expression (at most k insertions, deletions or substitutions)
+    over a small window around each candidate decides.
     """
     def run(batches):
         import math
@@ -156,15 +157,16 @@ def _matcher(terms_bc, key: str, fields: list[str], weights: list[int], error_ra
             cache.by_key.clear()
             cache.by_key[key] = auto
 
+        patterns: dict[str, object] = {}
+
         def within(term: str, window: str, k: int) -> bool:
-            # semi-global edit distance: term against any substring of window
-            prev = [0] * (len(window) + 1)
-            for i, ch in enumerate(term, 1):
-                cur = [i] + [0] * len(window)
-                for j, wc in enumerate(window, 1):
-                    cur[j] = min(prev[j - 1] + (ch != wc), prev[j] + 1, cur[j - 1] + 1)
-                prev = cur
-            return min(prev) <= k
+            # some substring of window within k edits of term (C fuzzy matcher)
+            pat = patterns.get(term)
+            if pat is None:
+                import regex
+                pat = regex.compile(f"(?:{regex.escape(term)}){{e<={k}}}")
+                patterns[term] = pat
+            return pat.search(window) is not None
 
         def found_terms(text: str) -> set:
             hits = set()
