@@ -26,6 +26,13 @@ class Gate:
     required: list[str] = field(default_factory=list)
 
 
+# The reference gate's coordinate box (inclusive) and its size
+# rules (rows must exceed these counts).
+LAT_RANGE = (41, 47)
+LON_RANGE = (-125, -116)
+MIN_ROWS = [("not_empty", 0), ("min_rows", 10)]
+
+
 class GateFailed(AssertionError):
     pass
 
@@ -77,10 +84,10 @@ def observe_gate(df: DataFrame, gate: Gate, name: str = "quality_gate"):
 
 def site_gate(lat: str = "latitude", lon: str = "longitude", total: str = "total_patients",
               uninsured: str = "uninsured", medicaid_share: str = "pct_medicaid",
-              name: str = "organization", lat_range=(41, 47), lon_range=(-125, -116)) -> Gate:
+              name: str = "organization", lat_range=LAT_RANGE, lon_range=LON_RANGE) -> Gate:
     """The reference gate (Q1-Q6) for a joined site table."""
     return Gate(
-        min_rows=[("not_empty", 0), ("min_rows", 10)],
+        min_rows=list(MIN_ROWS),
         required=[lat, lon, total, medicaid_share, name],
         row_rules=[
             ("coordinates_in_bounds", in_range(lat, *lat_range) & in_range(lon, *lon_range)),

@@ -13,6 +13,12 @@ from sitelens.functions.numeric import residual
 from sitelens.operators.grain import first_at_grain, sum_at_grain
 from sitelens.operators.stats import attach
 
+# The residual category of the payer mix, the long-format
+# column names and the formatted hover-field labels of the report.
+OTHER_LABEL = "Other (Private/Medicare)"
+CATEGORY, VALUE = "Category", "Patients"
+COUNT_LABEL, SHARE_LABEL = "Patients (fmt)", "Medicaid %"
+
 
 def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> DataFrame:
     """``sites`` (rows), ``organizations`` (distinct ``name``) and
@@ -50,8 +56,8 @@ def share_of_total(df: DataFrame, value: str, by: list[str] | None = None,
 
 
 def payer_mix(df: DataFrame, key: str, order: str, total: str,
-              parts: dict[str, str], other_label: str = "Other (Private/Medicare)",
-              category: str = "Category", value: str = "Patients") -> DataFrame:
+              parts: dict[str, str], other_label: str = OTHER_LABEL,
+              category: str = CATEGORY, value: str = VALUE) -> DataFrame:
     """A7 + A8: grain-safe totals of each part plus the residual, one row per
     category with its share of their sum (NULL when the sum is 0). The
     shares are computed inside the single aggregated row, so the input is
@@ -83,7 +89,7 @@ def map_layer(df: DataFrame, lat: str, lon: str, size: str, color: str, title: s
 
 
 def with_tooltips(df: DataFrame, count_col: str, pct_col: str,
-                  count_label: str = "Patients (fmt)", pct_label: str = "Medicaid %") -> DataFrame:
+                  count_label: str = COUNT_LABEL, pct_label: str = SHARE_LABEL) -> DataFrame:
     """Formatted copies of a count and a share for hover text (K6, K7)."""
     return df.withColumns({count_label: fmt_count(count_col), pct_label: fmt_pct(pct_col)})
 
