@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.sources.contracts import ContractError
+
 MARKER = "_matched"
 
 
@@ -34,6 +36,9 @@ def enrich_left(left: DataFrame, right: DataFrame, key: str,
     partitions instead of one; they still never match.
     """
     cols = right_cols if right_cols is not None else [c for c in right.columns if c != key]
+    clash = sorted(set(cols) & (set(left.columns) - {key}))
+    if clash:
+        raise ContractError(f"columns on both sides of the join: {clash}; project the right side")
     r = right.select(key, *cols)
     if marker:
         r = r.withColumn(marker, F.lit(True))

@@ -314,3 +314,11 @@ def test_fuzzy_keyword_hits_match_brute_force(spark):
                    for i in range(len(text) + 1) for j in range(i, min(len(text), i + len(term) + k) + 1)):
                 want.add((href, term))
     assert got == want and len(want) > 5
+
+
+def test_enrich_rejects_clashing_columns(spark):
+    left = spark.createDataFrame([("a", 1)], "k string, v int")
+    right = spark.createDataFrame([("a", 2)], "k string, v int")
+    with pytest.raises(ContractError):
+        join.enrich_left(left, right, "k")
+    assert join.enrich_left(left, right.withColumnRenamed("v", "w"), "k").count() == 1
