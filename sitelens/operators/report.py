@@ -20,7 +20,8 @@ CATEGORY, VALUE = "Category", "Patients"
 COUNT_LABEL, SHARE_LABEL = "Patients (fmt)", "Medicaid %"
 
 
-def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> DataFrame:
+def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str,
+            distinct: str = "exact") -> DataFrame:
     """``sites`` (rows), ``organizations`` (distinct ``name``) and
     ``patients`` (grain-safe sum of ``measure``: first row per ``key``), one
     row from one scan.
@@ -28,6 +29,8 @@ def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> Dat
     Rows are first aggregated per (key, name) with map-side partial
     aggregation; the group holding each key's first row is flagged with a
     window over those (few) groups; one global aggregate finishes.
+    ``distinct="approx"`` counts names with ``approx_count_distinct`` (HLL++,
+    fixed-size state) instead of exactly.
     """
     groups = df.groupBy(key, name).agg(
         F.count(F.lit(1)).alias("__n"), F.min(order).alias("__o"),
@@ -36,7 +39,8 @@ def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str) -> Dat
     groups = groups.withColumn("__first", first)
     return groups.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("sites"),
-        F.count_distinct(F.col(name)).alias("organizations"),
+        (F.count_distinct(F.col(name)) if distinct == "exact"
+         else F.approx_count_distinct(F.col(name))).alias("organizations"),
         F.coalesce(F.sum(F.when(F.col("__first"), F.col("__m"))), F.lit(0.0)).alias("patients"))
 
 

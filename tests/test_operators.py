@@ -322,3 +322,10 @@ def test_enrich_rejects_clashing_columns(spark):
     with pytest.raises(ContractError):
         join.enrich_left(left, right, "k")
     assert join.enrich_left(left, right.withColumnRenamed("v", "w"), "k").count() == 1
+
+
+def test_kpi_row_approx_distinct(spark):
+    df = spark.range(5000).selectExpr("cast(id % 100 as string) k", "id o", "cast(id % 100 as string) name",
+                                      "1.0 t")
+    r = report.kpi_row(df, "k", "o", "name", "t", distinct="approx").first()
+    assert r["sites"] == 5000 and abs(r["organizations"] - 100) <= 5 and r["patients"] == 100.0
