@@ -41,9 +41,49 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
+NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _utf8_hex(n: Column) -> Column:
+    """Hex of the UTF-8 bytes of code point ``n``."""
+    def byte(v):
+        return F.lpad(F.hex(v), 2, "0")
+
+    def cont(shift):
+        return byte(F.lit(0x80) + F.shiftright(n, shift) % 64)
+    return (F.when(n < 0x80, byte(n))
+            .when(n < 0x800, F.concat(byte(F.lit(0xC0) + F.shiftright(n, 6)), cont(0)))
+            .when(n < 0x10000, F.concat(byte(F.lit(0xE0) + F.shiftright(n, 12)), cont(6), cont(0)))
+            .otherwise(F.concat(byte(F.lit(0xF0) + F.shiftright(n, 18)), cont(12), cont(6), cont(0))))
+
+
+def decode_numeric_entities(c: Column) -> Column:
+    """``&#233;`` / ``&#xE9;`` -> the character, natively: the text is split
+    at the entities, each code point is encoded as UTF-8 bytes and decoded,
+    and the pieces are joined again. Applied to markup before tags are
+    removed, so ``<``, ``>`` and ``&`` come out as their named entities (text,
+    not markup) and the section markers U+0001/U+0002 as nothing."""
+    pieces = F.split(c, NUMERIC_ENTITY, -1)
+    codes = F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY), 1)
+
+    def char(code):
+        cp = (F.when(F.lower(F.substring(code, 1, 1)) == "x",
+                     F.conv(F.substring(code, 2, 8), 16, 10).cast("int"))
+              .otherwise(code.cast("int")))
+        return (F.when(cp == 60, F.lit("&lt;")).when(cp == 62, F.lit("&gt;"))
+                .when(cp == 38, F.lit("&amp;")).when(cp.isin(1, 2), F.lit(""))
+                .otherwise(F.decode(F.unhex(_utf8_hex(cp)), "UTF-8")))
+    chars = F.transform(codes, char)
+    decoded = F.array_join(F.transform(
+        pieces, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(chars, i + 1), F.lit("")))), "")
+    return F.when(F.instr(c, "&#") > 0, decoded).otherwise(c)
+
+
 def clean_text(c: Column) -> Column:
     """Markup to plain text: block ends -> line breaks, tags dropped, a fixed
-    set of entities decoded, blank runs collapsed, trimmed."""
+    set of named entities decoded (``&amp;`` last, so nothing is decoded
+    twice), blank runs collapsed, trimmed. Numeric entities are decoded
+    before this, once per page (``decode_numeric_entities``)."""
     x = F.regexp_replace(c, LINE_BREAKS, "\n")
     x = F.regexp_replace(x, r"<[^>]*>", "")
     for ent, ch in ENTITIES:
@@ -75,13 +115,21 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """
     pages = spread(pages)
     h = F.col(html)
-    title = clean_text(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1))
-    body = F.regexp_replace(_content(h), DROP_ELEMENTS, "")
-    marked = F.regexp_replace(F.regexp_replace(body, HEADING, SECTION_START + "$1" + HEADING_END),
+    # staged projections: each step is a named column the next one reads, so
+    # no expression tree is copied into every later use
+    raw = pages.select(
+        F.col(page_id).alias("page_id"), F.col(url).alias("url"),
+        F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title_raw"),
+        F.regexp_replace(_content(h), DROP_ELEMENTS, "").alias("dropped"))
+    decoded = raw.select(
+        "page_id", "url", clean_text(decode_numeric_entities(F.col("title_raw"))).alias("title"),
+        decode_numeric_entities(F.col("dropped")).alias("body"))
+    marked = F.regexp_replace(F.regexp_replace("body", HEADING, SECTION_START + "$1" + HEADING_END),
                               BOLD_LEAD, SECTION_START + "$1" + HEADING_END)
-    parts = F.split(marked, SECTION_START, -1)
-    staged = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"), title.alias("title"),
+    split = decoded.select("page_id", "url", "title", F.split(marked, SECTION_START, -1).alias("parts"))
+    parts = F.col("parts")
+    staged = split.select(
+        "page_id", "url", "title",
         clean_text(parts[0]).alias("intro"),
         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("secs"))
     staged = staged.select(

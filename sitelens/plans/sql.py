@@ -81,6 +81,20 @@ DROP = (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*
         r"|<footer\b.*?</footer\s*>|<!--.*?-->|<h1\b.*?</h1\s*>")
 
 
+NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def decode_numeric(x: str) -> str:
+    cp = ("CASE WHEN lower(left(code, 1)) = 'x' THEN CAST('0x' || substr(code, 2) AS INTEGER) "
+          "ELSE CAST(code AS INTEGER) END")
+    chars = (f"list_transform(regexp_extract_all({x}, '{NUMERIC_ENTITY}', 1), lambda code: "
+             f"CASE WHEN {cp} = 60 THEN '&lt;' WHEN {cp} = 62 THEN '&gt;' WHEN {cp} = 38 THEN '&amp;' "
+             f"WHEN {cp} IN (1, 2) THEN '' ELSE chr({cp}) END)")
+    decoded = (f"array_to_string(list_transform(string_split_regex({x}, '{NUMERIC_ENTITY}'), "
+               f"lambda piece, i: piece || coalesce(({chars})[i], '')), '')")
+    return f"(CASE WHEN strpos({x}, '&#') > 0 THEN {decoded} ELSE {x} END)"
+
+
 def clean(x: str) -> str:
     s = f"regexp_replace({x}, '{LINE_BREAKS}', chr(10), 'g')"
     s = f"regexp_replace({s}, '<[^>]*>', '', 'g')"
@@ -106,12 +120,20 @@ pg AS (
              nullif(regexp_extract(html, '(?is)<body[^>]*>(.*)', 1), ''),
              html) AS content
   FROM pages),
+pgd AS (
+  SELECT page_id, url, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title_raw,
+         regexp_replace(content, '""" + DROP + r"""', '', 'g') AS dropped
+  FROM pg),
+pge AS (
+  SELECT page_id, url, """ + decode_numeric("title_raw") + r""" AS title_dec,
+         """ + decode_numeric("dropped") + r""" AS body
+  FROM pgd),
 pg2 AS (
-  SELECT page_id, url, """ + clean(r"regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)") + r""" AS title,
-    string_split(regexp_replace(regexp_replace(regexp_replace(content, '""" + DROP + r"""', '', 'g'),
+  SELECT page_id, url, """ + clean("title_dec") + r""" AS title,
+    string_split(regexp_replace(regexp_replace(body,
         '(?is)<h[2-6][^>]*>(.*?)</h[2-6]\s*>', chr(1) || '\1' || chr(2), 'g'),
         '(?is)<p[^>]*>\s*<b>(.*?)(</b>|<br\s*/?>)', chr(1) || '\1' || chr(2), 'g'), chr(1)) AS parts
-  FROM pg),
+  FROM pge),
 pg3 AS (
   SELECT page_id, url, title, """ + clean("parts[1]") + r""" AS intro,
     list_transform(list_slice(parts, 2, len(parts)), lambda p: """ + clean("split_part(p, chr(2), 1)") + r""") AS heads,

@@ -329,3 +329,24 @@ def test_kpi_row_approx_distinct(spark):
                                       "1.0 t")
     r = report.kpi_row(df, "k", "o", "name", "t", distinct="approx").first()
     assert r["sites"] == 5000 and abs(r["organizations"] - 100) <= 5 and r["patients"] == 100.0
+
+
+def test_numeric_entities_match_html_unescape(spark):
+    import html
+    import re
+    texts = ["a&#233;b", "&#x1F600;&#X41;", "&amp;#65;", "&#8217;s", "x&#;y", "&#0233 no semicolon",
+             "<p>caf&#xe9;</p>", "plain", "", "&#60;b&#62; &#38;amp; &#1;&#2;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(search.decode_numeric_entities(F.col("t"))).collect()]
+    markup = {60: "&lt;", 62: "&gt;", 38: "&amp;", 1: "", 2: ""}
+
+    def ref(m):
+        ch = html.unescape(m.group(0))
+        return markup.get(ord(ch), ch) if len(ch) == 1 else ch
+    pattern = re.compile(search.NUMERIC_ENTITY)
+    assert got == [pattern.sub(ref, t) for t in texts]
+    html_page = ("<html><head><title>Caf&#xe9;</title></head><body><article><p>A &#60;b&#62; tag "
+                 "&#38;amp; caf&#233;</p></article></body></html>")
+    pages = spark.createDataFrame([(1, "p.html", html_page)], "page_id int, url string, html string")
+    rec = search.page_sections(pages).first()
+    assert rec["title"] == "Café" and rec["text"] == "A <b> tag &amp; café"
