@@ -40,14 +40,14 @@ def quantiles(df: DataFrame, c: str, probs=(0.1, 0.5, 0.9), by: list[str] | None
 
     ``exact`` (Spark's ``percentile``) keeps every distinct value of a group
     in one aggregation buffer: right for per-group or modest columns.
-    ``distributed`` is exact too, for one huge column: no task ever holds
-    more than a range slice of the distinct values (overall only).
+    ``distributed`` is exact too, for huge columns or groups: no task ever
+    holds more than a range slice of a group's distinct values.
     ``approx`` is ``percentile_approx``.
     """
     probs = [float(p) for p in probs]
     if method == "distributed":
         if by:
-            raise ValueError("method='distributed' computes overall quantiles only")
+            return distributed_group_quantiles(df, c, probs, list(by))
         return distributed_quantiles(df, c, probs)
     arr = F.array(*[F.lit(p) for p in probs])
     if method == "exact":
@@ -115,6 +115,56 @@ def distributed_quantiles(df: DataFrame, c: str, probs, slices: int | None = Non
     return spark.createDataFrame(out, schema)
 
 
+def distributed_group_quantiles(df: DataFrame, c: str, probs, by: list[str],
+                                slices: int | None = None) -> DataFrame:
+    """Exact per-group quantiles by rank, safe for a group holding most rows.
+
+    (group, value) counts are range-partitioned into slices (checkpointed so
+    slice ids stay fixed); a window over the few (group, slice) rows gives
+    each slice's first rank within its group; the wanted ranks (one row per
+    group and probability, exploded, no join with a table of probabilities)
+    are located in their slices, and only those (group, slice) partitions
+    are scanned with a running sum. Groups are keyed by a JSON surrogate so
+    that NULL group keys join like any other.
+    """
+    from sitelens.session import cut_lineage
+    spark = df.sparkSession
+    m = slices or spark.sparkContext.defaultParallelism
+    gkey = F.to_json(F.struct(*[F.col(b) for b in by]))
+    base = (df.select(gkey.alias("__g"), *by, F.col(c).cast("double").alias("v"))
+            .filter(F.col("v").isNotNull()))
+    names = base.groupBy("__g").agg(*[F.first(b).alias(b) for b in by])
+    counts = base.groupBy("__g", "v").agg(F.count(F.lit(1)).alias("k"))
+    ranged = cut_lineage(counts.repartitionByRange(m, "__g", "v")
+                         .withColumn("slice", F.spark_partition_id()))
+    per = ranged.groupBy("__g", "slice").agg(F.sum("k").alias("n_s"))
+    per = (per.withColumn("start", F.sum("n_s").over(Window.partitionBy("__g").orderBy("slice"))
+                          - F.col("n_s"))
+           .withColumn("n", F.sum("n_s").over(Window.partitionBy("__g"))))
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    targets = (per.select("__g", "n").distinct()
+               .select("__g", "n", F.explode(arr).alias("probability"))
+               .withColumn("pos", F.col("probability") * (F.col("n") - 1))
+               .withColumn("lo", F.floor("pos")).withColumn("hi", F.ceil("pos")))
+    ranks = targets.select("__g", F.explode(F.array("lo", "hi")).alias("rank")).distinct()
+    located = (ranks.join(per, "__g")
+               .filter((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n_s")))
+               .select("__g", "slice", "rank", (F.col("rank") - F.col("start")).alias("local")))
+    w = Window.partitionBy("__g", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    run = (ranged.join(located.select("__g", "slice").distinct(), ["__g", "slice"], "left_semi")
+           .withColumn("cum", F.sum("k").over(w)))
+    at = (run.join(located, ["__g", "slice"])
+          .filter((F.col("cum") - F.col("k") <= F.col("local")) & (F.col("local") < F.col("cum")))
+          .select("__g", "rank", "v"))
+    lo = at.select("__g", F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
+    hi = at.select("__g", F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
+    out = (targets.join(lo, ["__g", "lo"]).join(hi, ["__g", "hi"])
+           .select("__g", "probability",
+                   (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
+                   .alias("value")))
+    return out.join(names, "__g").select(*by, "probability", "value")
+
+
 def ols_terms(x: str, y: str) -> list[Column]:
     yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
     return [F.regr_slope(yy, xx).alias("slope"),

@@ -225,6 +225,16 @@ def quantiles_distributed(spark, d):
     return q.withColumn("value", r6("value"))
 
 
+@register("quantiles_by_group", "WITH " + sql.ORGS + """
+SELECT segment, unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS probability,
+       round(unnest(quantile_cont(pct_medicaid, [0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE])), 6) AS value
+FROM orgs GROUP BY segment""")
+def quantiles_by_group(spark, d):
+    q = stats.quantiles(S.orgs(spark, d), "pct_medicaid", (0.1, 0.5, 0.9), by=["segment"],
+                        method="distributed")
+    return q.withColumn("value", r6("value"))
+
+
 @register("corr_by_group", "WITH " + sql.ORGS + """
 SELECT segment, CAST(regr_count(pct_medicaid, total_patients) AS BIGINT) AS n,
        round(corr(total_patients, pct_medicaid), 6) AS corr,

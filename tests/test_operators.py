@@ -350,3 +350,19 @@ def test_numeric_entities_match_html_unescape(spark):
     pages = spark.createDataFrame([(1, "p.html", html_page)], "page_id int, url string, html string")
     rec = search.page_sections(pages).first()
     assert rec["title"] == "Café" and rec["text"] == "A <b> tag &amp; café"
+
+
+def test_distributed_group_quantiles_match_exact(spark):
+    import random
+    rnd = random.Random(8)
+    rows = [("hot", float(rnd.randint(0, 400))) for _ in range(900)]
+    rows += [(g, float(rnd.randint(0, 30))) for g in ("a", "b", None) for _ in range(rnd.randint(1, 40))]
+    rows += [("one", 5.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = (0.0, 0.1, 0.5, 0.9, 1.0)
+    exact = {(r["g"], r["probability"]): r["value"] for r in stats.quantiles(df, "x", probs, by=["g"]).collect()}
+    dist = {(r["g"], r["probability"]): r["value"]
+            for r in stats.quantiles(df, "x", probs, by=["g"], method="distributed").collect()}
+    assert set(exact) == set(dist)
+    for key, v in exact.items():
+        assert dist[key] == pytest.approx(v, abs=1e-9), key
