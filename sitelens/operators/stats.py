@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitelens.functions._util import col
 
@@ -133,7 +134,7 @@ def distributed_group_quantiles(df: DataFrame, c: str, probs, by: list[str],
     gkey = F.to_json(F.struct(*[F.col(b) for b in by]))
     base = (df.select(gkey.alias("__g"), *by, F.col(c).cast("double").alias("v"))
             .filter(F.col("v").isNotNull()))
-    names = base.groupBy("__g").agg(*[F.first(b).alias(b) for b in by])
+    key_schema = T.StructType([df.schema[b] for b in by])
     counts = base.groupBy("__g", "v").agg(F.count(F.lit(1)).alias("k"))
     ranged = cut_lineage(counts.repartitionByRange(m, "__g", "v")
                          .withColumn("slice", F.spark_partition_id()))
@@ -162,7 +163,8 @@ def distributed_group_quantiles(df: DataFrame, c: str, probs, by: list[str],
            .select("__g", "probability",
                    (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
                    .alias("value")))
-    return out.join(names, "__g").select(*by, "probability", "value")
+    keys = F.from_json("__g", key_schema)
+    return out.select(*[keys[b].alias(b) for b in by], "probability", "value")
 
 
 def ols_terms(x: str, y: str) -> list[Column]:
