@@ -366,3 +366,13 @@ def test_distributed_group_quantiles_match_exact(spark):
     assert set(exact) == set(dist)
     for key, v in exact.items():
         assert dist[key] == pytest.approx(v, abs=1e-9), key
+
+
+def test_distributed_group_quantiles_two_keys(spark):
+    rows = [(g, h, float(i)) for g in ("a", None) for h in (1, 2) for i in range(h * 7)]
+    df = spark.createDataFrame(rows, "g string, h int, x double")
+    exact = {(r["g"], r["h"], r["probability"]): r["value"]
+             for r in stats.quantiles(df, "x", (0.25, 0.75), by=["g", "h"]).collect()}
+    dist = {(r["g"], r["h"], r["probability"]): r["value"]
+            for r in stats.quantiles(df, "x", (0.25, 0.75), by=["g", "h"], method="distributed").collect()}
+    assert exact == pytest.approx(dist) and len(dist) == 8
