@@ -106,3 +106,13 @@ def test_observation_report(spark, tmp):
     rel = {r["species"]: r for r in out["relationship"].collect()}
     assert rel["A"]["n"] == 10 and rel["A"]["corr"] == pytest.approx(1.0)
     assert rel["B"]["slope"] == pytest.approx(-10.0)
+
+
+def test_ignore_corrupt_parquet(spark, tmp):
+    good = os.path.join(tmp, "t")
+    spark.range(5).write.parquet(good)
+    with open(os.path.join(good, "part-99999-broken.parquet"), "wb") as fh:
+        fh.write(b"PAR1 not really parquet")
+    assert readers.read_table(spark, good, schema="id long", ignore_corrupt=True).count() == 5
+    with pytest.raises(Exception):
+        readers.read_table(spark, good, schema="id long").count()
