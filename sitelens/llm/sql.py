@@ -32,7 +32,7 @@ s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY sourc
 w AS (SELECT *, [5, 2, 1][k % 3 + 1] AS weight, [0.5, 0.0, -0.5][k % 3 + 1]::DOUBLE AS slope FROM s),
 r AS (SELECT 0 AS step, []::BIGINT[] AS capped
       UNION ALL
-      SELECT step + 1, (SELECT list(w.k ORDER BY w.k) FROM w
+      SELECT step + 1, (SELECT coalesce(list(w.k ORDER BY w.k), []) FROM w
                         WHERE list_contains(r.capped, w.k) OR
                               w.weight * ((SELECT sum(source_size) FROM w) - coalesce((SELECT sum(3 * source_size) FROM w x WHERE list_contains(r.capped, x.k)), 0))
                               / (SELECT sum(weight) FROM w x WHERE NOT list_contains(r.capped, x.k)) > 3 * w.source_size)
