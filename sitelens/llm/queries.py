@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, mixing, secrets, sql, tokens
+from sitelens.llm import decontam, mixing, pii, secrets, sql, tokens
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -49,6 +49,17 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+#: Key of the pseudonyms; a deployment sets its own.
+PII_SECRET = "sitelens-pseudonyms"
+
+
+@register("op4_pii_pseudonyms")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, d, "documents").select("doc_id", "text"), PII_SECRET, found="kinds")
+    count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), *[count(k) for k in pii.KINDS])
+
+
 @register("op5_token_counts")
 def op5(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
