@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, mixing, pii, secrets, sql, tokens
+from sitelens.llm import decontam, mixing, pii, secrets, sketch, sql, tokens
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -74,3 +74,8 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
     begin = F.when(F.col("taken") > 0, mixing.position(F.col("before"), F.col("target"), F.col("slope")))
     return plan.select(F.col("key").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"),
                        "taken", F.round(begin, 6).alias("position"))
+
+
+@register("op8_fingerprints")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    return sketch.edited_fingerprints(table(spark, d, "documents").select("doc_id", "text"))
