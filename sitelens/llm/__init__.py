@@ -9,7 +9,7 @@ import importlib
 
 from pyspark import cloudpickle
 
-PYTHON_MODULES = ("secrets", "sketch", "tokens")
+PYTHON_MODULES = ("secrets", "sketch", "tokens", "warc")
 
 for _name in PYTHON_MODULES:
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, mixing, pii, secrets, sketch, sql, tokens
+from sitelens.llm import decontam, mixing, pii, secrets, sketch, sql, tokens, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -79,3 +79,9 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
 @register("op8_fingerprints")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return sketch.edited_fingerprints(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@register("op9_arc_to_warc", sql.ARC_TO_WARC)
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    back = warc.archive_pages(table(spark, d, "pages").select("page_id", "url", "html"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -50,3 +50,12 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
        CASE WHEN taken > 0 THEN round(CASE WHEN slope = 0 THEN before / target
             ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * before / target) - (1 - slope)) / (2 * slope) END, 6) END AS position
 FROM x"""
+
+ARC_TO_WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+q AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_page FROM q WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT q.page_id, payload_bytes, q.payload_digest,
+       CASE WHEN first_page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_page <> page_id THEN first_page END AS refers_to
+FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest"""
