@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, mixing, pii, secrets, sketch, sql, tokens, warc
+from sitelens.llm import decontam, langid, mixing, pii, secrets, sketch, sql, tokens, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -76,6 +76,15 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
                        "taken", F.round(begin, 6).alias("position"))
 
 
+@register("op7_language_id")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    counts = langid.fit(docs)
+    out = langid.identify(docs.select("doc_id", "text"), counts)
+    return out.select("row.doc_id", langid.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score",
+                      F.size("shares").cast("long").alias("n_languages"))
+
+
 @register("op8_fingerprints")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return sketch.edited_fingerprints(table(spark, d, "documents").select("doc_id", "text"))
