@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, langid, mixing, pii, secrets, sketch, sql, tokens, warc
+from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -94,3 +94,8 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 def op9(spark: SparkSession, d: str) -> DataFrame:
     back = warc.archive_pages(table(spark, d, "pages").select("page_id", "url", "html"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op10_jaccard_join", sql.JACCARD_JOIN)
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.component_ids(table(spark, d, "documents").select("doc_id", "text"))

@@ -59,3 +59,16 @@ SELECT q.page_id, payload_bytes, q.payload_digest,
        CASE WHEN first_page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first_page <> page_id THEN first_page END AS refers_to
 FROM q LEFT JOIN f ON q.payload_digest = f.payload_digest"""
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+                     FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY x, y),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+r AS (SELECT doc_id AS x, doc_id AS c FROM n UNION SELECT l.y, r.c FROM r JOIN l ON l.x = r.x WHERE r.c < l.y),
+c AS (SELECT x, min(c) AS c FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id"""
