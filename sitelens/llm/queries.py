@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, warc
+from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, toxicity, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -41,6 +41,14 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
         count(*secrets.KINDS[3:]).alias("n_validated"))
 
 
+@register("op2_toxicity")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, d, "labels"))
+    out = toxicity.severity(docs, model)
+    return out.select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 @register("op3_decontamination", sql.DECONTAMINATION)
 def op3(spark: SparkSession, d: str) -> DataFrame:
     out = decontam.decontaminate(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
