@@ -48,7 +48,7 @@ j AS (SELECT o.doc_id, o.size, t.source_size, t.target, t.slope, o.before,
 x AS (SELECT *, CAST(whole * size + greatest(0, least(size, round(target - whole * source_size) - before)) AS BIGINT) AS taken FROM j)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target, taken,
        CASE WHEN taken > 0 THEN round(CASE WHEN slope = 0 THEN before / target
-            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * before / target) - (1 - slope)) / (2 * slope) END, 6) END AS position
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * before / target) - (1 - slope)) / (2 * slope) END + 0.0, 6) END AS position
 FROM x"""
 
 ARC_TO_WARC = """
