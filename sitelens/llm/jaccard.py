@@ -16,8 +16,8 @@ is at least 80 % of the union; the result names each document's component.
    lost whatever the order). So (token, component) rows that meet under one
    token, pass the bounds on sizes and on the overlap that is still possible,
    and belong to different components, are all that can still link.
-4. Those components' groups go through the matrix once more, by group; the
-   pairs of groups that meet are compared: a query's overlap with the other
+4. Those components' groups go through the matrix once more, by group, now
+   counting the tokens they share; the pairs that pass are compared: a query's overlap with the other
    group's token union bounds its overlap with every member, and only where
    this bound reaches 80 % of the query the group is opened and its members'
    intersections counted.
@@ -52,7 +52,7 @@ from sitelens.llm.staging import staged
 WORDS, PERCENT = 5, 80
 BANDS = 10
 GROUP = 48
-COMMON_TOKENS = 100_000
+COMMON_TOKENS = 1_000_000       # 16 bytes each
 BROADCAST_ROWS = 500_000
 STEP = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
@@ -92,13 +92,13 @@ def min_hash_pairs(tokens: np.ndarray, bands: int) -> list[int]:
 
 
 def common_counter(words: int):
-    """Task: (token, n) of the tokens that a batch of texts repeats."""
+    """Task: (token, n) of the tokens in several texts of a batch."""
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, words) for t in batch.column(0).to_pylist() if t]
             if sets:
                 token, n = np.unique(np.concatenate(sets), return_counts=True)
-                often = n >= max(4, len(sets) // 1000)
+                often = n >= 3
                 yield pa.RecordBatch.from_arrays([pa.array(token[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
 
     return run
@@ -195,15 +195,25 @@ def matrix(classes: DataFrame, percent: int, by: tuple[str, ...]) -> DataFrame:
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("rem").alias("rem"), F.max("rem_index").alias("rem_index"))
 
 
-def meetings(rows: DataFrame, percent: int, by: str) -> DataFrame:
+def meetings(rows: DataFrame, percent: int, by: str, counted: bool = False) -> DataFrame:
     """(x, y): pairs of ``by`` that meet under a token, belong to different
-    components and pass the bounds; x the smaller number."""
+    components and pass the bounds; x the smaller number.
+
+    One token must have room for the whole overlap behind it. ``counted``:
+    all tokens under which a pair meets are counted as well; what the
+    probing prefixes do not share can only lie behind one of them, so the
+    overlap is at most that count and the longer rest."""
     a, b = rows.alias("a"), rows.alias("b")
-    sizes = (F.col("a.lo") <= F.col("b.hi")) & (F.col("a.hi") * 100 >= F.col("b.lo") * percent)
-    overlap = F.least("a.rem_index", "b.rem") * (100 + percent) >= (F.col("a.lo") + F.col("b.lo")) * percent
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.rem_index") > 0)
-                 & (F.col("a.comp") != F.col("b.comp")) & sizes & overlap)
-    return met.select(F.least(f"a.{by}", f"b.{by}").alias("x"), F.greatest(f"a.{by}", f"b.{by}").alias("y")).distinct()
+    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.comp") != F.col("b.comp"))
+    on &= (F.col("a.lo") * percent <= F.col("b.hi") * 100) & (F.col("a.hi") * 100 >= F.col("b.lo") * percent)
+    if not counted:
+        overlap = F.least("a.rem_index", "b.rem") * (100 + percent) >= (F.col("a.lo") + F.col("b.lo")) * percent
+        met = a.join(b, on & (F.col("a.rem_index") > 0) & (F.col("a.lo") <= F.col("b.hi")) & overlap)
+        return met.select(F.least(f"a.{by}", f"b.{by}").alias("x"), F.greatest(f"a.{by}", f"b.{by}").alias("y")).distinct()
+    met = a.join(b, on & (F.col(f"a.{by}") < F.col(f"b.{by}"))).groupBy(F.col(f"a.{by}").alias("x"), F.col(f"b.{by}").alias("y")).agg(
+        F.count(F.lit(1)).alias("k"), (F.min("a.lo") + F.min("b.lo")).alias("both"), F.greatest(F.max("a.hi"), F.max("b.hi")).alias("most"))
+    rest = F.ceil(F.col("most") * percent / 100) - 1
+    return met.filter((F.col("k") + rest) * (100 + percent) >= F.col("both") * percent).select("x", "y")
 
 
 def linker(percent: int):
@@ -338,7 +348,7 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     pairs = staged(meetings(matrix(named, percent, ("comp",)), percent, "comp"), "pairs")
     involved = staged(pairs.select(F.explode(F.array("x", "y")).alias("comp")).distinct(), "involved")
     again = chosen(named, involved, ["comp"])
-    opened = staged(meetings(matrix(again, percent, ("grp", "comp")), percent, "grp").filter("x <> y"), "opened")
+    opened = staged(meetings(matrix(again, percent, ("grp", "comp")), percent, "grp", counted=True), "opened")
     members = opened.select(F.explode(F.array(F.struct("x", "y", F.col("x").alias("grp"), F.lit(0).alias("side")),
                                               F.struct("x", "y", F.col("y").alias("grp"), F.lit(1).alias("side")))).alias("m")).select("m.*")
     wanted = staged(members.select("grp").distinct(), "wanted")
