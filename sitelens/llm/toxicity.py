@@ -14,8 +14,9 @@ their words that carry a feature of high toxic odds.
 
 Training reads a bounded sample (``sample`` labelled rows are expected, drawn
 by a hash of the key; labels of a key are merged, toxic if any says so). The
-sample's feature counts are summed by Spark; the driver gets the chosen
-features and the sample's sparse vectors, both bounded. Prediction reads every
+sample's feature counts are summed by Spark; the driver gets those of
+features in LEAST_DOCS of its toxic documents and the sample's sparse
+vectors, both bounded. Prediction reads every
 whole text.
 
 Null or empty text: no features, so the grade of a text without any. No
@@ -36,12 +37,12 @@ from pyspark.sql import functions as F
 SAMPLE = 10_000
 FEATURES = 4096
 RUN = 5                     # letters of a run
-LEAST_Z = 4.0               # of a chosen feature
+LEAST_Z = 3.0               # of a chosen feature
 MARK_ODDS = 2.0             # log odds of a feature that marks a word as toxic
 GRADES = 4
 LEAST_DOCS = 5              # documents that a feature must occur in
 ROUNDS, RATE, RIDGE = 400, 0.1, 1e-5
-KEPT = 300_000
+KEPT = 600_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -56,22 +57,27 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def feature_counts(batches):
-    """Task: (toxic, text) to (feature, toxic documents, clean documents)."""
+def toxic_features(batches):
+    """Task: texts of toxic documents to (feature, documents that have it)."""
     for batch in batches:
-        docs: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        known: dict[str, list[int]] = {}
-        for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = set()
-            for w in set(words_of(text)):
-                if w not in known:
-                    known[w] = word_features(w)
-                found.update(known[w])
-            docs[int(bool(toxic))].update(found)
-        features = list(docs[0].keys() | docs[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(features, pa.int64()), pa.array([docs[1][f] for f in features], pa.int64()),
-             pa.array([docs[0][f] for f in features], pa.int64())], names=["feature", "toxic", "clean"])
+        counts: Counter = Counter()
+        for text in batch.column(0).to_pylist():
+            counts.update({f for w in set(words_of(text)) for f in word_features(w)})
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["feature", "n"])
+
+
+def clean_counts(features):
+    """Task: texts of clean documents to (feature, documents that have it),
+    for the features asked for."""
+    def run(batches):
+        reader = Reader({f: f for f in features.value})
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update({f for x in reader.read(text) for f in x})
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["feature", "n"])
+
+    return run
 
 
 class Reader:
@@ -169,16 +175,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     drawn = F.broadcast(said.filter(draw < sample / sum(n.values())))       # about ``sample`` rows of two numbers
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(drawn, "k").select("toxic", "text")
 
-    counts = rows.mapInArrow(feature_counts, "feature long, toxic long, clean long").groupBy("feature").agg(
-        F.sum("toxic").cast("double").alias("a"), F.sum("clean").cast("double").alias("c"))
-    t, c = (F.lit(float(x)) for x in (n[1] * min(1, sample / sum(n.values())), n[0] * min(1, sample / sum(n.values()))))
-    odds = F.log((F.col("a") + 0.5) / (F.greatest(t - F.col("a"), F.lit(0.0)) + 0.5)) - F.log(
-        (F.col("c") + 0.5) / (F.greatest(c - F.col("c"), F.lit(0.0)) + 0.5))
-    z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("c") + 0.5))
-    best = counts.filter(F.col("a") + F.col("c") >= LEAST_DOCS).select("feature", odds.alias("odds"), z.alias("z"))
-    best = best.filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(FEATURES).collect()
-    features = {r["feature"]: i for i, r in enumerate(best)}
-    marks = [i for i, r in enumerate(best) if r["odds"] > MARK_ODDS]
+    def summed(df: DataFrame, task, least: int) -> dict[int, int]:
+        found = df.select("text").mapInArrow(task, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        return {r["feature"]: r["n"] for r in found.filter(F.col("n") >= least).collect()}
+
+    toxic_docs = summed(rows.filter("toxic > 0"), toxic_features, LEAST_DOCS)
+    clean_docs = summed(rows.filter("toxic = 0"), clean_counts(sc.broadcast(list(toxic_docs))), 1)
+    part = min(1.0, sample / sum(n.values()))
+    scored = []
+    for feature, a in toxic_docs.items():
+        c = clean_docs.get(feature, 0)
+        odds = np.log((a + 0.5) / (max(n[1] * part - a, 0) + 0.5)) - np.log((c + 0.5) / (max(n[0] * part - c, 0) + 0.5))
+        scored.append((float(odds / np.sqrt(1 / (a + 0.5) + 1 / (c + 0.5))), feature, float(odds)))
+    best = sorted((x for x in scored if x[0] >= LEAST_Z), reverse=True)[:FEATURES]
+    features = {f: i for i, (_, f, _) in enumerate(best)}
+    marks = [i for i, (_, _, odds) in enumerate(best) if odds > MARK_ODDS]
 
     made = rows.mapInArrow(vectors(sc.broadcast((features, marks))), "toxic int, ids array<long>, x array<double>, marked long").collect()
     toxic = np.array([r["toxic"] for r in made])
