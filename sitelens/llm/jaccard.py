@@ -51,7 +51,7 @@ from sitelens.llm.staging import staged
 
 WORDS, PERCENT = 5, 80
 BANDS = 10
-GROUP = 48
+GROUP = 192
 COMMON_TOKENS = 1_000_000       # 16 bytes each
 BROADCAST_ROWS = 500_000
 STEP = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
@@ -104,30 +104,19 @@ def common_counter(words: int):
     return run
 
 
-SET_TYPES = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())),
-                       ("prefix", pa.list_(pa.int64()))])
-SET_DDL = "doc long, n long, digest binary, bands array<long>, prefix array<long>"
+SET_TYPES = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SET_DDL = "doc long, n long, digest binary, bands array<long>"
 
 
-def set_maker(common, words: int, percent: int, bands: int):
-    """Task: texts to set size, digest, min-hash keys and probing prefix."""
+def set_maker(words: int, bands: int):
+    """Task: texts to set size, digest and min-hash keys."""
     def run(batches):
-        token, count = common.value
         for batch in batches:
             out = {n: [] for n in SET_TYPES.names}
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingle_set(text or "", words)
-                n = len(s)
-                prefix = s[:0]
-                if n:
-                    seen = np.zeros(n, dtype=np.int64)
-                    if len(token):
-                        at = np.minimum(np.searchsorted(token, s), len(token) - 1)
-                        seen = np.where(token[at] == s, count[at], 0)
-                    prefix = s[np.lexsort((s, seen))[:n - needed(n, percent) + 1]]
                 for name, value in zip(SET_TYPES.names, (
-                        doc, n, digest_of(s),
-                        min_hash_pairs(s, bands) if n else [], prefix.view(np.int64)), strict=True):
+                        doc, len(s), digest_of(s), min_hash_pairs(s, bands) if len(s) else []), strict=True):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=SET_TYPES)
 
@@ -151,25 +140,37 @@ def full_sets(words: int):
     return run
 
 
-def prefix_rows(percent: int, by: tuple[str, ...]):
-    """Task: classes (ids in ``by``, n, prefix) to matrix rows, already
-    merged within a batch: (token, ids, lo, hi, rem, rem_index). rem is the
-    most tokens that stand from this one on; rem_index the same for those
-    that also count as the smaller set of a link, 0 for none."""
+def prefix_of(s: np.ndarray, common, percent: int) -> np.ndarray:
+    """The tokens of a set, rare first, that a link must touch."""
+    token, count = common
+    seen = np.zeros(len(s), dtype=np.int64)
+    if len(token):
+        at = np.minimum(np.searchsorted(token, s), len(token) - 1)
+        seen = np.where(token[at] == s, count[at], 0)
+    return s[np.lexsort((s, seen))[:len(s) - needed(len(s), percent) + 1]]
+
+
+def prefix_rows(common, words: int, percent: int, by: int):
+    """Task: classes (digest, ``by`` ids, text) to matrix rows, already merged
+    within a batch: (token, ids, lo, hi, rem, rem_index). rem is the most
+    tokens that stand from this one on; rem_index the same for those that
+    also count as the smaller set of a link, 0 for none. A text whose set
+    has another digest (of a key with several texts) is left out."""
     def run(batches):
         for batch in batches:
-            sizes = np.asarray(batch.column(len(by)), dtype=np.int64)
-            lists = batch.column(len(by) + 1)
-            length = np.diff(np.asarray(lists.offsets))
-            token = np.asarray(lists.flatten(), dtype=np.int64)
-            if not len(token):
+            sets = [shingle_set(t or "", words) for t in batch.column(by + 1).to_pylist()]
+            fits = [i for i, d in enumerate(batch.column(0).to_pylist()) if digest_of(sets[i]) == d]
+            if not fits:
                 continue
-            whose = np.repeat(np.arange(len(sizes)), length)
-            n = sizes[whose]
+            lists = [prefix_of(sets[i], common.value, percent) for i in fits]
+            length = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            token = np.concatenate(lists).view(np.int64)
+            whose = np.repeat(np.arange(len(fits)), length)
+            n = np.fromiter((len(sets[i]) for i in fits), dtype=np.int64, count=len(fits))[whose]
             pos = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length)
             rem = n - pos
             index = n - -(-2 * percent * n // (100 + percent)) + 1
-            ids = [np.asarray(batch.column(i), dtype=np.int64)[whose] for i in range(len(by))]
+            ids = [np.asarray(batch.column(1 + k), dtype=np.int64)[fits][whose] for k in range(by)]
             order = np.lexsort((*ids, token))
             token, n, rem, rem_index = token[order], n[order], rem[order], np.where(pos < index, rem, 0)[order]
             ids = [x[order] for x in ids]
@@ -181,16 +182,18 @@ def prefix_rows(percent: int, by: tuple[str, ...]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (token[at], *(x[at] for x in ids), np.minimum.reduceat(n, at), np.maximum.reduceat(n, at),
                                        np.maximum.reduceat(rem, at), np.maximum.reduceat(rem_index, at))],
-                names=["token", *by, "lo", "hi", "rem", "rem_index"])
+                names=["token", *(f"id{k}" for k in range(by)), "lo", "hi", "rem", "rem_index"])
 
     return run
 
 
-def matrix(classes: DataFrame, percent: int, by: tuple[str, ...]) -> DataFrame:
-    """The token-group matrix of ``classes`` under the ids in ``by``; dealt by
-    token, so that it joins with itself without another shuffle."""
+def matrix(docs: DataFrame, classes: DataFrame, common, words: int, percent: int, by: tuple[str, ...]) -> DataFrame:
+    """The token-group matrix of the staged ``classes`` (rep, digest, ids)
+    under the ids in ``by``; dealt by token, so that it joins with itself
+    without another shuffle."""
+    rows = chosen(docs.select(F.col("doc").alias("rep"), "text"), classes.select("rep", "digest", *by), ["rep"])
     kinds = ", ".join(f"{c} long" for c in ("token", *by, "lo", "hi", "rem", "rem_index"))
-    rows = classes.select(*by, "n", "prefix").mapInArrow(prefix_rows(percent, by), kinds)
+    rows = rows.select("digest", *by, "text").mapInArrow(prefix_rows(common, words, percent, len(by)), kinds)
     return rows.repartition("token").groupBy("token", *by).agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("rem").alias("rem"), F.max("rem_index").alias("rem_index"))
 
@@ -274,25 +277,27 @@ def chosen(df: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
     return df.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, on)
 
 
-def classes_of(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Staged (doc, n, digest) of all rows and (cls, digest, rep, n, bands,
-    prefix) of the classes of non-empty sets."""
-    sc = docs.sparkSession.sparkContext
+def common_tokens(docs: DataFrame, words: int):
+    """Broadcast (tokens, counts) of the most frequent tokens, ascending."""
     common = docs.select("text").mapInArrow(common_counter(words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     common = staged(common, "common")
     rows = common.count()
     least = 0
     if rows > COMMON_TOKENS:        # the list sets an order only; ties at its end are left out
         least = common.agg(F.percentile_approx("n", F.lit(1 - COMMON_TOKENS / rows), 10_000)).first()[0]
-    top = common.filter(F.col("n") > least).collect()
-    token = np.array([r["token"] for r in top], dtype=np.int64).view(np.uint64)
+    top = common.filter(F.col("n") > least).toArrow()
+    token = np.asarray(top.column("token"), dtype=np.int64).view(np.uint64)
     order = np.argsort(token)
-    count = np.array([r["n"] for r in top], dtype=np.int64)[order]
-    made = docs.mapInArrow(set_maker(sc.broadcast((token[order], count)), words, percent, BANDS), SET_DDL)
-    sets = staged(made, "sets")
+    return docs.sparkSession.sparkContext.broadcast((token[order], np.asarray(top.column("n"), dtype=np.int64)[order]))
+
+
+def classes_of(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Staged (doc, n, digest) of all rows and (cls, digest, rep, n, bands)
+    of the classes of non-empty sets."""
+    sets = staged(docs.mapInArrow(set_maker(words, BANDS), SET_DDL), "sets")
     full = sets.filter("n > 0").groupBy("digest").agg(
-        F.min("doc").alias("rep"), F.min_by(F.struct("n", "bands", "prefix"), F.col("n")).alias("s"))
-    full = full.select(F.monotonically_increasing_id().alias("cls"), "digest", "rep", "s.n", "s.bands", "s.prefix")
+        F.min("doc").alias("rep"), F.min_by(F.struct("n", "bands"), F.col("n")).alias("s"))
+    full = full.select(F.monotonically_increasing_id().alias("cls"), "digest", "rep", "s.n", "s.bands")
     return sets.select("doc", "n", "digest"), staged(full, "classes")
 
 
@@ -324,31 +329,31 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     """(key, n_shingles, component_id) of every row of ``docs``. ``key`` is a
     whole number."""
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    sets, classes = classes_of(docs, words, percent)
+    sets, classes = classes_of(docs, words)
     ids = classes.select("cls", "rep", "digest")
     repeated = bool(sets.groupBy("doc", "digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").take(1))
 
     groups = grouped(classes)
     bodies = bodies_of(docs, staged(groups.join(ids, "cls"), "members"), words, repeated)
-    own = bodies.select(F.col("leader").alias("x"), F.col("part").alias("y"), F.lit(0).alias("side"), "cls", "tokens")
-    firsts = bodies.filter("part = 0 AND parts > 1").select(
-        F.col("leader").alias("x"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("parts").cast("long") - 1)).alias("y"),
-        F.lit(1).alias("side"), "cls", "tokens")
-    units = own.withColumn("inside", F.lit(True)).unionByName(own.filter("y > 0").withColumn("inside", F.lit(False))).unionByName(
-        firsts.withColumn("inside", F.lit(False)))
-    units = units.withColumn("x", F.when(F.col("inside"), F.col("x")).otherwise(-F.col("x") - 1)).withColumn("comp", F.col("cls"))
-    found = staged(links(units.select("x", F.col("y").cast("long").alias("y"), "side", "cls", "comp", "tokens"), percent), "links")
-    comps = components(found)
-
-    named = classes.select("cls", "rep", "digest", "n", "prefix").join(comps, F.col("cls") == F.col("node"), "left").join(
-        groups.select(F.col("cls").alias("c"), F.struct("leader", "part").alias("place")), F.col("cls") == F.col("c"), "left")
-    grp = F.when(F.col("place").isNull(), F.col("cls")).otherwise(F.xxhash64("place.leader", "place.part"))
-    named = staged(named.select("cls", "rep", "digest", "n", "prefix", F.coalesce("component", "cls").alias("comp"), grp.alias("grp")), "named")
-
-    pairs = staged(meetings(matrix(named, percent, ("comp",)), percent, "comp"), "pairs")
+    unit = lambda x, y, side: F.struct(x.alias("x"), y.cast("long").alias("y"), F.lit(side).alias("side"))
+    leader, part, across = F.col("leader"), F.col("part"), -F.col("leader") - 1
+    others = F.when((part == 0) & (F.col("parts") > 1), F.transform(
+        F.sequence(F.lit(1).cast("long"), F.greatest(F.col("parts").cast("long") - 1, F.lit(1))), lambda y: unit(across, y, 1)))
+    within = F.when(part > 0, F.array(unit(leader, part, 0), unit(across, part, 0))).otherwise(F.array(unit(leader, part, 0)))
+    units = bodies.select(F.explode(F.when(others.isNull(), within).otherwise(F.concat(within, others))).alias("u"),
+                          "cls", F.col("cls").alias("comp"), "tokens").select("u.*", "cls", "comp", "tokens")
+    comps = components(staged(links(units, percent), "links"))
+
+    labels = comps.select(F.col("node").alias("cls"), "component").join(
+        groups.select("cls", F.xxhash64("leader", "part").alias("grp")), "cls", "full")
+    named = ids.join(labels, "cls", "left")
+    named = staged(named.select("cls", "rep", "digest", F.coalesce("component", "cls").alias("comp"), F.coalesce("grp", "cls").alias("grp")), "named")
+
+    common = common_tokens(docs, words)
+    pairs = staged(meetings(matrix(docs, named, common, words, percent, ("comp",)), percent, "comp"), "pairs")
     involved = staged(pairs.select(F.explode(F.array("x", "y")).alias("comp")).distinct(), "involved")
-    again = chosen(named, involved, ["comp"])
-    opened = staged(meetings(matrix(again, percent, ("grp", "comp")), percent, "grp", counted=True), "opened")
+    again = staged(chosen(named, involved, ["comp"]), "again")
+    opened = staged(meetings(matrix(docs, again, common, words, percent, ("grp", "comp")), percent, "grp", counted=True), "opened")
     members = opened.select(F.explode(F.array(F.struct("x", "y", F.col("x").alias("grp"), F.lit(0).alias("side")),
                                               F.struct("x", "y", F.col("y").alias("grp"), F.lit(1).alias("side")))).alias("m")).select("m.*")
     wanted = staged(members.select("grp").distinct(), "wanted")

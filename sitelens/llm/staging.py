@@ -7,15 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.session import checkpoint_dir
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{found.rstrip('/')}/sitelens-llm/{spark.sparkContext.applicationId}"
+    """This application's folder in ``spark.checkpoint.dir``, which all
+    executors share (a session in one process without that setting gets a
+    folder of its own)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sitelens-llm-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
