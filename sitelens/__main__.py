@@ -2,7 +2,7 @@
 
   python -m sitelens refresh --sites DIR --orgs FILE --out DIR [--region OR] [--csv]
   python -m sitelens gate --joined DIR [--out DIR]          exit status 1 when a rule fails
-  python -m sitelens search --pages DIR --queries FILE --out DIR [--fuzzy 0.1]
+  python -m sitelens search --pages DIR --queries FILE --out DIR
   python -m sitelens catalogue --root DIR --out DIR [--category NAME]
 
 Inputs and outputs are paths on any file system Spark can read; outputs are
@@ -16,7 +16,7 @@ import sys
 
 from sitelens.operators import catalogue, quality, search
 from sitelens.plans import batch, jobs
-from sitelens.session import get_session
+from sitelens.session import get_session, scale_conf
 from sitelens.sources.catalogue import read_catalogue
 from sitelens.sources.readers import read_table, write_table
 
@@ -48,7 +48,7 @@ def _search(spark, a) -> int:
     index = search.page_sections(pages)
     write_table(index, f"{a.out}/index")
     index = read_table(spark, f"{a.out}/index")
-    results = search.keyword_search(queries, index, error_ratio=a.fuzzy)
+    results = search.keyword_search(queries, index)
     write_table(results, f"{a.out}/results")
     write_table(search.collapse_hits(read_table(spark, f"{a.out}/results")), f"{a.out}/collapsed")
     return 0
@@ -67,6 +67,8 @@ def _catalogue(spark, a) -> int:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sitelens")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    p.add_argument("--input-gb", type=int, default=0, help="size of the input, to size partitions by")
+    p.add_argument("--cores", type=int, default=0, help="cores of the cluster")
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("refresh")
     r.add_argument("--sites", required=True)
@@ -83,13 +85,13 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--queries", required=True)
     s.add_argument("--queries-format", default="parquet")
     s.add_argument("--out", required=True)
-    s.add_argument("--fuzzy", type=float, default=0.0)
     c = sub.add_parser("catalogue")
     c.add_argument("--root", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--category", default="")
     a = p.parse_args(argv)
-    spark = get_session(app=f"sitelens-{a.cmd}", master=a.master)
+    conf = scale_conf(a.input_gb << 30, a.cores) if a.input_gb and a.cores else None
+    spark = get_session(app=f"sitelens-{a.cmd}", master=a.master, conf=conf)
     handler = {"refresh": _refresh, "gate": _gate, "search": _search, "catalogue": _catalogue}[a.cmd]
     return handler(spark, a)
 

@@ -1,10 +1,9 @@
 """Left enrichment join with a match report.
 
-Scale notes. The right side is broadcast only behind a row-count check
-(``broadcast_max_rows``); without one, AQE turns the sort-merge join into a
-broadcast join when the measured right side is small enough, and otherwise
-splits skewed left partitions. Rows with a NULL key can never match; they
-are salted over many shuffle partitions instead of piling into one.
+Scale notes. AQE turns the sort-merge join into a broadcast join when the
+measured right side is small enough, and otherwise splits skewed left
+partitions. Rows with a NULL key can never match; they are split off before
+the join and added back after it, so they are never shuffled.
 """
 
 from __future__ import annotations
@@ -17,23 +16,13 @@ from sitelens.sources.contracts import ContractError
 MARKER = "_matched"
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def enrich_left(left: DataFrame, right: DataFrame, key: str,
                 right_cols: list[str] | None = None,
-                broadcast_max_rows: int | None = None,
-                null_key_buckets: int = 32,
                 marker: str | None = MARKER) -> DataFrame:
     """``left ⟕ right`` on ``key``; duplicate right keys fan out.
 
     ``marker`` adds a non-NULL right-side column, so a match is visible even
-    when every right measure is NULL. Rows with a NULL key get a second join
-    column, a deterministic hash bucket in ``[0, null_key_buckets)`` (0 for
-    every other row and on the right), so they spread over that many shuffle
-    partitions instead of one; they still never match.
+    when every right measure is NULL. Rows with a NULL key stay, unmatched.
     """
     cols = right_cols if right_cols is not None else [c for c in right.columns if c != key]
     clash = sorted(set(cols) & (set(left.columns) - {key}))
@@ -42,19 +31,12 @@ def enrich_left(left: DataFrame, right: DataFrame, key: str,
     r = right.select(key, *cols)
     if marker:
         r = r.withColumn(marker, F.lit(True))
-    if broadcast_max_rows is not None and fits(r, broadcast_max_rows):
-        return left.join(F.broadcast(r), key, "left")
-    if not null_key_buckets or null_key_buckets <= 1:
-        return left.join(r, key, "left")
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(null_key_buckets))
-    salted = left.withColumn(
-        "__nk", F.when(F.col(key).isNull(), bucket).otherwise(F.lit(0)).cast("int"))
-    # the right-side bucket is always 0, but written as an expression over the
-    # data: a literal would be folded into a join filter and the bucket would
-    # stop being a shuffle key
-    zero = F.pmod(F.xxhash64(F.col(key)), F.lit(1)).cast("int")
-    return (salted.join(r.withColumn("__nk", zero), [key, "__nk"], "left")
-            .drop("__nk"))
+    joined = left.filter(F.col(key).isNotNull()).join(r, key, "left").select(key, *[
+        c for c in [*left.columns, *r.columns[1:]] if c != key])
+    without = left.filter(F.col(key).isNull()).select(
+        key, *[c for c in left.columns if c != key],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields[1:]])
+    return joined.unionByName(without)
 
 
 def match_report(joined: DataFrame, marker: str = MARKER,
@@ -69,5 +51,7 @@ def match_report(joined: DataFrame, marker: str = MARKER,
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left rows with no partner (NULL keys included)."""
-    return left.join(right.select(key), key, "left_anti")
+    """Left rows with no partner (NULL keys included, without a shuffle)."""
+    without = left.filter(F.col(key).isNull())
+    named = left.filter(F.col(key).isNotNull()).join(right.select(key), key, "left_anti")
+    return named.select(*left.columns).unionByName(without)

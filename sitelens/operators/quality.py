@@ -18,11 +18,12 @@ from sitelens.sources.contracts import missing_columns
 @dataclass
 class Gate:
     """Rules of a gate. ``min_rows``: (name, n) -> passes when rows > n.
-    ``row_rules``: (name, predicate) -> passes when the predicate holds on
-    every row (a NULL result counts as a violation).
+    ``row_rules``: (name, predicate, columns) -> passes when the predicate
+    holds on every row (a NULL result counts as a violation); a rule whose
+    ``columns`` do not all exist is not evaluated and fails.
     ``required``: column names that must exist."""
     min_rows: list[tuple[str, int]] = field(default_factory=list)
-    row_rules: list[tuple[str, Column]] = field(default_factory=list)
+    row_rules: list[tuple[str, Column, list[str]]] = field(default_factory=list)
     required: list[str] = field(default_factory=list)
 
 
@@ -37,10 +38,11 @@ class GateFailed(AssertionError):
     pass
 
 
-def _aggs(gate: Gate) -> list[Column]:
+def _aggs(df: DataFrame, gate: Gate) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, (_, pred) in enumerate(gate.row_rules):
-        aggs.append(F.count_if(violates(pred)).alias(f"__v{i}"))
+    for i, (_, pred, cols) in enumerate(gate.row_rules):
+        known = not missing_columns(df, cols)
+        aggs.append((F.count_if(violates(pred)) if known else F.max(F.lit(None).cast("bigint"))).alias(f"__v{i}"))
     return aggs
 
 
@@ -49,7 +51,7 @@ def quality_gate(df: DataFrame, gate: Gate) -> DataFrame:
     the row count for size rules, the number of violating rows for row rules
     and the number of missing columns for the column rule."""
     missing = missing_columns(df, gate.required)
-    counts = df.agg(*_aggs(gate))
+    counts = df.agg(*_aggs(df, gate))
     rows = []
     for name, n in gate.min_rows:
         rows.append(F.struct(F.lit(name).alias("rule"), F.col("__rows").alias("observed"),
@@ -58,9 +60,9 @@ def quality_gate(df: DataFrame, gate: Gate) -> DataFrame:
         rows.append(F.struct(F.lit("required_columns").alias("rule"),
                              F.lit(len(missing)).cast("bigint").alias("observed"),
                              F.lit(not missing).alias("passed")))
-    for i, (name, _) in enumerate(gate.row_rules):
+    for i, (name, _, _) in enumerate(gate.row_rules):
         v = F.col(f"__v{i}")
-        rows.append(F.struct(F.lit(name).alias("rule"), v.alias("observed"), (v == 0).alias("passed")))
+        rows.append(F.struct(F.lit(name).alias("rule"), v.alias("observed"), F.coalesce(v == 0, F.lit(False)).alias("passed")))
     failed = sum(F.when(r["passed"], 0).otherwise(1) for r in rows)
     rows.append(F.struct(F.lit("gate").alias("rule"), failed.cast("bigint").alias("observed"),
                          (failed == 0).alias("passed")))
@@ -79,7 +81,7 @@ def observe_gate(df: DataFrame, gate: Gate, name: str = "quality_gate"):
     """The same row rules as metrics riding on another action (e.g. a write):
     returns (observed DataFrame, Observation)."""
     obs = Observation(name)
-    return df.observe(obs, *_aggs(gate)), obs
+    return df.observe(obs, *_aggs(df, gate)), obs
 
 
 def site_gate(lat: str = "latitude", lon: str = "longitude", total: str = "total_patients",
@@ -90,19 +92,19 @@ def site_gate(lat: str = "latitude", lon: str = "longitude", total: str = "total
         min_rows=list(MIN_ROWS),
         required=[lat, lon, total, medicaid_share, name],
         row_rules=[
-            ("coordinates_in_bounds", in_range(lat, *lat_range) & in_range(lon, *lon_range)),
-            ("uninsured_le_total", ~(F.col(uninsured) > F.col(total))),
-            ("non_negative_total", F.col(total) >= 0),
+            ("coordinates_in_bounds", in_range(lat, *lat_range) & in_range(lon, *lon_range), [lat, lon]),
+            ("uninsured_le_total", ~(F.col(uninsured) > F.col(total)), [uninsured, total]),
+            ("non_negative_total", F.col(total) >= 0, [total]),
         ])
 
 
 def patch_for_gate(df: DataFrame, cols=("total_patients", "uninsured", "medicaid")) -> DataFrame:
     """Q0: unmatched rows get 0 in the count columns before testing."""
-    return fill_zero(df, list(cols))
+    return fill_zero(df, [c for c in cols if c in df.columns])
 
 
 def required_fields(records: DataFrame, fields=("href", "title", "text")) -> DataFrame:
     """T4: every search record has a non-empty ``href``, ``title``, ``text``."""
-    rules = [(f"{f}_present", F.col(f).isNotNull() & (F.col(f) != "")) for f in fields]
+    rules = [(f"{f}_present", F.col(f).isNotNull() & (F.col(f) != ""), [f]) for f in fields]
     return quality_gate(records, Gate(min_rows=[("not_empty", 0)], row_rules=rules,
                                       required=list(fields)))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.fmt import fmt_count, fmt_pct
 from sitelens.functions.numeric import residual
-from sitelens.operators.grain import first_at_grain, sum_at_grain
+from sitelens.operators.grain import sum_at_grain
 from sitelens.operators.stats import attach
+from sitelens.session import stored
 
 # The residual category of the payer mix, the long-format
 # column names and the formatted hover-field labels of the report.
@@ -47,8 +48,10 @@ def kpi_row(df: DataFrame, key: str, order: str, name: str, measure: str,
 def share_of_total(df: DataFrame, value: str, by: list[str] | None = None,
                    out: str = "share") -> DataFrame:
     """``value / sum(value)`` over all rows (or within ``by``); a zero
-    total gives NULL. The overall total is a scalar subquery; per-group
-    totals are aggregated and joined back on the group keys."""
+    total gives NULL. The input is stored first, so that what it aggregates is
+    read once; the overall total is a scalar subquery over the stored rows,
+    per-group totals are joined back on the group keys."""
+    df = stored(df, "shares")
     if not by:
         tot = df.agg(F.sum(value).alias("__total"))
         joined = attach(df, tot)
@@ -76,12 +79,6 @@ def payer_mix(df: DataFrame, key: str, order: str, total: str,
     return sums.select(F.inline(F.array(*rows)))
 
 
-def org_rows(df: DataFrame, key: str, order: str, measures: list[str]) -> DataFrame:
-    """The first row's measures per key: the organisation grain of a
-    site-grain table (used for org-level fits and top lists)."""
-    return first_at_grain(df, key, order, measures)
-
-
 def map_layer(df: DataFrame, lat: str, lon: str, size: str, color: str, title: str,
               hover: dict[str, bool]) -> DataFrame:
     """Position, size and colour measures, the hover title and only the
@@ -123,6 +120,8 @@ def page_after(df: DataFrame, order: list[str], last: tuple | None, size: int) -
     return df.orderBy(*order).limit(size)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """L1: n rows drawn without replacement (fewer if fewer exist)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """L1: n rows drawn without replacement (fewer if fewer exist): those
+    whose key hashes lowest under the seed, so a rerun draws the same."""
+    draw = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"|{seed}")))
+    return df.orderBy(draw, key).limit(n)

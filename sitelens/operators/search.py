@@ -1,23 +1,19 @@
 """Search index build and weighted keyword search, re-aimed from the
 browser search as batch jobs (T3, T5, W2, K12, K13).
 
-Index build (T5) is native string work per page: no Python on the path.
-Keyword search (T3) matches every query term against every record field in
-one pass over the records with an Aho-Corasick automaton, so the cost grows
-with the text scanned (plus hits), not with records x queries. The term list
-is broadcast behind a size check.
+Index build (T5) is native string work per page. Keyword search (T3) is a
+join: every term is keyed by its rarest three-letter run, records that hold
+that run are the candidates, and ``contains`` decides. Neither the terms nor
+the records pass through the driver or a broadcast.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions.text import slugify, snippet
 from sitelens.functions.urls import add_param
-from sitelens.session import spread
 
 # Field weights, result limit, shortest match and how many
 # hits of one page are shown before the "n more" line.
@@ -26,22 +22,24 @@ RESULT_LIMIT = 50
 MIN_MATCH_CHARS = 2
 COLLAPSE_AFTER = 3
 QUERY_ARG = "q"
-MAX_TERMS = 100_000
+RUN = 3                     # letters of a run that keys a term
 
 # Markers for section starts, block-ending tags turned into line
 # breaks, dropped elements and decoded entities.
 SECTION_START = "\u0001"
+ATTRIBUTES_END = "\u0003"
 HEADING_END = "\u0002"
 DROP_ELEMENTS = (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>"
                  r"|<footer\b.*?</footer\s*>|<!--.*?-->|<h1\b.*?</h1\s*>")
-HEADING = r"(?is)<h[2-6][^>]*>(.*?)</h[2-6]\s*>"
-BOLD_LEAD = r"(?is)<p[^>]*>\s*<b>(.*?)(</b>|<br\s*/?>)"
+HEADING = r"(?is)<h[2-6]\b([^>]*)>(.*?)</h[2-6]\s*>"
+HEADING_ID = r"(?i)(?:^|\s)id\s*=\s*[\"']?([^\"'\s>]+)"
 LINE_BREAKS = r"(?i)<br\s*/?>|</(p|div|li|tr|ul|ol|table|section|header|blockquote|pre)\s*>"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
-NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+NUMERIC_ENTITY = r"&#([0-9]+|[xX][0-9a-fA-F]+);"
+REPLACEMENT = 0xFFFD        # for code points that no text may hold
 
 
 def _utf8_hex(n: Column) -> Column:
@@ -62,16 +60,20 @@ def decode_numeric_entities(c: Column) -> Column:
     at the entities, each code point is encoded as UTF-8 bytes and decoded,
     and the pieces are joined again. Applied to markup before tags are
     removed, so ``<``, ``>`` and ``&`` come out as their named entities (text,
-    not markup) and the section markers U+0001/U+0002 as nothing."""
+    not markup) and the section markers U+0001 to U+0003 as nothing; numbers that are no
+    code point of a text (0, surrogates, above 10FFFF) as U+FFFD."""
     pieces = F.split(c, NUMERIC_ENTITY, -1)
     codes = F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY), 1)
 
     def char(code):
-        cp = (F.when(F.lower(F.substring(code, 1, 1)) == "x",
-                     F.conv(F.substring(code, 2, 8), 16, 10).cast("int"))
-              .otherwise(code.cast("int")))
+        hexed = F.lower(F.substring(code, 1, 1)) == "x"
+        digits = F.regexp_replace(F.when(hexed, F.substr(code, F.lit(2))).otherwise(code), "^0+", "")
+        n = F.when(F.length(digits) > 8, REPLACEMENT).when(hexed, F.conv(digits, 16, 10).cast("bigint")).otherwise(
+            F.try_to_number(digits, F.lit("99999999")).cast("bigint"))
+        n = F.coalesce(n, F.lit(0))
+        cp = F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), REPLACEMENT).otherwise(n).cast("int")
         return (F.when(cp == 60, F.lit("&lt;")).when(cp == 62, F.lit("&gt;"))
-                .when(cp == 38, F.lit("&amp;")).when(cp.isin(1, 2), F.lit(""))
+                .when(cp == 38, F.lit("&amp;")).when(cp.isin(1, 2, 3), F.lit(""))
                 .otherwise(F.decode(F.unhex(_utf8_hex(cp)), "UTF-8")))
     chars = F.transform(codes, char)
     decoded = F.array_join(F.transform(
@@ -97,24 +99,37 @@ def _content(html: Column) -> Column:
     def grab(pattern: str) -> Column:
         v = F.regexp_extract(html, pattern, 1)
         return F.when(v != "", v)
-    return F.coalesce(grab(r"(?is)<article[^>]*>(.*?)</article>"),
-                      grab(r"(?is)<article[^>]*>(.*)"),
+    articles = F.regexp_extract_all(html, F.lit(r"(?is)<article\b[^>]*>(.*?)</article\s*>"), 1)
+    return F.coalesce(F.when(F.size(articles) > 0, F.array_join(articles, "\n")),
+                      grab(r"(?is)<article\b[^>]*>(.*)"),
                       grab(r"(?is)<body[^>]*>(.*)"),
                       html)
 
 
+def _unique(bases: Column) -> Column:
+    """Anchors in order, each one that is taken already followed by the first
+    free number."""
+    def add(used: Column, base: Column) -> Column:
+        numbered = F.transform(F.sequence(F.lit(1), F.size(used) + 1), lambda n: F.concat(base, F.lit("-"), n.cast("string")))
+        free = F.element_at(F.filter(numbered, lambda x: ~F.array_contains(used, x)), 1)
+        return F.concat(used, F.array(F.when(F.array_contains(used, base), free).otherwise(base)))
+
+    return F.aggregate(bases, F.array().cast("array<string>"), add)
+
+
 def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                   html: str = "html") -> DataFrame:
     """T5: one record for the page (empty ``section``; text = the part before
-    the first section heading, or the first section when that is empty) and
-    one record per section (``h2``-``h6`` headings and bold lead-in
-    paragraphs), ``href = url#anchor`` with repeated anchors numbered.
+    the first heading, or the first section's when that is empty) and one
+    record per section (``h2``-``h6``), ``href = url#anchor``. The anchor is
+    the heading's ``id`` or else its slug, numbered where a page repeats it.
+    The first section has an empty ``section`` and its text lacks the heading,
+    as in the published index. (``page_id``, ``position``) names a record.
 
     Each page is parsed once, in its own row: the records are built as one
     array per page and exploded, so there is no shuffle and no second pass.
     """
-    pages = spread(pages)
-    h = F.col(html)
+    h = F.translate(F.col(html), SECTION_START + HEADING_END + ATTRIBUTES_END, "")
     # staged projections: each step is a named column the next one reads, so
     # no expression tree is copied into every later use
     raw = pages.select(
@@ -124,199 +139,123 @@ def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     decoded = raw.select(
         "page_id", "url", clean_text(decode_numeric_entities(F.col("title_raw"))).alias("title"),
         decode_numeric_entities(F.col("dropped")).alias("body"))
-    marked = F.regexp_replace(F.regexp_replace("body", HEADING, SECTION_START + "$1" + HEADING_END),
-                              BOLD_LEAD, SECTION_START + "$1" + HEADING_END)
+    marked = F.regexp_replace("body", HEADING, SECTION_START + "$1" + ATTRIBUTES_END + "$2" + HEADING_END)
     split = decoded.select("page_id", "url", "title", F.split(marked, SECTION_START, -1).alias("parts"))
     parts = F.col("parts")
     staged = split.select(
         "page_id", "url", "title",
         clean_text(parts[0]).alias("intro"),
         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("secs"))
+    after = lambda p, mark: F.substr(p, F.instr(p, mark) + 1)
     staged = staged.select(
         "page_id", "url", "title", "intro",
-        F.transform("secs", lambda p: clean_text(F.substring_index(p, HEADING_END, 1))).alias("heads"),
-        F.transform("secs", lambda p: clean_text(F.regexp_extract(p, "(?s)" + HEADING_END + "(.*)", 1)))
-        .alias("bodies"))
-    staged = staged.withColumn("slugs", F.transform("heads", slugify))
-    staged = staged.withColumn("anchors", F.transform(
-        "slugs", lambda s, i: F.when(
-            F.size(F.filter(F.slice("slugs", F.lit(1), i), lambda y: y == s)) == 0, s)
-        .otherwise(F.concat(s, F.lit("-"), F.size(F.filter(F.slice("slugs", F.lit(1), i),
-                                                              lambda y: y == s)).cast("string")))))
-    first_section = F.when(F.size("heads") > 0,
-                           F.concat(F.col("heads")[0], F.lit("\n"), F.col("bodies")[0]))
+        F.transform("secs", lambda p: F.regexp_extract(F.substring_index(p, ATTRIBUTES_END, 1), HEADING_ID, 1)).alias("ids"),
+        F.transform("secs", lambda p: clean_text(after(F.substring_index(p, HEADING_END, 1), ATTRIBUTES_END))).alias("heads"),
+        F.transform("secs", lambda p: clean_text(after(p, HEADING_END))).alias("bodies"))
+    staged = staged.withColumn("anchors", _unique(F.transform(
+        F.arrays_zip("ids", "heads"), lambda z: F.when(z["ids"] != "", z["ids"]).otherwise(slugify(z["heads"])))))
     doc = F.struct(
         F.col("url").alias("href"), F.lit("").alias("section"),
         F.when(F.col("intro") != "", F.col("intro"))
-        .otherwise(F.coalesce(first_section, F.lit(""))).alias("text"),
+        .otherwise(F.coalesce(F.get("bodies", F.lit(0)), F.lit(""))).alias("text"),
         F.lit(0).alias("position"))
     sections = F.transform(
         F.arrays_zip("heads", "bodies", "anchors"),
         lambda z, i: F.struct(
             F.concat(F.col("url"), F.lit("#"), z["anchors"]).alias("href"),
-            z["heads"].alias("section"),
-            F.concat(z["heads"], F.lit("\n"), z["bodies"]).alias("text"),
+            F.when(i == 0, "").otherwise(z["heads"]).alias("section"),
+            F.when(i == 0, z["bodies"]).otherwise(F.concat(z["heads"], F.lit("\n"), z["bodies"])).alias("text"),
             (i + 1).alias("position")))
     records = F.concat(F.array(doc), sections)
     out = staged.select("page_id", "title", F.inline(records))
     return out.select("page_id", "href", "title", "section", "text", "position")
 
 
-def _matcher(terms_bc, key: str, fields: list[str], weights: list[int], error_ratio: float):
-    """Per-partition matcher. Self-contained (no module globals), so workers
-    need nothing but the broadcast; the automaton is kept in the Python
-    worker (workers are reused across tasks) under the term list's digest.
+def _with_runs(df: DataFrame, c: Column, sizes: list[int], out: str) -> DataFrame:
+    """``df`` with the distinct runs of a text, of each of the sizes, exploded."""
+    lettered = df.withColumn("__letters", F.split(c, ""))
 
-    A term of length m matches when some substring of the text is within
-    ``floor(error_ratio * m)`` edits of it (0: exact substring). For k > 0
-    edits the term is cut into k + 1 pieces; any such substring contains one
-    piece unchanged, so the automaton finds the candidates and a fuzzy
-    regular expression (at most k insertions, deletions or substitutions)
-    over a small window around each candidate decides.
-    """
-    def run(batches):
-        import math
-        import sys
-        import types
-
-        import pandas as pd
-        cache = sys.modules.get("_sitelens_automata")
-        if cache is None:
-            cache = types.ModuleType("_sitelens_automata")
-            cache.by_key = {}
-            sys.modules["_sitelens_automata"] = cache
-        auto = cache.by_key.get(key)
-        if auto is None:
-            import ahocorasick
-            auto = ahocorasick.Automaton()
-            entries: dict[str, list] = {}
-            for term in terms_bc.value:
-                k = int(math.floor(error_ratio * len(term) + 1e-9))
-                if k == 0:
-                    entries.setdefault(term, []).append((term, 0, len(term), 0))
-                    continue
-                step = len(term) / (k + 1)
-                for j in range(k + 1):
-                    a, b = int(round(j * step)), int(round((j + 1) * step))
-                    entries.setdefault(term[a:b], []).append((term, a, b - a, k))
-            for piece, payload in entries.items():
-                auto.add_word(piece, payload)
-            auto.make_automaton()
-            cache.by_key.clear()
-            cache.by_key[key] = auto
-
-        patterns: dict[str, object] = {}
-
-        def within(term: str, window: str, k: int) -> bool:
-            # some substring of window within k edits of term (C fuzzy matcher)
-            pat = patterns.get(term)
-            if pat is None:
-                import regex
-                pat = regex.compile(f"(?:{regex.escape(term)}){{e<={k}}}")
-                patterns[term] = pat
-            return pat.search(window) is not None
-
-        def found_terms(text: str) -> set:
-            hits = set()
-            for end, payload in auto.iter(text):
-                for term, offset, length, k in payload:
-                    if term in hits:
-                        continue
-                    if k == 0:
-                        hits.add(term)
-                        continue
-                    # the piece sits at text[end-length+1 : end+1]; with at most
-                    # k edits the term starts within k of `start`
-                    start = end - length + 1 - offset
-                    lo, hi = max(0, start - k), min(len(text), start + len(term) + k)
-                    if within(term, text[lo:hi], k):
-                        hits.add(term)
-            return hits
-
-        for pdf in batches:
-            out_key, out_term, out_score = [], [], []
-            columns = [pdf[f].tolist() for f in fields]
-            for r, rec in enumerate(pdf["__key"].tolist()):
-                score: dict[str, int] = {}
-                for values, w in zip(columns, weights):
-                    text = values[r]
-                    if not isinstance(text, str) or not text:
-                        continue
-                    for term in found_terms(text.lower()):
-                        score[term] = score.get(term, 0) + w
-                for term, sc in score.items():
-                    out_key.append(rec)
-                    out_term.append(term)
-                    out_score.append(sc)
-            yield pd.DataFrame({"__key": pd.Series(out_key, dtype=object),
-                                "term": pd.Series(out_term, dtype=object),
-                                "score": pd.Series(out_score, dtype="int32")})
-    return run
+    def of(n: int) -> Column:
+        first = F.slice("__letters", 1, F.greatest(F.size("__letters") - n + 1, F.lit(0)))
+        return F.transform(first, lambda x, i: F.concat(x, *[F.get("__letters", i + k) for k in range(1, n)]))
+
+    every = F.concat(*[of(n) for n in sizes])
+    return lettered.withColumn(out, F.explode(F.array_distinct(every))).drop("__letters")
 
 
 def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "query") -> DataFrame:
-    """Normalised terms: lower case, trimmed, at least two characters (an
-    empty query finds nothing)."""
+    """(query_id, query, term): the user's text and its normalised term, lower
+    case, trimmed, of at least two characters (an empty query finds nothing)."""
     term = F.lower(F.trim(F.col(query)))
-    return (queries.select(F.col(query_id).alias("query_id"), term.alias("term"))
+    return (queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query"), term.alias("term"))
             .filter(F.length("term") >= MIN_MATCH_CHARS))
 
 
+def record_names(records: DataFrame, key: str) -> list[str]:
+    """The columns that name a record: (page_id, position) where there are
+    such, else ``key``, which is then unique."""
+    return ["page_id", "position"] if {"page_id", "position"} <= set(records.columns) else [key]
+
+
 def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
-                 weights: dict[str, int] | None = None, max_terms: int = MAX_TERMS,
-                 error_ratio: float = 0.0) -> DataFrame:
+                 weights: dict[str, int] | None = None) -> DataFrame:
     """Every (record, term) pair where the term occurs (case-insensitive
     substring) in at least one field, with ``score = Σ weight(field)``.
 
-    The distinct terms are broadcast after a size check; each task builds
-    one automaton and scans its records once.
+    Terms and records are split into runs of three characters (terms of two:
+    into runs of two); a term is keyed by the one of its runs that fewest
+    records hold, and compared with those records only. A record holds each
+    of a term's runs in one field if it contains the term there.
     """
     weights = weights or FIELD_WEIGHTS
-    # one job: at most max_terms + 1 distinct terms reach the driver
-    found = [r[0] for r in terms.select("term").distinct().limit(max_terms + 1).collect()]
-    if len(found) > max_terms:
-        raise ValueError(f"more than {max_terms} distinct search terms; split the query set")
-    fields = list(weights)
-    if not found:
-        return records.select(F.col(key).cast("string").alias(key), F.lit(None).cast("string")
-                              .alias("term"), F.lit(0).alias("score")).filter(F.lit(False))
-    bc = records.sparkSession.sparkContext.broadcast(found)
-    digest = hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
-    rec = spread(records.select(F.col(key).cast("string").alias("__key"), *fields))
-    return (rec.mapInPandas(_matcher(bc, f"{digest}:{error_ratio}", fields,
-                                     [weights[f] for f in fields], error_ratio),
-                            "__key string, term string, score int")
-            .withColumnRenamed("__key", key))
+    names = record_names(records, key)
+    words = terms.select("term").distinct()
+    split = [_with_runs(words.filter(c), F.col("term"), [n], "run")
+             for n, c in ((RUN, F.length("term") >= RUN), (RUN - 1, F.length("term") < RUN))]
+    wanted = split[0].unionByName(split[1])
+    rec = records.select(*dict.fromkeys([*names, key]), *weights)
+    per_field = F.array_distinct(F.array(*[F.lower(F.coalesce(F.col(f), F.lit(""))) for f in weights]))
+    held = rec.select(*names, F.explode(per_field).alias("__field"))
+    held = _with_runs(held, F.col("__field"), [RUN - 1, RUN], "run").select(*names, "run")
+    held = held.join(wanted.select("run").distinct(), "run", "left_semi").distinct()
+    rarity = held.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    best = wanted.join(rarity, "run", "left").groupBy("term").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run").alias("run"))).alias("b"))
+    keyed = best.filter("b.n > 0").select("term", "b.run")
+    pairs = held.join(keyed, "run").select(*names, "term")
+    found = pairs.join(rec, names)
+    hit = lambda f: F.contains(F.lower(F.coalesce(F.col(f), F.lit(""))), F.col("term"))
+    score = sum((F.when(hit(f), w).otherwise(0) for f, w in weights.items()), F.lit(0))
+    return found.select(*dict.fromkeys([*names, key]), "term", score.cast("int").alias("score")).filter("score > 0")
 
 
 def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_LIMIT,
                    key: str = "href", weights: dict[str, int] | None = None,
-                   query_id: str = "query_id", query: str = "query",
-                   error_ratio: float = 0.0, details: bool = True) -> DataFrame:
-    """Best ``limit`` records per query by score, ties by ``key``.
-
-    Output: query_id, query, rank, href, score, title, section, text,
-    link (href with ``?q=query``) and snippet (marked, clipped text).
-    The top-k is a ``row_number`` filter, planned with a partial group limit
-    before the shuffle, so a term that hits most records stays cheap.
-    ``error_ratio=0.1`` accepts up to 10% edits of the term's length (the
-    source's fuzzy threshold with location ignored); 0 is exact matching.
-    ``details=False`` returns only query_id, query, rank, href and score,
-    without reading the records a second time.
+                   query_id: str = "query_id", query: str = "query", details: bool = True) -> DataFrame:
+    """Best ``limit`` records per query by score, ties by ``key`` (and by
+    the record's name, where several share the key).
+
+    Output: query_id, query (the user's text), rank, href, score, title,
+    section, text, link (href with ``?q=query``) and snippet (marked, clipped
+    text). Equal terms are searched once. The top-k is a ``row_number``
+    filter, planned with a partial group limit before the shuffle, so a term
+    that hits most records stays cheap. ``details=False`` returns only
+    query_id, query, rank, href and score, without reading the records again.
     """
+    names = record_names(records, key)
     terms = search_terms(queries, query_id, query)
-    hits = keyword_hits(terms, records, key, weights, error_ratio=error_ratio)
-    w = Window.partitionBy("term").orderBy(F.col("score").desc(), F.col(key))
+    hits = keyword_hits(terms, records, key, weights)
+    w = Window.partitionBy("term").orderBy(F.col("score").desc(), F.col(key), *[n for n in names if n != key])
     top = (hits.withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= limit))
-    # the term list was size-checked above, so it may be broadcast
-    top = top.join(F.broadcast(terms), "term")
+    top = top.join(terms, "term")
     if not details:
-        return top.select("query_id", F.col("term").alias("query"), "rank", key, "score")
-    out = top.join(records.select(key, "title", "section", "text"), key)
+        return top.select("query_id", "query", "rank", key, "score")
+    more = records.select(*names, *[c for c in ("title", "section", "text") if c not in names])
+    out = top.join(more, names)
     return out.select(
-        "query_id", F.col("term").alias("query"), "rank", key, "score", "title", "section", "text",
-        add_param(F.col(key), QUERY_ARG, F.col("term")).alias("link"),
+        "query_id", "query", "rank", key, "score", "title", "section", "text",
+        add_param(F.col(key), QUERY_ARG, F.col("query")).alias("link"),
         snippet(F.col("text"), F.col("term")).alias("snippet"))
 
 

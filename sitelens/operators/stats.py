@@ -7,12 +7,13 @@ group holding a third of the rows still splits across many tasks.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitelens.functions._util import col
+from sitelens.session import stored
 
 
 def pearson(x: str | Column, y: str | Column) -> Column:
@@ -36,14 +37,14 @@ def correlation(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> D
 
 
 def quantiles(df: DataFrame, c: str, probs=(0.1, 0.5, 0.9), by: list[str] | None = None,
-              method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """A10: one row per probability (linear interpolation; NULLs skipped).
-
-    ``exact`` (Spark's ``percentile``) keeps every distinct value of a group
-    in one aggregation buffer: right for per-group or modest columns.
-    ``distributed`` is exact too, for huge columns or groups: no task ever
-    holds more than a range slice of a group's distinct values.
-    ``approx`` is ``percentile_approx``.
+              method: str = "distributed", accuracy: int = 10000) -> DataFrame:
+    """A10: one row per probability (linear interpolation; NULLs skipped; a
+    column or group without values gives NULLs).
+
+    ``distributed`` is exact: no task ever holds more than a range slice of a
+    group's distinct values. ``exact`` (Spark's ``percentile``) keeps every
+    distinct value of a group in one aggregation buffer: for modest columns
+    only. ``approx`` is ``percentile_approx``.
     """
     probs = [float(p) for p in probs]
     if method == "distributed":
@@ -59,8 +60,8 @@ def quantiles(df: DataFrame, c: str, probs=(0.1, 0.5, 0.9), by: list[str] | None
         raise ValueError(method)
     keys = list(by or [])
     wide = (df.groupBy(*keys) if keys else df).agg(agg.alias("__q"))
-    return (wide.select(*keys, F.posexplode("__q").alias("__i", "value"))
-            .select(*keys, F.element_at(arr, F.col("__i") + 1).alias("probability"), "value"))
+    rows = F.transform(arr, lambda p, i: F.struct(p.alias("probability"), F.get("__q", i).alias("value")))
+    return wide.select(*keys, F.inline(rows))
 
 
 def distributed_quantiles(df: DataFrame, c: str, probs, slices: int | None = None) -> DataFrame:
@@ -74,12 +75,11 @@ def distributed_quantiles(df: DataFrame, c: str, probs, slices: int | None = Non
     4. only the slices holding a wanted rank are scanned with a running sum
        (window per slice) to find the value at that rank.
     """
-    from sitelens.session import cut_lineage
     spark = df.sparkSession
     m = slices or spark.sparkContext.defaultParallelism
     counts = (df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
               .groupBy("v").agg(F.count(F.lit(1)).alias("k")))
-    ranged = cut_lineage(counts.repartitionByRange(m, "v")
+    ranged = stored(counts.repartitionByRange(m, "v")
                          .withColumn("slice", F.spark_partition_id()))
     sizes = {r["slice"]: r["n"] for r in
              ranged.groupBy("slice").agg(F.sum("k").alias("n")).collect()}
@@ -120,51 +120,45 @@ def distributed_group_quantiles(df: DataFrame, c: str, probs, by: list[str],
                                 slices: int | None = None) -> DataFrame:
     """Exact per-group quantiles by rank, safe for a group holding most rows.
 
-    (group, value) counts are range-partitioned into slices (checkpointed so
-    slice ids stay fixed); a window over the few (group, slice) rows gives
-    each slice's first rank within its group; the wanted ranks (one row per
-    group and probability, exploded, no join with a table of probabilities)
-    are located in their slices, and only those (group, slice) partitions
-    are scanned with a running sum. Groups are keyed by a JSON surrogate so
-    that NULL group keys join like any other.
+    (group, value) counts are range-partitioned into slices (stored, so slice
+    ids stay fixed); a window over the few (group, slice) rows gives each
+    slice's first rank within its group; the wanted ranks (one row per group,
+    probability and neighbour) are located in their slices, and only those
+    (group, slice) partitions are scanned with a running sum. Groups are
+    compared by their own values; NULL group keys are a group like any other,
+    and a group without values gives NULLs.
     """
-    from sitelens.session import cut_lineage
-    spark = df.sparkSession
-    m = slices or spark.sparkContext.defaultParallelism
-    gkey = F.to_json(F.struct(*[F.col(b) for b in by]))
-    base = (df.select(gkey.alias("__g"), *by, F.col(c).cast("double").alias("v"))
-            .filter(F.col("v").isNotNull()))
-    key_schema = T.StructType([df.schema[b] for b in by])
-    counts = base.groupBy("__g", "v").agg(F.count(F.lit(1)).alias("k"))
-    ranged = cut_lineage(counts.repartitionByRange(m, "__g", "v")
-                         .withColumn("slice", F.spark_partition_id()))
-    per = ranged.groupBy("__g", "slice").agg(F.sum("k").alias("n_s"))
-    per = (per.withColumn("start", F.sum("n_s").over(Window.partitionBy("__g").orderBy("slice"))
-                          - F.col("n_s"))
-           .withColumn("n", F.sum("n_s").over(Window.partitionBy("__g"))))
+    m = slices or df.sparkSession.sparkContext.defaultParallelism
+    g = [f"__g{i}" for i in range(len(by))]
+    named = df.select(*[F.col(b).alias(x) for b, x in zip(by, g, strict=True)], F.col(c).cast("double").alias("v"))
+    counts = named.groupBy(*g, "v").agg(F.count(F.lit(1)).alias("k"))
+    ranged = stored(counts.repartitionByRange(m, *g, "v").withColumn("slice", F.spark_partition_id()), "ranges")
+
+    def match(a: DataFrame, b: DataFrame, more: list[str], how: str = "inner") -> DataFrame:
+        """Join on the groups (NULL equals NULL) and on ``more``."""
+        b = b.select(*[F.col(x).alias(f"{x}_b") if x in g + more else F.col(x) for x in b.columns])
+        on = [a[x].eqNullSafe(b[f"{x}_b"]) for x in g] + [a[x] == b[f"{x}_b"] for x in more]
+        return a.join(b, reduce(lambda p, q: p & q, on), how).drop(*[f"{x}_b" for x in g + more])
+
+    per = ranged.groupBy(*g, "slice").agg(F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("k"))), F.lit(0)).alias("n_s"))
+    group = Window.partitionBy(*g)
+    per = per.withColumns({"start": F.sum("n_s").over(group.orderBy("slice")) - F.col("n_s"), "n": F.sum("n_s").over(group)})
+    per = stored(per, "slices")
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (per.select("__g", "n").distinct()
-               .select("__g", "n", F.explode(arr).alias("probability"))
-               .withColumn("pos", F.col("probability") * (F.col("n") - 1))
-               .withColumn("lo", F.floor("pos")).withColumn("hi", F.ceil("pos")))
-    ranks = targets.select("__g", F.explode(F.array("lo", "hi")).alias("rank")).distinct()
-    located = (ranks.join(per, "__g")
-               .filter((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n_s")))
-               .select("__g", "slice", "rank", (F.col("rank") - F.col("start")).alias("local")))
-    w = Window.partitionBy("__g", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    run = (ranged.join(located.select("__g", "slice").distinct(), ["__g", "slice"], "left_semi")
-           .withColumn("cum", F.sum("k").over(w)))
-    at = (run.join(located, ["__g", "slice"])
-          .filter((F.col("cum") - F.col("k") <= F.col("local")) & (F.col("local") < F.col("cum")))
-          .select("__g", "rank", "v"))
-    lo = at.select("__g", F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
-    hi = at.select("__g", F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
-    out = (targets.join(lo, ["__g", "lo"]).join(hi, ["__g", "hi"])
-           .select("__g", "probability",
-                   (F.col("v_lo") + (F.col("pos") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
-                   .alias("value")))
-    keys = F.from_json("__g", key_schema)
-    return out.select(*[keys[b].alias(b) for b in by], "probability", "value")
+    targets = (per.select(*g, "n").distinct().select(*g, "n", F.explode(arr).alias("probability"))
+               .withColumn("pos", F.col("probability") * (F.col("n") - 1)))
+    wanted = targets.select(*g, "probability", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank")).distinct()
+    located = match(wanted, per.select(*g, "slice", "start", "n_s"), []).filter(
+        (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n_s")))
+    located = stored(located.select(*g, "slice", "probability", "pos", "rank", (F.col("rank") - F.col("start")).alias("local")), "ranks")
+    slice_order = Window.partitionBy(*g, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    run = match(ranged.filter("v IS NOT NULL"), located.select(*g, "slice").distinct(), ["slice"], "left_semi")
+    run = run.withColumn("cum", F.sum("k").over(slice_order))
+    at = match(located, run, ["slice"]).filter((F.col("cum") - F.col("k") <= F.col("local")) & (F.col("local") < F.col("cum")))
+    low, high = F.min("v"), F.max("v")
+    value = at.groupBy(*g, "probability").agg((low + (F.max("pos") - F.floor(F.max("pos"))) * (high - low)).alias("value"))
+    out = match(targets.select(*g, "probability"), value, ["probability"], "left")
+    return out.select(*[F.col(x).alias(b) for b, x in zip(by, g, strict=True)], "probability", "value")
 
 
 def ols_terms(x: str, y: str) -> list[Column]:
@@ -194,6 +188,7 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def ols_fitted(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rows with the fitted value ``intercept + slope * x`` of the overall fit."""
+    df = stored(df, "fitted")       # read once, for the fit and for the rows
     coef = df.agg(*ols_terms(x, y)).select("slope", "intercept")
     return (attach(df, coef)
             .withColumn("fitted", F.col("intercept") + F.col("slope") * F.col(x).cast("double")))

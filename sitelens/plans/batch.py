@@ -2,15 +2,16 @@
 
 Stages follow the reference's scripts and gate (ingest -> clean -> join ->
 analyse, then the data-quality tests), but as one Spark application: each
-stage output is a DataFrame, the joined table is written once (parquet, plus
-an optional CSV export) and every report table is computed from that written
-table. The gate runs before the report tables are published; a failed rule
-stops the job.
+stage output is a DataFrame, the joined table is written to a staging
+folder, gated, and only then published (parquet, plus an optional CSV export);
+every report table is computed from the published table. A failed rule stops
+the job and leaves the published tables of the last good run in place.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitelens.operators import quality
 from sitelens.plans import jobs
@@ -23,20 +24,22 @@ def refresh(spark: SparkSession, sites_path: str, orgs_path: str, out: str,
             export_csv: bool = False, enforce_gate: bool = True) -> dict[str, DataFrame]:
     """Run the refresh; returns the published tables (read back from ``out``)."""
     sites_raw = strip_cell_text(read_workbook(spark, sites_path))
-    sites = jobs.clean_sites(sites_raw.withColumnRenamed("_row", "site_row"),
-                             region=region, ordinal="site_row")
+    sites_raw = sites_raw.withColumn("site_row", F.concat_ws("#", "_file", F.lpad(F.col("_row").cast("string"), 10, "0")))
+    sites = jobs.clean_sites(sites_raw, region=region, ordinal="site_row")
     sites = sites.withColumns({c: sites[c].cast("double") for c in ("latitude", "longitude")})
     orgs = jobs.org_metrics(strip_cell_text(read_workbook(spark, orgs_path, sheet=orgs_sheet)))
     joined = jobs.enrich(sites, orgs)
-    write_table(joined, f"{out}/joined")
-    if export_csv:
-        write_table(joined, f"{out}/joined_csv", fmt="csv")
-    joined = spark.read.parquet(f"{out}/joined")
+    write_table(joined, f"{out}/_staging/joined")
+    joined = spark.read.parquet(f"{out}/_staging/joined")
 
     gate = jobs.quality_gate(joined)
     write_table(gate, f"{out}/quality_gate")
     if enforce_gate:
         quality.enforce(spark.read.parquet(f"{out}/quality_gate"))
+    write_table(joined, f"{out}/joined")
+    if export_csv:
+        write_table(joined, f"{out}/joined_csv", fmt="csv")
+    joined = spark.read.parquet(f"{out}/joined")
 
     tables = jobs.landscape_report(joined, "site_row")
     corr, deciles = jobs.size_vs_mix(joined)

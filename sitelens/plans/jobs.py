@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import fmt_fixed, fmt_pct, normalise_key, parts_sum, ratio_or_zero
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
-from sitelens.session import cut_lineage
+from sitelens.session import stored
 
 # Header names of the raw sites sheet and the org-metrics
 # sheet, and the clean column names they become.
@@ -63,10 +63,10 @@ def org_metrics(raw: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return clean.drop_null_keys(df, "bhcmis_id")
 
 
-def enrich(sites: DataFrame, orgs: DataFrame, broadcast_max_rows: int | None = None) -> DataFrame:
+def enrich(sites: DataFrame, orgs: DataFrame) -> DataFrame:
     """M3: normalised site keys, left join of the org measures."""
     sites = sites.withColumn("bhcmis_id", normalise_key("bhcmis_id"))
-    return join.enrich_left(sites, orgs, "bhcmis_id", broadcast_max_rows=broadcast_max_rows)
+    return join.enrich_left(sites, orgs, "bhcmis_id")
 
 
 def size_vs_mix(joined: DataFrame, threshold: float = 100) -> tuple[DataFrame, DataFrame]:
@@ -119,7 +119,7 @@ def landscape_report(joined: DataFrame, ordinal: str) -> dict[str, DataFrame]:
         "org_fit": stats.ols(orgs, "total_patients", "pct_medicaid"),
         "org_fitted": stats.ols_fitted(orgs, "total_patients", "pct_medicaid"),
         "table": display_table(rf),
-        "sample": report.sample_n(rf.select("site_name", "city", "county", "type"), 5),
+        "sample": report.sample_n(rf, 5, ordinal).select("site_name", "city", "county", "type"),
     }
 
 
@@ -150,11 +150,13 @@ def catalogue_facets(items: DataFrame, categories: str = "categories") -> DataFr
 
 
 def catalogue_views(items: DataFrame, category: str = "", page_number: int = 1,
-                    page_size: int = 20, term: str | None = None) -> dict[str, DataFrame]:
+                    page_size: int = 20, term: str | None = None,
+                    key: str | None = None) -> dict[str, DataFrame]:
     """M8: facets, the items of one category newest first, one page of them
-    and a text search over title and description."""
+    and a text search over title and description. ``key`` breaks the ties of
+    date and title."""
     chosen = catalogue.category_filter(items, "categories", category)
-    newest_first = [F.col("date").desc_nulls_last(), F.col("title")]
+    newest_first = [F.col("date").desc_nulls_last(), F.col("title"), *([F.col(key)] if key else [])]
     views = {"facets": catalogue_facets(items),
              "listing": catalogue.listing_order(chosen),
              "page": report.page(chosen, newest_first, page_number, page_size)}
@@ -165,7 +167,7 @@ def catalogue_views(items: DataFrame, category: str = "", page_number: int = 1,
 
 def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M9: index build, weighted search, per-page collapse."""
-    records = cut_lineage(search.page_sections(pages))
+    records = stored(search.page_sections(pages), "index")
     results = search.keyword_search(queries, records)
     return results, search.collapse_hits(results)
 

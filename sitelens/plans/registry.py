@@ -8,6 +8,7 @@ sampling, the 50-result search limit).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,8 @@ from sitelens.functions import (
 )
 from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
 from sitelens.plans import jobs, sql, standins as S
-from sitelens.session import spread
-from sitelens.sources.readers import preview, profile
+from sitelens.session import work_folder
+from sitelens.sources.readers import preview, profile, read_listings, read_table, write_table
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -306,10 +307,11 @@ def page_keyset(spark, d):
     return report.page_after(j, ["organization", "site_id"], ("Org 5", 0), 25)
 
 
-@register("sample_n", None)
+@register("sample_n", sql.with_joined("""
+SELECT site_name, city, county, type FROM joined
+ORDER BY md5(CAST(site_id AS VARCHAR) || '|42'), site_id LIMIT 5"""))
 def sample_n(spark, d):
-    j = S.joined(spark, d)
-    return report.sample_n(j.select("site_name", "city", "county", "type"), 5)
+    return report.sample_n(S.joined(spark, d), 5, "site_id").select("site_name", "city", "county", "type")
 
 
 @register("display_table", sql.with_joined("""
@@ -395,7 +397,7 @@ SELECT doc_id, lang || ', ' || source AS categories, {_WC} AS word_count,
        CAST(ceil({_WC} / 200.0) AS INTEGER) AS reading_time
 FROM documents""")
 def listing(spark, d):
-    items = spread(_items(spark, d)).withColumn("word_count", word_count("text"))
+    items = _items(spark, d).withColumn("word_count", word_count("text"))
     return items.select("doc_id", F.array_join("categories", ", ").alias("categories"),
                         "word_count", reading_time("word_count").alias("reading_time"))
 
@@ -404,8 +406,7 @@ def listing(spark, d):
 SELECT doc_id, {_WC} AS word_count, CAST(ceil({_WC} / 200.0) AS INTEGER) AS reading_time
 FROM documents""")
 def word_count_q(spark, d):
-    # splitting every text is the CPU-heavy step: spread a few-file table
-    docs = spread(S.table(spark, d, "documents")).withColumn("word_count", word_count("text"))
+    docs = S.table(spark, d, "documents").withColumn("word_count", word_count("text"))
     return docs.select("doc_id", "word_count", reading_time("word_count").alias("reading_time"))
 
 
@@ -423,13 +424,65 @@ SELECT doc_id, lang, source FROM documents
 WHERE contains(lower(CAST(doc_id AS VARCHAR)), 'licen') OR contains(lower(text), 'licen')
    OR contains(lower(lang), 'licen') OR contains(lower(source), 'licen')""")
 def table_search(spark, d):
-    docs = spread(S.table(spark, d, "documents"))
+    docs = S.table(spark, d, "documents")
     return catalogue.table_search(docs, "licen", ["doc_id", "text", "lang", "source"]).select(
         "doc_id", "lang", "source")
 
 
 # --- URL strings ------------------------------------------------------------------
 
+@register("catalogue_page", """
+SELECT event_id AS id, event_type AS title, CAST(ts AS DATE) AS date FROM events
+WHERE event_type = (SELECT max(event_type) FROM events)
+ORDER BY CAST(ts AS DATE) DESC NULLS LAST, event_type, event_id LIMIT 20 OFFSET 20""")
+def catalogue_page(spark, d):
+    """L4 and M8: the items of one category, newest first, the second page."""
+    ev = S.table(spark, d, "events")
+    items = ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("title"), F.col("ts").cast("date").alias("date"),
+                      F.array("event_type").alias("categories"), F.lit("").alias("description"))
+    category = ev.agg(F.max("event_type")).first()[0] or ""
+    return jobs.catalogue_views(items, category, 2, 20, key="id")["page"].select("id", "title", "date")
+
+
+@register("csv_round_trip", """
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, round(avg(s_acctbal) OVER (PARTITION BY s_nationkey), 6) AS nation_mean
+FROM supplier""")
+def csv_round_trip(spark, d):
+    """A table written as CSV and read with its explicit schema."""
+    path = f"{work_folder(spark)}/csv-{uuid.uuid4().hex}"
+    write_table(S.table(spark, d, "supplier"), path, fmt="csv", nullValue="NA")
+    back = read_table(spark, path, fmt="csv", schema=S.SCHEMAS["supplier"], nullValue="NA")
+    means = back.groupBy(F.col("s_nationkey").alias("n")).agg(r6(F.avg("s_acctbal")).alias("nation_mean"))
+    return back.join(means, F.col("s_nationkey").eqNullSafe(F.col("n"))).drop("n")
+
+
+@register("json_listing", """
+SELECT lang AS listing, '/' || source || '/' || CAST(doc_id AS VARCHAR) AS item FROM documents WHERE lang IS NOT NULL""")
+def json_listing(spark, d):
+    """Listings written as JSON, read back and flattened."""
+    path = f"{work_folder(spark)}/json-{uuid.uuid4().hex}"
+    link = F.concat(F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))
+    docs = S.table(spark, d, "documents").filter("lang IS NOT NULL")
+    docs.select(F.col("lang").alias("listing"), F.array(link).alias("items")).write.json(path)
+    return read_listings(spark, path, lines=True)
+
+
+@register("gate_missing_column", sql.with_joined("""
+, g AS (SELECT count(*) AS n,
+  count(*) FILTER (WHERE NOT coalesce(coalesce(total_patients, 0) >= 0, false)) AS v3,
+  count(*) FILTER (WHERE NOT coalesce(NOT (coalesce(uninsured, 0) > coalesce(total_patients, 0)), false)) AS v2 FROM joined)
+SELECT 'not_empty' AS rule, n AS observed, n > 0 AS passed FROM g
+UNION ALL SELECT 'min_rows', n, n > 10 FROM g
+UNION ALL SELECT 'required_columns', 1, false FROM g
+UNION ALL SELECT 'coordinates_in_bounds', NULL, false FROM g
+UNION ALL SELECT 'uninsured_le_total', v2, v2 = 0 FROM g
+UNION ALL SELECT 'non_negative_total', v3, v3 = 0 FROM g
+UNION ALL SELECT 'gate', CAST(2 + (n <= 0)::INT + (n <= 10)::INT + (v2 > 0)::INT + (v3 > 0)::INT AS BIGINT), false FROM g"""))
+def gate_missing_column(spark, d):
+    """The gate over a table without its longitudes."""
+    return jobs.quality_gate(S.joined(spark, d).drop("longitude"))
+
+
 @register("parse_params", r"""
 WITH q AS (SELECT page_id, regexp_extract(url, '\?([^#]*)', 1) AS qs FROM pages),
 pieces AS (SELECT page_id, unnest(string_split(qs, '&')) AS piece,
@@ -459,7 +512,7 @@ def add_param_q(spark, d):
 @register("page_sections", "WITH " + sql.RECORDS + """
 SELECT page_id, href, title, section, text, position FROM records""")
 def page_sections(spark, d):
-    return search.page_sections(S.table(spark, d, "pages"))
+    return search.page_sections(S.section_pages(spark, d))
 
 
 @register("required_fields", "WITH " + sql.RECORDS + """

@@ -51,7 +51,6 @@ orgs0 AS (
          sum(p.l8a) + sum(p.l8b) AS medicaid
   FROM per_order p JOIN orders o ON p.l_orderkey = o.o_orderkey
   JOIN customer c ON c.c_custkey = o.o_custkey
-  WHERE c.c_mktsegment <> 'HOUSEHOLD'
   GROUP BY o.o_custkey, c.c_mktsegment),
 orgs AS (
   SELECT *, """ + ratio("uninsured", "total_patients") + r""" AS pct_uninsured,
@@ -64,7 +63,7 @@ joined AS (
          s.site_name, s.city, s.county, s.type, s.latitude, s.longitude,
          g.total_patients, g.uninsured, g.medicaid, g.pct_uninsured, g.pct_medicaid, g.segment,
          g.bhcmis_id IS NOT NULL AS matched
-  FROM sites s LEFT JOIN orgs g ON regexp_replace(s.bhcmis_raw, '\.0$', '') = g.bhcmis_id),
+  FROM sites s LEFT JOIN (SELECT * FROM orgs WHERE segment <> 'HOUSEHOLD') g ON regexp_replace(s.bhcmis_raw, '\.0$', '') = g.bhcmis_id),
 firsts AS (
   SELECT * FROM joined QUALIFY row_number() OVER (PARTITION BY bhcmis_id ORDER BY site_id) = 1)"""
 
@@ -73,7 +72,7 @@ def with_joined(body: str) -> str:
     return "WITH " + JOINED + "\n" + body
 
 
-# --- search index (mirrors the native section extractor) -------------------
+# --- search index: headings by splitting at their tags, anchors by windows ----
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 LINE_BREAKS = r"(?i)<br\s*/?>|</(p|div|li|tr|ul|ol|table|section|header|blockquote|pre)\s*>"
@@ -81,18 +80,18 @@ DROP = (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*
         r"|<footer\b.*?</footer\s*>|<!--.*?-->|<h1\b.*?</h1\s*>")
 
 
-NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-
-
 def decode_numeric(x: str) -> str:
-    cp = ("CASE WHEN lower(left(code, 1)) = 'x' THEN CAST('0x' || substr(code, 2) AS INTEGER) "
-          "ELSE CAST(code AS INTEGER) END")
-    chars = (f"list_transform(regexp_extract_all({x}, '{NUMERIC_ENTITY}', 1), lambda code: "
-             f"CASE WHEN {cp} = 60 THEN '&lt;' WHEN {cp} = 62 THEN '&gt;' WHEN {cp} = 38 THEN '&amp;' "
-             f"WHEN {cp} IN (1, 2) THEN '' ELSE chr({cp}) END)")
-    decoded = (f"array_to_string(list_transform(string_split_regex({x}, '{NUMERIC_ENTITY}'), "
-               f"lambda piece, i: piece || coalesce(({chars})[i], '')), '')")
-    return f"(CASE WHEN strpos({x}, '&#') > 0 THEN {decoded} ELSE {x} END)"
+    """Character references by a scan over the pieces that follow ``&#``."""
+    code = "split_part(piece, ';', 1)"
+    cp = (f"CASE WHEN lower(left({code}, 1)) = 'x' THEN TRY_CAST('0x' || substr({code}, 2) AS BIGINT) "
+          f"ELSE TRY_CAST({code} AS BIGINT) END")
+    char = (f"CASE WHEN {cp} = 60 THEN '&lt;' WHEN {cp} = 62 THEN '&gt;' WHEN {cp} = 38 THEN '&amp;' "
+            f"WHEN {cp} BETWEEN 1 AND 3 THEN '' "
+            f"WHEN {cp} BETWEEN 4 AND 55295 OR {cp} BETWEEN 57344 AND 1114111 THEN chr(CAST({cp} AS INTEGER)) "
+            f"ELSE chr(65533) END")
+    known = "regexp_matches(piece, '^([0-9]+|[xX][0-9a-fA-F]+);')"
+    return (f"array_to_string(list_transform(string_split({x}, '&#'), lambda piece, i: CASE WHEN i = 1 THEN piece "
+            f"WHEN {known} THEN {char} || substr(piece, strpos(piece, ';') + 1) ELSE '&#' || piece END), '')")
 
 
 def clean(x: str) -> str:
@@ -100,84 +99,75 @@ def clean(x: str) -> str:
     s = f"regexp_replace({s}, '<[^>]*>', '', 'g')"
     for ent, ch in ENTITIES:
         s = f"replace({s}, '{ent}', '{ch}')"
-    s = f"regexp_replace({s}, '[ \\t\\f\\r\\x0B]+', ' ', 'g')"
-    s = f"regexp_replace({s}, ' *\\n[ \\n]*', chr(10), 'g')"
-    return f"regexp_replace({s}, '^[ \\n]+|[ \\n]+$', '', 'g')"
+    s = f"regexp_replace({s}, '[ \t\f\r\x0B]+', ' ', 'g')"
+    s = f"regexp_replace({s}, ' *\n[ \n]*', chr(10), 'g')"
+    return f"regexp_replace({s}, '^[ \n]+|[ \n]+$', '', 'g')"
 
 
 def slug(x: str) -> str:
-    kept = f"regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}_. \\t\\n\\r\\f-]', '', 'g')"
+    kept = rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}_. \t\n\r\f-]', '', 'g')"
     words = f"list_filter(string_split_regex({kept}, '{WS}'), lambda w: w <> '')"
-    s = f"regexp_replace(array_to_string({words}, '-'), '^[^\\p{{L}}]+', '')"
+    s = rf"regexp_replace(array_to_string({words}, '-'), '^[^\p{{L}}]+', '')"
     return f"(CASE WHEN {s} = '' THEN 'section' ELSE {s} END)"
 
 
 RECORDS = r"""
+pg0 AS (
+  SELECT page_id, url, regexp_replace(html, '<p><b>([^<]*)<br>', '<h2>\1</h2>', 'g') AS h FROM pages),
+pg1 AS (
+  SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN replace(h, '<h2>', '<h2 class="x" id="part">') ELSE h END AS h FROM pg0),
 pg AS (
-  SELECT page_id, url, html,
-    coalesce(nullif(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), ''),
-             nullif(regexp_extract(html, '(?is)<article[^>]*>(.*)', 1), ''),
-             nullif(regexp_extract(html, '(?is)<body[^>]*>(.*)', 1), ''),
-             html) AS content
-  FROM pages),
+  SELECT page_id, url,
+         CASE WHEN page_id % 5 = 0 THEN replace(h, '</h2>', ' &#233;&#xD800;&#99999999999;</h2>') ELSE h END AS html FROM pg1),
 pgd AS (
-  SELECT page_id, url, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title_raw,
-         regexp_replace(content, '""" + DROP + r"""', '', 'g') AS dropped
+  SELECT page_id, url, """ + decode_numeric("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)") + r""" AS title_dec,
+         regexp_replace(array_to_string(regexp_extract_all(html, '(?is)<article[^>]*>(.*?)</article>', 1), chr(10)),
+                        '""" + DROP + r"""', '', 'g') AS dropped
   FROM pg),
-pge AS (
-  SELECT page_id, url, """ + decode_numeric("title_raw") + r""" AS title_dec,
-         """ + decode_numeric("dropped") + r""" AS body
+pgp AS (
+  SELECT page_id, url, """ + clean("title_dec") + r""" AS title, string_split(""" + decode_numeric("dropped") + r""", '<h2') AS parts
   FROM pgd),
-pg2 AS (
-  SELECT page_id, url, """ + clean("title_dec") + r""" AS title,
-    string_split(regexp_replace(regexp_replace(body,
-        '(?is)<h[2-6][^>]*>(.*?)</h[2-6]\s*>', chr(1) || '\1' || chr(2), 'g'),
-        '(?is)<p[^>]*>\s*<b>(.*?)(</b>|<br\s*/?>)', chr(1) || '\1' || chr(2), 'g'), chr(1)) AS parts
-  FROM pge),
-pg3 AS (
-  SELECT page_id, url, title, """ + clean("parts[1]") + r""" AS intro,
-    list_transform(list_slice(parts, 2, len(parts)), lambda p: """ + clean("split_part(p, chr(2), 1)") + r""") AS heads,
-    list_transform(list_slice(parts, 2, len(parts)), lambda p: """ + clean("regexp_extract(p, '(?s)' || chr(2) || '(.*)', 1)") + r""") AS bodies
-  FROM pg2),
-pg4 AS (
-  SELECT *, list_transform(heads, lambda h: """ + slug("h") + r""") AS slugs FROM pg3),
-pg5 AS (
-  SELECT *, list_transform(slugs, lambda s, i: CASE
-      WHEN len(list_filter(list_slice(slugs, 1, i - 1), lambda y: y = s)) = 0 THEN s
-      ELSE s || '-' || CAST(len(list_filter(list_slice(slugs, 1, i - 1), lambda y: y = s)) AS VARCHAR) END) AS anchors
-  FROM pg4),
+sec0 AS (
+  SELECT page_id, url, title, unnest(parts[2:]) AS p, unnest(range(1, len(parts))) AS position FROM pgp),
+sec1 AS (
+  SELECT page_id, url, title, position, regexp_extract(p, '^[^>]* id="([^"]*)"', 1) AS id,
+         """ + clean("regexp_extract(p, '(?s)^[^>]*>(.*?)</h2>', 1)") + r""" AS head,
+         """ + clean("substr(p, strpos(p, '</h2>') + 5)") + r""" AS body FROM sec0),
+sec2 AS (
+  SELECT *, CASE WHEN id <> '' THEN id ELSE """ + slug("head") + r""" END AS base FROM sec1),
+sec AS (
+  SELECT *, base || CASE WHEN row_number() OVER w = 1 THEN '' ELSE '-' || CAST(row_number() OVER w - 1 AS VARCHAR) END AS anchor
+  FROM sec2 WINDOW w AS (PARTITION BY page_id, base ORDER BY position)),
 records AS (
-  SELECT page_id, url AS href, title, '' AS section,
-         CASE WHEN intro <> '' THEN intro ELSE coalesce(heads[1] || chr(10) || bodies[1], '') END AS text,
+  SELECT p.page_id, p.url AS href, p.title, '' AS section,
+         CASE WHEN """ + clean("p.parts[1]") + r""" <> '' THEN """ + clean("p.parts[1]") + r""" ELSE coalesce(s.body, '') END AS text,
          0 AS position
-  FROM pg5
+  FROM pgp p LEFT JOIN sec s ON s.page_id = p.page_id AND s.position = 1
   UNION ALL
-  SELECT page_id, url || '#' || unnest(anchors) AS href, title, unnest(heads) AS section,
-         unnest(list_transform(list_zip(heads, bodies), lambda z: z[1] || chr(10) || z[2])) AS text,
-         CAST(unnest(generate_series(1, len(heads))) AS INTEGER) AS position
-  FROM pg5)"""
+  SELECT page_id, url || '#' || anchor, title, CASE WHEN position = 1 THEN '' ELSE head END,
+         CASE WHEN position = 1 THEN body ELSE head || chr(10) || body END, CAST(position AS INTEGER)
+  FROM sec)"""
 
 TERMS = r"""
-words AS (
-  SELECT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '')) AS w
-  FROM benchmark),
 terms AS (
-  SELECT item_id AS query_id, w AS term FROM words
-  QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY length(w) DESC, w) = 1),
+  SELECT CAST(item_id AS VARCHAR) || ':' || w AS query_id, w AS query, lower(w) AS term
+  FROM (SELECT item_id, unnest(list_distinct(list_filter(regexp_split_to_array(text, '[^\p{L}]+'), lambda x: length(x) >= 2))) AS w
+        FROM benchmark)),
 hits AS (
-  SELECT t.term, r.href,
+  SELECT t.term, r.href, r.page_id, r.position,
     (CASE WHEN contains(lower(r.title), t.term) THEN 20 ELSE 0 END)
     + (CASE WHEN contains(lower(r.section), t.term) THEN 20 ELSE 0 END)
     + (CASE WHEN contains(lower(r.text), t.term) THEN 10 ELSE 0 END) AS score
-  FROM records r, (SELECT DISTINCT term FROM terms WHERE length(term) >= 2) t
+  FROM records r, (SELECT DISTINCT term FROM terms) t
   WHERE contains(lower(r.title), t.term) OR contains(lower(r.section), t.term)
      OR contains(lower(r.text), t.term)),
 top AS (
-  SELECT term, href, score, row_number() OVER (PARTITION BY term ORDER BY score DESC, href) AS rnk
+  SELECT *, row_number() OVER (PARTITION BY term ORDER BY score DESC, href, page_id, position) AS rnk
   FROM hits QUALIFY rnk <= 50),
 results AS (
-  SELECT q.query_id, q.term AS query, t.rnk, t.href, t.score, r.text
-  FROM top t JOIN terms q ON q.term = t.term JOIN records r ON r.href = t.href)"""
+  SELECT q.query_id, q.query, t.rnk, t.href, t.score, r.text
+  FROM top t JOIN terms q ON q.term = t.term
+  JOIN records r ON r.page_id = t.page_id AND r.position = t.position)"""
 
 
 def snippet_sql(t: str, q: str) -> str:

@@ -3,10 +3,11 @@
 sites       = orders (one site per order; the customer is the organisation)
 org metrics = line items summed per customer (quantity = patients, return
               flag R = Medicaid, A = uninsured, line status O/F = the two
-              parts of each count), HOUSEHOLD customers left out so that some
-              sites stay unmatched
+              parts of each count); the join with the sites leaves HOUSEHOLD
+              customers out, so that some sites stay unmatched
 catalogue   = documents (categories = [lang, source])
-search      = pages (index records), benchmark (one keyword per item)
+search      = pages (index records; bold lead-ins made headings, some with an
+              id and with character references), benchmark (its words)
 """
 
 from __future__ import annotations
@@ -49,6 +50,14 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, f"{d}/{name}.parquet", schema=SCHEMAS.get(name))
 
 
+def files(d: str, *names: str) -> list[str]:
+    return [f"{d}/{n}.parquet" for n in names]
+
+
+#: Organisations that the joined table knows; the others' sites stay unmatched.
+LISTED = "segment <> 'HOUSEHOLD'"
+
+
 def sites_raw(spark: SparkSession, d: str) -> DataFrame:
     """Sites sheet with the reference's (space-padded) headers."""
     o = table(spark, d, "orders")
@@ -91,7 +100,7 @@ def orgs_raw(spark: SparkSession, d: str) -> DataFrame:
         F.sum(q).alias("l6"), part("A", "O").alias("l7a"), part("A", "F").alias("l7b"),
         part("R", "O").alias("l8a"), part("R", "F").alias("l8b"))
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    c = (table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
+    c = (table(spark, d, "customer")
          .select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")))
     per_cust = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
                 .join(c, "o_custkey")
@@ -109,20 +118,21 @@ def orgs_raw(spark: SparkSession, d: str) -> DataFrame:
 
 def orgs(spark: SparkSession, d: str) -> DataFrame:
     """Org metrics (M2), published once per application."""
-    return published(spark, f"orgs:{d}",
-                     lambda: jobs.org_metrics(orgs_raw(spark, d), extra=["segment"]))
+    return published(spark, f"orgs:{d}", lambda: jobs.org_metrics(orgs_raw(spark, d), extra=["segment"]),
+                     files(d, "lineitem", "orders", "customer"))
 
 
 def joined(spark: SparkSession, d: str) -> DataFrame:
     """The joined site table (M3), published once per application like the
     reference's joined file that the report, analysis and gate all read."""
-    return published(spark, f"joined:{d}", lambda: jobs.enrich(sites(spark, d), orgs(spark, d)))
+    return published(spark, f"joined:{d}", lambda: jobs.enrich(sites(spark, d), orgs(spark, d).filter(LISTED)),
+                     files(d, "lineitem", "orders", "customer"))
 
 
 def search_index(spark: SparkSession, d: str) -> DataFrame:
     """Search records built from the pages (T5), published once."""
     from sitelens.operators.search import page_sections
-    return published(spark, f"index:{d}", lambda: page_sections(table(spark, d, "pages")))
+    return published(spark, f"index:{d}", lambda: page_sections(section_pages(spark, d)), files(d, "pages"))
 
 
 def catalogue_items(spark: SparkSession, d: str) -> DataFrame:
@@ -134,10 +144,18 @@ def catalogue_items(spark: SparkSession, d: str) -> DataFrame:
                        encode_categories(F.array("lang", "source")).alias("categories_b64"))
 
 
+def section_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages whose bold lead-ins are headings: every third page's carry one
+    id each, every fifth page's begin with character references, valid and
+    not."""
+    h = F.regexp_replace("html", "<p><b>([^<]*)<br>", F.lit("<h2>$1</h2>"))
+    h = F.when(F.col("page_id") % 3 == 0, F.replace(h, F.lit("<h2>"), F.lit('<h2 class="x" id="part">'))).otherwise(h)
+    h = F.when(F.col("page_id") % 5 == 0, F.replace(h, F.lit("</h2>"), F.lit(" &#233;&#xD800;&#99999999999;</h2>"))).otherwise(h)
+    return table(spark, d, "pages").withColumn("html", h)
+
+
 def search_queries(spark: SparkSession, d: str) -> DataFrame:
-    """One keyword per benchmark item: its longest word (ties: alphabetical)."""
-    b = table(spark, d, "benchmark")
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
-    best = F.array_min(F.transform(words, lambda w: F.struct((-F.length(w)).alias("l"), w.alias("w"))))
-    return (b.select(F.col("item_id").alias("query_id"), best["w"].alias("query"))
-            .filter(F.col("query").isNotNull()))
+    """Every distinct word of two letters or more of every benchmark text."""
+    words = F.array_distinct(F.filter(F.split("text", r"[^\p{L}]+"), lambda w: F.length(w) >= 2))
+    q = table(spark, d, "benchmark").select("item_id", F.explode(words).alias("query"))
+    return q.select(F.concat_ws(":", F.col("item_id").cast("string"), "query").alias("query_id"), "query")

@@ -9,12 +9,12 @@ partitions are split and shuffle partitions are coalesced.
 
 from __future__ import annotations
 
-import hashlib
-import os
 import tempfile
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -70,8 +70,9 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    On a cluster the folder must be set by the deployment; only a local-mode
-    session without one (tests) gets a private folder of its own.
+    On a cluster the folder must be set by the deployment; only a session in
+    one process (``local``, ``local[n]``: tests) without one gets a folder of
+    its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,7 +80,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster job needs a shared "
                 "checkpoint folder")
@@ -88,57 +89,55 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def work_folder(spark: SparkSession) -> str:
+    """This application's folder for stage outputs, in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{spark.sparkContext.applicationId}"
 
-    Used where a long plan is reused by several reports: a lost executor then
-    re-reads the checkpoint files instead of recomputing the whole lineage.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and a
+    lost executor then re-reads files instead of recomputing the lineage."""
+    path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete this application's stage outputs (at the end of a job)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    with _LOCK:
+        for key in [k for k in _PUBLISHED if k[0] == spark.sparkContext.applicationId]:
+            del _PUBLISHED[key]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition before a CPU-heavy per-row step when the input
-    has fewer than half as many partitions as the cluster has cores (a small
-    table stored as one file). Inputs that already have enough partitions,
-    which is every large one, are left as they are: no shuffle is added."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism // 2:
-        return df.repartition(parallelism)
-    return df
+def signature(spark: SparkSession, paths: list[str]) -> tuple:
+    """What the files under ``paths`` look like now: number, sizes and times.
+    Lists them with Spark's file source; no content is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+             .select(F.xxhash64("path", "length", "modificationTime").alias("h")))
+    return tuple(files.agg(F.count("h"), F.bit_xor("h")).first())
 
 
 _PUBLISHED: dict[tuple[str, str], tuple] = {}
 _LOCK = threading.RLock()
 
 
-def published(spark: SparkSession, name: str, build) -> DataFrame:
-    """A derived table written once per application to the shared checkpoint
-    folder and read back by every consumer (the pipeline's stage outputs:
-    joined sites, org metrics, search index). Reading it back cuts the
-    lineage, so a lost executor re-reads files instead of recomputing the
-    joins that produced them.
+def published(spark: SparkSession, name: str, build, inputs: list[str]) -> DataFrame:
+    """A derived table written once per application and state of its input
+    files to the shared folder, and read back by every consumer (the
+    pipeline's stage outputs: joined sites, org metrics, search index). It is
+    built anew when the files under ``inputs`` have changed.
 
     The table is deliberately not bucketed by its key: a key holding a third
     of the rows would make one bucket, and so one task of every consumer,
     hold a third of the table. Plain files split evenly over scan tasks and
     consumers collapse hot keys by partial aggregation.
     """
-    app = spark.sparkContext.applicationId
-    key = (app, name)
+    key = (spark.sparkContext.applicationId, name)
+    now = signature(spark, inputs)
     with _LOCK:
         entry = _PUBLISHED.get(key)
-        if entry is None:
-            digest = hashlib.sha1(name.encode()).hexdigest()[:16]
-            path = f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{app}/{digest}"
-            df = build()
-            df.write.mode("overwrite").parquet(path)
-            entry = (path, df.schema)
-            _PUBLISHED[key] = entry
-    path, schema = entry
-    return spark.read.schema(schema).parquet(path)
-
-
-def bench_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))
+        if entry is None or entry[0] != now:
+            entry = _PUBLISHED[key] = (now, stored(build(), "published"))
+    return entry[1]

@@ -41,7 +41,9 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         if on_missing == "skip" and "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    return nan_to_null_all(df)
+    # text formats only: on parquet the wrapped columns would keep filters from
+    # the scan, and what this package writes there has no NaN any more
+    return df if fmt in ("parquet", "orc") else nan_to_null_all(df)
 
 
 def read_search_records(spark: SparkSession, path: str) -> DataFrame:
@@ -49,9 +51,10 @@ def read_search_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEARCH_RECORD).option("multiLine", "true").json(path)
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """S5 + S13: listings file flattened to (listing, item)."""
-    df = spark.read.schema(LISTING).option("multiLine", "true").json(path)
+def read_listings(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """S5 + S13: listings file flattened to (listing, item). ``lines``: one
+    listing a line, as Spark writes them, instead of one array a file."""
+    df = spark.read.schema(LISTING).option("multiLine", str(not lines).lower()).json(path)
     return df.select("listing", F.explode("items").alias("item"))
 
 

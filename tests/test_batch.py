@@ -52,3 +52,11 @@ def test_refresh_gate_blocks(spark, tmp_path):
     with pytest.raises(GateFailed):
         refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
                 str(tmp_path / "out"), region="OR")
+    assert not (tmp_path / "out" / "joined").exists()
+    write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": _sites()})
+    refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"), str(tmp_path / "out"), region="OR")
+    write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": rows})
+    with pytest.raises(GateFailed):
+        refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
+                str(tmp_path / "out"), region="OR")
+    assert spark.read.parquet(str(tmp_path / "out" / "joined")).count() == 12

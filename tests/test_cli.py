@@ -28,4 +28,6 @@ def test_cli_refresh_gate_catalogue_search(spark, tmp_path):
     assert main(["search", "--pages", "/root/testdata/sf0.001/pages.parquet", "--queries",
                  str(tmp_path / "q.csv"), "--queries-format", "csv", "--out", str(tmp_path / "s")]) == 0
     res = spark.read.parquet(str(tmp_path / "s" / "results"))
-    assert res.filter("query_id = '1'").count() == 50
+    index = spark.read.parquet(str(tmp_path / "s" / "index")).collect()
+    holding = sum("the" in f"{r['title']}\0{r['section']}\0{r['text']}".lower() for r in index)
+    assert res.filter("query_id = '1'").count() == min(50, holding) > 0
