@@ -96,8 +96,9 @@ class Reader:
         words, known = words_of(text), self.known
         if len(known) > KEPT:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = self.ids(w)
+        for w in words:
+            if w not in known:
+                known[w] = self.ids(w)
         return [x for x in map(known.__getitem__, words) if x]
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
