@@ -1,0 +1,48 @@
+"""The registered queries of the subpackage: contract columns, and rows equal
+to their SQL where there is some."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from sitelens.llm.queries import REGISTRY
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+    "op2": {"doc_id": "bigint", "severity": "double"},
+    "op3": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+    "op4": {"doc_id": "bigint", "text": "string"},
+    "op5": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op6": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op7": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op8": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
+            "near_edited": "double", "near_next": "double"},
+    "op9": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
+    "op10": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+}
+
+
+def test_all_are_registered():
+    assert {n.split("_")[0] for n in REGISTRY} == set(COLUMNS)
+    assert set(REGISTRY) | {"pipeline"} <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_contract(spark, name):
+    fn, sql = REGISTRY[name]
+    df = fn(spark, SF)
+    kinds = dict(df.dtypes)
+    assert COLUMNS[name.split("_")[0]].items() <= kinds.items()
+    rows = [r.asDict() for r in df.collect()]
+    table = "pages" if "page_id" in kinds else "documents"
+    assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if sql:
+        con = duckdb.connect()
+        for t in ("documents", "benchmark", "pages"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+        cur = con.execute(sql)
+        names = [c[0] for c in cur.description]
+        want = [dict(zip(names, r, strict=True)) for r in cur.fetchall()]
+        plain = lambda r: tuple((k, round(v, 6) if isinstance(v, float) else v) for k, v in sorted(r.items()))
+        assert sorted(map(plain, rows), key=str) == sorted(map(plain, want), key=str)
