@@ -12,7 +12,6 @@ Map of the package:
   explicit schemas and contracts, workbooks, header-block documents).
 * ``sitelens.plans`` - composite jobs, the full-refresh batch job and the
   registered queries with their SQL oracle.
-* ``sitelens.streaming`` - gated incremental refresh.
 * ``sitelens.session`` - session settings, data-sized configuration, the
   shared checkpoint folder and published stage outputs.
 """
