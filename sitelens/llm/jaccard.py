@@ -189,25 +189,27 @@ def prefix_rows(common, words: int, percent: int, by: int):
 
 def matrix(docs: DataFrame, classes: DataFrame, common, words: int, percent: int, by: tuple[str, ...]) -> DataFrame:
     """The token-group matrix of the staged ``classes`` (rep, digest, ids)
-    under the ids in ``by``; dealt by token, so that it joins with itself
-    without another shuffle."""
+    under the first id in ``by``, with the smallest and largest component
+    that it holds under the token; dealt by token, so that it joins with
+    itself without another shuffle."""
     rows = chosen(docs.select(F.col("doc").alias("rep"), "text"), classes.select("rep", "digest", *by), ["rep"])
     kinds = ", ".join(f"{c} long" for c in ("token", *by, "lo", "hi", "rem", "rem_index"))
     rows = rows.select("digest", *by, "text").mapInArrow(prefix_rows(common, words, percent, len(by)), kinds)
-    return rows.repartition("token").groupBy("token", *by).agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("rem").alias("rem"), F.max("rem_index").alias("rem_index"))
+    return rows.repartition("token").groupBy("token", by[0]).agg(
+        F.min(by[-1]).alias("least"), F.max(by[-1]).alias("most"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("rem").alias("rem"), F.max("rem_index").alias("rem_index"))
 
 
 def meetings(rows: DataFrame, percent: int, by: str, counted: bool = False) -> DataFrame:
-    """(x, y): pairs of ``by`` that meet under a token, belong to different
-    components and pass the bounds; x the smaller number.
+    """(x, y): pairs of ``by`` that meet under a token, are not of one and the
+    same component there, and pass the bounds; x the smaller number.
 
     One token must have room for the whole overlap behind it. ``counted``:
     all tokens under which a pair meets are counted as well; what the
     probing prefixes do not share can only lie behind one of them, so the
     overlap is at most that count and the longer rest."""
     a, b = rows.alias("a"), rows.alias("b")
-    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.comp") != F.col("b.comp"))
+    one = (F.col("a.least") == F.col("a.most")) & (F.col("b.least") == F.col("b.most")) & (F.col("a.least") == F.col("b.least"))
+    on = (F.col("a.token") == F.col("b.token")) & ~one
     on &= (F.col("a.lo") * percent <= F.col("b.hi") * 100) & (F.col("a.hi") * 100 >= F.col("b.lo") * percent)
     if not counted:
         overlap = F.least("a.rem_index", "b.rem") * (100 + percent) >= (F.col("a.lo") + F.col("b.lo")) * percent
