@@ -1,8 +1,9 @@
 """Personal data as format-preserving Feistel pseudonyms (operator 4), native.
 
-Candidates are found by one pattern, told apart, validated, and replaced by a
-keyed permutation of their own domain, so the result is valid again, equal
-values get equal pseudonyms in every document, and different values differ:
+Candidates are found by one pattern at every place where one begins, also
+inside of others, told apart, validated, and replaced by a keyed permutation
+of their own domain, so the result is valid again, equal values get equal
+pseudonyms in every document, and different values differ:
 
 * payment cards (13-19 digits, Luhn): the digits but the last are permuted,
   the last is computed anew;
@@ -20,7 +21,11 @@ values get equal pseudonyms in every document, and different values differ:
 The permutation is an alternating Feistel network over pairs (a mod p,
 b mod q): eight rounds add a keyed hash of one half to the other, modulo its
 own size, so no value falls outside the domain. Separators stay in place; a
-candidate that fails validation stays as it is.
+candidate that fails validation stays as it is and uses up no characters: the
+next one may begin inside of it. Of valid ones that overlap the first counts.
+An account in groups has the length of its country, else (a country that is
+not in LENGTHS) the longest one of remainder 97; a phone number of more than
+15 digits is tried without its last group.
 
 Null text stays null, an empty one empty; rows are independent of each other.
 """
@@ -46,6 +51,14 @@ PATTERNS = {
     "card": _B + r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})" + _E,
 }
 CANDIDATE = "|".join(PATTERNS[k] for k in ("email", "iban", "ip", "date", "ssn", "phone", "card"))
+WHOLE = {k: f"^(?:{x})$" for k, x in PATTERNS.items()}
+BEGIN = f"(?=({CANDIDATE}))"
+CHUNK = 512                     # pieces of a text that are walked at a time
+LENGTHS = {                     # of accounts, by country
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 
 
 def bind(value: Column, use) -> Column:
@@ -171,6 +184,30 @@ def card_pseudonym(key: str, c: Column) -> Column:
     return bind(F.regexp_replace(c, "[^0-9]", ""), of)
 
 
+def iban_cut(c: Column) -> Column:
+    """The account at the beginning of a candidate, null if there is none."""
+    n = F.length(c)
+    said = F.when(F.lit(False), 0)
+    for length, countries in LENGTHS.items():
+        said = said.when(F.substring(c, 1, 2).isin(countries.split()), length + (length - 1) // 4)
+
+    def cuts(known: Column) -> Column:
+        groups = F.transform(F.sequence(F.floor((n + 1) / 5).cast("int"), F.lit(0)), lambda k: F.greatest(k, F.lit(3)) * 5 - 1)
+        tried = F.when(known.isNull(), F.concat(F.array(n), groups)).otherwise(F.array(known, n))
+        ends = F.filter(tried, lambda k: (k == n) | ((k < n) & (F.substr(c, k + 1, F.lit(1)) == " ")))
+        return F.transform(ends, lambda k: F.substr(c, F.lit(1), k))
+
+    def ok(x: Column) -> Column:
+        return bind(F.regexp_replace(x, " ", ""), lambda plain: remainder97(F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))) == 1)
+
+    return F.when(c.contains(" "), F.get(F.filter(bind(said, cuts), ok), F.lit(0))).otherwise(c)
+
+
+def phone_cut(c: Column) -> Column:
+    shorter = F.regexp_replace(c, "[ .-][0-9]{2,4}$", "")
+    return F.when((F.length(F.regexp_replace(c, "[^0-9]", "")) > 15) & shorter.rlike(WHOLE["phone"]), shorter).otherwise(c)
+
+
 def iban_pseudonym(key: str, c: Column) -> Column:
     def of(plain: Column) -> Column:
         account, country = F.substr(plain, F.lit(5)), F.substring(plain, 1, 2)
@@ -233,31 +270,68 @@ MAKERS = {"email": email_pseudonym, "iban": iban_pseudonym, "card": card_pseudon
           "phone": phone_pseudonym, "ip": ip_pseudonym, "date": date_pseudonym}
 
 
-def replacements(text: Column, key: str) -> Column:
-    """The candidates of a text in order: (found, kind, new), ``new`` null
-    where the candidate is not valid."""
-    whole = lambda k: "^(?:" + PATTERNS[k] + ")$"
+def told(x: Column, key: str) -> Column:
+    """(n, kind, new) of a candidate: the characters that ``new`` stands for;
+    ``new`` null where no valid value begins."""
+    kind = F.when(x.contains("@"), "email")
+    for k in ("iban", "ip", "date", "ssn", "phone", "card"):
+        kind = kind.when(x.rlike(WHOLE[k]), k)
 
-    def one(x: Column) -> Column:
-        kind = F.when(x.contains("@"), "email")
-        for k in ("iban", "ip", "date", "ssn", "phone", "card"):
-            kind = kind.when(x.rlike(whole(k)), k)
-        return bind(kind, lambda k: F.struct(x.alias("found"), k.alias("kind"), made(x, k).alias("new")))
-
-    def made(x: Column, kind: Column) -> Column:
+    def made(value: Column, kind: Column) -> Column:
         new = F.when(F.lit(False), "")
         for k in KINDS:
-            new = new.when(kind == k, MAKERS[k](key, x))
-        return new
+            new = new.when(kind == k, MAKERS[k](key, value))
+        return F.struct(F.length(value).alias("n"), kind.alias("kind"), new.alias("new"))
+
+    def cut(k: Column) -> Column:
+        value = F.when(k == "iban", iban_cut(x)).when(k == "phone", phone_cut(x)).otherwise(x)
+        return bind(value, lambda v: made(v, k))
+
+    return bind(kind, cut)
+
+
+def used_up(pieces: Column) -> Column:
+    """For each piece (text, value) the characters at its beginning that
+    values of earlier pieces stand for. Pieces are walked by CHUNK, so that
+    no step copies a list as long as the text."""
+    def step(acc: Column, p: Column) -> Column:
+        taken = F.when((acc["used"] == 0) & p["value"]["new"].isNotNull(), p["value"]["n"]).otherwise(acc["used"])
+        return F.struct(F.concat(acc["out"], F.array(acc["used"])).alias("out"), F.greatest(taken - F.length(p["text"]), F.lit(0)).alias("used"))
+
+    def walk(acc: Column, i: Column) -> Column:
+        start = F.struct(F.array().cast("array<int>").alias("out"), acc["used"].alias("used"))
+        part = F.aggregate(F.slice(pieces, i * CHUNK + 1, F.lit(CHUNK)), start, step)
+        return bind(part, lambda p: F.struct(F.concat(acc["out"], F.array(p["out"])).alias("out"), p["used"].alias("used")))
+
+    start = F.struct(F.array().cast("array<array<int>>").alias("out"), F.lit(0).alias("used"))
+    chunks = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int"))
+    return F.flatten(F.aggregate(chunks, start, walk, lambda acc: acc["out"]))
+
+
+def replacements(text: Column, key: str) -> Column:
+    """A text in pieces (new, kind, rest): the pseudonym of the value that
+    begins the piece, null where there is none, and what follows it up to the
+    next piece. A piece begins wherever a candidate does."""
+    def put(pieces: Column, used: Column) -> Column:
+        def one(p: Column, i: Column) -> Column:
+            gone = F.get(used, i)
+            valid = (gone == 0) & p["value"]["new"].isNotNull()
+            after = F.substr(p["text"], F.when(valid, p["value"]["n"]).otherwise(gone) + 1)
+            return F.struct(F.when(valid, p["value"]["new"]).alias("new"), F.when(valid, p["value"]["kind"]).alias("kind"), after.alias("rest"))
+
+        return F.transform(pieces, one)
+
+    def pieces(parts: Column, found: Column) -> Column:
+        ahead = F.size(parts) - F.size(found)                   # 1 if text stands before the first candidate
+        return F.transform(parts, lambda t, i: F.struct(t.alias("text"), told(F.when(i >= ahead, F.get(found, i - ahead)), key).alias("value")))
 
-    return F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), one)
+    parts = F.struct(F.split(text, BEGIN, -1).alias("parts"), F.regexp_extract_all(text, F.lit(BEGIN), F.lit(1)).alias("found"))
+    return bind(bind(parts, lambda s: pieces(s["parts"], s["found"])), lambda p: bind(used_up(p), lambda used: put(p, used)))
 
 
-def rejoined(text: Column, found: Column) -> Column:
+def rejoined(pieces: Column) -> Column:
     """The text with its valid candidates replaced."""
-    between = F.split(text, CANDIDATE, -1)
-    put = F.transform(found, lambda x, i: F.concat(F.get(between, i), F.coalesce(x["new"], x["found"])))
-    return F.concat(F.array_join(put, ""), F.element_at(between, -1))
+    return F.array_join(F.transform(pieces, lambda x: F.concat(F.coalesce(x["new"], F.lit("")), x["rest"])), "")
 
 
 def pseudonymise(docs: DataFrame, secret: str, text: str = "text", found: str | None = None) -> DataFrame:
@@ -266,7 +340,7 @@ def pseudonymise(docs: DataFrame, secret: str, text: str = "text", found: str |
     All other columns stay; nothing is shuffled."""
     mark = "__pii_found"
     out = docs.withColumn(mark, F.when(F.col(text).rlike("[0-9@]"), replacements(F.col(text), secret)))
-    new = F.when(F.size(mark) > 0, rejoined(F.col(text), F.col(mark))).otherwise(F.col(text))
+    new = F.when(F.size(mark) > 0, rejoined(F.col(mark))).otherwise(F.col(text))
     out = out.withColumn(text, new)
     if found:
         kinds = F.transform(F.filter(mark, lambda x: x["new"].isNotNull()), lambda x: x["kind"])

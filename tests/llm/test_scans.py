@@ -151,6 +151,33 @@ def test_permutations_are_one_to_one(spark):
     assert pairs.select(pii.permuted_digits("k", "t", F.col("d")).alias("p")).distinct().count() == 100
 
 
+ACCOUNTS = ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+CARDS = ["4111 1111 1111 1111", "4539578763621486", "3782 822463 10005"]
+BESIDE = ["50 euro", "2024-01-05", "EUR 50", "BIC GEBABEBB", "1234", "AB12", "078-05-1120", "97.51.17.173", "word", *ACCOUNTS, *CARDS]
+
+
+def test_values_side_by_side_are_all_replaced(spark):
+    cases = [(x, f"{a} {b}") for x in ACCOUNTS + CARDS for y in BESIDE for a, b in ((x, y), (y, x))
+             if not (x in CARDS and (a, b) == ("1234", x))]     # four digits before a card may be valid with its first twelve
+    out = pseudonyms(spark, [t for _, t in cases])
+    for (value, text), (new, kinds) in zip(cases, out, strict=True):
+        assert value not in new and ("iban" if value in ACCOUNTS else "card") in kinds, (text, new)
+    alone = {x: new for x, (new, _) in zip(ACCOUNTS + CARDS, pseudonyms(spark, ACCOUNTS + CARDS), strict=True)}
+    # what follows AB12, no country, may be valid together with it
+    assert all(alone[value] in new for (value, text), (new, _) in zip(cases, out, strict=True) if value in CARDS or "AB12" not in text)
+    new, kinds = pseudonyms(spark, ["BE68 5390 0754 7034 2024-01-05"])[0]
+    assert kinds == ["iban", "date"] and "2024-01-05" not in new
+    assert pseudonyms(spark, ["AB12 4111 1111 1111 1112 x"])[0] == ("AB12 4111 1111 1111 1112 x", [])
+    assert pseudonyms(spark, ["call +1 555 0123 4567 2024 x"])[0][1] == ["phone"]
+
+
+def test_many_values_in_one_text(spark):
+    parts = ["AB12 4111 1111 1111 1111", "BE68 5390 0754 7034 50", "1985-02-29 1984-02-29"] * 700
+    once = [pseudonyms(spark, [x])[0] for x in parts[:3]]
+    new, kinds = pseudonyms(spark, ["; ".join(parts)])[0]
+    assert new == "; ".join(x for x, _ in once * 700) and kinds == [k for _, ks in once * 700 for k in ks]
+
+
 def test_pseudonyms_leave_other_columns(make, odd):
     df = make(odd)
     out = pii.pseudonymise(df, "k")
