@@ -13,7 +13,9 @@ toxic ones are split about evenly into the other grades by the number of
 their words that carry a feature of high toxic odds.
 
 Training reads a bounded sample (``sample`` labelled rows are expected, drawn
-by a hash of the key; labels of a key are merged, toxic if any says so). The
+by a hash of the key; labels of a key are merged, toxic if any says so): all
+toxic rows up to half of it, or what the clean ones leave, and the rest from
+the clean ones. Drawn rows weigh in the fit what they stand for. The
 sample's feature counts are summed by Spark; the driver gets those of
 features in LEAST_DOCS of its toxic documents and the sample's sparse
 vectors, both bounded. Prediction reads every
@@ -130,14 +132,19 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_ordinal(ids: list, values: list, grade: np.ndarray, width: int, grades: int = GRADES):
+def fit_ordinal(ids: list, values: list, grade: np.ndarray, width: int, grades: int = GRADES, weight: np.ndarray | None = None,
+                ridge: float = RIDGE):
     """Weights and thresholds of least penalised loss, by Adam. Thresholds
-    are a first one and positive steps, so they stay in order."""
+    are a first one and positive steps, so they stay in order. ``weight``: of
+    the rows, all the same if not given."""
+    part = np.full(len(ids), 1 / len(ids)) if weight is None else weight / weight.sum()
     size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
     row = np.repeat(np.arange(len(ids)), size)
     col = np.concatenate([np.asarray(i, dtype=np.int64) for i in ids]) if len(row) else np.zeros(0, dtype=np.int64)
     x = np.concatenate([np.asarray(v) for v in values]) if len(row) else np.zeros(0)
     param = np.zeros(width + grades - 1)
+    least = part[grade > 0].sum()
+    param[width] = np.log((1 - least) / least) if 0 < least < 1 else 0.0     # so that a rare class is not far from the start
     first, second = np.zeros_like(param), np.zeros_like(param)
     for t in range(1, ROUNDS + 1):
         w, steps = param[:width], param[width:]
@@ -148,15 +155,15 @@ def fit_ordinal(ids: list, values: list, grade: np.ndarray, width: int, grades:
         slopes = edges * (1 - edges)
         rows = np.arange(len(ids))
         p = np.maximum(edges[rows, grade] - edges[rows, grade + 1], 1e-12)
-        ds = -(slopes[rows, grade] - slopes[rows, grade + 1]) / p            # of the loss, by s
+        ds = -part * (slopes[rows, grade] - slopes[rows, grade + 1]) / p     # of the loss, by s
         dtheta = np.zeros(grades + 1)
-        np.add.at(dtheta, grade, slopes[rows, grade] / p)
-        np.add.at(dtheta, grade + 1, -slopes[rows, grade + 1] / p)
+        np.add.at(dtheta, grade, part * slopes[rows, grade] / p)
+        np.add.at(dtheta, grade + 1, -part * slopes[rows, grade + 1] / p)
         dtheta = dtheta[1:grades]
         grad = np.empty_like(param)
-        grad[:width] = np.bincount(col, weights=x * ds[row], minlength=width) / len(ids) + RIDGE * w
-        grad[width] = dtheta.sum() / len(ids)
-        grad[width + 1:] = np.cumsum(dtheta[::-1])[::-1][1:] * np.exp(steps[1:]) / len(ids)
+        grad[:width] = np.bincount(col, weights=x * ds[row], minlength=width) + ridge * w
+        grad[width] = dtheta.sum()
+        grad[width + 1:] = np.cumsum(dtheta[::-1])[::-1][1:] * np.exp(steps[1:])
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         param -= RATE * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
@@ -173,7 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not n.get(0) or not n.get(1):
         return None
     draw = F.conv(F.substring(F.md5(F.col("k").cast("string")), 1, 8), 16, 10).cast("double") / 2.0 ** 32
-    drawn = F.broadcast(said.filter(draw < sample / sum(n.values())))       # about ``sample`` rows of two numbers
+    size = min(n[1], max(sample / 2, sample - n[0]))
+    part = {0: min(1.0, (sample - size) / n[0]), 1: size / n[1]}
+    drawn = F.broadcast(said.filter(draw < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0])))    # about ``sample`` rows of two numbers
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(drawn, "k").select("toxic", "text")
 
     def summed(df: DataFrame, task, least: int) -> dict[int, int]:
@@ -182,11 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     toxic_docs = summed(rows.filter("toxic > 0"), toxic_features, LEAST_DOCS)
     clean_docs = summed(rows.filter("toxic = 0"), clean_counts(sc.broadcast(list(toxic_docs))), 1)
-    part = min(1.0, sample / sum(n.values()))
     scored = []
     for feature, a in toxic_docs.items():
         c = clean_docs.get(feature, 0)
-        odds = np.log((a + 0.5) / (max(n[1] * part - a, 0) + 0.5)) - np.log((c + 0.5) / (max(n[0] * part - c, 0) + 0.5))
+        odds = np.log((a + 0.5) / (max(n[1] * part[1] - a, 0) + 0.5)) - np.log((c + 0.5) / (max(n[0] * part[0] - c, 0) + 0.5))
         scored.append((float(odds / np.sqrt(1 / (a + 0.5) + 1 / (c + 0.5))), feature, float(odds)))
     best = sorted((x for x in scored if x[0] >= LEAST_Z), reverse=True)[:FEATURES]
     features = {f: i for i, (_, f, _) in enumerate(best)}
@@ -199,7 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return None
     cuts = np.quantile(marked[toxic == 1], [i / (grades - 1) for i in range(1, grades - 1)])
     grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, marked, side="right"), 0)
-    w, theta = fit_ordinal([r["ids"] for r in made], [r["x"] for r in made], grade, len(features), grades)
+    weight = np.where(toxic == 1, 1 / part[1], 1 / part[0])
+    # the penalty follows the rows of least weight, or it would outweigh a rare class
+    w, theta = fit_ordinal([r["ids"] for r in made], [r["x"] for r in made], grade, len(features), grades, weight,
+                           RIDGE * weight.min() / weight.mean())
     return features, w, theta
 
 

@@ -90,3 +90,26 @@ def test_toxicity_odd_rows(make, odd, spark):
     none = toxicity.fit(docs, labels.limit(0))
     assert none is None and toxicity.severity(docs, none).filter("severity > 0").count() == 0
     assert toxicity.severity(docs.limit(0), none).count() == 0
+
+
+def test_rare_toxic_class_stays_in_the_sample(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learned = labels.filter("doc_id % 4 <> 0")
+    rare = learned.filter("toxic = 0").union(learned.filter("toxic = 1").orderBy(F.xxhash64("doc_id")).limit(50))
+    model = toxicity.fit(docs, rare, sample=200)        # without regard to class, 4 toxic rows in it
+    assert model is not None and len(model[0]) > 20
+    held = docs.join(F.broadcast(labels.filter("doc_id % 4 = 0")), "doc_id")
+    rows = toxicity.severity(held, model).join(held.select("doc_id", "toxic"), "doc_id").collect()
+    said, true = np.array([r["p_toxic"] >= 0.5 for r in rows]), np.array([r["toxic"] == 1 for r in rows])
+    assert said[true].mean() >= 0.6 and said[~true].mean() <= 0.03
+
+
+def test_weighted_rows_count_as_often_as_they_weigh():
+    rnd = np.random.default_rng(2)
+    x, grade = rnd.integers(1, 5, 40), rnd.integers(0, 4, 40)
+    times = np.where(grade > 0, 1, 3)
+    rows = lambda v: ([[0]] * len(v), [[float(i)] for i in v])
+    w, theta = toxicity.fit_ordinal(*rows(x), grade, 1, weight=times.astype(float))
+    again, theta2 = toxicity.fit_ordinal(*rows(np.repeat(x, times)), np.repeat(grade, times), 1)
+    assert np.allclose(w, again) and np.allclose(theta, theta2)
