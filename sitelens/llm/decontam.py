@@ -24,6 +24,7 @@ from sitelens.llm.staging import ascii_lower, staged
 WINDOW = 10
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_ROWS = 200_000        # windows of at most 16 + 8 * 10 bytes and their words
+BROADCAST_MARKS = 1_000_000     # keys and text digests of contaminated rows, 16 bytes each
 
 
 def words(text: Column) -> Column:
@@ -129,9 +130,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text:
 def drop_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text",
                       item: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns
-    of the others stay as they are."""
+    of the others stay as they are. Of the rows that go only key and text
+    digest are kept; they are broadcast after they were counted, so that no
+    text moves, and shuffled beyond BROADCAST_MARKS."""
     table, sizes, small = bench_sets(bench, item, item_text, size)
     if not sizes:
         return docs
-    found = occurrences(docs, table, sizes, small, key, text).select(F.col("key").alias("_k"), F.col("digest").alias("_d"))
+    met = hits(docs, table, sizes, small, key, text).select(F.col("key").alias("_k"), F.col("digest").alias("_d"))
+    found = staged(met.distinct(), "contaminated")
+    found = F.broadcast(found) if found.count() <= BROADCAST_MARKS else found
     return docs.join(found, docs[key].eqNullSafe(found["_k"]) & (F.xxhash64(docs[text]) == found["_d"]), "left_anti")
