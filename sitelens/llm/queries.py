@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, toxicity, warc
+from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, toxicity, trie, vectors, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -107,3 +107,14 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @register("op10_jaccard_join", sql.JACCARD_JOIN)
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.component_ids(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@register("op12_vector_codes", sql.VECTOR_CODES)
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    out = vectors.vector_codes(table(spark, d, "embeddings").select("vec_id", "embedding", "label"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@register("op13_prefix_trie", sql.PREFIX_TRIE)
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return trie.prefix_nodes(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))

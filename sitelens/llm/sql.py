@@ -72,3 +72,49 @@ r AS (SELECT doc_id AS x, doc_id AS c FROM n UNION SELECT l.y, r.c FROM r JOIN l
 c AS (SELECT x, min(c) AS c FROM r GROUP BY x)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id"""
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    """Codebooks after each round as a table of their own."""
+    nearest = """SELECT i, part, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d FROM (
+  SELECT p.i, p.part, c.e, CAST(list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+  FROM p JOIN c{r} c ON c.part = p.part) GROUP BY i, part"""
+    steps = "".join(f"""
+a{r} AS ({nearest.format(r=r)}),
+m{r} AS (SELECT part, e, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY k) AS v FROM (
+  SELECT p.part, a.e, k, sum(p.v[k]) AS s, count(*) AS n
+  FROM p JOIN a{r} a ON a.i = p.i AND a.part = p.part, unnest(range(1, len(p.v) + 1)) AS u(k) GROUP BY p.part, a.e, k) GROUP BY part, e),
+c{r + 1} AS (SELECT c.part, c.e, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m ON m.part = c.part AND m.e = c.e),""" for r in range(rounds))
+    return f"""
+WITH q AS (SELECT row_number() OVER () AS i, vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS q
+           FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT i, vec_id, label, part, q[part * (len(q) // 4) + 1 : (part + 1) * (len(q) // 4)] AS v FROM q, unnest(range(0, 4)) AS u(part)),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, v FROM p QUALIFY e < 256),{steps}
+f AS ({nearest.format(r=rounds)}),
+s AS (SELECT p.vec_id, p.label, string_agg(format('{{:02x}}', f.e), '' ORDER BY f.part) AS code, CAST(sum(f.d) AS BIGINT) AS error
+      FROM p JOIN f ON f.i = p.i AND f.part = p.part GROUP BY p.i, p.vec_id, p.label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v[k] AS VARCHAR), ',' ORDER BY part, e, k)) FROM c{rounds}, unnest(range(1, len(v) + 1)) AS u(k)) AS codebooks_sha256
+FROM s"""
+
+
+VECTOR_CODES = _vector_codes()
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH o AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, s, CAST({_CRC32} % 9 AS BIGINT) AS h FROM o),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.s[1 : h.h], []), h.s[h.h + 1 :]) AS s FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, len(s) AS len, d, s[1 : d] AS pre FROM r, unnest(range(0, len(s) + 1)) AS u(d)),
+n AS (SELECT pre, d, min(conv_id) AS c, count(*) AS n,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends FROM m GROUP BY pre, d),
+k AS (SELECT pre[1 : d - 1] AS up, count(*) AS k FROM n WHERE d > 0 GROUP BY up),
+x AS (SELECT n.*, coalesce(k.k, 0) AS k, CASE WHEN n.d > 0 THEN (n.n - 1) * octet_length(encode(n.pre[n.d].text)) ELSE 0 END AS w
+      FROM n LEFT JOIN k ON k.up = n.pre),
+t AS (SELECT pre[1 : a] AS top, sum((k = 0)::INT) AS leaves, sum(w) AS saved FROM x, unnest(range(0, d + 1)) AS u(a) GROUP BY top)
+SELECT x.c AS conv_id, CAST(x.d AS BIGINT) AS depth, p.c AS parent_conv_id, CAST(x.n AS BIGINT) AS n_convs, CAST(x.k AS BIGINT) AS n_children,
+       CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM x JOIN t ON t.top = x.pre LEFT JOIN n p ON x.d > 0 AND p.pre = x.pre[1 : x.d - 1]"""

@@ -20,6 +20,9 @@ COLUMNS = {
             "near_edited": "double", "near_next": "double"},
     "op9": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
     "op10": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op12": {"vec_id": "bigint", "code": "string", "error": "bigint", "label_error": "bigint", "codebooks_sha256": "string"},
+    "op13": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+             "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
 }
 
 
@@ -35,11 +38,12 @@ def test_contract(spark, name):
     kinds = dict(df.dtypes)
     assert COLUMNS[name.split("_")[0]].items() <= kinds.items()
     rows = [r.asDict() for r in df.collect()]
-    table = "pages" if "page_id" in kinds else "documents"
-    assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    table = next((t for c, t in (("page_id", "pages"), ("vec_id", "embeddings"), ("doc_id", "documents")) if c in kinds), None)
+    if table:           # a row for each of the table's
+        assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if sql:
         con = duckdb.connect()
-        for t in ("documents", "benchmark", "pages"):
+        for t in ("documents", "benchmark", "pages", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         cur = con.execute(sql)
         names = [c[0] for c in cur.description]
