@@ -9,7 +9,7 @@ import importlib
 
 from pyspark import cloudpickle
 
-PYTHON_MODULES = ("jaccard", "langid", "secrets", "sketch", "tokens", "toxicity", "trie", "vectors", "warc")
+PYTHON_MODULES = ("jaccard", "langid", "secrets", "sketch", "tokens", "toxicity", "trie", "urls", "vectors", "warc")
 
 for _name in PYTHON_MODULES:
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, toxicity, trie, vectors, warc
+from sitelens.llm import decontam, jaccard, langid, mixing, pii, secrets, sketch, sql, tokens, toxicity, trie, urls, vectors, warc
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -109,6 +109,12 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.component_ids(table(spark, d, "documents").select("doc_id", "text"))
 
 
+@register("op11_url_filter")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    out = urls.judge(table(spark, d, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "host", "path", "rule", "verdict", F.array_join("words", " ").alias("words"), "log_odds")
+
+
 @register("op12_vector_codes", sql.VECTOR_CODES)
 def op12(spark: SparkSession, d: str) -> DataFrame:
     out = vectors.vector_codes(table(spark, d, "embeddings").select("vec_id", "embedding", "label"))

@@ -20,6 +20,7 @@ COLUMNS = {
             "near_edited": "double", "near_next": "double"},
     "op9": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
     "op10": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op11": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op12": {"vec_id": "bigint", "code": "string", "error": "bigint", "label_error": "bigint", "codebooks_sha256": "string"},
     "op13": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
              "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
