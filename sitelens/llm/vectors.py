@@ -9,10 +9,11 @@ Nearest entries are found without floating point: parts and entries are
 padded with zeros to a power of two P and transformed by the Walsh-Hadamard
 matrix, which multiplies every squared distance by exactly P. The scaled
 squared differences are summed coefficient by coefficient in sequency order
-(fewest sign changes first, where most of a smooth part lies). After the
-first ones the entry that leads is measured to its end; every entry whose
-partial sum already exceeds that bound is out, since the sum only grows, and
-the others go on until they exceed it as well. Ties go to the lower number.
+(fewest sign changes first, where most of a smooth part lies). Every few
+coefficients the entry that leads is measured to its end; an entry whose
+partial sum already exceeds that bound is out, since the sum only grows. Once
+few entries are left they go on alone, each until it exceeds the bound as
+well. Ties go to the lower number.
 
 Scale: rows never meet. A round is one pass over the staged integer vectors;
 each task adds up its own parts, so at most 256 rows a part and task are
@@ -42,8 +43,9 @@ from sitelens.llm.staging import staged
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 ROOM = 1 << 30                  # of P times a component, so that P times a squared distance stays below 2**63
-LEAD = 4                        # coefficients before the first elimination
-BLOCK = 4096                    # rows compared at a time
+STEP = 4                        # coefficients between two looks at the bounds
+FEW = 1 / 16                    # share of entries left from which each goes on by itself
+BLOCK = 256                     # rows compared at a time
 BROADCAST_LABELS = 200_000
 
 
@@ -76,16 +78,23 @@ def nearest(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     ``entries`` for each transformed row; both scaled alike."""
     size = x.shape[1]
     number, scaled = np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=np.int64)
+    columns = np.ascontiguousarray(entries.T)
     for begin in range(0, len(x), BLOCK):
         part = x[begin:begin + BLOCK]
         total = np.zeros((len(part), len(entries)), dtype=np.int64)
-        for k in range(min(LEAD, size)):
-            total += (part[:, k, None] - entries[None, :, k]) ** 2
-        lead = total.argmin(axis=1)
-        bound = total[np.arange(len(part)), lead] + ((part[:, LEAD:] - entries[lead, LEAD:]) ** 2).sum(axis=1)
-        row, entry = np.nonzero(total <= bound[:, None])
+        for done in range(min(STEP, size), size + STEP, STEP):
+            for k in range(done - STEP if done > STEP else 0, min(done, size)):
+                away = part[:, k, None] - columns[k]
+                away *= away
+                total += away
+            lead = total.argmin(axis=1)
+            bound = total[np.arange(len(part)), lead] + ((part[:, done:] - entries[lead, done:]) ** 2).sum(axis=1)
+            alive = total <= bound[:, None]
+            if done >= size or np.count_nonzero(alive) <= FEW * alive.size:
+                break
+        row, entry = np.nonzero(alive)
         total = total[row, entry]
-        for k in range(LEAD, size):
+        for k in range(done, size):             # the few that are left, one by one
             total += (part[row, k] - entries[entry, k]) ** 2
             alive = total <= bound[row]
             row, entry, total = row[alive], entry[alive], total[alive]
