@@ -301,7 +301,8 @@ def prefix_nodes(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         F.when(last, F.coalesce("digest", nothing)).otherwise(nothing).alias("ends_sha256"))
     sums = known.agg(F.count_if(F.col("above") == root()).alias("n_children"), F.coalesce(F.sum("leaf"), F.lit(0)).alias("leaves"),
                      F.coalesce(F.sum("weight"), F.lit(0)).alias("saved_tokens"))
-    head = tops.join(own_digest, "id", "left").join(F.broadcast(sums.withColumn("id", root())), "id")       # one row each
+    sums = sums.first()         # three numbers
+    head = tops.join(own_digest, "id", "left").withColumns({c: F.lit(sums[c]).cast("long") for c in ("n_children", "leaves", "saved_tokens")})
     head = head.select(
         "conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children",
         F.greatest("leaves", F.lit(1)).cast("long").alias("n_leaves"), "saved_tokens", F.coalesce("digest", nothing).alias("ends_sha256"))
