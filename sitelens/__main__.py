@@ -18,6 +18,7 @@ from sitelens.operators import catalogue, quality, search
 from sitelens.plans import batch, jobs
 from sitelens.session import get_session, scale_conf
 from sitelens.sources.catalogue import read_catalogue
+from sitelens.sources.publish import current_version, read_published
 from sitelens.sources.readers import read_table, write_table
 
 
@@ -28,7 +29,8 @@ def _refresh(spark, a) -> int:
 
 
 def _gate(spark, a) -> int:
-    result = jobs.quality_gate(read_table(spark, a.joined))
+    published = current_version(spark, a.joined) is not None
+    result = jobs.quality_gate(read_published(spark, a.joined, "joined") if published else read_table(spark, a.joined))
     if a.out:
         write_table(result, a.out)
         result = read_table(spark, a.out)
@@ -48,7 +50,7 @@ def _search(spark, a) -> int:
     index = search.page_sections(pages)
     write_table(index, f"{a.out}/index")
     index = read_table(spark, f"{a.out}/index")
-    results = search.keyword_search(queries, index)
+    results = search.keyword_search(queries, search.build_index(index))
     write_table(results, f"{a.out}/results")
     write_table(search.collapse_hits(read_table(spark, f"{a.out}/results")), f"{a.out}/collapsed")
     return 0

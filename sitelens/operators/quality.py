@@ -50,8 +50,11 @@ def quality_gate(df: DataFrame, gate: Gate) -> DataFrame:
     """Rows ``(rule, observed, passed)`` plus a final ``gate`` row; observed is
     the row count for size rules, the number of violating rows for row rules
     and the number of missing columns for the column rule."""
-    missing = missing_columns(df, gate.required)
-    counts = df.agg(*_aggs(df, gate))
+    return _verdict(df.agg(*_aggs(df, gate)), gate, missing_columns(df, gate.required))
+
+
+def _verdict(counts: DataFrame, gate: Gate, missing: list[str]) -> DataFrame:
+    """The rows of a gate from its one row of counts."""
     rows = []
     for name, n in gate.min_rows:
         rows.append(F.struct(F.lit(name).alias("rule"), F.col("__rows").alias("observed"),
@@ -78,23 +81,36 @@ def enforce(result: DataFrame) -> None:
 
 
 def observe_gate(df: DataFrame, gate: Gate, name: str = "quality_gate"):
-    """The same row rules as metrics riding on another action (e.g. a write):
-    returns (observed DataFrame, Observation)."""
+    """The gate's counts as metrics riding on another action (a write):
+    returns (observed DataFrame, Observation); ``observed_gate`` turns the
+    metrics into the gate's rows when the action is done."""
     obs = Observation(name)
     return df.observe(obs, *_aggs(df, gate)), obs
 
 
+def observed_gate(df: DataFrame, gate: Gate, obs: Observation) -> DataFrame:
+    """The rows that ``quality_gate(df, gate)`` would give, from the metrics
+    of a finished action: no data is read again."""
+    found = obs.get
+    counts = df.sparkSession.range(1).select(*[
+        F.lit(found[n]).cast("bigint").alias(n) for n in ["__rows", *[f"__v{i}" for i in range(len(gate.row_rules))]]])
+    return _verdict(counts, gate, missing_columns(df, gate.required))
+
+
 def site_gate(lat: str = "latitude", lon: str = "longitude", total: str = "total_patients",
               uninsured: str = "uninsured", medicaid_share: str = "pct_medicaid",
-              name: str = "organization", lat_range=LAT_RANGE, lon_range=LON_RANGE) -> Gate:
-    """The reference gate (Q1-Q6) for a joined site table."""
+              name: str = "organization", lat_range=LAT_RANGE, lon_range=LON_RANGE, fill: bool = False) -> Gate:
+    """The reference gate (Q1-Q6) for a joined site table. ``fill``: missing
+    counts are taken as 0 inside the rules, for a table that was not patched
+    before (``patch_for_gate``)."""
+    count = lambda c: F.coalesce(F.col(c), F.lit(0.0)) if fill else F.col(c)
     return Gate(
         min_rows=list(MIN_ROWS),
         required=[lat, lon, total, medicaid_share, name],
         row_rules=[
             ("coordinates_in_bounds", in_range(lat, *lat_range) & in_range(lon, *lon_range), [lat, lon]),
-            ("uninsured_le_total", ~(F.col(uninsured) > F.col(total)), [uninsured, total]),
-            ("non_negative_total", F.col(total) >= 0, [total]),
+            ("uninsured_le_total", ~(count(uninsured) > count(total)), [uninsured, total]),
+            ("non_negative_total", count(total) >= 0, [total]),
         ])
 
 

@@ -70,7 +70,12 @@ def payer_mix(df: DataFrame, key: str, order: str, total: str,
     shares are computed inside the single aggregated row, so the input is
     read once."""
     cols = [total, *parts.values()]
-    sums = sum_at_grain(df, key, order, cols)
+    return mix_rows(sum_at_grain(df, key, order, cols), total, parts, other_label, category, value)
+
+
+def mix_rows(sums: DataFrame, total: str, parts: dict[str, str], other_label: str = OTHER_LABEL,
+             category: str = CATEGORY, value: str = VALUE) -> DataFrame:
+    """The payer mix from one row of sums."""
     values = [(label, F.col(c)) for label, c in parts.items()]
     values.append((other_label, residual(total, *parts.values())))
     denom = reduce(lambda a, b: a + b, [v for _, v in values])
@@ -107,19 +112,50 @@ def page(df: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
 
 
 def page_after(df: DataFrame, order: list[str], last: tuple | None, size: int) -> DataFrame:
-    """L3 keyset paging for deep pages: rows strictly after ``last`` (the
-    order-key values of the previous page's last row), ascending order."""
+    """L3 keyset paging: the rows strictly after ``last`` (the order-key
+    values of the previous page's last row), ascending order, NULLs first as
+    in the order itself."""
     if last is not None:
-        cond = None
-        for i in range(len(order)):
-            term = F.col(order[i]) > F.lit(last[i])
-            for j in range(i):
-                term = term & (F.col(order[j]) == F.lit(last[j]))
-            cond = term if cond is None else cond | term
+        same, cond = F.lit(True), F.lit(False)
+        for name, value in zip(order, last, strict=True):
+            c = F.col(name)
+            cond = cond | (same & (c.isNotNull() if value is None else F.coalesce(c > F.lit(value), F.lit(False))))
+            same = same & (c.isNull() if value is None else F.coalesce(c == F.lit(value), F.lit(False)))
         df = df.filter(cond)
     return df.orderBy(*order).limit(size)
 
 
+PART = "__part"
+
+
+class RankIndex:
+    """L3 for deep pages: a table dealt into ranges of an order and stored so,
+    with the number of rows of each range. A page is the few ranges that hold
+    its rows: nothing before them is read or sorted."""
+
+    def __init__(self, df: DataFrame, order: list[str], parts: int | None = None):
+        """Store ``df`` by ranges of the total order ``order``."""
+        self.order = order
+        dealt = df.repartitionByRange(*([parts] if parts else []), *order)
+        dealt = dealt.withColumn(PART, F.spark_partition_id())
+        self.rows = stored(dealt, "ranks", partition_by=[PART])
+        self.parts = self.rows.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
+
+    def starts(self) -> list[tuple[int, int, int]]:
+        """(part, rows before it, rows) of every range: one small row each."""
+        out, before = [], 0
+        for r in self.parts.orderBy(PART).collect():
+            out.append((r[PART], before, r["n"]))
+            before += r["n"]
+        return out
+
+    def page(self, offset: int, size: int) -> DataFrame:
+        """The ``size`` rows from rank ``offset`` (0-based) on."""
+        held = [(p, before) for p, before, n in self.starts() if before < offset + size and before + n > offset]
+        rows = self.rows.filter(F.col(PART).isin([p for p, _ in held])).drop(PART)
+        return rows.orderBy(*self.order).offset(offset - held[0][1] if held else 0).limit(size)
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """L1: n rows drawn without replacement (fewer if fewer exist): those
     whose key hashes lowest under the seed, so a rerun draws the same."""

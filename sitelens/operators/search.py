@@ -1,19 +1,33 @@
-"""Search index build and weighted keyword search, re-aimed from the
-browser search as batch jobs (T3, T5, W2, K12, K13).
-
-Index build (T5) is native string work per page. Keyword search (T3) is a
-join: every term is keyed by its rarest three-letter run, records that hold
-that run are the candidates, and ``contains`` decides. Neither the terms nor
-the records pass through the driver or a broadcast.
+"""Weighted keyword search over an inverted index, re-aimed from the browser
+search as a batch job (T3, W2, K12, K13).
+
+The index holds, once per set of records, posting lists: for every run of two
+or three characters the records that hold it, and in which fields. A term is
+keyed by its run with the fewest postings; the postings of that run are its
+candidates, and the fields that hold the run bound the score a candidate can
+reach. Per term the best-bounded candidates are checked first; where the
+results among them come before whatever the next candidate could reach, the
+rest is never looked at. Candidates are gathered by record, so a record's text
+is read once for all of its terms. Neither the terms nor the records pass
+through the driver or a broadcast.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitelens.functions.text import slugify, snippet
+from sitelens.functions.scan import bind
+from sitelens.functions.text import snippet
 from sitelens.functions.urls import add_param
+from sitelens.operators.sections import NUMERIC_ENTITY, decode_numeric_entities, page_sections
+from sitelens.session import stored
+
+__all__ = ["NUMERIC_ENTITY", "SearchIndex", "build_index", "collapse_hits", "decode_numeric_entities", "keyword_hits",
+           "keyword_search", "page_sections", "record_names", "search_hits", "search_terms", "with_snippets"]
 
 # Field weights, result limit, shortest match and how many
 # hits of one page are shown before the "n more" line.
@@ -23,172 +37,38 @@ MIN_MATCH_CHARS = 2
 COLLAPSE_AFTER = 3
 QUERY_ARG = "q"
 RUN = 3                     # letters of a run that keys a term
+PROBE = 4                   # candidates checked first, as a multiple of the limit
+MOST_TERMS = 4096           # terms checked against one reading of a record
 
-# Markers for section starts, block-ending tags turned into line
-# breaks, dropped elements and decoded entities.
-SECTION_START = "\u0001"
-ATTRIBUTES_END = "\u0003"
-HEADING_END = "\u0002"
-DROP_ELEMENTS = (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<nav\b.*?</nav\s*>"
-                 r"|<footer\b.*?</footer\s*>|<!--.*?-->|<h1\b.*?</h1\s*>")
-HEADING = r"(?is)<h[2-6]\b([^>]*)>(.*?)</h[2-6]\s*>"
-HEADING_ID = r"(?i)(?:^|\s)id\s*=\s*[\"']?([^\"'\s>]+)"
-LINE_BREAKS = r"(?i)<br\s*/?>|</(p|div|li|tr|ul|ol|table|section|header|blockquote|pre)\s*>"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
-
-
-NUMERIC_ENTITY = r"&#([0-9]+|[xX][0-9a-fA-F]+);"
-REPLACEMENT = 0xFFFD        # for code points that no text may hold
-
-
-def _utf8_hex(n: Column) -> Column:
-    """Hex of the UTF-8 bytes of code point ``n``."""
-    def byte(v):
-        return F.lpad(F.hex(v), 2, "0")
-
-    def cont(shift):
-        return byte(F.lit(0x80) + F.shiftright(n, shift) % 64)
-    return (F.when(n < 0x80, byte(n))
-            .when(n < 0x800, F.concat(byte(F.lit(0xC0) + F.shiftright(n, 6)), cont(0)))
-            .when(n < 0x10000, F.concat(byte(F.lit(0xE0) + F.shiftright(n, 12)), cont(6), cont(0)))
-            .otherwise(F.concat(byte(F.lit(0xF0) + F.shiftright(n, 18)), cont(12), cont(6), cont(0))))
-
-
-def decode_numeric_entities(c: Column) -> Column:
-    """``&#233;`` / ``&#xE9;`` -> the character, natively: the text is split
-    at the entities, each code point is encoded as UTF-8 bytes and decoded,
-    and the pieces are joined again. Applied to markup before tags are
-    removed, so ``<``, ``>`` and ``&`` come out as their named entities (text,
-    not markup) and the section markers U+0001 to U+0003 as nothing; numbers that are no
-    code point of a text (0, surrogates, above 10FFFF) as U+FFFD."""
-    pieces = F.split(c, NUMERIC_ENTITY, -1)
-    codes = F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY), 1)
-
-    def char(code):
-        hexed = F.lower(F.substring(code, 1, 1)) == "x"
-        digits = F.regexp_replace(F.when(hexed, F.substr(code, F.lit(2))).otherwise(code), "^0+", "")
-        n = F.when(F.length(digits) > 8, REPLACEMENT).when(hexed, F.conv(digits, 16, 10).cast("bigint")).otherwise(
-            F.try_to_number(digits, F.lit("99999999")).cast("bigint"))
-        n = F.coalesce(n, F.lit(0))
-        cp = F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), REPLACEMENT).otherwise(n).cast("int")
-        return (F.when(cp == 60, F.lit("&lt;")).when(cp == 62, F.lit("&gt;"))
-                .when(cp == 38, F.lit("&amp;")).when(cp.isin(1, 2, 3), F.lit(""))
-                .otherwise(F.decode(F.unhex(_utf8_hex(cp)), "UTF-8")))
-    chars = F.transform(codes, char)
-    decoded = F.array_join(F.transform(
-        pieces, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(chars, i + 1), F.lit("")))), "")
-    return F.when(F.instr(c, "&#") > 0, decoded).otherwise(c)
-
-
-def clean_text(c: Column) -> Column:
-    """Markup to plain text: block ends -> line breaks, tags dropped, a fixed
-    set of named entities decoded (``&amp;`` last, so nothing is decoded
-    twice), blank runs collapsed, trimmed. Numeric entities are decoded
-    before this, once per page (``decode_numeric_entities``)."""
-    x = F.regexp_replace(c, LINE_BREAKS, "\n")
-    x = F.regexp_replace(x, r"<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = F.regexp_replace(x, r"[ \t\f\r\x0B]+", " ")
-    x = F.regexp_replace(x, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(x, r"^[ \n]+|[ \n]+$", "")
-
-
-def _content(html: Column) -> Column:
-    def grab(pattern: str) -> Column:
-        v = F.regexp_extract(html, pattern, 1)
-        return F.when(v != "", v)
-    articles = F.regexp_extract_all(html, F.lit(r"(?is)<article\b[^>]*>(.*?)</article\s*>"), 1)
-    return F.coalesce(F.when(F.size(articles) > 0, F.array_join(articles, "\n")),
-                      grab(r"(?is)<article\b[^>]*>(.*)"),
-                      grab(r"(?is)<body[^>]*>(.*)"),
-                      html)
-
-
-def _unique(bases: Column) -> Column:
-    """Anchors in order, each one that is taken already followed by the first
-    free number."""
-    def add(used: Column, base: Column) -> Column:
-        numbered = F.transform(F.sequence(F.lit(1), F.size(used) + 1), lambda n: F.concat(base, F.lit("-"), n.cast("string")))
-        free = F.element_at(F.filter(numbered, lambda x: ~F.array_contains(used, x)), 1)
-        return F.concat(used, F.array(F.when(F.array_contains(used, base), free).otherwise(base)))
-
-    return F.aggregate(bases, F.array().cast("array<string>"), add)
-
-
-def page_sections(pages: DataFrame, page_id: str = "page_id", url: str = "url",
-                  html: str = "html") -> DataFrame:
-    """T5: one record for the page (empty ``section``; text = the part before
-    the first heading, or the first section's when that is empty) and one
-    record per section (``h2``-``h6``), ``href = url#anchor``. The anchor is
-    the heading's ``id`` or else its slug, numbered where a page repeats it.
-    The first section has an empty ``section`` and its text lacks the heading,
-    as in the published index. (``page_id``, ``position``) names a record.
-
-    Each page is parsed once, in its own row: the records are built as one
-    array per page and exploded, so there is no shuffle and no second pass.
-    """
-    h = F.translate(F.col(html), SECTION_START + HEADING_END + ATTRIBUTES_END, "")
-    # staged projections: each step is a named column the next one reads, so
-    # no expression tree is copied into every later use
-    raw = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"),
-        F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title_raw"),
-        F.regexp_replace(_content(h), DROP_ELEMENTS, "").alias("dropped"))
-    decoded = raw.select(
-        "page_id", "url", clean_text(decode_numeric_entities(F.col("title_raw"))).alias("title"),
-        decode_numeric_entities(F.col("dropped")).alias("body"))
-    marked = F.regexp_replace("body", HEADING, SECTION_START + "$1" + ATTRIBUTES_END + "$2" + HEADING_END)
-    split = decoded.select("page_id", "url", "title", F.split(marked, SECTION_START, -1).alias("parts"))
-    parts = F.col("parts")
-    staged = split.select(
-        "page_id", "url", "title",
-        clean_text(parts[0]).alias("intro"),
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("secs"))
-    after = lambda p, mark: F.substr(p, F.instr(p, mark) + 1)
-    staged = staged.select(
-        "page_id", "url", "title", "intro",
-        F.transform("secs", lambda p: F.regexp_extract(F.substring_index(p, ATTRIBUTES_END, 1), HEADING_ID, 1)).alias("ids"),
-        F.transform("secs", lambda p: clean_text(after(F.substring_index(p, HEADING_END, 1), ATTRIBUTES_END))).alias("heads"),
-        F.transform("secs", lambda p: clean_text(after(p, HEADING_END))).alias("bodies"))
-    staged = staged.withColumn("anchors", _unique(F.transform(
-        F.arrays_zip("ids", "heads"), lambda z: F.when(z["ids"] != "", z["ids"]).otherwise(slugify(z["heads"])))))
-    doc = F.struct(
-        F.col("url").alias("href"), F.lit("").alias("section"),
-        F.when(F.col("intro") != "", F.col("intro"))
-        .otherwise(F.coalesce(F.get("bodies", F.lit(0)), F.lit(""))).alias("text"),
-        F.lit(0).alias("position"))
-    sections = F.transform(
-        F.arrays_zip("heads", "bodies", "anchors"),
-        lambda z, i: F.struct(
-            F.concat(F.col("url"), F.lit("#"), z["anchors"]).alias("href"),
-            F.when(i == 0, "").otherwise(z["heads"]).alias("section"),
-            F.when(i == 0, z["bodies"]).otherwise(F.concat(z["heads"], F.lit("\n"), z["bodies"])).alias("text"),
-            (i + 1).alias("position")))
-    records = F.concat(F.array(doc), sections)
-    out = staged.select("page_id", "title", F.inline(records))
-    return out.select("page_id", "href", "title", "section", "text", "position")
-
-
-def _with_runs(df: DataFrame, c: Column, sizes: list[int], out: str) -> DataFrame:
-    """``df`` with the distinct runs of a text, of each of the sizes, exploded."""
-    lettered = df.withColumn("__letters", F.split(c, ""))
-
-    def of(n: int) -> Column:
-        first = F.slice("__letters", 1, F.greatest(F.size("__letters") - n + 1, F.lit(0)))
-        return F.transform(first, lambda x, i: F.concat(x, *[F.get("__letters", i + k) for k in range(1, n)]))
-
-    every = F.concat(*[of(n) for n in sizes])
-    return lettered.withColumn(out, F.explode(F.array_distinct(every))).drop("__letters")
 
+# --- index ------------------------------------------------------------------------
+
+@dataclass
+class SearchIndex:
+    """Records, their posting lists (run, fields, names..., key), sorted by
+    run, and the number of postings of each run. ``fields`` has one bit for
+    each weighted field, in the order of ``weights``."""
+    records: DataFrame
+    postings: DataFrame
+    runs: DataFrame
+    names: list[str]
+    key: str
+    weights: dict[str, int]
 
-def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "query") -> DataFrame:
-    """(query_id, query, term): the user's text and its normalised term, lower
-    case, trimmed, of at least two characters (an empty query finds nothing)."""
-    term = F.lower(F.trim(F.col(query)))
-    return (queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query"), term.alias("term"))
-            .filter(F.length("term") >= MIN_MATCH_CHARS))
+
+def runs_of(text: Column, sizes: list[int]) -> Column:
+    """The distinct runs of a text, of each of the sizes."""
+    def of(letters: Column) -> Column:
+        def size(n: int) -> Column:
+            first = F.slice(letters, F.lit(1), F.greatest(F.size(letters) - n + 1, F.lit(0)))
+            return F.transform(first, lambda x, i: F.concat(x, *[F.get(letters, i + k) for k in range(1, n)]))
+        return F.array_distinct(F.concat(*[size(n) for n in sizes]))
+
+    return bind(F.split(text, ""), of)
+
+
+def lowered(field: str) -> Column:
+    return F.lower(F.coalesce(F.col(field), F.lit("")))
 
 
 def record_names(records: DataFrame, key: str) -> list[str]:
@@ -197,66 +77,173 @@ def record_names(records: DataFrame, key: str) -> list[str]:
     return ["page_id", "position"] if {"page_id", "position"} <= set(records.columns) else [key]
 
 
-def keyword_hits(terms: DataFrame, records: DataFrame, key: str = "href",
-                 weights: dict[str, int] | None = None) -> DataFrame:
-    """Every (record, term) pair where the term occurs (case-insensitive
-    substring) in at least one field, with ``score = Σ weight(field)``.
-
-    Terms and records are split into runs of three characters (terms of two:
-    into runs of two); a term is keyed by the one of its runs that fewest
-    records hold, and compared with those records only. A record holds each
-    of a term's runs in one field if it contains the term there.
-    """
+def postings_of(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> DataFrame:
+    """(run, fields, names..., key): one row for every run of a record. The
+    last field is taken for the long one: its runs are compared with the
+    others' as sets."""
     weights = weights or FIELD_WEIGHTS
     names = record_names(records, key)
+    *heads, long = weights
+    each = F.struct(*[runs_of(lowered(f), [RUN - 1, RUN]).alias(f) for f in weights])
+
+    def rows(x: Column) -> Column:
+        short = F.array_distinct(F.concat(F.array().cast("array<string>"), *[x[f] for f in heads]))
+        return bind(short, lambda s: bind(F.array_intersect(s, x[long]), lambda both: F.concat(
+            F.transform(s, lambda r: F.struct(r.alias("run"), reduce(
+                lambda a, b: a + b,
+                [F.when(F.array_contains(held, r), 1 << i).otherwise(0) for i, held in enumerate([*[x[f] for f in heads], both])]).alias("fields"))),
+            F.transform(F.array_except(x[long], s), lambda r: F.struct(r.alias("run"), F.lit(1 << len(heads)).alias("fields"))))))
+
+    kept = dict.fromkeys([*names, key])
+    return records.select(*kept, F.inline(bind(each, rows))).select("run", "fields", *kept)
+
+
+def build_index(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> SearchIndex:
+    """The index of ``records``, with its posting lists stored: dealt and
+    sorted by run, so that a reader's filter on runs skips most row groups."""
+    weights = weights or FIELD_WEIGHTS
+    lists = postings_of(records, key, weights).repartitionByRange("run").sortWithinPartitions("run")
+    return read_index(records, stored(lists, "postings"), key, weights)
+
+
+def read_index(records: DataFrame, postings: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> SearchIndex:
+    """An index over posting lists that are stored already."""
+    runs = postings.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    return SearchIndex(records, postings, runs, record_names(records, key), key, weights or FIELD_WEIGHTS)
+
+
+# --- search -----------------------------------------------------------------------
+
+def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "query") -> DataFrame:
+    """(query_id, query, term): the user's text and its normalised term, lower
+    case, trimmed, of at least two characters (an empty query finds nothing)."""
+    term = F.lower(F.trim(F.col(query)))
+    return (queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query"), term.alias("term"))
+            .filter(F.length("term") >= MIN_MATCH_CHARS))
+
+
+def candidates(terms: DataFrame, index: SearchIndex) -> DataFrame:
+    """(term, bound, names..., key): the postings of each term's rarest run,
+    with the score that the fields holding it allow."""
     words = terms.select("term").distinct()
-    split = [_with_runs(words.filter(c), F.col("term"), [n], "run")
-             for n, c in ((RUN, F.length("term") >= RUN), (RUN - 1, F.length("term") < RUN))]
-    wanted = split[0].unionByName(split[1])
-    rec = records.select(*dict.fromkeys([*names, key]), *weights)
-    per_field = F.array_distinct(F.array(*[F.lower(F.coalesce(F.col(f), F.lit(""))) for f in weights]))
-    held = rec.select(*names, F.explode(per_field).alias("__field"))
-    held = _with_runs(held, F.col("__field"), [RUN - 1, RUN], "run").select(*names, "run")
-    held = held.join(wanted.select("run").distinct(), "run", "left_semi").distinct()
-    rarity = held.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    best = wanted.join(rarity, "run", "left").groupBy("term").agg(
+    size = lambda n: runs_of(F.col("term"), [n])
+    wanted = words.select("term", F.explode(F.when(F.length("term") < RUN, size(RUN - 1)).otherwise(size(RUN))).alias("run"))
+    # a run that no record holds leaves its term without candidates
+    best = wanted.join(index.runs, "run", "left").groupBy("term").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run").alias("run"))).alias("b"))
     keyed = best.filter("b.n > 0").select("term", "b.run")
-    pairs = held.join(keyed, "run").select(*names, "term")
-    found = pairs.join(rec, names)
-    hit = lambda f: F.contains(F.lower(F.coalesce(F.col(f), F.lit(""))), F.col("term"))
-    score = sum((F.when(hit(f), w).otherwise(0) for f, w in weights.items()), F.lit(0))
-    return found.select(*dict.fromkeys([*names, key]), "term", score.cast("int").alias("score")).filter("score > 0")
+    bound = reduce(lambda a, b: a + b, [F.when(F.col("fields").bitwiseAND(1 << i) > 0, w).otherwise(0)
+                                        for i, w in enumerate(index.weights.values())])
+    return index.postings.join(keyed, "run").select("term", bound.alias("bound"), *dict.fromkeys([*index.names, index.key]))
+
+
+def checked(pairs: DataFrame, index: SearchIndex) -> DataFrame:
+    """(term, score, names..., key) of the (term, names...) pairs whose term
+    occurs in at least one field: score = sum of the weights of the fields
+    that contain it. Pairs are gathered by record first; a record with more
+    than MOST_TERMS terms is read once for every so many."""
+    names = index.names
+    busy = pairs.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / MOST_TERMS).alias("parts")).filter("parts > 1")
+    dealt = pairs.select("term", *names).join(busy, names, "left")
+    part = F.pmod(F.xxhash64("term"), F.coalesce("parts", F.lit(1)))
+    gathered = dealt.groupBy(*names, part.alias("part")).agg(F.collect_list("term").alias("terms"))
+    fields = F.struct(*[lowered(f).alias(f) for f in index.weights])
+    # one reading of the record for all of its terms
+    hits = lambda x: F.filter(F.transform("terms", lambda t: F.struct(t.alias("term"), reduce(
+        lambda a, b: a + b, [F.when(F.contains(x[f], t), w).otherwise(0) for f, w in index.weights.items()]).alias("score"))),
+        lambda h: h["score"] > 0)
+    kept = dict.fromkeys([*names, index.key])
+    rec = index.records.select(*dict.fromkeys([*kept, *index.weights]))
+    return gathered.join(rec, names).select(*kept, F.inline(bind(fields, hits)))
+
+
+def keyword_hits(terms: DataFrame, records: DataFrame | SearchIndex, key: str = "href",
+                 weights: dict[str, int] | None = None) -> DataFrame:
+    """Every (record, term) pair where the term occurs (case-insensitive
+    substring) in at least one field, with its score, without a limit."""
+    index = records if isinstance(records, SearchIndex) else build_index(records, key, weights)
+    return checked(candidates(terms, index), index)
+
+
+def best_first(index: SearchIndex, score: str) -> list[Column]:
+    return [F.col(score).desc(), F.col(index.key), *[F.col(n) for n in index.names if n != index.key]]
+
+
+def place(index: SearchIndex, score: str, prefix: str = "") -> Column:
+    """A record's place under a term as a struct: smaller is better."""
+    return F.struct((-F.col(prefix + score)).alias("a"), *[F.col(prefix + n).alias(f"b{i}") for i, n in enumerate(
+        dict.fromkeys([index.key, *index.names]))])
+
+
+def top_hits(terms: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT) -> DataFrame:
+    """(term, rank, score, names..., key): the best ``limit`` records of every
+    term by score, ties by key and name.
+
+    The candidates of a term are ranked by bound; the first PROBE * limit are
+    checked. If ``limit`` of the hits among them come before the best place
+    that the next candidate could have, the term is done. Only the other
+    terms' remaining candidates are checked as well, those that could still
+    come before the hits found."""
+    pairs = candidates(terms, index)
+    first = PROBE * limit
+    by = Window.partitionBy("term")
+    ranked = pairs.withColumn("at", F.row_number().over(by.orderBy(*best_first(index, "bound")))).filter(F.col("at") <= first + 1)
+    ranked = stored(ranked, "candidates")
+    hits = stored(checked(ranked.filter(F.col("at") <= first), index), "hits")
+    frontier = ranked.filter(F.col("at") == first + 1).select("term", place(index, "bound").alias("next"))
+    ahead = frontier.join(hits.select("term", place(index, "score").alias("found")), "term", "left")
+    ahead = ahead.groupBy("term", "next").agg(F.count_if(F.col("found") < F.col("next")).alias("n"))
+    open_ = stored(ahead.filter(F.col("n") < limit).select("term", "next"), "open")
+    if open_.take(1):
+        rest = pairs.join(open_, "term").filter(place(index, "bound") >= F.col("next")).drop("next")
+        hits = hits.unionByName(checked(rest, index))
+    return hits.withColumn("rank", F.row_number().over(by.orderBy(*best_first(index, "score")))).filter(F.col("rank") <= limit)
+
+
+def with_snippets(results: DataFrame, index: SearchIndex, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``results`` with ``link`` (the key with ``?q=query``), ``snippet`` (the
+    marked, clipped text) and, if asked for, ``columns`` of the records. The
+    results of a record are gathered, so its text is read once for all."""
+    names = index.names
+    busy = results.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / MOST_TERMS).alias("parts")).filter("parts > 1")
+    part = F.pmod(F.xxhash64("query_id"), F.coalesce("parts", F.lit(1)))
+    own = [c for c in results.columns if c not in names]
+    gathered = results.join(busy, names, "left").groupBy(*names, part.alias("part")).agg(F.collect_list(F.struct(*own)).alias("results"))
+    more = list(dict.fromkeys(c for c in ("text", *columns) if c not in (*names, *own)))
+    text = F.struct(F.col("text").alias("text"), F.lower("text").alias("low"))
+    rows = bind(text, lambda x: F.transform("results", lambda r: F.struct(
+        *[r[c].alias(c) for c in own], add_param(r[index.key] if index.key in own else F.col(index.key), QUERY_ARG, r["query"]).alias("link"),
+        snippet(x["text"], r["term"], x["low"]).alias("snippet"))))
+    out = gathered.join(index.records.select(*names, *more), names).select(*names, *[c for c in columns if c in more], F.inline(rows))
+    return out
+
+
+def search_hits(queries: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT,
+                query_id: str = "query_id", query: str = "query") -> DataFrame:
+    """(query_id, query, term, rank, score, names..., key): T3 without the
+    records' texts. Equal terms are searched once."""
+    terms = search_terms(queries, query_id, query)
+    return top_hits(terms, index, limit).join(terms, "term")
 
 
-def keyword_search(queries: DataFrame, records: DataFrame, limit: int = RESULT_LIMIT,
+def keyword_search(queries: DataFrame, records: DataFrame | SearchIndex, limit: int = RESULT_LIMIT,
                    key: str = "href", weights: dict[str, int] | None = None,
                    query_id: str = "query_id", query: str = "query", details: bool = True) -> DataFrame:
     """Best ``limit`` records per query by score, ties by ``key`` (and by
-    the record's name, where several share the key).
+    the record's name, where several share the key). ``records`` is a table,
+    which is indexed first, or an index.
 
     Output: query_id, query (the user's text), rank, href, score, title,
     section, text, link (href with ``?q=query``) and snippet (marked, clipped
-    text). Equal terms are searched once. The top-k is a ``row_number``
-    filter, planned with a partial group limit before the shuffle, so a term
-    that hits most records stays cheap. ``details=False`` returns only
-    query_id, query, rank, href and score, without reading the records again.
+    text). ``details=False`` returns only query_id, query, rank, href and
+    score, without reading the records again.
     """
-    names = record_names(records, key)
-    terms = search_terms(queries, query_id, query)
-    hits = keyword_hits(terms, records, key, weights)
-    w = Window.partitionBy("term").orderBy(F.col("score").desc(), F.col(key), *[n for n in names if n != key])
-    top = (hits.withColumn("rank", F.row_number().over(w))
-           .filter(F.col("rank") <= limit))
-    top = top.join(terms, "term")
+    index = records if isinstance(records, SearchIndex) else build_index(records, key, weights)
+    hits = search_hits(queries, index, limit, query_id, query)
     if not details:
-        return top.select("query_id", "query", "rank", key, "score")
-    more = records.select(*names, *[c for c in ("title", "section", "text") if c not in names])
-    out = top.join(more, names)
-    return out.select(
-        "query_id", "query", "rank", key, "score", "title", "section", "text",
-        add_param(F.col(key), QUERY_ARG, F.col("query")).alias("link"),
-        snippet(F.col("text"), F.col("term")).alias("snippet"))
+        return hits.select("query_id", "query", "rank", index.key, "score")
+    out = with_snippets(hits, index, ("title", "section", "text"))
+    return out.select("query_id", "query", "rank", index.key, "score", "title", "section", "text", "link", "snippet")
 
 
 def collapse_hits(results: DataFrame, collapse_after: int = COLLAPSE_AFTER,

@@ -1,8 +1,11 @@
 """Composite jobs M1-M9: the reference's scripts, report, gate, catalogue and
-search, each as one lazy DataFrame plan built from the operators."""
+search, built from the operators. All are lazy plans but for those that store
+a stage on the way (``mix_deciles``, the fitted line, ``site_search``)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,13 +72,18 @@ def enrich(sites: DataFrame, orgs: DataFrame) -> DataFrame:
     return join.enrich_left(sites, orgs, "bhcmis_id")
 
 
-def size_vs_mix(joined: DataFrame, threshold: float = 100) -> tuple[DataFrame, DataFrame]:
-    """M4: site-grain correlation of size and Medicaid share, and its
-    deciles, on rows with more than ``threshold`` patients."""
-    big = clean.above(joined, "total_patients", threshold)
-    corr = stats.correlation(big, "total_patients", "pct_medicaid")
-    return (corr.withColumn("corr_text", fmt_fixed("corr", 2)),
-            stats.quantiles(big, "pct_medicaid", (0.1, 0.5, 0.9)))
+def size_mix_corr(joined: DataFrame, threshold: float = 100) -> DataFrame:
+    """M4: site-grain correlation of size and Medicaid share on rows with more
+    than ``threshold`` patients."""
+    corr = stats.correlation(clean.above(joined, "total_patients", threshold), "total_patients", "pct_medicaid")
+    return corr.withColumn("corr_text", fmt_fixed("corr", 2))
+
+
+def mix_deciles(joined: DataFrame, threshold: float = 100) -> DataFrame:
+    """M4: 10th, 50th and 90th percentile of the Medicaid share of the same
+    rows. The exact distributed quantile looks for its slices when the frame
+    is built, so it runs jobs; the correlation has none of them."""
+    return stats.quantiles(clean.above(joined, "total_patients", threshold), "pct_medicaid", (0.1, 0.5, 0.9))
 
 
 def report_frame(joined: DataFrame) -> DataFrame:
@@ -102,25 +110,84 @@ def display_table(df: DataFrame) -> DataFrame:
                             "% Uninsured": fmt_pct("% Uninsured")})
 
 
-def landscape_report(joined: DataFrame, ordinal: str) -> dict[str, DataFrame]:
-    """M5: every table of the report page from one joined table."""
+class LazyTables(Mapping):
+    """Named tables, each built when it is first asked for."""
+
+    def __init__(self, builds: dict[str, Callable[[], DataFrame]]):
+        self._builds, self._built = builds, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builds[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builds)
+
+    def __len__(self) -> int:
+        return len(self._builds)
+
+
+SUMMED = ["total_patients", "medicaid", "uninsured", "pct_medicaid"]
+
+
+def org_groups(rf: DataFrame, ordinal: str) -> DataFrame:
+    """(bhcmis_id, sites, names, first row's measures): the one grouped pass
+    over the report's working table that its KPI row, payer mix and fit need.
+    A missing organisation key is one group. ``names`` are the organisation's
+    different names, of which a key has few."""
+    first = F.min_by(F.struct("organization", *SUMMED), F.col(ordinal)).alias("first")
+    return rf.groupBy("bhcmis_id").agg(F.count(F.lit(1)).alias("sites"), F.collect_set("organization").alias("names"), first).select(
+        "bhcmis_id", "sites", "names", *[F.col(f"first.{c}").alias(c) for c in ("organization", *SUMMED)])
+
+
+def report_summary(groups: DataFrame, threshold: float = 100) -> DataFrame:
+    """M5 in one row, from ``org_groups``: KPI row (sites, organizations,
+    patients), the parts of the payer mix, and the line fitted to the
+    organisations with more than ``threshold`` patients. The names are told
+    apart in the same plan (``explode`` of the few rows), everything else is
+    one global aggregate over one row per organisation."""
+    large = F.col("total_patients") > threshold
+    x, y = F.when(large, F.col("total_patients")), F.when(large, F.col("pct_medicaid"))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+    return groups.select("*", F.explode_outer("names").alias("name"), F.get("names", F.lit(0)).alias("lead")).select(
+        "name", *[F.when(F.col("name").eqNullSafe(F.col("lead")), F.col(c)).alias(c) for c in ("sites", *SUMMED)]).agg(
+        F.coalesce(F.sum("sites"), F.lit(0)).alias("sites"), F.count_distinct("name").alias("organizations"), zero("total_patients").alias("patients"),
+        zero("medicaid").alias("medicaid"), zero("uninsured").alias("uninsured"),
+        (zero("total_patients") - (zero("medicaid") + zero("uninsured"))).alias("other"),
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"),
+        F.count_if(x.isNotNull() & y.isNotNull()).alias("n_fitted"))
+
+
+def landscape_report(joined: DataFrame, ordinal: str, groups: DataFrame | None = None) -> Mapping[str, DataFrame]:
+    """M5: every table of the report page from one joined table. Nothing is
+    built, and no job runs, before a table is asked for. ``groups``: the
+    stored ``org_groups``, where a job keeps them for all tables."""
     rf = report_frame(joined)
-    orgs = org_grain(rf, ordinal)
-    return {
-        "kpi": report.kpi_row(rf, "bhcmis_id", ordinal, "organization", "total_patients"),
-        "payer_mix": report.payer_mix(rf, "bhcmis_id", ordinal, "total_patients",
-                                      {"Medicaid": "medicaid", "Uninsured": "uninsured"}),
-        "map": report.map_layer(rf, "latitude", "longitude", "total_patients", "pct_medicaid",
-                                "site_name", {"latitude": False, "longitude": False,
-                                              "total_patients": False, "pct_medicaid": False,
-                                              "uninsured": False, "medicaid": False,
-                                              "organization": True, "city": True,
-                                              "Patients (fmt)": True, "Medicaid %": True}),
-        "org_fit": stats.ols(orgs, "total_patients", "pct_medicaid"),
-        "org_fitted": stats.ols_fitted(orgs, "total_patients", "pct_medicaid"),
-        "table": display_table(rf),
-        "sample": report.sample_n(rf, 5, ordinal).select("site_name", "city", "county", "type"),
-    }
+    held = {"groups": groups}
+
+    def grouped() -> DataFrame:
+        if held["groups"] is None:
+            held["groups"] = org_groups(rf, ordinal)
+        return held["groups"]
+
+    def large() -> DataFrame:
+        orgs = grouped().select("bhcmis_id", "organization", "total_patients", "pct_medicaid", "uninsured")
+        return clean.above(orgs, "total_patients", 100)
+
+    hover = {"latitude": False, "longitude": False, "total_patients": False, "pct_medicaid": False, "uninsured": False,
+             "medicaid": False, "organization": True, "city": True, "Patients (fmt)": True, "Medicaid %": True}
+    mix = {"Medicaid": "medicaid", "Uninsured": "uninsured"}
+    return LazyTables({
+        "kpi": lambda: report_summary(grouped()).select("sites", "organizations", "patients"),
+        "payer_mix": lambda: report.mix_rows(grouped().agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in SUMMED[:3]]),
+                                             "total_patients", mix),
+        "map": lambda: report.map_layer(rf, "latitude", "longitude", "total_patients", "pct_medicaid", "site_name", hover),
+        "org_fit": lambda: stats.ols(large(), "total_patients", "pct_medicaid"),
+        "org_fitted": lambda: stats.ols_fitted(large(), "total_patients", "pct_medicaid"),
+        "table": lambda: display_table(rf),
+        "sample": lambda: report.sample_n(rf, 5, ordinal).select("site_name", "city", "county", "type"),
+    })
 
 
 def group_relationship(obs: DataFrame, group: str, x: str, y: str) -> DataFrame:
@@ -167,11 +234,11 @@ def catalogue_views(items: DataFrame, category: str = "", page_number: int = 1,
 
 def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M9: index build, weighted search, per-page collapse."""
-    records = stored(search.page_sections(pages), "index")
-    results = search.keyword_search(queries, records)
+    index = search.build_index(stored(search.page_sections(pages), "index"))
+    results = stored(search.keyword_search(queries, index), "results")
     return results, search.collapse_hits(results)
 
 
-__all__ = ["clean_sites", "org_metrics", "enrich", "size_vs_mix", "landscape_report",
+__all__ = ["clean_sites", "org_metrics", "enrich", "size_mix_corr", "mix_deciles", "landscape_report", "org_groups", "report_summary",
            "group_relationship", "observation_report", "catalogue_views", "quality_gate", "catalogue_facets", "site_search",
            "display_table", "report_frame", "org_grain"]

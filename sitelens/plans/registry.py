@@ -203,7 +203,7 @@ SELECT round(corr(total_patients, pct_medicaid), 6) AS corr, count(*) AS n,
        format('{:.2f}', corr(total_patients, pct_medicaid)) AS corr_text
 FROM joined WHERE total_patients > 100 AND pct_medicaid IS NOT NULL"""))
 def corr_size_mix(spark, d):
-    c, _ = jobs.size_vs_mix(S.joined(spark, d))
+    c = jobs.size_mix_corr(S.joined(spark, d))
     return c.withColumn("corr", r6("corr"))
 
 
@@ -212,7 +212,7 @@ SELECT unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE]) AS probability,
        round(unnest(quantile_cont(pct_medicaid, [0.1::DOUBLE, 0.5::DOUBLE, 0.9::DOUBLE])), 6) AS value
 FROM joined WHERE total_patients > 100"""))
 def quantiles(spark, d):
-    _, q = jobs.size_vs_mix(S.joined(spark, d))
+    q = jobs.mix_deciles(S.joined(spark, d))
     return q.withColumn("value", r6("value"))
 
 
@@ -531,16 +531,10 @@ def required_fields(spark, d):
     return quality.required_fields(S.search_index(spark, d))
 
 
-def _results(spark, d, details=True):
-    # the index is published once and read by matching (and the result rows)
-    return search.keyword_search(S.search_queries(spark, d), S.search_index(spark, d),
-                                 details=details)
-
-
 @register("keyword_search", "WITH " + sql.RECORDS + "," + sql.TERMS + """
 SELECT query_id, query, CAST(rnk AS INTEGER) AS "rank", href, score FROM results""")
 def keyword_search(spark, d):
-    return _results(spark, d, details=False)
+    return search.keyword_search(S.search_queries(spark, d), S.search_lists(spark, d), details=False)
 
 
 @register("snippet", "WITH " + sql.RECORDS + "," + sql.TERMS + """
@@ -552,7 +546,8 @@ SELECT query_id, href, """ + sql.snippet_sql("text", "query") + """ AS snippet,
        || CASE WHEN strpos(href, '#') > 0 THEN substr(href, strpos(href, '#')) ELSE '' END AS link
 FROM results""")
 def snippet_q(spark, d):
-    return _results(spark, d).select("query_id", "href", "snippet", "link")
+    shown = search.with_snippets(S.search_results(spark, d), S.search_lists(spark, d))
+    return shown.select("query_id", "href", "snippet", "link")
 
 
 @register("search_collapsed", "WITH " + sql.RECORDS + "," + sql.TERMS + """
@@ -569,7 +564,7 @@ UNION ALL
 SELECT query_id, base_href, CAST(group_rank AS INTEGER), 4, 'more', CAST(NULL AS VARCHAR), CAST(group_size - 3 AS BIGINT)
 FROM r3 WHERE item_rank = 1 AND group_size > 3""")
 def search_collapsed(spark, d):
-    return search.collapse_hits(_results(spark, d, details=False))
+    return search.collapse_hits(S.search_results(spark, d))
 
 
 @register("preview", """

@@ -135,6 +135,22 @@ def search_index(spark: SparkSession, d: str) -> DataFrame:
     return published(spark, f"index:{d}", lambda: page_sections(section_pages(spark, d)), files(d, "pages"))
 
 
+def search_lists(spark: SparkSession, d: str):
+    """The published search records with their posting lists, published too."""
+    from sitelens.operators import search
+    records = search_index(spark, d)
+    build = lambda: search.postings_of(records).repartitionByRange("run").sortWithinPartitions("run")
+    return search.read_index(records, published(spark, f"postings:{d}", build, files(d, "pages")))
+
+
+def search_results(spark: SparkSession, d: str) -> DataFrame:
+    """The hits of all queries (M9's first half), published: the page of
+    results and its per-page groups both show them."""
+    from sitelens.operators import search
+    return published(spark, f"hits:{d}", lambda: search.search_hits(search_queries(spark, d), search_lists(spark, d)),
+                     files(d, "pages", "benchmark"))
+
+
 def catalogue_items(spark: SparkSession, d: str) -> DataFrame:
     """Documents as catalogue items with base64-coded categories, as the
     listing page stores them."""

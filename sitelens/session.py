@@ -94,14 +94,22 @@ def work_folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/sitelens-{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+def stored(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and a
     lost executor then re-reads files instead of recomputing the lineage."""
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where it has fewer partitions than they are
+    (a small input in few row groups), for work that is heavy per row. Inputs
+    with enough partitions are left as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def remove_work(spark: SparkSession) -> None:
     """Delete this application's stage outputs (at the end of a job)."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_folder(spark))

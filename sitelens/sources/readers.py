@@ -46,6 +46,49 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return df if fmt in ("parquet", "orc") else nan_to_null_all(df)
 
 
+CORRUPT = "_corrupt_record"
+QUARANTINE = "file string, line string, reason string"
+
+
+def read_quarantined(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str, **options) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine): nothing is dropped without a word.
+
+    Text formats (csv, json by lines): a line that does not fit the schema
+    becomes a quarantine row (file, line, reason) instead of a row of NULLs.
+    Every format: a file of which no row could be read becomes one quarantine
+    row, with the reason found in its first and last bytes. Rows of good files
+    are unaffected. Both frames are lazy; the quarantine reads file contents of
+    suspect files only.
+    """
+    kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    options = {"header": "true", **options} if fmt == "csv" else options
+    file = F.col("_metadata.file_path")
+    text = fmt in ("csv", "json")
+    reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()}).option("ignoreCorruptFiles", "true")
+    if text:
+        wide = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
+        rows = reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).load(path)
+        # all columns are named, since a scan without them would not parse
+        rows = rows.select(*kind.fieldNames(), CORRUPT, file.alias("__file"))
+        good = nan_to_null_all(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "__file"))
+        broken = rows.filter(F.col(CORRUPT).isNotNull()).select(
+            F.col("__file").alias("file"), F.col(CORRUPT).alias("line"), F.lit("line does not fit the schema").alias("reason"))
+    else:
+        rows = reader.schema(kind).load(path)
+        good, broken = rows, None
+    read = rows.select(file.alias("file") if not text else F.col("__file").alias("file")).distinct()
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = listed.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+    suspect = listed.join(read, F.col("path") == F.col("file"), "left_anti")
+    magic = {"parquet": "PAR1", "orc": "ORC"}.get(fmt)
+    reason = F.when(F.col("length") == 0, "empty file").otherwise("no row could be read")
+    if magic:
+        marked = F.substring("content", 1, len(magic)) == F.lit(magic).cast("binary")
+        reason = F.when(F.col("length") == 0, "empty file").when(~marked, f"not a {fmt} file").otherwise("no row could be read")
+    files = suspect.select(F.col("path").alias("file"), F.lit(None).cast("string").alias("line"), reason.alias("reason"))
+    return good, files if broken is None else broken.unionByName(files)
+
+
 def read_search_records(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of search records."""
     return spark.read.schema(SEARCH_RECORD).option("multiLine", "true").json(path)

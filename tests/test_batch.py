@@ -4,6 +4,7 @@ import pytest
 
 from sitelens.operators.quality import GateFailed
 from sitelens.plans.batch import refresh
+from sitelens.sources.publish import NothingPublished, read_published
 from tests.xlsx_util import write_xlsx
 
 SITE_HEADER = [" Site State Abbreviation", "BHCMIS Organization Identification Number",
@@ -52,11 +53,12 @@ def test_refresh_gate_blocks(spark, tmp_path):
     with pytest.raises(GateFailed):
         refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
                 str(tmp_path / "out"), region="OR")
-    assert not (tmp_path / "out" / "joined").exists()
+    with pytest.raises(NothingPublished):
+        read_published(spark, str(tmp_path / "out"), "joined")
     write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": _sites()})
     refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"), str(tmp_path / "out"), region="OR")
     write_xlsx(str(tmp_path / "sites.xlsx"), {"Sheet1": rows})
     with pytest.raises(GateFailed):
         refresh(spark, str(tmp_path / "sites.xlsx"), str(tmp_path / "org_metrics.xlsx"),
                 str(tmp_path / "out"), region="OR")
-    assert spark.read.parquet(str(tmp_path / "out" / "joined")).count() == 12
+    assert read_published(spark, str(tmp_path / "out"), "joined").count() == 12

@@ -1,6 +1,7 @@
 """The command line on files written by the test and on driver pages."""
 
 from sitelens.__main__ import main
+from sitelens.sources.publish import read_published
 from tests.test_batch import _orgs, _sites
 from tests.xlsx_util import write_xlsx
 
@@ -11,9 +12,9 @@ def test_cli_refresh_gate_catalogue_search(spark, tmp_path):
     out = str(tmp_path / "out")
     assert main(["refresh", "--sites", str(tmp_path / "sites.xlsx"), "--orgs",
                  str(tmp_path / "orgs.xlsx"), "--out", out, "--region", "OR", "--csv"]) == 0
-    assert spark.read.parquet(f"{out}/kpi").first()["sites"] == 12
-    assert main(["gate", "--joined", f"{out}/joined", "--out", str(tmp_path / "gate")]) == 0
-    bad = spark.read.parquet(f"{out}/joined").limit(5)
+    assert read_published(spark, out, "kpi").first()["sites"] == 12
+    assert main(["gate", "--joined", out, "--out", str(tmp_path / "gate")]) == 0
+    bad = read_published(spark, out, "joined").limit(5)
     bad.write.parquet(str(tmp_path / "small"))
     assert main(["gate", "--joined", str(tmp_path / "small")]) == 1
 
