@@ -15,6 +15,13 @@ text; label, source and key are no inputs of it.
 
 Null text, or one without a letter: language ``und``, score 0, no shares.
 Repeated rows are predicted alike. No labelled rows: everything is ``und``.
+
+Whether a text is in one of the learned languages at all (``fits``) is a
+matter of its likelihood as well: each word in its best language, against
+letters drawn at random from those that were seen. A text of at least
+LEAST_GRAMS trigrams that random letters explain as well is in none of them.
+Shorter texts say too little and fit; so does every text with a letter where
+nothing was learned.
 """
 
 from __future__ import annotations
@@ -33,6 +40,7 @@ ROUNDS, FEWER = 10, 4       # iterations with all languages, and with each small
 WORDS_AT_ONCE = 200_000
 KEPT = 300_000
 UND = "und"
+LEAST_GRAMS, MARGIN = 30, 0.05
 WORD = re.compile(r"[^\W\d_]+")
 BEGIN, END = "\x02", "\x03"
 
@@ -90,11 +98,13 @@ class Model:
             self.grams[g] = len(rows)
             rows.append(np.log(v + ALPHA) - base[g[:2]])
         self.table = np.stack(rows)
+        self.random = -np.log(letters)                   # of a trigram of random letters
         self.forget()
 
     def forget(self):
         self.ids: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.languages)))
+        self.gain = np.zeros((1024, 2))                  # best likelihood over random letters, trigrams
 
     def learn(self, words: list[str]):
         """Likelihoods of new words: the product over their trigrams, over
@@ -107,11 +117,17 @@ class Model:
         first, upto = len(self.ids), len(self.ids) + len(words)
         if upto > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros((max(upto, len(self.rows)), log.shape[1]))])
+            self.gain = np.vstack([self.gain, np.zeros((max(upto, len(self.gain)), 2))])
         self.rows[first:upto] = np.exp(log - log.max(axis=1, keepdims=True))
+        n = np.array([len(g) for g in grams])
+        self.gain[first:upto] = np.stack([log.max(axis=1) - n * self.random, n], axis=1)
         self.ids.update(zip(words, range(first, upto), strict=True))
 
     def likelihoods(self, words: list[str]) -> np.ndarray:
         """One row a word."""
+        return self.rows[self.places(words)]
+
+    def places(self, words: list[str]) -> list[int]:
         if len(self.ids) > KEPT:
             self.forget()
         found = list(map(self.ids.get, words))
@@ -120,7 +136,7 @@ class Model:
             self.learn(list({words[i] for i in missing}))
             for i in missing:
                 found[i] = self.ids[words[i]]
-        return self.rows[found]
+        return found
 
 
 def em(like: np.ndarray, starts: np.ndarray, owner: np.ndarray, share: np.ndarray, n: np.ndarray, rounds: int):
@@ -159,12 +175,14 @@ def mixtures(like: np.ndarray, sizes: np.ndarray):
     return full, out
 
 
-def predict(texts: list[str], model: Model) -> list[tuple[str, float, list]]:
-    """(language, score, [(language, share) of the chosen set]) of each text."""
-    out: list = [(UND, 0.0, [])] * len(texts)
+def predict(texts: list[str], model: Model) -> list[tuple[str, float, list, bool]]:
+    """(language, score, [(language, share) of the chosen set], fits) of each text."""
+    out: list = [(UND, 0.0, [], False)] * len(texts)
+    if not model.languages:
+        return [(UND, 0.0, [], any(map(str.isalpha, t or ""))) for t in texts]
     names, k = model.languages, len(model.languages)
     some, words, sizes, i = [], [], [], 0
-    while k and i <= len(texts):
+    while i <= len(texts):
         if i < len(texts):
             found = words_of(texts[i]) if texts[i] else []
             if found and any(map(str.isalpha, found)):
@@ -174,12 +192,15 @@ def predict(texts: list[str], model: Model) -> list[tuple[str, float, list]]:
         i += 1
         if sizes and (len(words) >= WORDS_AT_ONCE or i > len(texts)):
             n = np.asarray(sizes)
-            full, chosen = mixtures(model.likelihoods(words), n)
+            at = model.places(words)
+            full, chosen = mixtures(model.rows[at], n)
+            gain = np.add.reduceat(model.gain[at], np.cumsum(n) - n, axis=0)
+            fits = (gain[:, 0] > MARGIN * gain[:, 1]) | (gain[:, 1] < LEAST_GRAMS)
             top = chosen.argmax(axis=1)
             score = (np.take_along_axis(full, top[:, None], axis=1)[:, 0] * n + 1) / (n + k)
-            for j, at in enumerate(some):
+            for j, row in enumerate(some):
                 share = [(names[x], float(chosen[j, x])) for x in np.flatnonzero(chosen[j] > 0)]
-                out[at] = (names[top[j]], float(min(1.0, score[j])), sorted(share, key=lambda x: (-x[1], x[0])))
+                out[row] = (names[top[j]], float(min(1.0, score[j])), sorted(share, key=lambda x: (-x[1], x[0])), bool(fits[j]))
             some, words, sizes = [], [], []
     return out
 
@@ -208,18 +229,18 @@ def identifier(counts):
             found = predict(batch.column(1).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found]), pa.array([x[1] for x in found], pa.float64()),
-                 pa.array([[{"lang": a, "share": b} for a, b in x[2]] for x in found], kind)],
-                names=["row", "lang_pred", "score", "shares"])
+                 pa.array([[{"lang": a, "share": b} for a, b in x[2]] for x in found], kind), pa.array([x[3] for x in found], pa.bool_())],
+                names=["row", "lang_pred", "score", "shares", "fits"])
 
     return run
 
 
-PREDICTED = "lang_pred string, score double, shares array<struct<lang:string,share:double>>"
+PREDICTED = "lang_pred string, score double, shares array<struct<lang:string,share:double>>, fits boolean"
 
 
 def identify(docs: DataFrame, counts: list[tuple], text: str = "text") -> DataFrame:
     """Every row of ``docs`` as a struct ``row``, with lang_pred, score and
-    the shares of the chosen languages. The model is broadcast: it holds the
+    the shares of the chosen languages, and whether they fit. The model is broadcast: it holds the
     trigrams of the bounded sample only. Nothing is shuffled."""
     model = docs.sparkSession.sparkContext.broadcast(counts)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(text).alias("text"))
@@ -227,6 +248,8 @@ def identify(docs: DataFrame, counts: list[tuple], text: str = "text") -> DataFr
 
 
 def keep_identified(docs: DataFrame, counts: list[tuple], text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language cannot be told (``und``);
-    all columns stay as they are."""
-    return identify(docs, counts, text).filter(F.col("lang_pred") != UND).select("row.*")
+    """``docs`` without the rows that are in none of the learned languages:
+    null texts, texts without a letter, and texts that random letters explain
+    as well. All columns stay as they are. Where nothing was learned only the
+    first two go."""
+    return identify(docs, counts, text).filter("fits").select("row.*")

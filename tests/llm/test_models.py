@@ -48,14 +48,31 @@ def test_likelihood_rises_with_every_round():
 
 
 def test_language_id_odd_rows(make, odd):
-    docs = make([*odd, (20, EN)])
+    docs = make([*odd, (20, EN), (21, EN)])         # 20 is held out, 21 is learned from
     counts = langid.fit(docs)
     out = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, counts).select("row.*", "lang_pred").collect()}
     assert out[1] == out[2] == out[3] == "und" and out[20] == "en"
     kept = langid.keep_identified(docs, counts)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {k for k, _ in odd if k not in (1, 2, 3)} | {20}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {k for k, _ in odd if k not in (1, 2, 3)} | {20, 21}
     assert langid.fit(docs.withColumn("lang", F.lit(None).cast("string"))) == []
-    assert langid.keep_identified(docs, []).count() == 0 and langid.identify(docs.limit(0), counts).count() == 0
+    assert {r["doc_id"] for r in langid.keep_identified(docs, []).collect()} == {k for k, _ in odd if k not in (1, 2, 3)} | {20, 21}
+    assert langid.identify(docs.limit(0), counts).count() == 0
+
+
+def test_texts_in_no_learned_language_are_rejected(spark, make):
+    """Other scripts and random letters go; clean rows, short ones, mixtures
+    and rows that no learning may read stay."""
+    rnd = np.random.default_rng(3)
+    noise = " ".join("".join(map(chr, rnd.integers(97, 123, 7))) for _ in range(200))
+    greek, russian = "το γρήγορο καφέ αλεπού πηδάει πάνω από το σκυλί " * 5, "быстрая коричневая лиса прыгает через собаку " * 5
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = langid.fit(known)
+    docs = make([(1, greek), (2, russian), (3, noise), (4, "xq zj"), (5, EN), (6, FR + EN), (7, None), (8, "123 !")])
+    assert {r["doc_id"] for r in langid.keep_identified(docs, counts).collect()} == {4, 5, 6}
+    lettered = known.filter(F.col("text").rlike(r"\p{L}"))
+    assert langid.keep_identified(lettered, counts).count() >= 0.999 * lettered.count()
+    unlabelled = known.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_identified(unlabelled, langid.fit(unlabelled)).count() == lettered.count()
 
 
 def test_toxicity_on_rows_not_learned_from(spark):
