@@ -18,8 +18,9 @@ larger than that is a segment of its own.
 Null page text counts as empty. Rows that repeat the smallest page number of
 a payload are all responses. A null page number is kept as such, and comes
 after all others when the response is chosen. A header line that does not
-parse, or a declared length beyond the end of the file, ends that segment
-with a record of type ``error`` (no page number, digest of the bytes left).
+parse (its date included), or a declared length beyond the end of the file,
+ends that file with a record of type ``error`` (no page number, digest of the
+bytes left); so does a broken or cut gzip member, or bytes after the last one.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ import hashlib
 import re
 import uuid
 import zlib
+from datetime import datetime
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,14 +59,30 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def unpacked(data: bytes) -> bytes:
-    """The bytes of a file that may be gzip, of one member or several."""
+def unpacked(data: bytes) -> tuple[bytes, bytes]:
+    """The bytes of a file that may be gzip, of one member or several, and
+    those that could not be unpacked: a member that is broken or cut off, or
+    what follows the last one (zeros and line ends are padding)."""
+    if data[:2] != b"\x1f\x8b":
+        return data, b""
     out = []
     while data[:2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        out.append(member.decompress(data))
+        try:
+            part = member.decompress(data)
+        except zlib.error:
+            break
+        if not member.eof:
+            break
+        out.append(part)
         data = member.unused_data
-    return b"".join(out) or data
+    return b"".join(out), data if data.strip(b"\0\r\n") else b""
+
+
+def unreadable(left: bytes, names) -> dict:
+    """An ``error`` record of the bytes left, with the columns ``names``."""
+    known = {"record_type": "error", "block": left, "payload_bytes": len(left), "payload_digest": sha(left)}
+    return {n: known.get(n) for n in names}
 
 
 # -- ARC ---------------------------------------------------------------------
@@ -131,40 +150,58 @@ def iso(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
+#: Address (may hold spaces), IP address, date, further fields, length.
+HEADER = re.compile(rb"(.*?) (-|[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*) ([0-9]{14}|[0-9]{12}|[0-9]{8}) (.*) ([0-9]+)", re.S)
+
+
+def header_fields(line: bytes, version: bytes) -> dict[str, str] | None:
+    """Fields of a record's header line, None where it is none. They are told
+    by their form from the left, since addresses and content types may hold
+    spaces; in version 2 the five behind the content type hold none."""
+    found = HEADER.fullmatch(line)
+    if not found:
+        return None
+    url, ip, date, more, length = found.groups()
+    said = [more] if version == b"1" else more.rsplit(b" ", len(FIELDS[b"2"]) - 5)
+    if version == b"2" and len(said) < len(FIELDS[b"2"]) - 4:
+        return None
+    try:
+        datetime.strptime(date.decode().ljust(14, "0"), "%Y%m%d%H%M%S")
+    except ValueError:
+        return None
+    text = lambda b: b.decode("utf-8", "replace")
+    return {"url": text(url), "ip": text(ip), "date": iso(text(date)), "mime": text(said[0]), "length": int(length)}
+
+
 def parse_arc(data: bytes):
     """Records of an ARC file, as dicts of RECORD."""
-    at, fields, end = 0, FIELDS[b"1"], len(data)
+    at, version, end = 0, b"1", len(data)
     while at < end:
         if data[at] in b"\r\n":                         # between records
             at += 1
             continue
         line_end = data.find(b"\n", at)
-        line = data[at:line_end if line_end >= 0 else end].rstrip(b"\r")
-        first = line.startswith(b"filedesc://")
-        said = line.rsplit(b" ")
-        length = int(said[-1]) if said[-1].isdigit() else -1
-        start = at + len(line) + (2 if data[at + len(line):at + len(line) + 1] == b"\r" else 1)
-        block = data[start:start + max(length, 0)]
-        if first and length >= 0:                       # its own body says which fields follow
-            lines = block.split(b"\n")
-            version = lines[0].split(b" ")[0]
-            fields = tuple(lines[1].split()) if len(lines) > 1 and lines[1].startswith(b"URL ") else FIELDS.get(version, fields)
-            at = start + length
-            continue
-        said = line.rsplit(b" ", len(fields) - 1)       # old addresses may hold spaces
-        if line_end < 0 or length < 0 or len(said) < len(fields) or len(block) < length:
-            left = data[at:]
-            yield {"page_id": None, "url": None, "ip": None, "date": None, "mime": None, "record_type": "error",
-                   "block": left, "payload_bytes": len(left), "payload_digest": sha(left)}
+        line = data[at:line_end if line_end >= 0 else end]
+        start, line = at + len(line) + 1, line.rstrip(b"\r")
+        said = header_fields(line, version)
+        if line.startswith(b"filedesc://"):             # its own body says which version follows
+            length = line.rpartition(b" ")[2]
+            length = int(length) if length.isdigit() else end
+            if start + length <= end:
+                new = data[start:start + length].split(b" ")[0]
+                version, at = new if new in FIELDS else version, start + length
+                continue
+            said = None
+        if line_end < 0 or said is None or start + said["length"] > end:
+            yield unreadable(data[at:], RECORD_TYPES.names)
             return
-        named = {k.decode().lower(): v.decode("utf-8", "replace") for k, v in zip(fields, said, strict=True)}
+        block = data[start:start + said["length"]]
         head, body = http_parts(block)
         page = head.get("x-page-id", "")
-        yield {"page_id": int(page) if re.fullmatch("-?[0-9]+", page) else None, "url": named["url"], "ip": named["ip-address"],
-               "date": iso(named["archive-date"]), "mime": named["content-type"],
-               "record_type": "response" if named["url"].startswith(("http://", "https://")) or head else "resource",
+        yield {"page_id": int(page) if re.fullmatch("-?[0-9]+", page) else None, **{n: said[n] for n in ("url", "ip", "date", "mime")},
+               "record_type": "response" if said["url"].startswith(("http://", "https://")) or head else "resource",
                "block": block, "payload_bytes": len(body), "payload_digest": sha(body)}
-        at = start + length
+        at = start + said["length"]
 
 
 def read_records(parse, schema: pa.Schema, columns: tuple[str, ...], batch_bytes: int = 8 << 20):
@@ -175,7 +212,8 @@ def read_records(parse, schema: pa.Schema, columns: tuple[str, ...], batch_bytes
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for record in parse(unpacked(content.as_py())):
+                data, left = unpacked(content.as_py())
+                for record in chain(parse(data), [unreadable(left, schema.names)] if left else []):
                     rows.append({c: record[c] for c in columns})
                     size += 200 + (len(record["block"]) if "block" in columns else 0)
                     if size >= batch_bytes:

@@ -5,6 +5,8 @@ import hashlib
 import random
 
 
+import pytest
+
 from sitelens.llm import components, jaccard, warc
 from tests.llm.test_scans import brute_decontamination
 
@@ -38,7 +40,7 @@ def test_both_versions_parse():
         data = warc.version_block(version, "f.arc", "20240101000000") + b"\n\n" + warc.arc_record(
             version, "http://a/b", "192.0.2.1", "20230405060708", "text/html", block, 0, "f.arc") + b"\n"
         for packed in (data, gzip.compress(data), gzip.compress(data[:50]) + gzip.compress(data[50:])):
-            (r,) = warc.parse_arc(warc.unpacked(packed))
+            (r,) = warc.parse_arc(warc.unpacked(packed)[0])
             assert (r["page_id"], r["url"], r["date"], r["record_type"], r["block"]) == (7, "http://a/b", "2023-04-05T06:07:08Z", "response", block)
             assert r["payload_digest"] == hashlib.sha256("<p>é</p>".encode()).hexdigest()
     other = warc.version_block(b"1", "f", "20240101000000") + b"\nftp://x/y z 192.0.2.1 202304050607 text/plain 3\nabc\n"
@@ -169,3 +171,36 @@ def test_pipeline_empty(spark, documents, tmp_path):
     documents.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def arc(*records, version=b"1"):
+    return warc.version_block(version, "x.arc", "20240101000000") + b"".join(line + b" %d\n" % len(body) + body + b"\n" for line, body in records)
+
+
+@pytest.mark.parametrize("version, more", [(b"1", b""), (b"2", b" 200 - - 0 x.arc")])
+def test_arc_headers_are_told_by_their_form(version, more):
+    """Spaces in content types and addresses, odd dates, IPv6, error records."""
+    good = arc((b"http://a/x y 1.2.3.4 20240229123456 text/html; charset=utf-8" + more, b"one"),
+               (b"http://b 2001:db8::1 202401021112 -" + more, b"two"), (b"dns:c - 20240102 text/dns" + more, b""), version=version)
+    got = [(r["url"], r["ip"], r["date"], r["mime"], r["record_type"], r["block"]) for r in warc.parse_arc(good)]
+    assert got == [("http://a/x y", "1.2.3.4", "2024-02-29T12:34:56Z", "text/html; charset=utf-8", "response", b"one"),
+                   ("http://b", "2001:db8::1", "2024-01-02T11:12:00Z", "-", "response", b"two"),
+                   ("dns:c", "-", "2024-01-02T00:00:00Z", "text/dns", "resource", b"")]
+    for bad in (b"http://a 1.2.3.4 notadate text/html", b"http://a 1.2.3.4 20240230000000 text/html", b"http://a text/html 20240101000000"):
+        got = list(warc.parse_arc(arc((b"http://b 1.2.3.4 20240101000000 text/html" + more, b"ok"), (bad + more, b"abc"), version=version)))
+        assert [r["record_type"] for r in got] == ["response", "error"] and got[1]["block"].startswith(bad)
+
+
+def test_broken_archives_end_in_error_records(spark, tmp_path):
+    import gzip
+    one = gzip.compress(arc((b"http://a 1.2.3.4 20240101000000 text/html", b"one")))
+    broken = bytearray(gzip.compress(arc((b"http://b 1.2.3.4 20240101000000 text/html", b"two" * 1000))))
+    broken[30] ^= 255
+    cases = {"whole": (one, []), "padded": (one + b"\0" * 512, []), "tail": (one + b"left over", [b"left over"]),
+             "cut": (one + one[:40], [one[:40]]), "broken": (one + bytes(broken), [bytes(broken)])}
+    for name, (data, errors) in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.arc.gz").write_bytes(data)
+        rows = warc.read_arc(spark, str(tmp_path / name)).collect()
+        assert [r["url"] for r in rows if r["record_type"] == "response"] == ["http://a"]
+        assert [bytes(r["block"]) for r in rows if r["record_type"] == "error"] == errors, name
