@@ -32,8 +32,8 @@ join shuffles).
 Null or empty texts, or texts without words, have no shingles and link with
 nothing: their component is their own key. Rows that repeat a key and text
 are one class; a component is named by its smallest key (null if it has
-null keys only). A class that has null keys only is joined to no other
-class; a key with several texts stands for each of them.
+null keys only; such rows link like any other). A key with several texts
+stands for each of them.
 """
 
 from __future__ import annotations
@@ -104,8 +104,8 @@ def common_counter(words: int):
     return run
 
 
-SET_TYPES = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
-SET_DDL = "doc long, n long, digest binary, bands array<long>"
+SET_TYPES = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SET_DDL = "doc long, row long, n long, digest binary, bands array<long>"
 
 
 def set_maker(words: int, bands: int):
@@ -113,10 +113,10 @@ def set_maker(words: int, bands: int):
     def run(batches):
         for batch in batches:
             out = {n: [] for n in SET_TYPES.names}
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, row, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 s = shingle_set(text or "", words)
                 for name, value in zip(SET_TYPES.names, (
-                        doc, len(s), digest_of(s), min_hash_pairs(s, bands) if len(s) else []), strict=True):
+                        doc, row, len(s), digest_of(s), min_hash_pairs(s, bands) if len(s) else []), strict=True):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=SET_TYPES)
 
@@ -190,9 +190,9 @@ def prefix_rows(common, words: int, percent: int, by: int):
 def matrix(docs: DataFrame, classes: DataFrame, common, words: int, percent: int, by: tuple[str, ...]) -> DataFrame:
     """The token-group matrix of the staged ``classes`` (rep, digest, ids)
     under the first id in ``by``, with the smallest and largest component
-    that it holds under the token; dealt by token, so that it joins with
-    itself without another shuffle."""
-    rows = chosen(docs.select(F.col("doc").alias("rep"), "text"), classes.select("rep", "digest", *by), ["rep"])
+    that it holds under the token; dealt by token. Both sides of its join
+    with itself read the same columns, so it is made and shuffled once."""
+    rows = chosen(docs.select(F.col("row").alias("rep"), "text"), classes.select("rep", "digest", *by), ["rep"])
     kinds = ", ".join(f"{c} long" for c in ("token", *by, "lo", "hi", "rem", "rem_index"))
     rows = rows.select("digest", *by, "text").mapInArrow(prefix_rows(common, words, percent, len(by)), kinds)
     return rows.repartition("token").groupBy("token", by[0]).agg(
@@ -213,7 +213,8 @@ def meetings(rows: DataFrame, percent: int, by: str, counted: bool = False) -> D
     on &= (F.col("a.lo") * percent <= F.col("b.hi") * 100) & (F.col("a.hi") * 100 >= F.col("b.lo") * percent)
     if not counted:
         overlap = F.least("a.rem_index", "b.rem") * (100 + percent) >= (F.col("a.lo") + F.col("b.lo")) * percent
-        met = a.join(b, on & (F.col("a.rem_index") > 0) & (F.col("a.lo") <= F.col("b.hi")) & overlap)
+        same = F.col("a.rem").isNotNull() & F.col("b.rem_index").isNotNull()       # always; both sides read all columns
+        met = a.join(b, on & (F.col("a.rem_index") > 0) & (F.col("a.lo") <= F.col("b.hi")) & overlap & same)
         return met.select(F.least(f"a.{by}", f"b.{by}").alias("x"), F.greatest(f"a.{by}", f"b.{by}").alias("y")).distinct()
     met = a.join(b, on & (F.col(f"a.{by}") < F.col(f"b.{by}"))).groupBy(F.col(f"a.{by}").alias("x"), F.col(f"b.{by}").alias("y")).agg(
         F.count(F.lit(1)).alias("k"), (F.min("a.lo") + F.min("b.lo")).alias("both"), F.greatest(F.max("a.hi"), F.max("b.hi")).alias("most"))
@@ -294,13 +295,14 @@ def common_tokens(docs: DataFrame, words: int):
 
 
 def classes_of(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """Staged (doc, n, digest) of all rows and (cls, digest, rep, n, bands)
-    of the classes of non-empty sets."""
-    sets = staged(docs.mapInArrow(set_maker(words, BANDS), SET_DDL), "sets")
+    """Staged (doc, row, n, digest) of all rows and (cls, digest, rep, first,
+    n, bands) of the classes of non-empty sets: ``rep`` is the row that stands
+    for the class, ``first`` its smallest key."""
+    sets = staged(docs.select("doc", "row", "text").mapInArrow(set_maker(words, BANDS), SET_DDL), "sets")
     full = sets.filter("n > 0").groupBy("digest").agg(
-        F.min("doc").alias("rep"), F.min_by(F.struct("n", "bands"), F.col("n")).alias("s"))
-    full = full.select(F.monotonically_increasing_id().alias("cls"), "digest", "rep", "s.n", "s.bands")
-    return sets.select("doc", "n", "digest"), staged(full, "classes")
+        F.min("row").alias("rep"), F.min("doc").alias("first"), F.min_by(F.struct("n", "bands"), F.col("n")).alias("s"))
+    full = full.select(F.monotonically_increasing_id().alias("cls"), "digest", "rep", "first", "s.n", "s.bands")
+    return sets.select("doc", "row", "n", "digest"), staged(full, "classes")
 
 
 def grouped(classes: DataFrame) -> DataFrame:
@@ -319,7 +321,7 @@ def grouped(classes: DataFrame) -> DataFrame:
 def bodies_of(docs: DataFrame, rows: DataFrame, words: int, repeated: bool) -> DataFrame:
     """The staged ``rows`` (rep, digest, cls, ...) with the token sets of
     their classes; only their texts are read into sets."""
-    found = chosen(docs.select(F.col("doc").alias("rep"), "text"), rows, ["rep"])
+    found = chosen(docs.select(F.col("row").alias("rep"), "text"), rows, ["rep"])
     kept = [f for f in rows.schema.fields if f.name not in ("rep", "digest")]
     kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept] + ["tokens array<long>"])
     made = found.select("digest", *[f.name for f in kept], "text").mapInArrow(full_sets(words), kinds)
@@ -331,9 +333,11 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     """(key, n_shingles, component_id) of every row of ``docs``. ``key`` is a
     whole number."""
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    # a row is reread by the hash of its key, which may be null, and text
+    docs = docs.withColumn("row", F.xxhash64("doc", "text"))
     sets, classes = classes_of(docs, words)
     ids = classes.select("cls", "rep", "digest")
-    repeated = bool(sets.groupBy("doc", "digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").take(1))
+    repeated = bool(sets.groupBy("row", "digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").take(1))
 
     groups = grouped(classes)
     bodies = bodies_of(docs, staged(groups.join(ids, "cls"), "members"), words, repeated)
@@ -366,8 +370,9 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", word
 
     every = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more.select("u", "v"))
     final = components(every)
-    placed = ids.join(final, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cls"))
-    least = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    placed = classes.select("cls", "digest", "first").join(final, F.col("cls") == F.col("node"), "left")
+    placed = placed.withColumn("comp", F.coalesce("component", "cls"))
+    least = placed.groupBy("comp").agg(F.min("first").alias("component_id"))
     placed = placed.join(least, "comp").select("digest", "component_id")
     out = sets.join(placed, "digest", "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"),

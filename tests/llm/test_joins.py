@@ -173,6 +173,17 @@ def test_pipeline_empty(spark, documents, tmp_path):
     assert P.run(spark, str(tmp_path)).count() == 0
 
 
+def test_rows_without_a_key_link_like_others(make):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda i: " ".join([*words[:i], "other", *words[i + 1:]])
+    far = " ".join(f"z{i}" for i in range(60))
+    docs = make([(None, " ".join(words)), (30, near(2)), (None, near(50)), (None, far), (None, far + " end"), (None, far)])
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.component_ids(docs).collect()), key=str)
+    assert got == sorted([(None, 56, 30), (30, 56, 30), (None, 56, 30), (None, 56, None), (None, 57, None), (None, 56, None)], key=str)
+    chain = make([(8, near(2)), (None, " ".join(words)), (9, near(57))])        # linked through the row without a key
+    assert {r["component_id"] for r in jaccard.component_ids(chain).collect()} == {8}
+
+
 def arc(*records, version=b"1"):
     return warc.version_block(version, "x.arc", "20240101000000") + b"".join(line + b" %d\n" % len(body) + body + b"\n" for line, body in records)
 
