@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.llm.components import components
-from sitelens.llm.staging import staged
+from sitelens.llm.staging import bounded_batches, staged
 
 WORDS, PERCENT = 5, 80
 BANDS = 10
@@ -332,6 +332,7 @@ def component_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", word
                      percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``. ``key`` is a
     whole number."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     # a row is reread by the hash of its key, which may be null, and text
     docs = docs.withColumn("row", F.xxhash64("doc", "text"))

@@ -31,9 +31,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitelens.llm.staging import bounded_batches
+
 SAMPLE = 20_000
 ALPHA = 0.05                # added to every trigram count
 ROUNDS, FEWER = 10, 4       # iterations with all languages, and with each smaller set
@@ -207,6 +210,7 @@ def predict(texts: list[str], model: Model) -> list[tuple[str, float, list, bool
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> list[tuple]:
     """Trigram counts of a bounded sample of the rows that may be learned from."""
+    bounded_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key)))
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -221,12 +225,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return [(r["lang"], r["gram"], r["n"]) for r in counts.collect()]
 
 
-def identifier(counts):
+def identifier(counts, text: str):
     def run(batches):
         model = Model(counts.value)
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         for batch in batches:
-            found = predict(batch.column(1).to_pylist(), model)
+            found = predict(pc.struct_field(batch.column(0), text).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in found]), pa.array([x[1] for x in found], pa.float64()),
                  pa.array([[{"lang": a, "share": b} for a, b in x[2]] for x in found], kind), pa.array([x[3] for x in found], pa.bool_())],
@@ -242,9 +246,10 @@ def identify(docs: DataFrame, counts: list[tuple], text: str = "text") -> DataFr
     """Every row of ``docs`` as a struct ``row``, with lang_pred, score and
     the shares of the chosen languages, and whether they fit. The model is broadcast: it holds the
     trigrams of the bounded sample only. Nothing is shuffled."""
+    bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(counts)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(text).alias("text"))
-    return rows.mapInArrow(identifier(model), f"row {rows.schema['row'].dataType.simpleString()}, {PREDICTED}")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return rows.mapInArrow(identifier(model, text), f"row {rows.schema['row'].dataType.simpleString()}, {PREDICTED}")
 
 
 def keep_identified(docs: DataFrame, counts: list[tuple], text: str = "text") -> DataFrame:

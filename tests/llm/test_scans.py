@@ -182,3 +182,16 @@ def test_pseudonyms_leave_other_columns(make, odd):
     df = make(odd)
     out = pii.pseudonymise(df, "k")
     assert out.columns == df.columns and sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, df.select("doc_id", "text").collect()))
+
+
+def test_staged_tables_are_removed(spark):
+    import os
+
+    from sitelens.llm import staging
+    kept = spark.sparkContext.getCheckpointDir()
+    df = staging.staged(spark.range(3), "some")
+    folder = staging.shared_folder(spark).removeprefix("file:")
+    assert df.count() == 3 and os.path.isdir(folder) and folder.startswith(kept.removeprefix("file:"))
+    staging.remove_staged(spark)
+    assert not os.path.exists(folder)
+    assert staging.staged(spark.range(2), "again").count() == 2
