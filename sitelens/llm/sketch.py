@@ -110,6 +110,52 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     return rows.mapInArrow(fingerprinter(k), f"key {kind}, fingerprint string").withColumnRenamed("key", key)
 
 
+def merging(k: int):
+    """Task: (group, fingerprint) to the merged fingerprint of every group in
+    a batch."""
+    def run(batches):
+        for batch in batches:
+            found: dict = {}
+            for group, print_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = read(print_ or "")
+                found[group] = merge(found[group], own, k) if group in found else own[:k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), batch.schema.field(0).type), pa.array([spelt(v) for v in found.values()], pa.string())],
+                names=["group", "fingerprint"])
+
+    return run
+
+
+def merged_group(k: int):
+    def run(table: pa.Table) -> pa.Table:
+        out = np.zeros(0, dtype=np.uint64)
+        for print_ in table.column("fingerprint").to_pylist():
+            out = merge(out, read(print_), k)
+        return pa.table({"group": table.column("group")[:1], "fingerprint": pa.array([spelt(out)], pa.string()),
+                         "n_distinct": pa.array([distinct(out, k)], pa.float64())})
+
+    return run
+
+
+def merged_fingerprints(prints: DataFrame, by: str, fingerprint: str = "fingerprint", k: int = K, parts: int = 64) -> DataFrame:
+    """(by, fingerprint, n_distinct) of every group of ``prints``: the sketch
+    of all its texts together and their estimated number of distinct
+    shingles. Sketches merge within batches first, then in ``parts`` parts of
+    a group, so a group with most rows is no single task's; null is a group."""
+    kind = prints.schema[by].dataType.simpleString()
+    rows = prints.select(F.col(by).alias("group"), F.col(fingerprint).alias("fingerprint"))
+    rows = rows.mapInArrow(merging(k), f"group {kind}, fingerprint string")
+    merged = f"group {kind}, fingerprint string, n_distinct double"
+    rows = rows.groupBy("group", F.pmod(F.xxhash64("fingerprint"), F.lit(parts))).applyInArrow(merged_part(k), merged)
+    return rows.groupBy("group").applyInArrow(merged_group(k), merged).withColumnRenamed("group", by)
+
+
+def merged_part(k: int):
+    """As ``merged_group``, of a part of a group (its key has two columns)."""
+    whole = merged_group(k)
+    return lambda _, table: whole(table)
+
+
 def range_of(c: Column, bounds: list) -> Column:
     """Number of bounds below the value, by two short searches: which stretch
     of bounds, then where in it. Null: 0."""
@@ -171,7 +217,8 @@ def editor(k: int):
                     other = sketch(edited, k)
                     for name, value in zip(EDITED, (
                             before, n, hashlib.sha256(edited.encode()).hexdigest(), spelt(print_), spelt(other),
-                            resemblance(print_, other, k), resemblance(print_, own, k)), strict=True):
+                            resemblance(print_, other, k), resemblance(print_, own, k), distinct(print_, k),
+                            containment(print_, other, k)), strict=True):
                         out[name].append(value)
                 last = None if ends else (key, text, own)
             yield pa.RecordBatch.from_arrays(
@@ -181,15 +228,18 @@ def editor(k: int):
     return run
 
 
-EDITED = ("key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
-ARROW = pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()
+EDITED = ("key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+          "n_distinct", "kept_in_edited")
+ARROW = pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4
 
 
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
     """Fingerprints of every row's text, of its edited text (the last half
     replaced by the beginning of the next row's, by descending key; rows of
     one key by their text) and how alike the row's fingerprint is to the edited
-    text's and to the next row's. ``key`` is a whole number; null keys last."""
+    text's and to the next row's; the estimated number of distinct shingles
+    and the share of them that the edited text keeps. ``key`` is a whole
+    number; null keys last."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    kinds = "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    kinds = "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_distinct double, kept_in_edited double"
     return with_next(rows).mapInArrow(editor(k), kinds).withColumnRenamed("key", key)

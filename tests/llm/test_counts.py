@@ -135,3 +135,27 @@ def test_estimates():
     x, y = sketch.bottom(a, 512), sketch.bottom(b, 512)
     assert abs(sketch.resemblance(x, y, 512) - 1 / 3) < 0.1 and abs(sketch.containment(x, y, 512) - 0.5) < 0.15
     assert abs(sketch.distinct(x, 512) / 20_000 - 1) < 0.2
+
+
+def test_sketches_of_groups(spark):
+    """The merged sketch of a group is that of all its shingles; one group
+    holds most rows, one is null, one has empty texts only."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 40))), rnd.choice(["hot"] * 8 + ["x", None])) for i in range(400)]
+    rows += [(900, "", "none"), (901, None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    prints = sketch.fingerprints(docs, k=32).join(docs.select("doc_id", "source"), "doc_id")
+    got = {r["source"]: (r["fingerprint"], r["n_distinct"]) for r in sketch.merged_fingerprints(prints, "source", k=32).collect()}
+    want = defaultdict(set)
+    for _, t, s in rows:
+        want[s] |= set(sketch.shingle_hashes(t or "").tolist())
+    assert set(got) == set(want)
+    for s, hashes in want.items():
+        whole = sketch.bottom(np.array(sorted(hashes), dtype=np.uint64), 32)
+        assert got[s] == (sketch.spelt(whole), sketch.distinct(whole, 32))
+    assert sketch.merged_fingerprints(prints.limit(0), "source").count() == 0
+    out = sketch.edited_fingerprints(docs.select("doc_id", "text")).orderBy("doc_id").select("n_distinct", "kept_in_edited", F.col("doc_id")).collect()
+    assert all(r["n_distinct"] == len(set(sketch.shingle_hashes(dict((k, t) for k, t, _ in rows)[r["doc_id"]] or "").tolist())) for r in out)
+    assert all(0 <= r["kept_in_edited"] <= 1 for r in out)
