@@ -334,11 +334,18 @@ def rejoined(pieces: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda x: F.concat(F.coalesce(x["new"], F.lit("")), x["rest"])), "")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
 def pseudonymise(docs: DataFrame, secret: str, text: str = "text", found: str | None = None) -> DataFrame:
     """``docs`` with ``text`` pseudonymised under the key ``secret``. With
     ``found``, a column of that name gets the replaced kinds, in order.
     All other columns stay; nothing is shuffled."""
-    mark = "__pii_found"
+    mark = unused("__pii_found", docs.columns)
     out = docs.withColumn(mark, F.when(F.col(text).rlike("[0-9@]"), replacements(F.col(text), secret)))
     new = F.when(F.size(mark) > 0, rejoined(F.col(mark))).otherwise(F.col(text))
     out = out.withColumn(text, new)
