@@ -16,8 +16,10 @@ from sitelens.llm.staging import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null texts and texts without a
-    letter go. The model is learned from the labelled rows of ``docs``."""
+    """Documents in one of the learned languages: null texts, texts without a
+    letter and texts that random letters explain as well go. The model is
+    learned from the labelled rows of ``docs``; without any, only the first
+    two kinds go."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 
@@ -45,8 +47,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in their texts pseudonymised;
     ``n_chars`` counts the new text where it changed."""
-    marked = pii.pseudonymise(docs, PII_SECRET, found="__kinds")
-    n = F.when(F.size("__kinds") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    kinds = pii.unused("__kinds", docs.columns)
+    marked = pii.pseudonymise(docs, PII_SECRET, found=kinds)
+    n = F.when(F.size(kinds) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return marked.withColumn("n_chars", n).select(*docs.columns)
 
 
