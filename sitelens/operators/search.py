@@ -195,7 +195,11 @@ def top_hits(terms: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT) ->
     ahead = ahead.groupBy("term", "next").agg(F.count_if(F.col("found") < F.col("next")).alias("n"))
     open_ = stored(ahead.filter(F.col("n") < limit).select("term", "next"), "open")
     if open_.take(1):
-        rest = pairs.join(open_, "term").filter(place(index, "bound") >= F.col("next")).drop("next")
+        ranks = hits.join(open_, "term", "left_semi").withColumn("rank", F.row_number().over(by.orderBy(*best_first(index, "score"))))
+        last = ranks.filter(F.col("rank") == limit).select("term", place(index, "score").alias("last"))
+        rest = pairs.join(open_.join(last, "term", "left"), "term")
+        here = place(index, "bound")
+        rest = rest.filter((here >= F.col("next")) & (F.col("last").isNull() | (here < F.col("last")))).drop("next", "last")
         hits = hits.unionByName(checked(rest, index))
     return hits.withColumn("rank", F.row_number().over(by.orderBy(*best_first(index, "score")))).filter(F.col("rank") <= limit)
 

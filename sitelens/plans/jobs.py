@@ -36,15 +36,15 @@ ORG_MEASURES = ["total_patients", "uninsured", "medicaid", "pct_uninsured", "pct
 DISPLAY_LABELS = ["Organization", "Site", "City", "Org Total Patients", "% Medicaid", "% Uninsured"]
 
 
-def clean_sites(raw: DataFrame, region: str | None = None, ordinal: str | None = None) -> DataFrame:
+def clean_sites(raw: DataFrame, region: str | None = None, ordinal: str | None = None, placed: bool = True) -> DataFrame:
     """M1: trim headers, keep one region, rename, keep the known columns that
-    exist (plus the ordinal), drop rows without coordinates."""
+    exist (plus the ordinal), drop rows without coordinates (``placed``)."""
     df = clean.strip_column_names(raw)
     if region is not None:
         df = clean.equals(df, STATE_COLUMN, region)
     df = clean.rename(df, SITE_RENAMES)
     df = clean.select_existing(df, ([ordinal] if ordinal else []) + SITE_COLUMNS)
-    return clean.drop_missing(df, ["latitude", "longitude"])
+    return clean.drop_missing(df, ["latitude", "longitude"]) if placed else df
 
 
 def org_metrics(raw: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import (
     add_param, coerce_numeric, decode_categories, epoch_ms, epoch_ms_to_date, make_params,
-    normalise_key, parse_params, query_string, reading_time, word_count,
+    normalise_key, parse_params, query_string, ratio_or_zero, reading_time, word_count,
 )
-from sitelens.operators import catalogue, clean, grain, join, quality, report, search, stats
+from sitelens.operators import catalogue, clean, grain, join, quality, report, search, skipping, stats
 from sitelens.plans import jobs, sql, standins as S
 from sitelens.session import work_folder
-from sitelens.sources.readers import preview, profile, read_listings, read_table, write_table
+from sitelens.sources.catalogue import read_catalogue
+from sitelens.sources.readers import preview, profile, read_listings, read_quarantined, read_table, write_table
 
 REGISTRY: dict[str, tuple] = {}
 
@@ -119,6 +120,24 @@ def org_metrics(spark, d):
     return o.select("bhcmis_id", "segment", *[r6(m).alias(m) for m in _MEASURES])
 
 
+@register("ratio_edges", """
+WITH o AS (SELECT l_orderkey, sum(CASE WHEN l_returnflag <> 'N' THEN l_quantity ELSE 0 END) - 20 AS returned,
+                  sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS open_quantity,
+                  sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS known FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, round(""" + sql.ratio("returned", "open_quantity") + """, 6) AS by_open,
+       round(""" + sql.ratio("returned", "known") + """, 6) AS by_known, round(""" + sql.ratio("known", "open_quantity") + """, 6) AS known_by_open FROM o""")
+def ratio_edges(spark, d):
+    """K4 where numerators are negative, zero, positive or missing and
+    denominators zero or missing."""
+    q, li = F.col("l_quantity"), S.table(spark, d, "lineitem")
+    per = li.groupBy("l_orderkey").agg(
+        (F.sum(F.when(F.col("l_returnflag") != "N", q).otherwise(0.0)) - 20).alias("returned"),
+        F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(0.0)).alias("open_quantity"),
+        F.sum(F.when(F.col("l_returnflag") == "R", q)).alias("known"))
+    return per.select("l_orderkey", r6(ratio_or_zero("returned", "open_quantity")).alias("by_open"),
+                      r6(ratio_or_zero("returned", "known")).alias("by_known"), r6(ratio_or_zero("known", "open_quantity")).alias("known_by_open"))
+
+
 @register("source_profile", " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", (SELECT count(*) FROM {t}) AS \"rows\", "
     f"(SELECT string_agg(column_name, ',' ORDER BY ordinal_position) FROM "
@@ -152,10 +171,10 @@ def match_report(spark, d):
 
 @register("unmatched", "WITH " + sql.SITES + "," + sql.ORGS + r"""
 SELECT s.site_id, regexp_replace(s.bhcmis_raw, '\.0$', '') AS bhcmis_id FROM sites s
-WHERE NOT EXISTS (SELECT 1 FROM orgs g WHERE g.bhcmis_id = regexp_replace(s.bhcmis_raw, '\.0$', ''))""")
+WHERE NOT EXISTS (SELECT 1 FROM orgs g WHERE g.segment <> 'HOUSEHOLD' AND g.bhcmis_id = regexp_replace(s.bhcmis_raw, '\.0$', ''))""")
 def unmatched(spark, d):
     sites = S.sites(spark, d).withColumn("bhcmis_id", normalise_key("bhcmis_id"))
-    return join.unmatched(sites, S.orgs(spark, d), "bhcmis_id").select("site_id", "bhcmis_id")
+    return join.unmatched(sites, S.orgs(spark, d).filter(S.LISTED), "bhcmis_id").select("site_id", "bhcmis_id")
 
 
 @register("labels_match", """
@@ -279,6 +298,39 @@ def ols_fitted(spark, d):
                     r6("fitted").alias("fitted"))
 
 
+@register("landscape_summary", _ORG_FIT + """
+, t AS (SELECT coalesce(sum(coalesce(total_patients, 0)), 0) AS patients, coalesce(sum(coalesce(medicaid, 0)), 0) AS medicaid,
+               coalesce(sum(coalesce(uninsured, 0)), 0) AS uninsured FROM firsts)
+SELECT (SELECT count(*) FROM joined) AS sites, (SELECT count(DISTINCT organization) FROM joined) AS organizations,
+       round(patients, 6) AS patients, round(medicaid, 6) AS medicaid, round(uninsured, 6) AS uninsured,
+       round(patients - (medicaid + uninsured), 6) AS other, round(slope, 6) AS slope, round(intercept, 6) AS intercept,
+       round(r2, 6) AS r2, n AS n_fitted FROM t, coef""")
+def landscape_summary(spark, d):
+    """M5: KPI row, payer mix and fitted line from one grouped pass."""
+    one = jobs.report_summary(jobs.org_groups(jobs.report_frame(S.joined(spark, d)), "site_id"))
+    exact = ("sites", "organizations", "n_fitted")
+    return one.select(*[F.col(c) if c in exact else r6(c).alias(c) for c in one.columns])
+
+
+@register("observation_report", """
+WITH c AS (SELECT c_mktsegment, c_nationkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer)
+SELECT c_mktsegment, CAST(regr_count(c_acctbal, c_nationkey) AS BIGINT) AS n, round(corr(c_nationkey, c_acctbal), 6) AS corr,
+       round(regr_slope(c_acctbal, c_nationkey), 6) AS slope, round(regr_intercept(c_acctbal, c_nationkey), 6) AS intercept,
+       round(regr_r2(c_acctbal, c_nationkey), 6) AS r2, min(first_key) AS first_key
+FROM c, (SELECT min(c_custkey) AS first_key FROM customer) GROUP BY c_mktsegment""")
+def observation_report(spark, d):
+    """M6: a table as a delimited file with missing-value marks, read with its
+    schema; the relationship of two measures per group, and the preview."""
+    path = f"{work_folder(spark)}/observations-{uuid.uuid4().hex}"
+    c = S.table(spark, d, "customer")
+    c = c.withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    write_table(c, path, fmt="csv", nullValue="NA")
+    made = jobs.observation_report(spark, path, S.SCHEMAS["customer"], "c_mktsegment", "c_nationkey", "c_acctbal", ["c_custkey"])
+    first = made["preview"].agg(F.min("c_custkey").alias("first_key"))
+    rel = stats.attach(made["relationship"], first)
+    return rel.select("c_mktsegment", "n", *[r6(x).alias(x) for x in ("corr", "slope", "intercept", "r2")], "first_key")
+
+
 # --- sorted, paged and sampled views ----------------------------------------
 
 @register("top_need", sql.with_joined("""
@@ -307,6 +359,16 @@ def page_keyset(spark, d):
     return report.page_after(j, ["organization", "site_id"], ("Org 5", 0), 25)
 
 
+@register("page_deep", """
+WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice NULLS FIRST, o_orderkey) - 1 AS place FROM orders)
+SELECT o_orderkey, o_totalprice FROM r WHERE place >= (SELECT count(*) // 2 FROM orders) AND place < (SELECT count(*) // 2 FROM orders) + 25""")
+def page_deep(spark, d):
+    """L3: the page in the middle of all orders by price, from the range that
+    holds it."""
+    index = report.RankIndex(S.table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"])
+    return index.page(sum(n for _, _, n in index.starts()) // 2, 25)
+
+
 @register("sample_n", sql.with_joined("""
 SELECT site_name, city, county, type FROM joined
 ORDER BY md5(CAST(site_id AS VARCHAR) || '|42'), site_id LIMIT 5"""))
@@ -337,16 +399,40 @@ def map_layer(spark, d):
 
 # --- quality gate ---------------------------------------------------------------
 
-@register("range_violations", sql.with_joined("""
-SELECT site_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM joined
-WHERE NOT coalesce(latitude BETWEEN 41 AND 47 AND longitude BETWEEN -125 AND -116, false)"""))
+@register("range_violations", "WITH " + sql.SITES_ALL + """
+SELECT site_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM sites_all
+WHERE NOT coalesce(latitude BETWEEN 41 AND 47 AND longitude BETWEEN -125 AND -116, false)""")
 def range_violations(spark, d):
-    j = quality.patch_for_gate(S.joined(spark, d))
-    bad = j.filter(clean.violates(clean.in_range("latitude", 41, 47)
-                                  & clean.in_range("longitude", -125, -116)))
+    """Outside of the box, or without coordinates."""
+    bad = S.sites(spark, d, placed=False).filter(clean.violates(clean.in_range("latitude", 41, 47)
+                                                                & clean.in_range("longitude", -125, -116)))
     return bad.select("site_id", r6("latitude").alias("latitude"), r6("longitude").alias("longitude"))
 
 
+@register("gate_missing_values", "WITH " + sql.SITES_ALL + """,
+g AS (SELECT count(*) AS n, count(*) FILTER (WHERE NOT coalesce(latitude BETWEEN 41 AND 47 AND longitude BETWEEN -125 AND -116, false)) AS v1
+      FROM sites_all),
+""" + sql.ORGS + """,
+c AS (SELECT count(*) FILTER (WHERE NOT coalesce(NOT (coalesce(uninsured, 0) > coalesce(total_patients, 0)), false)) AS v2,
+             count(*) FILTER (WHERE coalesce(total_patients, 0) < 0) AS v3
+      FROM sites_all s LEFT JOIN orgs o ON o.segment <> 'HOUSEHOLD' AND o.bhcmis_id = regexp_replace(s.bhcmis_raw, '\\.0$', ''))
+SELECT 'not_empty' AS rule, n AS observed, n > 0 AS passed FROM g
+UNION ALL SELECT 'min_rows', n, n > 10 FROM g
+UNION ALL SELECT 'required_columns', 0, true FROM g
+UNION ALL SELECT 'coordinates_in_bounds', v1, v1 = 0 FROM g
+UNION ALL SELECT 'uninsured_le_total', v2, v2 = 0 FROM c
+UNION ALL SELECT 'non_negative_total', v3, v3 = 0 FROM c
+UNION ALL SELECT 'gate', CAST((n <= 0)::INT + (n <= 10)::INT + (v1 > 0)::INT + (v2 > 0)::INT + (v3 > 0)::INT AS BIGINT),
+                 n > 10 AND v1 = 0 AND v2 = 0 AND v3 = 0 FROM g, c""")
+def gate_missing_values(spark, d):
+    """The gate counts sites without coordinates as violations. Its
+    counts ride on the write of the joined table (Q7)."""
+    rules = quality.site_gate(fill=True)
+    df, counts = quality.observe_gate(S.joined_unplaced(spark, d), rules)
+    write_table(df, f"{work_folder(spark)}/gated-{uuid.uuid4().hex}")
+    return quality.observed_gate(df, rules, counts)
+
+
 @register("quality_gate", sql.with_joined("""
 , g AS (SELECT count(*) AS n,
   count(*) FILTER (WHERE NOT coalesce(latitude BETWEEN 41 AND 47 AND longitude BETWEEN -125 AND -116, false)) AS v1,
@@ -467,6 +553,64 @@ def json_listing(spark, d):
     return read_listings(spark, path, lines=True)
 
 
+@register("quarantine", """
+SELECT 'json' AS source, count(*) FILTER (WHERE s_suppkey % 7 <> 0) AS good, count(*) FILTER (WHERE s_suppkey % 7 = 0) AS quarantined,
+       CASE WHEN count(*) FILTER (WHERE s_suppkey % 7 = 0) > 0 THEN 'line does not fit the schema' END AS reasons FROM supplier
+UNION ALL SELECT 'parquet', count(*), 1, 'not a parquet file' FROM supplier""")
+def quarantine(spark, d):
+    """A table written with lines cut in two, and one with a file that is
+    none of its format; what can be read, and what was set aside and why."""
+    lines, files_ = (f"{work_folder(spark)}/{n}-{uuid.uuid4().hex}" for n in ("lines", "files"))
+    t = S.table(spark, d, "supplier")
+    whole = F.to_json(F.struct(*t.columns))
+    t.select(F.when(F.col("s_suppkey") % 7 == 0, F.substring(whole, 1, 12)).otherwise(whole).alias("value")).write.text(lines)
+    t.write.parquet(files_)
+    t.limit(1).select(F.lit("no table").alias("value")).write.mode("append").text(files_)
+    found = []
+    for source, path in (("json", lines), ("parquet", files_)):
+        good, bad = read_quarantined(spark, path, source, S.SCHEMAS["supplier"])
+        n = good.agg(F.count(F.lit(1)).alias("good"))
+        why = bad.agg(F.count(F.lit(1)).alias("quarantined"), F.array_join(F.array_sort(F.collect_set("reason")), ", ").alias("reasons"))
+        found.append(stats.attach(n, why).select(F.lit(source).alias("source"), "good", "quarantined",
+                                                 F.when(F.col("reasons") != "", F.col("reasons")).alias("reasons")))
+    return found[0].unionByName(found[1])
+
+
+@register("catalogue_scan", f"""
+SELECT item_id, 'Item: ' || CAST(item_id AS VARCHAR) AS title, CAST('2024-01-01' AS DATE) + CAST(item_id % 300 AS INTEGER) AS date,
+       'bench, group ' || CAST(item_id % 3 AS VARCHAR) AS categories, {_WC} AS word_count,
+       CAST(ceil({_WC} / 200.0) AS INTEGER) AS reading_time, true AS absent_skipped
+FROM benchmark WHERE item_id IS NOT NULL""")
+def catalogue_scan(spark, d):
+    """Every benchmark text as a document of its own with a header block,
+    found again below the root; S8: a root that is not there."""
+    root = f"{work_folder(spark)}/documents-{uuid.uuid4().hex}"
+    key = F.col("item_id").cast("string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("item_id") % 300).cast("int")).cast("string")
+    head = F.concat(F.lit('---\ntitle: "Item: '), key, F.lit('"\ndate: '), day, F.lit("\ncategories: [bench, 'group "),
+                    (F.col("item_id") % 3).cast("string"), F.lit("']\n---\n"))
+    docs = S.table(spark, d, "benchmark").filter("item_id IS NOT NULL")
+    docs.select("item_id", F.concat(head, F.coalesce("text", F.lit(""))).alias("value")).write.partitionBy("item_id").text(root)
+    absent = read_table(spark, f"{root}-absent", fmt="text", on_missing="skip") is None
+    items = read_catalogue(spark, root, glob="*.txt")
+    return items.select(F.regexp_extract("path", "item_id=(-?[0-9]+)", 1).cast("bigint").alias("item_id"), "title", "date",
+                        F.array_join("categories", ", ").alias("categories"), "word_count", "reading_time",
+                        F.lit(absent).alias("absent_skipped"))
+
+
+@register("text_skipping", """
+SELECT doc_id, lang, true AS files_skipped FROM documents WHERE contains(lower(text), 'keitlich')""")
+def text_skipping(spark, d):
+    """All documents written by language with the signatures of their
+    files, and a German syllable looked up: the other languages' files stay
+    closed."""
+    path = f"{work_folder(spark)}/signed-{uuid.uuid4().hex}"
+    docs = S.table(spark, d, "documents").select("doc_id", "lang", "text")
+    skipping.write_signed(docs, path, ["text"], partition_by=["lang"])
+    found = skipping.skipping_search(spark, path, "keitlich", ["text"], docs.schema)
+    return found.rows.select("doc_id", "lang", F.lit(found.files_read < found.files).alias("files_skipped"))
+
+
 @register("gate_missing_column", sql.with_joined("""
 , g AS (SELECT count(*) AS n,
   count(*) FILTER (WHERE NOT coalesce(coalesce(total_patients, 0) >= 0, false)) AS v3,

@@ -21,8 +21,8 @@ def fmt_pct(x: str) -> str:
     return f"format('{{:.1f}}%', ({x}) * 100)"
 
 
-SITES = r"""
-sites AS (
+SITES_ALL = r"""
+sites_all AS (
   SELECT o_orderkey AS site_id,
          CAST(o_custkey AS VARCHAR) || '.0' AS bhcmis_raw,
          'Org ' || CAST(o_custkey AS VARCHAR) AS organization,
@@ -30,10 +30,13 @@ sites AS (
          o_orderpriority AS city,
          'County ' || CAST(year(o_orderdate) AS VARCHAR) AS county,
          o_orderstatus AS type,
-         CAST(40.5 AS DOUBLE) + o_totalprice / CAST(70000.0 AS DOUBLE) AS latitude,
+         CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(40.5 AS DOUBLE) + o_totalprice / CAST(70000.0 AS DOUBLE) END AS latitude,
          CAST(-126.0 AS DOUBLE) + CAST(dayofyear(o_orderdate) AS DOUBLE) / CAST(33.0 AS DOUBLE) AS longitude,
          o_orderstatus AS state
-  FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED')"""
+  FROM orders)"""
+
+SITES = SITES_ALL + """,
+sites AS (SELECT * FROM sites_all WHERE latitude IS NOT NULL)"""
 
 ORGS = r"""
 per_order AS (
@@ -44,7 +47,7 @@ per_order AS (
     sum(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_quantity END) AS l8b
   FROM lineitem GROUP BY l_orderkey),
 orgs0 AS (
-  SELECT regexp_replace(CAST(o.o_custkey AS VARCHAR) || '.0', '\.0$', '') AS bhcmis_id,
+  SELECT CASE WHEN o.o_custkey % 97 <> 0 THEN regexp_replace(CAST(o.o_custkey AS VARCHAR) || '.0', '\.0$', '') END AS bhcmis_id,
          c.c_mktsegment AS segment,
          sum(p.l6) AS total_patients,
          sum(p.l7a) + sum(p.l7b) AS uninsured,
@@ -55,7 +58,7 @@ orgs0 AS (
 orgs AS (
   SELECT *, """ + ratio("uninsured", "total_patients") + r""" AS pct_uninsured,
          """ + ratio("medicaid", "total_patients") + r""" AS pct_medicaid
-  FROM orgs0)"""
+  FROM orgs0 WHERE bhcmis_id IS NOT NULL)"""
 
 JOINED = SITES + "," + ORGS + r""",
 joined AS (

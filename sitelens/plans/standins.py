@@ -79,8 +79,9 @@ def sites_raw(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def sites(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.clean_sites(sites_raw(spark, d), region=None, ordinal="site_id")
+def sites(spark: SparkSession, d: str, placed: bool = True) -> DataFrame:
+    """Clean sites; ``placed=False`` keeps those without coordinates."""
+    return jobs.clean_sites(sites_raw(spark, d), region=None, ordinal="site_id", placed=placed)
 
 
 def orgs_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -106,8 +107,9 @@ def orgs_raw(spark: SparkSession, d: str) -> DataFrame:
                 .join(c, "o_custkey")
                 .groupBy("o_custkey", "segment")
                 .agg(*[F.sum(x).alias(x) for x in ("l6", "l7a", "l7b", "l8a", "l8b")]))
+    key = F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))
     return per_cust.select(
-        F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias(jobs.ORG_KEY),
+        F.when(F.col("o_custkey") % 97 != 0, key).alias(jobs.ORG_KEY),          # some organisations without a key
         "segment",
         F.col("l6").cast("string").alias(jobs.ORG_TOTAL),
         F.col("l7a").cast("string").alias(jobs.ORG_UNINSURED[0]),
@@ -129,6 +131,11 @@ def joined(spark: SparkSession, d: str) -> DataFrame:
                      files(d, "lineitem", "orders", "customer"))
 
 
+def joined_unplaced(spark: SparkSession, d: str) -> DataFrame:
+    """The joined table with the sites that have no coordinates."""
+    return jobs.enrich(sites(spark, d, placed=False), orgs(spark, d).filter(LISTED))
+
+
 def search_index(spark: SparkSession, d: str) -> DataFrame:
     """Search records built from the pages (T5), published once."""
     from sitelens.operators.search import page_sections

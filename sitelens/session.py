@@ -120,11 +120,15 @@ def remove_work(spark: SparkSession) -> None:
 
 
 def signature(spark: SparkSession, paths: list[str]) -> tuple:
-    """What the files under ``paths`` look like now: number, sizes and times.
-    Lists them with Spark's file source; no content is read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-             .select(F.xxhash64("path", "length", "modificationTime").alias("h")))
-    return tuple(files.agg(F.count("h"), F.bit_xor("h")).first())
+    """What the files under ``paths`` look like now: number, size and time of
+    the last change. Asks the file system only; no job runs."""
+    conf, found = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        held = fs.getContentSummary(p)
+        found.append((held.getFileCount(), held.getLength(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(found)
 
 
 _PUBLISHED: dict[tuple[str, str], tuple] = {}

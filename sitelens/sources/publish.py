@@ -53,10 +53,15 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def published_versions(spark: SparkSession, root: str) -> list[str]:
+    """The versions that the pointer names: the one that readers follow, then
+    those published before it that are still kept."""
+    return (_read_text(spark, f"{root.rstrip('/')}/{POINTER}") or "").split()
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Name of the version that readers follow, None before the first."""
-    text = _read_text(spark, f"{root}/{POINTER}")
-    return text.strip() if text else None
+    return next(iter(published_versions(spark, root)), None)
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:
@@ -84,9 +89,11 @@ class Publication:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
     def publish(self) -> None:
-        """Let readers follow this version, then drop the oldest ones."""
+        """Let readers follow this version, then drop what is older than the
+        last ``keep`` published ones (what jobs that died left included)."""
+        kept = [self.version, *published_versions(self.spark, self.root)][:self.keep]
         new = f"{self.root}/{POINTER}.{self.version}"
-        _write_text(self.spark, new, self.version)
+        _write_text(self.spark, new, "\n".join(kept))
         jvm = self.spark.sparkContext._jvm
         _, source = _fs(self.spark, new)
         _, target = _fs(self.spark, f"{self.root}/{POINTER}")
@@ -94,8 +101,9 @@ class Publication:
         flags = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         flags[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(source, target, flags)
-        for old in [v for v in versions(self.spark, self.root) if v < self.version][:-self.keep + 1 or None]:
-            self.discard(old)
+        for old in versions(self.spark, self.root):
+            if old < min(kept):
+                self.discard(old)
 
     def discard(self, version: str | None = None) -> None:
         fs, p = _fs(self.spark, f"{self.root}/{VERSIONS}/{version or self.version}")

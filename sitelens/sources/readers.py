@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitelens.operators.clean import nan_to_null_all
+from sitelens.session import stored
 
 SEARCH_RECORD = T.StructType([T.StructField(n, T.StringType())
                               for n in ("objectID", "href", "title", "section", "text")])
@@ -56,9 +57,13 @@ def read_quarantined(spark: SparkSession, path: str, fmt: str, schema: T.StructT
     Text formats (csv, json by lines): a line that does not fit the schema
     becomes a quarantine row (file, line, reason) instead of a row of NULLs.
     Every format: a file of which no row could be read becomes one quarantine
-    row, with the reason found in its first and last bytes. Rows of good files
-    are unaffected. Both frames are lazy; the quarantine reads file contents of
-    suspect files only.
+    row, with the reason found in its first bytes (files of no bytes hold
+    nothing and are not named). Rows of good files are unaffected. The
+    quarantine reads the contents of suspect files only.
+
+    Text formats are parsed once, all columns of every line, into a stored
+    stage that both frames read: a scan that needs fewer columns would judge
+    lines by those alone.
     """
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     options = {"header": "true", **options} if fmt == "csv" else options
@@ -68,8 +73,7 @@ def read_quarantined(spark: SparkSession, path: str, fmt: str, schema: T.StructT
     if text:
         wide = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
         rows = reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).load(path)
-        # all columns are named, since a scan without them would not parse
-        rows = rows.select(*kind.fieldNames(), CORRUPT, file.alias("__file"))
+        rows = stored(rows.select(*kind.fieldNames(), CORRUPT, file.alias("__file")), "parsed")
         good = nan_to_null_all(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "__file"))
         broken = rows.filter(F.col(CORRUPT).isNotNull()).select(
             F.col("__file").alias("file"), F.col(CORRUPT).alias("line"), F.lit("line does not fit the schema").alias("reason"))
@@ -81,10 +85,10 @@ def read_quarantined(spark: SparkSession, path: str, fmt: str, schema: T.StructT
     listed = listed.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
     suspect = listed.join(read, F.col("path") == F.col("file"), "left_anti")
     magic = {"parquet": "PAR1", "orc": "ORC"}.get(fmt)
-    reason = F.when(F.col("length") == 0, "empty file").otherwise("no row could be read")
+    reason = F.lit("no row could be read")
     if magic:
         marked = F.substring("content", 1, len(magic)) == F.lit(magic).cast("binary")
-        reason = F.when(F.col("length") == 0, "empty file").when(~marked, f"not a {fmt} file").otherwise("no row could be read")
+        reason = F.when(~marked, f"not a {fmt} file").otherwise(reason)
     files = suspect.select(F.col("path").alias("file"), F.lit(None).cast("string").alias("line"), reason.alias("reason"))
     return good, files if broken is None else broken.unionByName(files)
 
