@@ -1,15 +1,16 @@
 """Weighted keyword search over an inverted index, re-aimed from the browser
 search as a batch job (T3, W2, K12, K13).
 
-The index holds, once per set of records, posting lists: for every run of two
-or three characters the records that hold it, and in which fields. A term is
-keyed by its run with the fewest postings; the postings of that run are its
-candidates, and the fields that hold the run bound the score a candidate can
-reach. Per term the best-bounded candidates are checked first; where the
-results among them come before whatever the next candidate could reach, the
-rest is never looked at. Candidates are gathered by record, so a record's text
-is read once for all of its terms. Neither the terms nor the records pass
-through the driver or a broadcast.
+The index holds, once per set of records, posting lists (token -> the records
+that hold it, and in which fields) and the runs of up to three characters of
+every distinct token. A term without blanks lies inside of tokens only, so the
+tokens that contain it, found by its rarest run, give its records and scores
+exactly, and no text is read. A phrase is looked up by its longest piece; the
+fields that hold it bound the score, the best-bounded candidates are checked
+first, and where the hits among them come before whatever the next candidate
+could reach, the rest is never looked at. Candidates are gathered by record,
+so a record's text is read once for all of its phrases. Neither the terms nor
+the records pass through the driver or a broadcast.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ MIN_MATCH_CHARS = 2
 COLLAPSE_AFTER = 3
 QUERY_ARG = "q"
 RUN = 3                     # letters of a run that keys a term
+BLANKS = r"\s+"             # between tokens
 PROBE = 4                   # candidates checked first, as a multiple of the limit
 MOST_TERMS = 4096           # terms checked against one reading of a record
 
@@ -45,9 +47,9 @@ MOST_TERMS = 4096           # terms checked against one reading of a record
 
 @dataclass
 class SearchIndex:
-    """Records, their posting lists (run, fields, names..., key), sorted by
-    run, and the number of postings of each run. ``fields`` has one bit for
-    each weighted field, in the order of ``weights``."""
+    """Records, their posting lists (token, fields, names..., key) sorted by
+    token, and the runs (run, token) of the distinct tokens. ``fields`` has
+    one bit for each weighted field, in the order of ``weights``."""
     records: DataFrame
     postings: DataFrame
     runs: DataFrame
@@ -56,6 +58,11 @@ class SearchIndex:
     weights: dict[str, int]
 
 
+def pieces_of(text: Column) -> Column:
+    """What stands between the blanks of a text."""
+    return F.filter(F.split(text, BLANKS), lambda x: x != "")
+
+
 def runs_of(text: Column, sizes: list[int]) -> Column:
     """The distinct runs of a text, of each of the sizes."""
     def of(letters: Column) -> Column:
@@ -78,37 +85,49 @@ def record_names(records: DataFrame, key: str) -> list[str]:
 
 
 def postings_of(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> DataFrame:
-    """(run, fields, names..., key): one row for every run of a record. The
-    last field is taken for the long one: its runs are compared with the
-    others' as sets."""
+    """(token, fields, names..., key): one row for every distinct token of a
+    record, in lower case. The last field is taken for the long one: its
+    tokens are compared with the others' as sets."""
     weights = weights or FIELD_WEIGHTS
     names = record_names(records, key)
     *heads, long = weights
-    each = F.struct(*[runs_of(lowered(f), [RUN - 1, RUN]).alias(f) for f in weights])
+    each = F.struct(*[F.array_distinct(pieces_of(lowered(f))).alias(f) for f in weights])
 
     def rows(x: Column) -> Column:
         short = F.array_distinct(F.concat(F.array().cast("array<string>"), *[x[f] for f in heads]))
         return bind(short, lambda s: bind(F.array_intersect(s, x[long]), lambda both: F.concat(
-            F.transform(s, lambda r: F.struct(r.alias("run"), reduce(
+            F.transform(s, lambda r: F.struct(r.alias("token"), reduce(
                 lambda a, b: a + b,
                 [F.when(F.array_contains(held, r), 1 << i).otherwise(0) for i, held in enumerate([*[x[f] for f in heads], both])]).alias("fields"))),
-            F.transform(F.array_except(x[long], s), lambda r: F.struct(r.alias("run"), F.lit(1 << len(heads)).alias("fields"))))))
+            F.transform(F.array_except(x[long], s), lambda r: F.struct(r.alias("token"), F.lit(1 << len(heads)).alias("fields"))))))
 
     kept = dict.fromkeys([*names, key])
-    return records.select(*kept, F.inline(bind(each, rows))).select("run", "fields", *kept)
+    return records.select(*kept, F.inline(bind(each, rows))).select("token", "fields", *kept)
+
+
+def token_runs(postings: DataFrame) -> DataFrame:
+    """(run, token): the runs of every distinct token."""
+    return postings.select("token").distinct().select(F.explode(runs_of(F.col("token"), [1, RUN - 1, RUN])).alias("run"), "token")
+
+
+def sorted_by(df: DataFrame, column: str) -> DataFrame:
+    """``df`` dealt and sorted by a column, so that files hold ranges of it;
+    as many as the session has shuffle partitions, whatever their size, since
+    what reads them is heavy per row."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, column).sortWithinPartitions(column)
 
 
 def build_index(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> SearchIndex:
-    """The index of ``records``, with its posting lists stored: dealt and
-    sorted by run, so that a reader's filter on runs skips most row groups."""
-    weights = weights or FIELD_WEIGHTS
-    lists = postings_of(records, key, weights).repartitionByRange("run").sortWithinPartitions("run")
-    return read_index(records, stored(lists, "postings"), key, weights)
+    """The index of ``records``: posting lists and runs stored, by token and
+    by run, so that a reader's filter skips most row groups."""
+    postings = stored(sorted_by(postings_of(records, key, weights), "token"), "postings")
+    return read_index(records, postings, stored(sorted_by(token_runs(postings), "run"), "runs"), key, weights)
 
 
-def read_index(records: DataFrame, postings: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> SearchIndex:
-    """An index over posting lists that are stored already."""
-    runs = postings.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+def read_index(records: DataFrame, postings: DataFrame, runs: DataFrame, key: str = "href",
+               weights: dict[str, int] | None = None) -> SearchIndex:
+    """An index over posting lists and runs that are stored already."""
     return SearchIndex(records, postings, runs, record_names(records, key), key, weights or FIELD_WEIGHTS)
 
 
@@ -116,25 +135,33 @@ def read_index(records: DataFrame, postings: DataFrame, key: str = "href", weigh
 
 def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "query") -> DataFrame:
     """(query_id, query, term): the user's text and its normalised term, lower
-    case, trimmed, of at least two characters (an empty query finds nothing)."""
+    case, trimmed, of at least two characters, not all of them blank (an empty
+    query finds nothing)."""
     term = F.lower(F.trim(F.col(query)))
     return (queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query"), term.alias("term"))
-            .filter(F.length("term") >= MIN_MATCH_CHARS))
+            .filter((F.length("term") >= MIN_MATCH_CHARS) & (F.size(pieces_of(F.col("term"))) > 0)))
 
 
 def candidates(terms: DataFrame, index: SearchIndex) -> DataFrame:
-    """(term, bound, names..., key): the postings of each term's rarest run,
-    with the score that the fields holding it allow."""
-    words = terms.select("term").distinct()
-    size = lambda n: runs_of(F.col("term"), [n])
-    wanted = words.select("term", F.explode(F.when(F.length("term") < RUN, size(RUN - 1)).otherwise(size(RUN))).alias("run"))
-    # a run that no record holds leaves its term without candidates
-    best = wanted.join(index.runs, "run", "left").groupBy("term").agg(
+    """(term, whole, bound, names..., key): the records with a token that
+    contains the term's longest piece, with the score that the fields of those
+    tokens allow. Where the piece is the ``whole`` term the bound is its score."""
+    longest = F.array_max(F.transform(pieces_of(F.col("term")), lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
+    words = terms.select("term").distinct().select("term", longest["piece"].alias("piece"))
+    size = lambda n: runs_of(F.col("piece"), [n])
+    n = F.length("piece")
+    wanted = words.select("term", "piece", F.explode(F.when(n == 1, size(1)).when(n < RUN, size(RUN - 1)).otherwise(size(RUN))).alias("run"))
+    rarity = index.runs.join(wanted.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    # a run that no token holds leaves its term without candidates
+    best = wanted.join(rarity, "run", "left").groupBy("term", "piece").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run").alias("run"))).alias("b"))
-    keyed = best.filter("b.n > 0").select("term", "b.run")
+    keyed = best.filter("b.n > 0").select("term", "piece", "b.run")
+    held = index.runs.join(keyed, "run").filter(F.contains("token", F.col("piece"))).select("term", (F.col("piece") == F.col("term")).alias("whole"), "token")
+    kept = dict.fromkeys([*index.names, index.key])
+    met = index.postings.join(held, "token").groupBy("term", "whole", *kept).agg(F.bit_or("fields").alias("fields"))
     bound = reduce(lambda a, b: a + b, [F.when(F.col("fields").bitwiseAND(1 << i) > 0, w).otherwise(0)
                                         for i, w in enumerate(index.weights.values())])
-    return index.postings.join(keyed, "run").select("term", bound.alias("bound"), *dict.fromkeys([*index.names, index.key]))
+    return met.select("term", "whole", bound.alias("bound"), *kept)
 
 
 def checked(pairs: DataFrame, index: SearchIndex) -> DataFrame:
@@ -162,7 +189,13 @@ def keyword_hits(terms: DataFrame, records: DataFrame | SearchIndex, key: str =
     """Every (record, term) pair where the term occurs (case-insensitive
     substring) in at least one field, with its score, without a limit."""
     index = records if isinstance(records, SearchIndex) else build_index(records, key, weights)
-    return checked(candidates(terms, index), index)
+    pairs = candidates(terms, index)
+    return exact(pairs, index).unionByName(checked(pairs.filter(~F.col("whole")), index).select("term", "score", *dict.fromkeys([*index.names, index.key])))
+
+
+def exact(pairs: DataFrame, index: SearchIndex) -> DataFrame:
+    """(term, score, names..., key) of the candidates that need no text."""
+    return pairs.filter("whole").select("term", F.col("bound").alias("score"), *dict.fromkeys([*index.names, index.key]))
 
 
 def best_first(index: SearchIndex, score: str) -> list[Column]:
@@ -177,14 +210,25 @@ def place(index: SearchIndex, score: str, prefix: str = "") -> Column:
 
 def top_hits(terms: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT) -> DataFrame:
     """(term, rank, score, names..., key): the best ``limit`` records of every
-    term by score, ties by key and name.
-
-    The candidates of a term are ranked by bound; the first PROBE * limit are
-    checked. If ``limit`` of the hits among them come before the best place
-    that the next candidate could have, the term is done. Only the other
-    terms' remaining candidates are checked as well, those that could still
-    come before the hits found."""
-    pairs = candidates(terms, index)
+    term by score, ties by key and name."""
+    hits = exact(candidates(terms, index), index)
+    phrases = terms.filter(F.size(pieces_of(F.col("term"))) > 1)
+    if phrases.take(1):
+        kept = hits.columns
+        hits = hits.unionByName(phrase_hits(candidates(phrases, index).filter(~F.col("whole")), index, limit).select(*kept))
+    by = Window.partitionBy("term").orderBy(*best_first(index, "score"))
+    return hits.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= limit)
+
+
+def phrase_hits(pairs: DataFrame, index: SearchIndex, limit: int) -> DataFrame:
+    """(term, score, names..., key) with the best ``limit`` hits of every
+    phrase among them.
+
+    The candidates of a phrase are ranked by bound; the first PROBE * limit
+    are checked. If ``limit`` of the hits among them come before the best
+    place that the next candidate could have, the phrase is done. Only the
+    other phrases' remaining candidates are checked as well, those that could
+    still come before the hits found."""
     first = PROBE * limit
     by = Window.partitionBy("term")
     ranked = pairs.withColumn("at", F.row_number().over(by.orderBy(*best_first(index, "bound")))).filter(F.col("at") <= first + 1)
@@ -201,7 +245,7 @@ def top_hits(terms: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT) ->
         here = place(index, "bound")
         rest = rest.filter((here >= F.col("next")) & (F.col("last").isNull() | (here < F.col("last")))).drop("next", "last")
         hits = hits.unionByName(checked(rest, index))
-    return hits.withColumn("rank", F.row_number().over(by.orderBy(*best_first(index, "score")))).filter(F.col("rank") <= limit)
+    return hits
 
 
 def with_snippets(results: DataFrame, index: SearchIndex, columns: tuple[str, ...] = ()) -> DataFrame:

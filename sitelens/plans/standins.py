@@ -146,8 +146,9 @@ def search_lists(spark: SparkSession, d: str):
     """The published search records with their posting lists, published too."""
     from sitelens.operators import search
     records = search_index(spark, d)
-    build = lambda: search.postings_of(records).repartitionByRange("run").sortWithinPartitions("run")
-    return search.read_index(records, published(spark, f"postings:{d}", build, files(d, "pages")))
+    postings = published(spark, f"postings:{d}", lambda: search.sorted_by(search.postings_of(records), "token"), files(d, "pages"))
+    runs = published(spark, f"runs:{d}", lambda: search.sorted_by(search.token_runs(postings), "run"), files(d, "pages"))
+    return search.read_index(records, postings, runs)
 
 
 def search_results(spark: SparkSession, d: str) -> DataFrame:

@@ -133,42 +133,47 @@ def test_search_matches_brute_force(spark, monkeypatch, probe, most):
     assert all(r["snippet"] == r["own"] for r in marked)
 
 
-def test_a_term_filled_from_titles_checks_no_texts(spark, monkeypatch):
-    """Records whose text alone holds the term are no candidates worth a look
-    once enough titles do."""
+def test_words_need_no_text_and_phrases_few(spark, monkeypatch):
+    """Words are answered from the posting lists; records whose text alone may
+    hold a phrase are not looked at once enough titles do."""
     recs = spark.range(2000).selectExpr("cast(id AS int) AS page_id", "0 AS position", "concat('p', lpad(id, 5, '0')) AS href",
-                                        "if(id < 300, 'zebra', 'other') AS title", "'' AS section", "'a zebra here' AS text")
+                                        "if(id < 300, 'zebra one', 'other') AS title", "'' AS section", "'a zebra one here' AS text")
     index = search.build_index(recs)
-    terms = spark.createDataFrame([("zebra",)], "term string")
+    terms = spark.createDataFrame([("ebra",)], "term string")
+    phrase = spark.createDataFrame([("ebra on",)], "term string")
     seen = []
     real = search.checked
     monkeypatch.setattr(search, "checked", lambda pairs, index: seen.append(pairs.count()) or real(pairs, index))
     top = search.top_hits(terms, index).orderBy("rank").collect()
     assert [r["href"] for r in top] == [f"p{i:05}" for i in range(50)] and {r["score"] for r in top} == {30}
+    assert seen == []
+    top = search.top_hits(phrase, index).orderBy("rank").collect()
+    assert [r["href"] for r in top] == [f"p{i:05}" for i in range(50)] and {r["score"] for r in top} == {30}
     assert seen == [200]
 
 
 def test_no_row_holds_a_text_and_a_single_term(spark):
-    recs = spark.createDataFrame([(1, 0, "h", "zebra", "", "a")], RECORD)
+    recs = spark.createDataFrame([(1, 0, "h", "Zebra zebra", "", "a zebra")], RECORD)
     index = search.build_index(recs)
-    terms = spark.createDataFrame([("zebra",), ("ze",)], "term string")
+    terms = spark.createDataFrame([("zebra",), ("a ze",)], "term string")
     plan = search.checked(search.candidates(terms, index), index)._jdf.queryExecution().optimizedPlan().toString()
-    joins = [line for line in plan.splitlines() if re.search(r"\bJoin\b", line)]
-    assert joins and plan.index("collect_list(term") > plan.index("Generate inline")       # gathered below the reading of texts
-    postings = search.postings_of(recs).collect()
-    held = {r["run"]: r["fields"] for r in postings}
-    assert held["ze"] == held["zeb"] == 1 and "a" not in held and len(postings) == len(held)
+    assert plan.index("collect_list(term") > plan.index("Generate inline")       # gathered below the reading of texts
+    held = {r["token"]: r["fields"] for r in index.postings.collect()}
+    assert held == {"zebra": 5, "a": 4}
+    hits = {(r["term"], r["score"]) for r in search.keyword_hits(terms, index).collect()}
+    assert hits == {("zebra", 30), ("a ze", 30)}
+    assert "text" not in search.top_hits(terms.limit(1), index)._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_stored_postings_are_sorted_by_run(spark):
+def test_stored_postings_are_sorted(spark):
     recs = spark.range(50).selectExpr("cast(id AS int) AS page_id", "0 AS position", "cast(id AS string) AS href", "'Title' AS title",
                                       "'' AS section", "concat('text number ', id) AS text")
     index = search.build_index(recs)
-    rows = index.postings.withColumn("file", F.col("_metadata.file_path")).collect()
-    by = {}
-    for r in rows:
-        by.setdefault(r["file"], []).append(r["run"])
-    assert all(v == sorted(v) for v in by.values())
-    spans = sorted((v[0], v[-1]) for v in by.values())
-    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
-    assert {r["run"]: r["n"] for r in index.runs.collect()}["tex"] == 50
+    for df, column in ((index.postings, "token"), (index.runs, "run")):
+        by = {}
+        for r in df.withColumn("file", F.col("_metadata.file_path")).collect():
+            by.setdefault(r["file"], []).append(r[column])
+        assert all(v == sorted(v) for v in by.values())
+        spans = sorted((v[0], v[-1]) for v in by.values())
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert index.postings.filter("token = 'text'").count() == 50 and index.runs.filter("run = 'tex'").count() == 1
