@@ -255,7 +255,7 @@ def quantiles_by_group(spark, d):
     return q.withColumn("value", r6("value"))
 
 
-@register("corr_by_group", "WITH " + sql.ORGS + """
+@register("corr_by_group", "WITH " + sql.ORGS_ALL + """
 SELECT segment, CAST(regr_count(pct_medicaid, total_patients) AS BIGINT) AS n,
        round(corr(total_patients, pct_medicaid), 6) AS corr,
        round(regr_slope(pct_medicaid, total_patients), 6) AS slope,
@@ -263,7 +263,7 @@ SELECT segment, CAST(regr_count(pct_medicaid, total_patients) AS BIGINT) AS n,
        round(regr_r2(pct_medicaid, total_patients), 6) AS r2
 FROM orgs GROUP BY segment""")
 def corr_by_group(spark, d):
-    g = jobs.group_relationship(S.orgs(spark, d), "segment", "total_patients", "pct_medicaid")
+    g = jobs.group_relationship(S.orgs_all(spark, d), "segment", "total_patients", "pct_medicaid")
     return g.select("segment", "n", *[r6(c).alias(c) for c in ("corr", "slope", "intercept", "r2")])
 
 

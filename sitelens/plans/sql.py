@@ -60,6 +60,10 @@ orgs AS (
          """ + ratio("medicaid", "total_patients") + r""" AS pct_medicaid
   FROM orgs0 WHERE bhcmis_id IS NOT NULL)"""
 
+# every organisation, also those whose key the sheet leaves out
+ORGS_ALL = ORGS.replace("CASE WHEN o.o_custkey % 97 <> 0 THEN ", "").replace(" END AS bhcmis_id", " AS bhcmis_id").replace(
+    "FROM orgs0 WHERE bhcmis_id IS NOT NULL", "FROM orgs0")
+
 JOINED = SITES + "," + ORGS + r""",
 joined AS (
   SELECT s.site_id, regexp_replace(s.bhcmis_raw, '\.0$', '') AS bhcmis_id, s.organization,
