@@ -108,13 +108,34 @@ def position(before: Column, target: Column, slope: Column) -> Column:
     return F.when(slope == 0, c).otherwise(root) + F.lit(0.0)      # no -0.0
 
 
-def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
-    """The training order: one row for each document and pass that takes of
-    it, (key, source, size, pass, words, position), range-sorted by position."""
-    plan = schedule(docs, key, text, source, **settings).filter("taken > 0")
-    plan = plan.withColumn("pass", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
+def training_order(plan: DataFrame) -> DataFrame:
+    """The copies of a ``schedule``'s documents in training order: one row for
+    each document and pass that takes of it, (key, source, size, source_size,
+    target, before, pass, words, position), range-sorted by position."""
+    taking = plan.filter("taken > 0")
+    each = taking.withColumn("pass", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
     words = F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size"))
     begun = F.least(F.col("before") + F.col("pass") * F.col("source_size"), F.col("target"))
-    plan = plan.select(F.col("key").alias(key), F.col("source").alias(source), "size", "pass", words.alias("words"),
+    each = each.select("key", "source", "size", "source_size", "target", "before", "pass", words.alias("words"),
                        position(begun, F.col("target"), F.col("slope")).alias("position"))
-    return plan.orderBy("position", key, "pass")
+    return each.orderBy("position", "key", "pass")
+
+
+def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """The training order of ``docs``: (key, source, size, pass, words, position)."""
+    order = training_order(schedule(docs, key, text, source, **settings))
+    return order.select(F.col("key").alias(key), F.col("source").alias(source), "size", "pass", "words", "position")
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """One row a document: (key, size, source_size, target, taken, position),
+    the words and the first position it has in the training order, which is
+    written in its ranges and read back; 0 and null where it has none. Copies
+    with words are one document's where source and ``before`` are the same."""
+    plan = staged(schedule(docs, key, text, source, **settings), "plan")
+    order = staged(training_order(plan), "order")
+    mixed = order.groupBy("source", "before", "key", "size", "source_size", "target").agg(
+        F.sum("words").cast("long").alias("taken"), F.min("position").alias("position"))
+    unused = plan.filter("taken = 0").withColumn("position", F.lit(None).cast("double"))
+    columns = [F.col("key").alias(key), "size", "source_size", "target", "taken", "position"]
+    return mixed.select(*columns).unionByName(unused.select(*columns))

@@ -78,10 +78,9 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 
 @register("op6_curriculum_mix", sql.CURRICULUM_MIX)
 def op6(spark: SparkSession, d: str) -> DataFrame:
-    plan = mixing.schedule(table(spark, d, "documents").select("doc_id", "text", "source"))
-    begin = F.when(F.col("taken") > 0, mixing.position(F.col("before"), F.col("target"), F.col("slope")))
-    return plan.select(F.col("key").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"),
-                       "taken", F.round(begin, 6).alias("position"))
+    out = mixing.mixed_documents(table(spark, d, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken",
+                      F.round("position", 6).alias("position"))
 
 
 @register("op7_language_id")
