@@ -3,9 +3,11 @@ search as a batch job (T3, W2, K12, K13).
 
 The index holds, once per set of records, posting lists (token -> the records
 that hold it, and in which fields) and the runs of up to three characters of
-every distinct token. A term without blanks lies inside of tokens only, so the
-tokens that contain it, found by its rarest run, give its records and scores
-exactly, and no text is read. A phrase is looked up by its longest piece; the
+every distinct token. Posting lists stand in blocks of up to 2 ** BLOCK_BITS records,
+numbered in the order that breaks ties, as arrays of two-byte numbers. A term without blanks lies inside of tokens only, so the tokens that contain
+it, found by its rarest run, give its records and scores exactly, and no text
+is read; a block hands on the best few of its records for a term, so that no
+row is made for every hit. A phrase is looked up by its longest piece; the
 fields that hold it bound the score, the best-bounded candidates are checked
 first, and where the hits among them come before whatever the next candidate
 could reach, the rest is never looked at. Candidates are gathered by record,
@@ -41,22 +43,36 @@ RUN = 3                     # letters of a run that keys a term
 BLANKS = r"\s+"             # between tokens
 PROBE = 4                   # candidates checked first, as a multiple of the limit
 MOST_TERMS = 4096           # terms checked against one reading of a record
+BLOCK_BITS = 13             # of a record's number within its block of posting lists, which fits a short
 
 
 # --- index ------------------------------------------------------------------------
 
 @dataclass
 class SearchIndex:
-    """Records, their posting lists (token, fields, names..., key) sorted by
-    token, and the runs (run, token) of the distinct tokens. ``fields`` has
-    one bit for each weighted field, in the order of ``weights``."""
+    """Records, their places (record_no, place, names..., key) in the order of
+    key and names, the blocks of their posting lists (token, fields, block, at)
+    and the runs (run, token) of the distinct tokens. ``fields`` has one bit
+    for each weighted field, in the order of ``weights``. Records of the same
+    names and key share a place, and in posting lists the first's number."""
     records: DataFrame
-    postings: DataFrame
+    places: DataFrame
+    blocks: DataFrame
     runs: DataFrame
     names: list[str]
     key: str
     weights: dict[str, int]
 
+    @property
+    def postings(self) -> DataFrame:
+        """(token, fields, record_no): the posting lists in rows."""
+        rows = self.blocks.select("token", "fields", "block", F.explode("at").alias("at"))
+        return rows.select("token", "fields", number_of("block", "at").alias("record_no"))
+
+
+def number_of(block: str, at: str) -> Column:
+    return F.shiftleft(F.col(block), BLOCK_BITS) + F.col(at)
+
 
 def pieces_of(text: Column) -> Column:
     """What stands between the blanks of a text."""
@@ -84,12 +100,54 @@ def record_names(records: DataFrame, key: str) -> list[str]:
     return ["page_id", "position"] if {"page_id", "position"} <= set(records.columns) else [key]
 
 
-def postings_of(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> DataFrame:
+def numbered(records: DataFrame, key: str = "href") -> DataFrame:
+    """``records`` with a number of their own, ``record_no``, in the order of
+    key and names within each partition; to be stored."""
+    order = dict.fromkeys([key, *record_names(records, key)])
+    return records.sortWithinPartitions(*order).withColumn("record_no", F.monotonically_increasing_id())
+
+
+def placed(records: DataFrame, key: str = "href") -> DataFrame:
+    """(record_no, place, names..., key) of numbered records: their place,
+    from 0 without gaps, in the order of key and names. Ranges of that order
+    are ranked each on its own; where a range begins is a sum over ranges."""
+    names = record_names(records, key)
+    order = list(dict.fromkeys([key, *names]))
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = records.select("record_no", *order).repartitionByRange(parts, *order)
+    ranged = stored(ranged.withColumn("in_range", F.spark_partition_id()), "ranges")
+    ranked = ranged.withColumn("at", F.dense_rank().over(Window.partitionBy("in_range").orderBy(*order)))
+    sizes = ranked.groupBy("in_range").agg(F.max("at").alias("n"))
+    before = Window.orderBy("in_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("in_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    return ranked.join(F.broadcast(begins), "in_range").select(
+        "record_no", (F.col("begin") + F.col("at") - 1).alias("place"), *dict.fromkeys([*names, key]))
+
+
+def blocks_of(records: DataFrame, places: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> DataFrame:
+    """(token, fields, block, at): the postings of numbered records, gathered
+    by block, token and fields. Records are dealt by block, so that what is
+    grouped within a block moves no more."""
+    twins = places.withColumn("first_no", F.min("record_no").over(Window.partitionBy("place"))).filter("first_no < record_no")
+    twins = stored(twins.select("record_no", "first_no"), "twins")
+    if twins.take(1):
+        joined = records.join(twins, "record_no", "left")
+        records = joined.withColumn("record_no", F.coalesce("first_no", "record_no")).drop("first_no")
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = [F.col(f) for f in weights or FIELD_WEIGHTS]
+    dealt = records.select(*fields, F.shiftright("record_no", BLOCK_BITS).alias("block"),
+                           F.col("record_no").bitwiseAND((1 << BLOCK_BITS) - 1).cast("short").alias("at")).repartition(parts, "block")
+    rows = postings_of(dealt, key, weights, ["block", "at"])
+    return rows.groupBy("block", "token", "fields").agg(F.collect_list("at").alias("at")).select("token", "fields", "block", "at")
+
+
+def postings_of(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None,
+                kept: list[str] | None = None) -> DataFrame:
     """(token, fields, names..., key): one row for every distinct token of a
-    record, in lower case. The last field is taken for the long one: its
+    record, in lower case. ``kept``: other columns to name it by. The last field is taken for the long one: its
     tokens are compared with the others' as sets."""
     weights = weights or FIELD_WEIGHTS
-    names = record_names(records, key)
+    kept = kept or list(dict.fromkeys([*record_names(records, key), key]))
     *heads, long = weights
     each = F.struct(*[F.array_distinct(pieces_of(lowered(f))).alias(f) for f in weights])
 
@@ -101,12 +159,11 @@ def postings_of(records: DataFrame, key: str = "href", weights: dict[str, int] |
                 [F.when(F.array_contains(held, r), 1 << i).otherwise(0) for i, held in enumerate([*[x[f] for f in heads], both])]).alias("fields"))),
             F.transform(F.array_except(x[long], s), lambda r: F.struct(r.alias("token"), F.lit(1 << len(heads)).alias("fields"))))))
 
-    kept = dict.fromkeys([*names, key])
     return records.select(*kept, F.inline(bind(each, rows))).select("token", "fields", *kept)
 
 
 def token_runs(postings: DataFrame) -> DataFrame:
-    """(run, token): the runs of every distinct token."""
+    """(run, token): the runs of every distinct token of posting lists."""
     return postings.select("token").distinct().select(F.explode(runs_of(F.col("token"), [1, RUN - 1, RUN])).alias("run"), "token")
 
 
@@ -119,16 +176,20 @@ def sorted_by(df: DataFrame, column: str) -> DataFrame:
 
 
 def build_index(records: DataFrame, key: str = "href", weights: dict[str, int] | None = None) -> SearchIndex:
-    """The index of ``records``: posting lists and runs stored, by token and
-    by run, so that a reader's filter skips most row groups."""
-    postings = stored(sorted_by(postings_of(records, key, weights), "token"), "postings")
-    return read_index(records, postings, stored(sorted_by(token_runs(postings), "run"), "runs"), key, weights)
+    """The index of ``records``: numbered records, their places, blocks by
+    token and runs stored, the last two sorted, so that a reader's filter
+    skips most row groups."""
+    records = stored(numbered(records, key), "records")
+    places = stored(placed(records, key), "places")
+    blocks = stored(sorted_by(blocks_of(records, places, key, weights), "token"), "postings")
+    return read_index(records, places, blocks, stored(sorted_by(token_runs(blocks), "run"), "runs"), key, weights)
 
 
-def read_index(records: DataFrame, postings: DataFrame, runs: DataFrame, key: str = "href",
+def read_index(records: DataFrame, places: DataFrame, blocks: DataFrame, runs: DataFrame, key: str = "href",
                weights: dict[str, int] | None = None) -> SearchIndex:
-    """An index over posting lists and runs that are stored already."""
-    return SearchIndex(records, postings, runs, record_names(records, key), key, weights or FIELD_WEIGHTS)
+    """An index over numbered records and places that are stored, and blocks
+    and runs that are stored or made by whoever reads them."""
+    return SearchIndex(records, places, blocks, runs, record_names(records, key), key, weights or FIELD_WEIGHTS)
 
 
 # --- search -----------------------------------------------------------------------
@@ -142,26 +203,63 @@ def search_terms(queries: DataFrame, query_id: str = "query_id", query: str = "q
             .filter((F.length("term") >= MIN_MATCH_CHARS) & (F.size(pieces_of(F.col("term"))) > 0)))
 
 
-def candidates(terms: DataFrame, index: SearchIndex) -> DataFrame:
-    """(term, whole, bound, names..., key): the records with a token that
-    contains the term's longest piece, with the score that the fields of those
-    tokens allow. Where the piece is the ``whole`` term the bound is its score."""
+def term_keys(terms: DataFrame, index: SearchIndex) -> DataFrame:
+    """(term, piece, run): a term's longest piece and the rarest of its runs,
+    for terms whose runs all occur. What is made from the terms alone is
+    stored, so that its size is known where it meets the tokens."""
     longest = F.array_max(F.transform(pieces_of(F.col("term")), lambda p: F.struct(F.length(p).alias("n"), p.alias("piece"))))
     words = terms.select("term").distinct().select("term", longest["piece"].alias("piece"))
     size = lambda n: runs_of(F.col("piece"), [n])
     n = F.length("piece")
-    wanted = words.select("term", "piece", F.explode(F.when(n == 1, size(1)).when(n < RUN, size(RUN - 1)).otherwise(size(RUN))).alias("run"))
-    rarity = index.runs.join(wanted.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    wanted = stored(words.select("term", "piece", F.explode(F.when(n == 1, size(1)).when(n < RUN, size(RUN - 1)).otherwise(size(RUN))).alias("run")), "wanted")
+    rarity = index.runs.join(stored(wanted.select("run").distinct(), "sought"), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     # a run that no token holds leaves its term without candidates
     best = wanted.join(rarity, "run", "left").groupBy("term", "piece").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run").alias("run"))).alias("b"))
-    keyed = best.filter("b.n > 0").select("term", "piece", "b.run")
-    held = index.runs.join(keyed, "run").filter(F.contains("token", F.col("piece"))).select("term", (F.col("piece") == F.col("term")).alias("whole"), "token")
+    return stored(best.filter("b.n > 0").select("term", "piece", "b.run"), "keys")
+
+
+def candidates(terms: DataFrame, index: SearchIndex) -> DataFrame:
+    """(term, whole, bound, names..., key): the records with a token that
+    contains the term's longest piece, with the score that the fields of those
+    tokens allow. Where the piece is the ``whole`` term the bound is its score."""
     kept = dict.fromkeys([*index.names, index.key])
-    met = index.postings.join(held, "token").groupBy("term", "whole", *kept).agg(F.bit_or("fields").alias("fields"))
+    held = index.runs.join(term_keys(terms, index), "run").filter(F.contains("token", F.col("piece")))
+    held = held.select("term", (F.col("piece") == F.col("term")).alias("whole"), "token")
+    met = index.postings.join(held, "token").groupBy("term", "whole", "record_no").agg(F.bit_or("fields").alias("fields"))
     bound = reduce(lambda a, b: a + b, [F.when(F.col("fields").bitwiseAND(1 << i) > 0, w).otherwise(0)
                                         for i, w in enumerate(index.weights.values())])
-    return met.select("term", "whole", bound.alias("bound"), *kept)
+    return met.join(index.places, "record_no").select("term", "whole", bound.alias("bound"), *kept)
+
+
+def word_hits(terms: DataFrame, index: SearchIndex, limit: int) -> DataFrame:
+    """(term, score, record_no) with the best ``limit`` hits of every term
+    without blanks among them: those of every block. Within a block, the
+    records of a field are one array of numbers, and a score is a combination
+    of fields; tokens meet the terms where the block is."""
+    keys = term_keys(terms, index).filter("piece = term").select("term", "run")
+    runs = index.blocks.select("*", F.explode(runs_of(F.col("token"), [RUN - 1, RUN])).alias("run"))
+    met = runs.join(keys, "run").filter(F.contains("token", F.col("term")))
+    fields = range(len(index.weights))
+    numbers = [F.array_distinct(F.flatten(F.collect_list(F.when(F.col("fields").bitwiseAND(1 << i) > 0, F.col("at"))))) for i in fields]
+    sets = met.groupBy("term", "block").agg(*[n.alias(f"in{i}") for i, n in zip(fields, numbers, strict=True)])
+
+    def exactly(mask: int) -> Column:
+        """Records in all fields of a mask and in no other."""
+        inside = reduce(F.array_intersect, [F.col(f"in{i}") for i in fields if mask >> i & 1])
+        return reduce(F.array_except, [F.col(f"in{i}") for i in fields if not mask >> i & 1], inside)
+
+    levels: dict[int, list[Column]] = {}
+    for mask in range(1, 1 << len(index.weights)):
+        levels.setdefault(sum(w for i, w in enumerate(index.weights.values()) if mask >> i & 1), []).append(exactly(mask))
+
+    def first(score: int) -> Column:
+        found = F.slice(F.array_sort(F.concat(*levels[score])), 1, limit)
+        return F.transform(found, lambda at: F.struct(F.lit(score).alias("score"), at.alias("at")))
+
+    best = [first(score) for score in sorted(levels, reverse=True)]
+    rows = sets.select("term", "block", F.inline(F.slice(F.concat(*best), 1, limit)))
+    return rows.select("term", "score", number_of("block", "at").alias("record_no"))
 
 
 def checked(pairs: DataFrame, index: SearchIndex) -> DataFrame:
@@ -210,14 +308,18 @@ def place(index: SearchIndex, score: str, prefix: str = "") -> Column:
 
 def top_hits(terms: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT) -> DataFrame:
     """(term, rank, score, names..., key): the best ``limit`` records of every
-    term by score, ties by key and name."""
-    hits = exact(candidates(terms, index), index)
+    term by score, ties by key and name, which is the order of places."""
+    out = ["term", "rank", "score", *dict.fromkeys([*index.names, index.key])]
+    by = Window.partitionBy("term")
+    best = word_hits(terms, index, limit).join(index.places.select("record_no", "place"), "record_no")
+    best = best.withColumn("rank", F.row_number().over(by.orderBy(F.col("score").desc(), "place"))).filter(F.col("rank") <= limit)
+    hits = best.drop("place").join(index.places, "record_no").select(*out)
     phrases = terms.filter(F.size(pieces_of(F.col("term"))) > 1)
     if phrases.take(1):
-        kept = hits.columns
-        hits = hits.unionByName(phrase_hits(candidates(phrases, index).filter(~F.col("whole")), index, limit).select(*kept))
-    by = Window.partitionBy("term").orderBy(*best_first(index, "score"))
-    return hits.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= limit)
+        found = phrase_hits(candidates(phrases, index).filter(~F.col("whole")), index, limit)
+        ranked = found.withColumn("rank", F.row_number().over(by.orderBy(*best_first(index, "score"))))
+        hits = hits.unionByName(ranked.filter(F.col("rank") <= limit).select(*out))
+    return hits
 
 
 def phrase_hits(pairs: DataFrame, index: SearchIndex, limit: int) -> DataFrame:
@@ -258,12 +360,14 @@ def with_snippets(results: DataFrame, index: SearchIndex, columns: tuple[str, ..
     own = [c for c in results.columns if c not in names]
     gathered = results.join(busy, names, "left").groupBy(*names, part.alias("part")).agg(F.collect_list(F.struct(*own)).alias("results"))
     more = list(dict.fromkeys(c for c in ("text", *columns) if c not in (*names, *own)))
+    # only records with results are moved
+    hit = stored(results.select(*names).distinct(), "hit")
+    records = index.records.select(*names, *more).join(hit, names, "left_semi")
     text = F.struct(F.col("text").alias("text"), F.lower("text").alias("low"))
     rows = bind(text, lambda x: F.transform("results", lambda r: F.struct(
         *[r[c].alias(c) for c in own], add_param(r[index.key] if index.key in own else F.col(index.key), QUERY_ARG, r["query"]).alias("link"),
         snippet(x["text"], r["term"], x["low"]).alias("snippet"))))
-    out = gathered.join(index.records.select(*names, *more), names).select(*names, *[c for c in columns if c in more], F.inline(rows))
-    return out
+    return gathered.join(records, names).select(*names, *[c for c in columns if c in more], F.inline(rows))
 
 
 def search_hits(queries: DataFrame, index: SearchIndex, limit: int = RESULT_LIMIT,

@@ -234,7 +234,7 @@ def catalogue_views(items: DataFrame, category: str = "", page_number: int = 1,
 
 def site_search(queries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M9: index build, weighted search, per-page collapse."""
-    index = search.build_index(stored(search.page_sections(pages), "index"))
+    index = search.build_index(search.page_sections(pages))
     results = stored(search.keyword_search(queries, index), "results")
     return results, search.collapse_hits(results)
 

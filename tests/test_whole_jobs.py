@@ -25,3 +25,43 @@ def test_corr_by_group_covers_every_organisation(spark, tmp_path):
     slope = sum((x - mx) * (y - my) for x, y in points) / sum((x - mx) ** 2 for x, _ in points)
     assert abs(got["A"]["slope"] - slope) < 1e-6
     assert "bhcmis_id IS NOT NULL" not in E.oracle_sql()["corr_by_group"] and "% 97" not in E.oracle_sql()["corr_by_group"]
+
+
+def plain_hits(terms, records, limit):
+    """Records of the same names and key count once, with the fields of all."""
+    out = set()
+    for t in terms:
+        held = {}
+        for r in records:
+            bits = tuple(t in (f or "").lower() for f in r[3:])
+            held[r[:3]] = tuple(a or b for a, b in zip(bits, held.get(r[:3], bits), strict=True))
+        low = lambda x: (x is not None, x)
+        hits = sorted((-sum(w for w, b in zip((20, 20, 10), bits, strict=True) if b), *map(low, (k[2], k[0], k[1]))) for k, bits in held.items() if any(bits))
+        out |= {(t, n + 1, -h[0], h[1][1], h[2][1], h[3][1]) for n, h in enumerate(hits[:limit])}
+    return out
+
+
+def test_posting_lists_stay_in_their_blocks(spark, monkeypatch):
+    """Repeated and null names, several blocks: the hits are those of brute
+    force, and posting lists that a search makes are dealt once, by block;
+    only the best few of a block move on."""
+    import random
+
+    from sitelens.operators import search
+    from sitelens.session import stored
+    monkeypatch.setattr(search, "BLOCK_BITS", 3)
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choice("abcé") for _ in range(n))
+    records = [(rnd.choice([None, *range(20)]), rnd.randint(0, 2), rnd.choice([None, "p#a", "p#b", "q"]), rnd.choice([None, "", word(4)]),
+                rnd.choice(["", word(5)]), " ".join(word(rnd.randint(1, 6)) for _ in range(8))) for _ in range(150)]
+    records += records[:30]
+    recs = stored(search.numbered(spark.createDataFrame(records, "page_id int, position int, href string, title string, section string, text string").repartition(3)))
+    places = stored(search.placed(recs))
+    index = search.read_index(recs, places, search.blocks_of(recs, places), search.token_runs(search.postings_of(recs, kept=["record_no"])))
+    words = sorted({word(rnd.randint(2, 4)) for _ in range(40)})
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    for limit in (2, 50):
+        got = search.top_hits(terms, index, limit).select("term", "rank", "score", "href", "page_id", "position").collect()
+        assert {tuple(r) for r in got} == plain_hits(words, records, limit) and len(got) == len(plain_hits(words, records, limit))
+    plan = search.word_hits(terms, index, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(block") >= 1 and "hashpartitioning(term" not in plan and "hashpartitioning(token" not in plan
